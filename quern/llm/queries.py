@@ -62,5 +62,40 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {"op3_mixing": op3_mixing, "op4_exact_dedup": op4_exact_dedup, "op5_sharding": op5_sharding}
-ORACLES = {"op3_mixing": OP3_SQL, "op4_exact_dedup": OP4_SQL}
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import measured, scan
+
+    out = measured(scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep_text=False))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+OP2_SQL = r"""
+with dw as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+iw as (select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+il as (select item_id, w, least(13, len(w)) as n from iw where len(w) > 0),
+win as (select distinct coalesce(item_id::varchar, 'null') as item_id, n, array_to_string(w[i:i + n - 1], ' ') as gram from (select *, unnest(range(1, len(w) - n + 2)) as i from il)),
+dg as (select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as gram from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from dw, (select distinct n from win))),
+hit as (select doc_id, i, n, item_id from dg join win using (n, gram)),
+pos as (select doc_id, count(distinct p)::bigint as n_hit from (select doc_id, unnest(range(i, i + n)) as p from hit) group by doc_id),
+its as (select doc_id, count(distinct item_id)::bigint as n_items, array_to_string(list_sort(list(distinct item_id)), ',') as ids from hit group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from dw left join pos using (doc_id) left join its using (doc_id)
+"""
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import classes
+
+    out = classes(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {
+    "op2_decontamination": op2_decontamination,
+    "op3_mixing": op3_mixing,
+    "op4_exact_dedup": op4_exact_dedup,
+    "op5_sharding": op5_sharding,
+    "op9_simhash": op9_simhash,
+}
+ORACLES = {"op2_decontamination": OP2_SQL, "op3_mixing": OP3_SQL, "op4_exact_dedup": OP4_SQL}
