@@ -62,6 +62,26 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .common import scratch_path
+    from .warc import read_archive, write_archive
+
+    path = scratch_path(spark, "warc")
+    write_archive(table(spark, sf_dir, "pages"), path, min_revisit=0)
+    return read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP1_SQL = """
+with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as hex from pages),
+g as (select html, max(page_id) as response from p group by html)
+select page_id, octet_length(encode(html))::bigint as payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::int >> (15 - 5 * (i % 4))) & 31)::int, 1) for i in range(32)], '') as payload_digest,
+  case when page_id = response then 'response' else 'revisit' end as record_type,
+  case when page_id = response then null else response end as refers_to
+from p join g using (html)
+"""
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import measured, scan
 
@@ -84,6 +104,12 @@ from dw left join pos using (doc_id) left join its using (doc_id)
 """
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_extract import extract
+
+    return extract(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import classes
 
@@ -91,11 +117,20 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find_pii
+
+    return find_pii(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_decontamination": op2_decontamination,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sharding": op5_sharding,
+    "op6_html_extraction": op6_html_extraction,
     "op9_simhash": op9_simhash,
+    "op10_pii": op10_pii,
 }
-ORACLES = {"op2_decontamination": OP2_SQL, "op3_mixing": OP3_SQL, "op4_exact_dedup": OP4_SQL}
+ORACLES = {"op1_warc": OP1_SQL, "op2_decontamination": OP2_SQL, "op3_mixing": OP3_SQL, "op4_exact_dedup": OP4_SQL}
