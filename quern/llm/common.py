@@ -41,21 +41,26 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def hot_keys(counts: DataFrame, key: str, n: str, total: int) -> DataFrame:
+def _keys(key: str | list[str]) -> list[str]:
+    return [key] if isinstance(key, str) else key
+
+
+def hot_keys(counts: DataFrame, key: str | list[str], n: str, total: int) -> DataFrame:
     """Keys with at least HOT_SHARE of ``total`` rows (and 1000): at most 1000 of them, so they may be broadcast."""
-    return counts.where(F.col(n) >= max(1000, int(total * HOT_SHARE))).select(key)
+    return counts.where(F.col(n) >= max(1000, int(total * HOT_SHARE))).select(*_keys(key))
 
 
-def salted_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, spread: Column, how: str = "inner", salts: int = SALTS) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, key: str | list[str], hot: DataFrame, spread: Column, how: str = "inner", salts: int = SALTS) -> DataFrame:
     """Join many rows of ``left`` to the one row of ``right`` that has their ``key``.
 
     ``hot`` holds the keys (at most 1 / HOT_SHARE) whose left rows are dealt
     over ``salts`` partitions by ``spread``; the right row is repeated for them.
     """
-    flag = F.broadcast(hot.select(key).distinct().withColumn("__hot", F.lit(True)))
+    key = _keys(key)
+    flag = F.broadcast(hot.select(*key).distinct().withColumn("__hot", F.lit(True)))
     left = left.join(flag, key, "left").withColumn("__salt", F.when(F.col("__hot"), F.pmod(spread, F.lit(salts)).cast("int")).otherwise(0)).drop("__hot")
     right = right.join(flag, key, "left").withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))).drop("__hot")
-    return left.join(right, [key, "__salt"], how).drop("__salt")
+    return left.join(right, [*key, "__salt"], how).drop("__salt")
 
 
 def text_of(df: DataFrame, name: str) -> Column:

@@ -110,6 +110,13 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import cut_repeats
+
+    out = cut_repeats(table(spark, sf_dir, "documents"), keep_bytes=False)
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import classes
 
@@ -130,6 +137,7 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sharding": op5_sharding,
     "op6_html_extraction": op6_html_extraction,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_simhash": op9_simhash,
     "op10_pii": op10_pii,
 }
