@@ -110,6 +110,12 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffix_dedup import cut_repeats
 
@@ -137,6 +143,7 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_sharding": op5_sharding,
     "op6_html_extraction": op6_html_extraction,
+    "op7_quality": op7_quality,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_simhash": op9_simhash,
     "op10_pii": op10_pii,
