@@ -41,7 +41,7 @@ def source_targets(sources: DataFrame, weights: tuple[float, ...] = (5, 2, 1), t
         .withColumn("budget", total * F.sum("source_size").over(Window.partitionBy()))
     )
     level = (F.col("budget") - F.col("below")) / F.col("open")
-    ranked = ranked.withColumn("level", F.min(F.when(level * F.col("w") <= F.col("cap"), level)).over(Window.partitionBy()))
+    ranked = ranked.withColumn("level", F.max(F.when(level * F.col("w") <= F.col("cap"), level)).over(Window.partitionBy()))
     return ranked.select("__key", "source_size", F.least(F.col("w") * F.coalesce("level", F.lit(float("inf"))), F.col("cap")).alias("target"))
 
 

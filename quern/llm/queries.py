@@ -26,7 +26,7 @@ w as (select *, [1.0, 5.0, 2.0][1 + k % 3]::double as w, 2.0::double * source_si
 f as (select *, coalesce(sum(cap) over (order by cap / w, source nulls last rows between unbounded preceding and 1 preceding), 0)::double as below,
     sum(w) over (order by cap / w, source nulls last rows between current row and unbounded following)::double as open,
     1.5::double * (sum(source_size) over ())::double as budget from w),
-l as (select *, min(case when (budget - below) / open * w <= cap then (budget - below) / open end) over () as level from f),
+l as (select *, max(case when (budget - below) / open * w <= cap then (budget - below) / open end) over () as level from f),
 t as (select source, source_size, least(w * coalesce(level, 'infinity'::double), cap) as target from l),
 p as (select *, case when source_size > 0 then floor(target / source_size)::bigint else 0 end as passes from t),
 r as (select *, target - passes * source_size as rem from p),
