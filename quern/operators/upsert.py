@@ -45,7 +45,7 @@ def change_summary(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """One row: how many keys are new, in both, and gone."""
     a, b = old.select(key).distinct().withColumn("o", F.lit(1)), new.select(key).distinct().withColumn("n", F.lit(1))
     both = a.join(b, key, "full_outer")
-    return both.agg(F.count_if("o is null").alias("new_keys"), F.count_if("o = 1 and n = 1").alias("kept_keys"), F.count_if("n is null").alias("removed_keys"))
+    return both.agg(F.count_if(F.col("o").isNull()).alias("new_keys"), F.count_if(F.col("o").isNotNull() & F.col("n").isNotNull()).alias("kept_keys"), F.count_if(F.col("n").isNull()).alias("removed_keys"))
 
 
 def replace_children(children: DataFrame, fresh: DataFrame, parent: str) -> DataFrame:
