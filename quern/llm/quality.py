@@ -8,10 +8,11 @@ symbols, closing punctuation, length). So there are less than
 2^16 tokens, however large the corpus is.
 
 Counts of all n-grams of all trusted training documents are gathered by
-shuffles; discounts come from the counts of counts, and the probabilities of
-each order from joins of its counts with those of its contexts. The finished
-model is cut into shards by the word before the scored one: everything that a
-position needs lies in one shard. A model of one shard is scored in one pass
+shuffles; discounts come from the counts of counts. An n-gram's count is joined
+with those of its context, and of the lower orders, when it is scored: the
+counts are cut into shards by the word before the scored one, so everything
+that a position needs lies in one shard. N-grams of count 1 go into discounts
+and into what their contexts leave to the lower order, but aren't stored. A model of one shard is scored in one pass
 over the texts; of several, the tokens are written once and each shard adds
 its part of a document's sum. A shard has SHARD_ROWS n-grams at most, which
 bounds what is broadcast.
@@ -38,6 +39,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,6 +49,8 @@ from .kernels import SOLID, U, blocks, column_bytes, hash_ranges, padded, split_
 
 MAX_WORDS = 50_000
 SHARD_ROWS = 8_000_000
+#: Whether n-grams of count 1 are left out of the stored model, as toolkits do; all are counted.
+CUT = True
 PRIOR, QUANTILE, MARGIN, LEAST_HELD, BINS = 16, 0.99, 0.25, 20, 256
 #: Up to so many trusted ids they are broadcast; beyond, documents are shuffled by id.
 BROADCAST_IDS = 1_000_000
@@ -138,7 +142,7 @@ def known_words(texts: DataFrame, max_words: int = MAX_WORDS) -> np.ndarray:
 
 
 def trigram_counts(texts: DataFrame, words: np.ndarray) -> DataFrame:
-    """(u, v, w, n) for all trigrams of tokens."""
+    """(c, w, n) for all trigrams of tokens; c is the context, u * 65536 + v. All rows of a context are in one partition (it has less than 2^16)."""
     shared = texts.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,9 +154,8 @@ def trigram_counts(texts: DataFrame, words: np.ndarray) -> DataFrame:
         for _, parts in _per_block(batches, keys):
             yield _counted(parts)
 
-    counts = texts.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    part = lambda k: F.shiftright("key", k).bitwiseAND(0xFFFF).cast("int")
-    return counts.select(part(32).alias("u"), part(16).alias("v"), part(0).alias("w"), "n")
+    part = texts.mapInArrow(run, "key long, n long").select(F.shiftright("key", 16).alias("c"), F.col("key").bitwiseAND(0xFFFF).cast("int").alias("w"), "n")
+    return part.repartition("c").groupBy("c", "w").agg(F.sum("n").alias("n"))
 
 
 def _discounts(counts: DataFrame) -> list[float]:
@@ -165,13 +168,19 @@ def _discounts(counts: DataFrame) -> list[float]:
     return [min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.05), k - 0.05) for k in (1, 2, 3)]
 
 
-def _discount(d: list[float]) -> Column:
-    return F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
+def _of_context() -> dict[str, Column]:
+    """Of a context: the sum of its counts, and how many of them are 1, 2 and more."""
+    return {"total": F.sum("n"), "n1": F.count_if(F.col("n") == 1), "n2": F.count_if(F.col("n") == 2), "n3": F.count_if(F.col("n") > 2)}
 
 
-def _context(counts: DataFrame, by: list[str], d: list[float]) -> DataFrame:
-    """Per context: the sum of its counts and the weight left to the lower order."""
-    return counts.groupBy(*by).agg(F.sum("n").alias("total"), (F.sum(_discount(d)) / F.sum("n")).alias("rest"))
+def _share(d: list[float]) -> Column:
+    """What an n-gram's own count gives it: (n - discount) / total."""
+    return (F.col("n") - F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])) / F.col("total")
+
+
+def _rest(d: list[float], cut: bool) -> Column:
+    """What a context leaves to the lower order; with ``cut`` the whole counts of 1 are left to it."""
+    return ((1.0 if cut else d[0]) * F.col("n1") + d[1] * F.col("n2") + d[2] * F.col("n3")) / F.col("total")
 
 
 @dataclass
@@ -181,25 +190,41 @@ class Model:
     p1: np.ndarray
     shards: int
 
-    def shard(self, k: int) -> dict[str, np.ndarray]:
-        """The arrays that positions after words of shard ``k`` need."""
-        mine = F.pmod("v", F.lit(self.shards)) == k
-        out: dict[str, np.ndarray] = {"p1": self.p1, "k": k, "shards": self.shards}
-        for name, key in (("p3", "u * 4294967296 + v * 65536L + w"), ("g3", "u * 65536L + v"), ("p2", "v * 65536L + w"), ("g2", "v")):
-            rows = self.tables[name].where(mine).select(F.expr(f"cast({key} as bigint)").alias("key"), F.col("x").cast("float")).toArrow()
+    def shard(self, k: int) -> dict:
+        """What positions after words of shard ``k`` need, packed."""
+        out: dict = {"p1": self.p1, "k": k, "shards": self.shards}
+        for name, table in self.tables.items():
+            rows = table.where(F.pmod("v", F.lit(self.shards)) == k).select("key", F.col("x").cast("float")).toArrow()
             keys, x = rows.column("key").to_numpy(), rows.column("x").to_numpy()
             order = np.argsort(keys)
-            out[name] = (keys[order], x[order])
+            out[name] = _pack(keys[order], x[order])
         return out
 
 
-def train(texts: DataFrame, max_words: int = MAX_WORDS, shard_rows: int = SHARD_ROWS) -> Model | None:
+def _pack(keys: np.ndarray, x: np.ndarray) -> tuple[int, bytes, bytes]:
+    """Ascending keys by their differences, and values, compressed: a broadcast lies on every executor's disk."""
+    return len(keys), zstandard.compress(np.diff(keys, prepend=0).astype("<i8").tobytes()), zstandard.compress(x.astype("<f4").tobytes())
+
+
+def _unpacked(shard: dict) -> dict:
+    out = dict(shard)
+    for name, packed in shard.items():
+        if isinstance(packed, tuple):
+            n, keys, x = packed
+            out[name] = (np.cumsum(np.frombuffer(zstandard.decompress(keys, n * 8 + 1), "<i8")), np.frombuffer(zstandard.decompress(x, n * 4 + 1), "<f4"))
+    return out
+
+
+def train(texts: DataFrame, max_words: int = MAX_WORDS, shard_rows: int = SHARD_ROWS, cut: bool = CUT) -> Model | None:
     """The model of the column ``text``; None without any word."""
     words = known_words(texts, max_words)
-    tri = written(trigram_counts(texts, words), "trigrams")
+    by_context = Window.partitionBy("c")
+    tri = trigram_counts(texts, words).withColumns({k: f.over(by_context) for k, f in _of_context().items()})
+    tri = written(tri, "trigrams")
     if tri.isEmpty():
         return None
-    bi = written(tri.groupBy("v", "w").agg(F.count("*").alias("n")), "bigrams")
+    v = F.col("c").bitwiseAND(0xFFFF).cast("int")
+    bi = written(tri.groupBy(v.alias("v"), "w").agg(F.count("*").alias("n")), "bigrams")
     uni = written(bi.groupBy("w").agg(F.count("*").alias("n")), "unigrams")
     d3, d2, d1 = _discounts(tri), _discounts(bi), _discounts(uni)
 
@@ -210,47 +235,38 @@ def train(texts: DataFrame, max_words: int = MAX_WORDS, shard_rows: int = SHARD_
     p1 = np.full(size, off.sum() / n.sum() / size)
     p1[every["w"].to_numpy()] += (n - off) / n.sum()
 
-    spark = texts.sparkSession
-    below = spark.createDataFrame([(i, float(p)) for i, p in enumerate(p1)], "w int, p1 double")
-    c2 = written(_context(bi, ["v"], d2), "contexts2")
-    p2 = bi.join(c2, "v").join(below, "w").select("v", "w", ((F.col("n") - _discount(d2)) / F.col("total") + F.col("rest") * F.col("p1")).alias("p2"))
-    p2 = written(p2, "p2")
-    c3 = written(_context(tri, ["u", "v"], d3), "contexts3")
-    p3 = tri.join(c3, ["u", "v"]).join(p2, ["v", "w"]).select("u", "v", "w", ((F.col("n") - _discount(d3)) / F.col("total") + F.col("rest") * F.col("p2")).alias("p3"))
+    least = 2 if cut else 1
+    kept3 = tri.where(F.col("n") >= least)
+    c2 = written(bi.groupBy("v").agg(*(f.alias(k) for k, f in _of_context().items())), "contexts2")  # less than 2^16 rows
+    kept2 = bi.where(F.col("n") >= least).join(F.broadcast(c2), "v")
     tables = {
-        "p3": written(p3.select("u", "v", "w", F.log("p3").alias("x")), "p3"),
-        "g3": c3.select("u", "v", F.log("rest").alias("x")),
-        "p2": p2.select("v", "w", F.log("p2").alias("x")),
-        "g2": c2.select("v", F.log("rest").alias("x")),
+        "p3": kept3.select(v.alias("v"), F.expr("c * 65536 + w").alias("key"), _share(d3).alias("x")),
+        "g3": kept3.select(v.alias("v"), F.col("c").alias("key"), _rest(d3, cut).alias("x")).distinct(),
+        "p2": kept2.select("v", F.expr("v * 65536L + w").alias("key"), _share(d2).alias("x")),
+        "g2": c2.select("v", F.col("v").cast("long").alias("key"), _rest(d2, cut).alias("x")),
     }
     rows = sum(t.count() for t in tables.values())
-    return Model(words, tables, np.log(p1).astype(np.float32), -(-rows // shard_rows))
+    return Model(words, tables, p1.astype(np.float32), -(-rows // shard_rows))
 
 
-def _find(table: tuple[np.ndarray, np.ndarray], key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Values of keys, and which are there."""
+def _find(table: tuple[np.ndarray, np.ndarray], key: np.ndarray, absent: float) -> np.ndarray:
+    """Values of keys."""
     keys, x = table
     if not len(keys):
-        return np.zeros(len(key), np.float32), np.zeros(len(key), bool)
+        return np.full(len(key), absent, np.float32)
     at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-    there = keys[at] == key
-    return np.where(there, x[at], np.float32(0)), there
+    return np.where(keys[at] == key, x[at], np.float32(absent))
 
 
 def log_probabilities(token: np.ndarray, first: np.ndarray, shard: dict) -> np.ndarray:
     """Each token's log-probability; 0 if it belongs to another shard."""
     u, v = contexts(token, first)
     out = np.zeros(len(token))
-    mine = np.flatnonzero(v % shard["shards"] == shard["k"]) if shard["shards"] > 1 else np.arange(len(token))
+    mine = np.flatnonzero(v % shard["shards"] == shard["k"]) if shard["shards"] > 1 else slice(None)
     u, v, w = u[mine], v[mine], token[mine]
-    x, there = _find(shard["p3"], (u << 32) | (v << 16) | w)
-    rest = np.flatnonzero(~there)
-    if len(rest):
-        u, v, w = u[rest], v[rest], w[rest]
-        back, _ = _find(shard["g3"], (u << 16) | v)
-        low, known = _find(shard["p2"], (v << 16) | w)
-        x[rest] = back + np.where(known, low, _find(shard["g2"], v)[0] + shard["p1"][w])
-    out[mine] = x
+    low = _find(shard["p2"], (v << 16) | w, 0.0) + _find(shard["g2"], v, 1.0) * shard["p1"][w]
+    context = (u << 16) | v
+    out[mine] = np.log(_find(shard["p3"], (context << 16) | w, 0.0) + _find(shard["g3"], context, 1.0) * low)
     return out
 
 
@@ -259,20 +275,18 @@ def _sums(x: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
-def _broadcast(rows: DataFrame, model: Model, k: int) -> tuple[Broadcast, Broadcast]:
-    context = rows.sparkSession.sparkContext
-    return context.broadcast(model.words), context.broadcast(model.shard(k))
-
-
 def _one_shard(rows: DataFrame, model: Model) -> DataFrame:
     """``rows`` (with a column text) without their text, with n and nll."""
-    words, shard = _broadcast(rows, model, 0)
+    context = rows.sparkSession.sparkContext
+    words, shard = context.broadcast(model.words), context.broadcast(model.shard(0))
     kept = [x for x in rows.columns if x != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = _unpacked(shard.value)
+
         def score(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             token, first = tokens_of(buf, offsets, words.value)
-            return np.diff(first), -_sums(log_probabilities(token, first, shard.value), first)
+            return np.diff(first), -_sums(log_probabilities(token, first, tables), first)
 
         for batch, parts in _per_block(batches, score):
             n = np.concatenate([np.zeros(0, np.int64), *(p[0] for p in parts)])
@@ -300,14 +314,18 @@ def _many_shards(rows: DataFrame, model: Model) -> DataFrame:
     table = written(rows.mapInArrow(tokens, f"{kinds}, tokens binary").withColumn("rid", F.monotonically_increasing_id()), "tokens")
     parts = None
     for k in range(model.shards):
-        _, shard = _broadcast(rows, model, k)
+        shard = rows.sparkSession.sparkContext.broadcast(model.shard(k))
 
         def run(batches: Iterator[pa.RecordBatch], shard: Broadcast = shard) -> Iterator[pa.RecordBatch]:
+            tables = _unpacked(shard.value)
             for batch in batches:
-                texts = [np.frombuffer(x, "<u2").astype(np.int64) for x in batch.column("tokens").to_pylist()]
+                nll = np.zeros(batch.num_rows)
+                texts = [np.frombuffer(x, "<u2") for x in batch.column("tokens").to_pylist()]
                 first = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-                token = np.concatenate([np.zeros(0, np.int64), *texts])
-                yield pa.RecordBatch.from_arrays([batch.column("rid"), pa.array(-_sums(log_probabilities(token, first, shard.value), first))], ["rid", "nll"])
+                for a, b in blocks(first, 1 << 17):
+                    part = first[a : b + 1] - first[a]
+                    nll[a:b] = -_sums(log_probabilities(np.concatenate(texts[a:b]).astype(np.int64), part, tables), part)
+                yield pa.RecordBatch.from_arrays([batch.column("rid"), pa.array(nll)], ["rid", "nll"])
 
         part = written(table.select("rid", "tokens").mapInArrow(run, "rid long, nll double"), "shard-scores")
         parts = part if parts is None else parts.unionByName(part)
