@@ -35,7 +35,7 @@ def validated(raw: Column, fields: tuple[str, ...], list_field: str = "key_theme
     parsed = F.from_json(body, ddl)
     good = (F.size(F.array_except(keys, F.array(*map(F.lit, fields)))) == 0) & (F.size(F.array_except(F.array(*map(F.lit, fields)), keys)) == 0)
     good &= parsed[list_field].isNotNull() & F.get_json_object(body, f"$.{list_field}").startswith("[")
-    themes = F.slice(F.filter(F.transform(parsed[list_field], F.trim), lambda x: x != ""), 1, most)
+    themes = F.slice(F.filter(F.transform(parsed[list_field], lambda x: F.trim(x)), lambda x: x != ""), 1, most)
     cols = [themes.alias(f) if f == list_field else F.trim(parsed[f]).alias(f) for f in fields]
     return F.when(good, F.struct(*cols))
 
@@ -118,5 +118,6 @@ def repair(text: str | None) -> str | None:
     return None
 
 
-#: ``repair`` on a column (Python: no expression can follow brackets).
-repaired = F.udf(repair, StringType())
+def repaired(col: Column) -> Column:
+    """``repair`` on a column (Python: no expression can follow brackets)."""
+    return F.udf(repair, StringType())(col)

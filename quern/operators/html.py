@@ -118,11 +118,15 @@ def to_markdown(page: str | None, collapse: bool = True) -> str:
     return (re.sub(r"\n{3,}", "\n\n", text) if collapse else text).strip()
 
 
-@F.pandas_udf("string")
-def html_to_markdown(pages: pd.Series) -> pd.Series:
+def _markdown_batch(pages: pd.Series) -> pd.Series:
     return pages.map(to_markdown)
 
 
+def html_to_markdown(page: Column) -> Column:
+    """``to_markdown`` on a column, in Arrow batches."""
+    return F.pandas_udf(_markdown_batch, "string")(page)
+
+
 class _Comments(HTMLParser):
     """Comments as list items with an id like comment-12: author, date and paragraphs."""
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from quern.plans import quality, relational, structure
+from quern.plans import incremental, quality, relational, structure, text
 
-MODULES = (quality, relational, structure)
+MODULES = (quality, relational, structure, text, incremental)
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
