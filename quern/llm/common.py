@@ -68,6 +68,11 @@ def text_of(df: DataFrame, name: str) -> Column:
     return F.coalesce(df[name].cast("string"), F.lit(""))
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, so that no helper column can clash with one of them."""
+    return F.struct(*(df[f"`{name}`"] for name in df.columns))
+
+
 def hash60(*parts: Column) -> Column:
     """A hash of 60 bits from MD5, which any SQL engine can repeat."""
     return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 15), 16, 10).cast("long")

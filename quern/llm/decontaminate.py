@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from .common import text_of, whole_row, written
 from .kernels import ALNUM, LOWER, U, blocks, column_bytes, hash_ranges, padded, split_words
 
 WINDOW = 13
@@ -194,8 +194,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, remove: str = "documen
     """
     if remove not in ("documents", "spans"):
         raise ValueError("remove must be 'documents' or 'spans'")
-    whole = F.struct(*(docs[f"`{x}`"] for x in docs.columns))
-    rows = docs.select(whole.alias("row"), text_of(docs, text_col).alias("text"))
+    rows = docs.select(whole_row(docs).alias("row"), text_of(docs, text_col).alias("text"))
     for k, index in enumerate(_blocks(benchmark, window, item_col, item_text, block_text)):
         rows = _one_pass(rows if not k else written(rows, f"hits{k}"), index)
     rows = measured(rows)

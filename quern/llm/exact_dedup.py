@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SALTS, hot_keys, salted_join, text_of, written
+from .common import SALTS, hot_keys, salted_join, text_of, whole_row, written
 
 
 def sha256_of(text: Column) -> Column:
@@ -81,6 +81,6 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
     text = text_of(docs, text_col)
     text = options["normalise"](text) if options.get("normalise") else text
     stay = exact_dedup(docs, **options).where("kept").select(F.col(id_col).alias("__id"), F.col("digest").alias("__digest"))
-    keyed = docs.withColumn("__d", digest(text))
-    out = keyed.join(stay, keyed[id_col].eqNullSafe(F.col("__id")) & (F.col("__d") == F.col("__digest")), "left_semi").drop("__d")
-    return out.dropDuplicates([id_col, text_col])
+    rows = docs.select(whole_row(docs).alias("row"), docs[id_col].alias("id"), digest(text).alias("d"), text.alias("t"))
+    kept = rows.join(stay, rows["id"].eqNullSafe(F.col("__id")) & (F.col("d") == F.col("__digest")), "left_semi")
+    return kept.dropDuplicates(["id", "t"]).select("row.*")

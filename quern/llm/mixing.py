@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hash60, hot_keys, salted_join, text_of, written
+from .common import hash60, hot_keys, salted_join, text_of, whole_row, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 BITS, STEP = 60, 12
@@ -110,10 +110,10 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), total: float
     light = written(docs.select(size_of(text_of(docs, text_col)).alias("size"), key.alias("__key"), h.alias("__h")), "mix-light")
     plan, few, hot = _plan(light, weights, total, most)
     plan = plan.select("__key", "source_size", "passes", "threshold").withColumnsRenamed({"source_size": "__size", "passes": "__passes", "threshold": "__threshold"})
-    rows = _joined(docs.withColumns({"__key": key, "__h": h}), plan, few, hot)
+    rows = _joined(docs.select(whole_row(docs).alias("row"), key.alias("__key"), h.alias("__h")), plan, few, hot)
     copies = F.when(F.col("__size") > 0, F.col("__passes") + (F.col("__h") < F.col("__threshold")).cast("long")).otherwise(0)
     rows = rows.withColumn("__copies", copies).where("__copies > 0")
-    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(docs.columns)
+    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select("row.*")
 
 
 def size_of(text: Column) -> Column:

@@ -44,7 +44,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from .common import text_of, whole_row, written
 from .kernels import SOLID, U, blocks, column_bytes, hash_ranges, padded, split_words
 
 MAX_WORDS = 50_000
@@ -416,6 +416,5 @@ def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     known = fit(docs, labels, id_col, text_col, lang_col, **options)
     if known.model is None:
         return docs
-    whole = F.struct(*(docs[f"`{x}`"] for x in docs.columns))
-    rows = docs.select(whole.alias("row"), docs[lang_col].isNull().alias("absent"), F.coalesce(docs[lang_col].cast("string"), F.lit("")).alias("lang"), text_of(docs, text_col).alias("text"))
+    rows = docs.select(whole_row(docs).alias("row"), docs[lang_col].isNull().alias("absent"), F.coalesce(docs[lang_col].cast("string"), F.lit("")).alias("lang"), text_of(docs, text_col).alias("text"))
     return known.decide(_scored(rows, known.model)).where("keep").select("row.*")

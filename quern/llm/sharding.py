@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hash60, text_of, written
+from .common import hash60, text_of, whole_row, written
 
 BUCKET_ROWS = 5_000
 BITS = 60
@@ -86,7 +86,8 @@ def sharded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **o
     """``docs`` with the columns shard and slot; rows that repeat id and text share out the places of that row."""
     places = shard(docs, id_col=id_col, text_col=text_col, **options)
     places = places.groupBy(F.col("row_key").alias("__key")).agg(F.sort_array(F.collect_list(F.struct("shard", "slot"))).alias("__places"))
-    rows = docs.drop("shard", "slot").withColumn("__key", F.xxhash64(docs[id_col], text_of(docs, text_col)))
+    bare = docs.drop("shard", "slot")
+    rows = bare.select(whole_row(bare).alias("row"), F.xxhash64(docs[id_col], text_of(docs, text_col)).alias("__key"))
     rows = rows.withColumn("__nth", F.row_number().over(Window.partitionBy("__key").orderBy("__key")))
     out = rows.join(places, "__key").withColumn("__place", F.element_at("__places", F.col("__nth")))
-    return out.withColumns({"shard": F.col("__place.shard"), "slot": F.col("__place.slot")}).drop("__key", "__nth", "__places", "__place")
+    return out.select("row.*", "__place.shard", "__place.slot")

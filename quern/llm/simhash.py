@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hot_keys, salted_join, text_of, written
+from .common import hot_keys, salted_join, text_of, whole_row, written
 from .components import components
 from .kernels import LOWER, SOLID, U, blocks, column_bytes, padded, split_words, xxh64_ranges
 
@@ -216,7 +216,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
 
 def near_deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row of ``docs`` for each component: that of the smallest id (of rows that repeat it, one)."""
-    stay = classes(docs, id_col, text_col, **options).where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__id"), F.col("fp").alias("__fp"))
-    stay = stay.groupBy("__id").agg(F.min("__fp").alias("__fp"))
-    kept = docs.join(stay, docs[id_col].eqNullSafe(F.col("__id")), "left_semi")
-    return kept.dropDuplicates([id_col])
+    stay = classes(docs, id_col, text_col, **options).where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__id"))
+    rows = docs.select(docs[id_col].alias("id"), whole_row(docs).alias("row"))
+    kept = rows.join(stay.select("__id").distinct(), rows["id"].eqNullSafe(F.col("__id")), "left_semi")
+    return kept.dropDuplicates(["id"]).select("row.*")
