@@ -57,19 +57,21 @@ def with_retries(generate: Generator, text: str, max_tokens: int, valid: Callabl
     """The first valid answer and the number of tries; each retry has a smaller budget; the last answer if none is valid."""
     answer = ""
     for n in range(retries + 1):
-        answer = generate(text, max(1, int(max_tokens * shrink**n)))
+        answer = generate(text, max_tokens)
         if valid(answer):
             return answer, n + 1
+        max_tokens = max(1, int(max_tokens * shrink))
     return answer, retries + 1
 
 
 def continued(generate: Generator, text: str, max_tokens: int, endings: str = ".?!…", retries: int = 2) -> str:
     """An answer that is asked to go on until it ends like a sentence."""
     answer = generate(text, max_tokens).rstrip()
-    for n in range(retries):
+    for _ in range(retries):
         if answer.endswith(tuple(endings)):
             break
-        answer = f"{answer} {generate(f'{text}{answer}', max(1, int(max_tokens * 0.7 ** (n + 1)))).strip()}"
+        max_tokens = max(1, int(max_tokens * 0.7))
+        answer = f"{answer} {generate(f'{text}{answer}', max_tokens).strip()}"
     return answer
 
 
