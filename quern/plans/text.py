@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from quern.functions.budgets import budget, dynamic_budget, estimated_tokens, n_sentences
 from quern.functions.citations import law_references, modifies_law
-from quern.functions.convert import extraction_quality, greek_date, greek_timestamp, lenient_double, lenient_int, ministry_code, new_status, normalized_url, url_host, with_parameter, year_of
+from quern.functions.convert import MONTHS_OF, extraction_quality, greek_date, greek_timestamp, lenient_double, lenient_int, ministry_code, new_status, normalized_url, url_host, with_parameter, year_of
 from quern.functions.json import bullet, json_field, plan_errors, validated
 from quern.functions.numerals import article_heading, greek_to_int, int_to_greek
-from quern.functions.text import categorize, fold_upper, n_nonblank_lines, n_words, quoted_segments, safe_filename, within_one_edit
+from quern.functions.text import categorize, fold_upper, is_object, is_purpose, n_nonblank_lines, n_words, quoted_segments, safe_filename, strip_accents, within_one_edit
 from quern.operators.html import article_links, html_to_markdown, links, page_title, paragraphs
 from quern.plans.base import table
 
@@ -203,7 +203,37 @@ def plans_checked(spark, sf_dir) -> DataFrame:
     return c.select("c_custkey", F.size(plan_errors(raw, F.array(F.lit("kefalaio_1"), F.lit("kefalaio_2")))).alias("n_errors"))
 
 
+def accent_fold(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(strip_accents(F.col("text"))).alias("digest"))
+
+
+def edit_le1(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "part").where(within_one_edit(F.col("p_brand"), F.lit("Brand#12"))).select("p_partkey", "p_brand")
+
+
+def parse_dates(spark, sf_dir) -> DataFrame:
+    """Order dates written in Greek with a time made of the key, and read again; every tenth is no date."""
+    o = table(spark, sf_dir, "orders").where("o_orderkey <= 3000")
+    month = F.element_at(F.array(*map(F.lit, MONTHS_OF)), F.month("o_orderdate"))
+    text = F.concat_ws(" ", F.day("o_orderdate"), month, F.concat(F.year("o_orderdate").cast("string"), F.lit(", "), F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0"), F.lit(":15")))
+    return o.select("o_orderkey", greek_timestamp(F.when(F.col("o_orderkey") % 10 != 0, text).otherwise("x")).alias("at"))
+
+
+SQL_DATES = "select o_orderkey, case when o_orderkey % 10 <> 0 then date_trunc('day', o_orderdate) + to_hours((o_orderkey % 24)::int) + interval 15 minute end as at from orders where o_orderkey <= 3000"
+
+
+def scope_detect(spark, sf_dir) -> DataFrame:
+    """Purpose and object articles among titles that name one, the other, or neither."""
+    c = table(spark, sf_dir, "customer").where("c_custkey <= 300")
+    title = F.when(F.col("c_custkey") % 3 == 0, "Άρθρο 1 – Σκοπός").when(F.col("c_custkey") % 3 == 1, "ΑΝΤΙΚΕΙΜΕΝΟ:").otherwise(F.col("c_name"))
+    return c.select("c_custkey", is_purpose(title, F.col("c_name")).alias("purpose"), is_object(title, F.col("c_name")).alias("object"))
+
+
 QUERIES = {
+    "accent_fold": accent_fold,
+    "edit_le1": edit_le1,
+    "parse_dates": parse_dates,
+    "scope_detect": scope_detect,
     "normalize_url": normalize_url,
     "host_counts": host_counts,
     "page_parameter": page_parameter,
@@ -226,6 +256,10 @@ QUERIES = {
     "plan_validation": plans_checked,
 }
 ORACLES = {
+    "accent_fold": "select doc_id, md5(strip_accents(text)) as digest from documents",
+    "edit_le1": "select p_partkey, p_brand from part where levenshtein(p_brand, 'Brand#12') <= 1",
+    "parse_dates": SQL_DATES,
+    "scope_detect": "select c_custkey, c_custkey % 3 = 0 as purpose, c_custkey % 3 = 1 as object from customer where c_custkey <= 300",
     "normalize_url": SQL_URL,
     "host_counts": "select lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) as host, count(*) as n from pages group by 1 order by n desc, host limit 20",
     "page_parameter": SQL_PARAMETER,
