@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hot_keys, salted_join, text_of, written
+from .common import HOT_SHARE, hot_keys, salted_join, text_of, written
 from .decontaminate import merged
 from .kernels import U, _view, blocks, column_bytes, mix64, padded
 
@@ -190,12 +190,17 @@ def _bytes_of(rows: DataFrame, wanted: DataFrame, min_bytes: int) -> DataFrame:
     return wanted.join(rows, "key").select("segs", "text").mapInArrow(run, "anchor long, c1 long, c2 long, copies long, n int, lead int, body binary")
 
 
-def _compared(bodies: DataFrame, min_bytes: int, max_group: int) -> DataFrame:
-    """(c1, c2, lo, hi): the repeated part of each content; and, with hi null, the contents of groups of over ``max_group``."""
+def _compared(bodies: DataFrame, hot: DataFrame, min_bytes: int, max_group: int) -> DataFrame:
+    """(c1, c2, lo, hi): the repeated part of each content; and, with hi null, the contents of groups of over ``max_group``.
+
+    Groups known to be larger (``hot``) are dealt over all tasks, which hand
+    them on; others that turn out larger are handed on as they are read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready: list[dict] = []
         held: list[dict] = []  # the open group
+        hot_rows: list[dict] = []
         over = False
 
         def flush(rows: list[dict]) -> pa.RecordBatch | None:
@@ -217,6 +222,12 @@ def _compared(bodies: DataFrame, min_bytes: int, max_group: int) -> DataFrame:
 
         for batch in batches:
             for row in batch.to_pylist():
+                if row["hot"]:
+                    hot_rows.append(row)
+                    if len(hot_rows) >= 256:
+                        yield spill(hot_rows)
+                        hot_rows = []
+                    continue
                 if held and held[0]["anchor"] != row["anchor"]:
                     if not over:
                         ready += held
@@ -228,13 +239,18 @@ def _compared(bodies: DataFrame, min_bytes: int, max_group: int) -> DataFrame:
                 if over or len(held) > max_group:
                     yield spill(held[1:] if over else held)
                     held, over = held[:1], True
+        if hot_rows:
+            yield spill(hot_rows)
         if held and not over:
             ready += held
         if ready:
             yield flush(ready)
 
     left = "struct<anchor:long,c1:long,c2:long,n:int,lead:int,body:binary>"
-    return bodies.select("anchor", "c1", "c2", "n", "lead", "body").repartition("anchor").sortWithinPartitions("anchor", "c1", "c2").mapInArrow(run, f"c1 long, c2 long, lo int, hi int, left {left}")
+    flagged = bodies.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "anchor", "left")
+    flagged = flagged.withColumn("salt", F.when(F.col("hot"), F.xxhash64("c1", "c2")).otherwise(0))
+    dealt = flagged.repartition("anchor", "salt").sortWithinPartitions("hot", "anchor", "c1", "c2")
+    return dealt.select("anchor", "c1", "c2", "n", "lead", "body", "hot").mapInArrow(run, f"c1 long, c2 long, lo int, hi int, left {left}")
 
 
 def _counted(left: DataFrame, min_bytes: int) -> DataFrame:
@@ -276,7 +292,9 @@ def repeated_spans(rows: DataFrame, min_bytes: int = MIN, max_group: int = MAX_G
     contents = unlike.groupBy("c1", "c2").agg(F.count("*").alias("copies"), F.min(one).alias("one"))
     contents = written(contents.select("c1", "c2", "copies", "one.*"), "contents")
     wanted = contents.groupBy("key").agg(F.collect_list(F.struct("start", "n", "lead", "anchor", "c1", "c2", "copies")).alias("segs"))
-    found = written(_compared(_bytes_of(rows, wanted, min_bytes), min_bytes, max_group), "compared")
+    sizes = contents.groupBy("anchor").agg(F.count("*").alias("n"))
+    large = sizes.where(F.col("n") > max(max_group, int(contents.count() * HOT_SHARE))).select("anchor")  # 1 / HOT_SHARE at most
+    found = written(_compared(_bytes_of(rows, wanted, min_bytes), large, min_bytes, max_group), "compared")
     parts = found.where("hi is not null").select("c1", "c2", "lo", "hi")
     left = found.where("hi is null").select("left.*")
     if not left.isEmpty():

@@ -370,10 +370,14 @@ def test_links_of_a_dense_ball(spark):
 # repeats
 
 
-@pytest.mark.parametrize("max_group", [16384, 2])
-def test_repeats(spark, max_group):
+@pytest.mark.parametrize(("max_group", "share"), [(16384, 0.001), (2, 0.001), (2, 1000)])
+def test_repeats(spark, monkeypatch, max_group, share):
+    """Compared side by side; counted, known from the start to be too many; counted, found out on the way."""
+    from quern.llm import suffix_dedup
     from quern.llm.suffix_dedup import cut_repeats
 
+    monkeypatch.setattr(suffix_dedup, "HOT_SHARE", share)
+
     n = 40
     r = random.Random(5)
     pool = ["".join(r.choice("ab") for _ in range(r.randrange(30, 90))) for _ in range(6)] + ["a" * 150, "ab" * 80, "é" * 50]
