@@ -79,7 +79,8 @@ def inside_quotes(text: Column, at: Column) -> Column:
 
 def lines(col: Column) -> Column:
     """Lines as in a text file: a line end at the very end starts no line, a return before a line end is dropped, empty text has no lines."""
-    parts = F.transform(F.split(col, "\n"), lambda x: F.regexp_replace(x, "\r$", ""))
+    parts = F.split(col, "\n")
+    parts = F.when(col.contains("\r"), F.transform(parts, lambda x: F.regexp_replace(x, "\r$", ""))).otherwise(parts)
     n = F.size(parts) - F.when(col.endswith("\n") | (col == ""), 1).otherwise(0)
     return F.slice(parts, F.lit(1), n)
 

@@ -12,6 +12,7 @@ comment says so in the line.
 
 from __future__ import annotations
 
+from functools import reduce
 from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
@@ -90,11 +91,14 @@ def visible(col: Column) -> Column:
 
 def _steps(col: Column, scripts) -> Column:
     """ARRAY of STRUCT(bad, raw, out, loss, kind): each line and what became of it; kind is b or c if a comment was added."""
-    artefact = "|".join(a.replace("<", r"\<") for a in ARTEFACTS)
+    artefact = lambda x: reduce(lambda a, b: a | b, (x.contains(a) for a in ARTEFACTS))
+    drop = removable(scripts)
+    # no ASCII character is ever dropped, and most lines are ASCII
+    dropped = lambda x: F.when(F.octet_length(x) == F.length(x), x).otherwise(F.translate(x, drop, ""))
     tags = lambda x: F.size(F.filter(F.regexp_extract_all(x, F.lit(TAG), F.lit(0)), lambda t: ~t.startswith("<!--")))
-    one = F.transform(lines(col), lambda x: F.struct(x.rlike(artefact).alias("bad"), x.alias("raw"), decode_entities(x).alias("text")))
+    one = F.transform(lines(col), lambda x: F.struct(artefact(x).alias("bad"), x.alias("raw"), decode_entities(x).alias("text")))
     two = F.transform(one, lambda s: F.struct(s["bad"].alias("bad"), s["raw"].alias("raw"), s["text"].alias("text"), F.when(s["text"].contains("<"), strip_tags(s["text"])).otherwise(s["text"]).alias("bare")))
-    three = F.transform(two, lambda s: F.struct(s["bad"].alias("bad"), s["raw"].alias("raw"), s["text"].alias("text"), s["bare"].alias("bare"), F.translate(s["bare"], removable(scripts), "").alias("out")))
+    three = F.transform(two, lambda s: F.struct(s["bad"].alias("bad"), s["raw"].alias("raw"), s["text"].alias("text"), s["bare"].alias("bare"), dropped(s["bare"]).alias("out")))
     four = F.transform(
         three,
         lambda s: F.struct(
@@ -102,12 +106,12 @@ def _steps(col: Column, scripts) -> Column:
             s["raw"].alias("raw"),
             s["out"].alias("out"),
             F.when(s["text"] == s["out"], 0).otherwise(visible(s["text"]) - visible(s["out"]) - 2 * F.when(s["text"] == s["bare"], 0).otherwise(tags(s["text"]))).alias("loss"),
-            trim(s["out"]).alias("core"),
         ),
     )
-    whole = lambda s: s["core"].rlike(r"^<!--(?:(?!-->).)*-->$")
-    lost = lambda s: (s["loss"] >= LOSS) & ~whole(s)
-    kind = lambda s: F.when(s["bad"], "bad").when(lost(s) & (s["core"] != ""), "b").when(lost(s) & (trim(s["raw"]) != ""), "c").otherwise("")
+    whole = lambda s: trim(s["out"]).rlike(r"^<!--(?:(?!-->).)*-->$")
+    filled = lambda x: x.rlike(r"(?U)\S")
+    lost = lambda s: F.when(whole(s), "").when(filled(s["out"]), "b").when(filled(s["raw"]), "c").otherwise("")
+    kind = lambda s: F.when(s["bad"], "bad").when(s["loss"] < LOSS, "").otherwise(lost(s))
     five = F.transform(four, lambda s: F.struct(kind(s).alias("kind"), s["raw"].alias("raw"), s["out"].alias("out")))
     return F.transform(
         five,
