@@ -12,7 +12,7 @@ from quern.operators.relational import first_per_key
 from quern.operators.reports import all_match, compare_counts, completeness_of, histogram, numeric_stats, share_at_least
 from quern.operators.topics import class_tfidf, mmr, similarity, stop_words, top_terms
 from quern.operators.upsert import above_mark, change_summary, changes, known_items, merge, new_items, replace_children
-from quern.plans.base import table
+from quern.plans.base import spread_table, table
 from quern.streaming.incremental import deduplicated, drained, read_events, sessions, sliding, tumbling
 
 
@@ -149,7 +149,7 @@ def numeric_report(spark, sf_dir) -> DataFrame:
 
 
 def stopword_threshold(spark, sf_dir) -> DataFrame:
-    return stop_words(table(spark, sf_dir, "documents"), "text", 100)
+    return stop_words(spread_table(spark, sf_dir, "documents"), "text", 100)
 
 
 _WORDS = r"list_filter(regexp_split_to_array(lower(text), '[ \t\r\n]+'), lambda w: w <> '')"
@@ -157,7 +157,7 @@ SQL_STOP = f"select word, count(*) as n from (select unnest({_WORDS}) as word fr
 
 
 def ctfidf(spark, sf_dir) -> DataFrame:
-    return class_tfidf(table(spark, sf_dir, "documents"), "lang", "text").where("n >= 5").select("lang", "word", "n", F.round("score", 6).alias("score"))
+    return class_tfidf(spread_table(spark, sf_dir, "documents"), "lang", "text").where("n >= 5").select("lang", "word", "n", F.round("score", 6).alias("score"))
 
 
 SQL_CTFIDF = f"""
@@ -168,7 +168,7 @@ select c.lang, c.word, c.n, round(c.n / p.m::double * ln(1 + (select avg(m) from
 
 
 def topic_terms(spark, sf_dir) -> DataFrame:
-    return top_terms(class_tfidf(table(spark, sf_dir, "documents"), "lang", "text"), "lang", 10).select("lang", "rank", "word")
+    return top_terms(class_tfidf(spread_table(spark, sf_dir, "documents"), "lang", "text"), "lang", 10).select("lang", "rank", "word")
 
 
 def mmr_keywords(spark, sf_dir) -> DataFrame:

@@ -8,17 +8,17 @@ from pyspark.sql import functions as F
 from quern.operators.clean import TEXT_MISSING, clean_text, quality_report, removable, script_count, visible, with_clean, with_quality
 from quern.operators.reports import histogram
 from quern.operators.tables import remove_malformed, table_issues, table_summary
-from quern.plans.base import table
+from quern.plans.base import spread_table, table
 
 DROPPED = removable(["latin"])
 
 
 def quality_report_by_lang(spark, sf_dir) -> DataFrame:
-    return quality_report(table(spark, sf_dir, "documents"), "lang")
+    return quality_report(spread_table(spark, sf_dir, "documents"), "lang")
 
 
 def clean_metrics_per_doc(spark, sf_dir) -> DataFrame:
-    return with_clean(table(spark, sf_dir, "documents"), "text", ["latin"]).select("doc_id", "orig_chars", "kept_chars", F.length("cleaned").alias("cleaned_chars"))
+    return with_clean(spread_table(spark, sf_dir, "documents"), "text", ["latin"]).select("doc_id", "orig_chars", "kept_chars", F.length("cleaned").alias("cleaned_chars"))
 
 
 #: Lines of documents, cleaned: the synthetic documents have neither tags nor entities, so only characters are dropped.
@@ -51,7 +51,7 @@ SQL_METRICS = _SCORED + "select doc_id, orig::bigint as orig_chars, kept::bigint
 
 
 def script_percentages(spark, sf_dir) -> DataFrame:
-    scored = with_quality(table(spark, sf_dir, "documents"), "text", ["latin", "greek"])
+    scored = with_quality(spread_table(spark, sf_dir, "documents"), "text", ["latin", "greek"])
     return scored.select("doc_id", F.round("latin_pct", 4).alias("latin_pct"), F.round("greek_pct", 4).alias("greek_pct"))
 
 
@@ -64,7 +64,7 @@ SQL_RAW = "select doc_id, length(regexp_replace(text, '[^a-zA-Z]', '', 'g')) as
 
 
 def badness_histogram(spark, sf_dir) -> DataFrame:
-    scored = with_quality(table(spark, sf_dir, "documents"), "text", ["latin"]).select(F.round("badness", 6).alias("badness"))
+    scored = with_quality(spread_table(spark, sf_dir, "documents"), "text", ["latin"]).select(F.round("badness", 6).alias("badness"))
     return histogram(scored, "badness", 10).select("bin", "n")
 
 
@@ -76,7 +76,7 @@ select g.bin, count(b.bin) as n from (select unnest(range((select min(bin) from
 
 
 def clean_pages_tags(spark, sf_dir) -> DataFrame:
-    return with_clean(table(spark, sf_dir, "pages"), "html", ["latin", "french", "spanish"]).select("page_id", "orig_chars", F.length(clean_text(F.col("html"), ["latin"])).alias("cleaned_chars"))
+    return with_clean(spread_table(spark, sf_dir, "pages"), "html", ["latin", "french", "spanish"]).select("page_id", "orig_chars", F.length(clean_text(F.col("html"), ["latin"])).alias("cleaned_chars"))
 
 
 SQL_PAGES = f"""
@@ -94,7 +94,7 @@ from o join pages using (page_id) group by page_id
 
 def _with_tables(spark, sf_dir) -> DataFrame:
     """Documents whose lines with pipes become rows, with a separator after every third line of them and after each line that ends with "the."."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread_table(spark, sf_dir, "documents")
     row = lambda x: F.when(x.contains("|"), F.concat(F.lit("| "), x, F.lit(" |"))).otherwise(x)
     out = F.transform(F.split("text", "\n"), lambda x, i: F.when(x.contains("|") & (i % 3 == 1), F.concat(row(x), F.lit("\n| --- | --- |"))).when(x.contains("|") & (i % 7 == 2), F.concat(F.lit("|:--| x\n"), row(x))).otherwise(row(x)))
     return docs.select("doc_id", F.array_join(out, "\n").alias("text"))

@@ -12,7 +12,7 @@ from quern.functions.json import bullet, json_field, plan_errors, validated
 from quern.functions.numerals import article_heading, greek_to_int, int_to_greek
 from quern.functions.text import categorize, fold_upper, is_object, is_purpose, n_nonblank_lines, n_words, quoted_segments, safe_filename, strip_accents, within_one_edit
 from quern.operators.html import article_links, html_to_markdown, links, page_title, paragraphs
-from quern.plans.base import table
+from quern.plans.base import spread_table, table
 
 
 def normalize_url(spark, sf_dir) -> DataFrame:
@@ -63,7 +63,7 @@ def paragraph_text(spark, sf_dir) -> DataFrame:
 
 
 def markdown_pages(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", html_to_markdown(F.col("html")).alias("markdown"))
+    return spread_table(spark, sf_dir, "pages").select("page_id", html_to_markdown(F.col("html")).alias("markdown"))
 
 
 def listing_links(spark, sf_dir) -> DataFrame:
