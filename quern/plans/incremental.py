@@ -13,6 +13,7 @@ from quern.operators.reports import all_match, compare_counts, completeness_of,
 from quern.operators.topics import class_tfidf, mmr, similarity, stop_words, top_terms
 from quern.operators.upsert import above_mark, change_summary, changes, known_items, merge, new_items, replace_children
 from quern.plans.base import spread_table, table
+from quern.session import shared_folder
 from quern.streaming.incremental import deduplicated, drained, read_events, sessions, sliding, tumbling
 
 
@@ -215,8 +216,7 @@ def _plain_times(df: DataFrame) -> DataFrame:
 
 
 def _state(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/quern-streams"
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def stream_tumbling(spark, sf_dir) -> DataFrame:

@@ -1,8 +1,24 @@
-"""The session's parallelism."""
+"""The session's parallelism and its shared folder."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names, which all executors share.
+
+    Only a local session may leave that setting out; it then gets a folder of its own.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='quern-')}"
+        spark.conf.set("spark.checkpoint.dir", base)
+    return base.rstrip("/")
 
 
 def spread(df: DataFrame) -> DataFrame:
