@@ -2,31 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.session import shared_folder
+
 #: A key is hot from this share of all rows on, so there are at most 1 / HOT_SHARE hot keys.
 HOT_SHARE = 1 / 1000
 SALTS = 32
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder that ``spark.checkpoint.dir`` names.
-
-    Only a local session may leave that setting out; it then gets a folder of
-    its own. What is written there goes when the application ends.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="quern-")
-        spark.conf.set("spark.checkpoint.dir", f"file://{base}")
-        base = f"file://{base}"
-    path = f"{base.rstrip('/')}/quern-{label}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; what is written there goes when the application ends."""
+    path = f"{shared_folder(spark)}/quern-{label}-{uuid.uuid4().hex}"
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
