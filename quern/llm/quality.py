@@ -142,7 +142,7 @@ def known_words(texts: DataFrame, max_words: int = MAX_WORDS) -> np.ndarray:
 
 
 def trigram_counts(texts: DataFrame, words: np.ndarray) -> DataFrame:
-    """(c, w, n) for all trigrams of tokens; c is the context, u * 65536 + v. All rows of a context are in one partition (it has less than 2^16)."""
+    """(c, w, n) for all trigrams of tokens; c is the context, u * 65536 + v. A context has less than 2^16 rows, however often it occurs."""
     shared = texts.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +155,7 @@ def trigram_counts(texts: DataFrame, words: np.ndarray) -> DataFrame:
             yield _counted(parts)
 
     part = texts.mapInArrow(run, "key long, n long").select(F.shiftright("key", 16).alias("c"), F.col("key").bitwiseAND(0xFFFF).cast("int").alias("w"), "n")
-    return part.repartition("c").groupBy("c", "w").agg(F.sum("n").alias("n"))
+    return part.groupBy("c", "w").agg(F.sum("n").alias("n"))
 
 
 def _discounts(counts: DataFrame) -> list[float]:

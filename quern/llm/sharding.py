@@ -19,9 +19,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hash60, text_of, whole_row, written
+from .common import hash60, hot_keys, salted_join, text_of, whole_row, written
 
 BUCKET_ROWS = 5_000
+#: Up to so many sources their table is broadcast; beyond, hot sources are salted.
+BROADCAST_SOURCES = 100_000
 BITS = 60
 
 
@@ -52,8 +54,11 @@ def shard(docs: DataFrame, shards: int = 24, seed: str = "shard", id_col: str =
     total, n_sources = sources.agg(F.sum("n_source"), F.count("*")).first()
     total = total or 0
 
-    few = n_sources <= 100_000
-    light = light.join(F.broadcast(sources) if few else sources, ["absent", "name"])
+    key = ["absent", "name"]
+    if n_sources <= BROADCAST_SOURCES:
+        light = light.join(F.broadcast(sources), key)
+    else:
+        light = salted_join(light, sources, key, hot_keys(sources, key, "n_source", total), F.col("h"))
     buckets = F.ceil(F.col("n_source") / BUCKET_ROWS)
     light = light.withColumn("bucket", F.floor(F.col("h") / F.lit(float(1 << BITS)) * buckets))
     ranked = _ranked(light, ["absent", "name"], ["h", "id", "text_crc32", "size"], "rank")

@@ -254,9 +254,31 @@ def test_sharding_ranks_over_buckets(spark, monkeypatch):
     from quern.llm import sharding
 
     monkeypatch.setattr(sharding, "BUCKET_ROWS", 4)
+    monkeypatch.setattr(sharding, "BROADCAST_SOURCES", 0)
     test_sharding(spark, 5)
 
 
+def test_mixing_many_sources(spark, monkeypatch):
+    from quern.llm import mixing
+
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)
+    test_mixing(spark)
+
+
+def test_salted_join(spark):
+    """Hot keys are spread; every left row meets the one right row of its key."""
+    from pyspark.sql import functions as F
+
+    from quern.llm.common import hot_keys, salted_join
+
+    left = spark.range(5000).select(F.when(F.col("id") < 3000, 1).when(F.col("id") < 4500, 2).otherwise(F.col("id")).alias("k"), "id")
+    right = left.groupBy("k").agg(F.count("*").alias("n"))
+    hot = hot_keys(right, "k", "n", 5000)
+    assert {r.k for r in hot.collect()} == {1, 2}
+    got = salted_join(left, right, "k", hot, F.xxhash64("id")).collect()
+    assert len(got) == 5000 and {(r.k, r.n) for r in got if r.k < 3} == {(1, 3000), (2, 1500)}
+
+
 # personal data
 
 
