@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from quern.functions.citations import modifies_law
 from quern.functions.json import bullet, repair
@@ -21,6 +22,7 @@ from quern.functions.text import is_blank, is_object, is_purpose, n_words
 
 Generator = Callable[[str, int], str]
 VERBATIM_WORDS = 80
+PIECES = 64
 MARKERS = ("[error", "[failed", "placeholder")
 PROMPTS = {
     "summary": "Summarise the article in plain language.\n\n",
@@ -77,15 +79,14 @@ def continued(generate: Generator, text: str, max_tokens: int, endings: str = ".
 
 def generated(df: DataFrame, prompt_col: str, out: str, factory: Callable[[], Generator] = stub_factory, max_tokens: int = 512) -> DataFrame:
     """Adds the answers to a column of prompts (null stays null); the generator is made once per task."""
-    names = [*df.columns, out]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         generate = factory()
         for batch in batches:
-            yield batch.assign(**{out: [None if p is None else continued(generate, p, max_tokens) if "[SCHEMA" not in p else repair(generate(p, max_tokens)) for p in batch[prompt_col]]})[names]
+            yield pd.Series([None if p is None else continued(generate, p, max_tokens) if "[SCHEMA" not in p else repair(generate(p, max_tokens)) for p in batch], dtype=object)
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return df.mapInPandas(run, f"{kinds}, `{out}` string")
+    # Python gets the prompts alone; as nondeterministic, no filter makes an answer anew.
+    return df.withColumn(out, F.pandas_udf(run, StringType()).asNondeterministic()(F.col(prompt_col)))
 
 
 def route(title: Column, content: Column, number: Column) -> Column:
@@ -122,9 +123,11 @@ def usable(df: DataFrame, column: str) -> DataFrame:
 
 
 def chapter_prompts(bullets: DataFrame, part: str, chapter: str, order: str) -> DataFrame:
-    """Per chapter the ordered bullets of its articles."""
-    listed = F.array_sort(F.collect_list(F.struct(order, "bullet")))
-    return bullets.where("bullet is not null").groupBy(part, chapter).agg(F.array_join(F.transform(listed, lambda s: s["bullet"]), "\n").alias("prompt"))
+    """Per chapter the ordered bullets of its articles, gathered in PIECES first: a hot chapter's articles are dealt over as many tasks."""
+    piece = F.pmod(F.xxhash64(order), F.lit(PIECES)).alias("__piece")
+    pieces = bullets.where("bullet is not null").groupBy(part, chapter, piece).agg(F.collect_list(F.struct(order, "bullet")).alias("__listed"))
+    listed = F.array_sort(F.flatten(F.collect_list("__listed")))
+    return pieces.groupBy(part, chapter).agg(F.array_join(F.transform(listed, lambda s: s["bullet"]), "\n").alias("prompt"))
 
 
 def plan_input(summaries: DataFrame, part: str, chapter: str) -> DataFrame:

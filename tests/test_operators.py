@@ -295,3 +295,22 @@ def test_stream_upserts(spark, tmp_path):
     query = stream.writeStream.foreachBatch(upsert_into(target, "k", order="n")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
     query.awaitTermination()
     assert {x.k: x.v for x in spark.read.parquet(target).collect()} == {0: "v0", 1: "v1", 2: "v2", 3: "v2", 4: "v2"}
+
+
+def test_generation_reads_all_documents(spark, tmp_path):
+    from quern.plans import incremental as i
+
+    docs = spark.range(600).selectExpr("id as doc_id", "concat('text ', id) as text", "if(id % 10 < 9, 'hot', 'b') as source", "if(id % 2 = 0, 'en', 'el') as lang")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    routed = i.stage_one_routing(spark, str(tmp_path)).collect()
+    assert {x.doc_id for x in routed} == set(range(600)) and len(routed) == 600
+    prompts = {(x.part, x.chapter): x.prompt.split("\n") for x in i.chapter_bullets(spark, str(tmp_path)).collect()}
+    assert {k: len(v) for k, v in prompts.items()} == {("hot", "en"): 300, ("hot", "el"): 240, ("b", "el"): 60}
+    assert {x.part: x.paragraphs for x in i.part_narratives(spark, str(tmp_path)).collect()} == {"hot": 2, "b": 1}
+
+
+def test_chapter_prompts_are_in_order(spark):
+    from quern.operators.generate import chapter_prompts
+
+    rows = spark.range(500).selectExpr("'A' as part", "'i' as chapter", "499 - id as n", "concat('b', 499 - id) as bullet").repartition(7)
+    assert chapter_prompts(rows, "part", "chapter", "n").first().prompt == "\n".join(f"b{k}" for k in range(500))
