@@ -11,8 +11,8 @@ Counts of all n-grams of all trusted training documents are gathered by
 shuffles; discounts come from the counts of counts. An n-gram's count is joined
 with those of its context, and of the lower orders, when it is scored: the
 counts are cut into shards by the word before the scored one, so everything
-that a position needs lies in one shard. N-grams of count 1 go into discounts
-and into what their contexts leave to the lower order, but aren't stored. A model of one shard is scored in one pass
+that a position needs lies in one shard. N-grams of count 1 are
+stored like all others (unless ``cut`` is asked for). A model of one shard is scored in one pass
 over the texts; of several, the tokens are written once and each shard adds
 its part of a document's sum. A shard has SHARD_ROWS n-grams at most, which
 bounds what is broadcast.
@@ -50,7 +50,7 @@ from .kernels import SOLID, U, blocks, column_bytes, hash_ranges, padded, split_
 MAX_WORDS = 50_000
 SHARD_ROWS = 8_000_000
 #: Whether n-grams of count 1 are left out of the stored model, as toolkits do; all are counted.
-CUT = True
+CUT = False
 PRIOR, QUANTILE, MARGIN, LEAST_HELD, BINS = 16, 0.99, 0.25, 20, 256
 #: Up to so many trusted ids they are broadcast; beyond, documents are shuffled by id.
 BROADCAST_IDS = 1_000_000

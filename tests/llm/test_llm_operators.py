@@ -534,6 +534,17 @@ def test_language_model(spark, cut):
     assert sum(want(a, b, w) for w in range(size)) == pytest.approx(1)
 
 
+def test_ngrams_seen_once_are_scored(spark):
+    """The model scored by default has all trigrams and bigrams of its texts."""
+    from quern.llm.quality import train, trigram_counts
+
+    df = spark.createDataFrame([("a b c d e f g",)] * 6 + [("g e c a f d b",)], "text string")
+    model = train(df)
+    counts = trigram_counts(df, model.words)
+    assert counts.where("n = 1").count() > 0
+    assert model.shard(0)["p3"][0] == counts.count()
+
+
 # main text
 
 
