@@ -1,11 +1,11 @@
 """Quality classifier: an interpolated modified Kneser-Ney trigram model of trusted text.
 
-Words (runs without ASCII white space) that make up at least 1 / MAX_WORDS of
-the trusted words are tokens of their own; a word that repeats the one before
+Words (runs without ASCII white space) that occur LEAST_WORD times or more in
+the trusted texts are tokens of their own, whatever the size of the corpus; a word that repeats the one before
 is the token of its place in the run of repeats (so that no run foretells
 itself), and any other word is the token of its shape (letter case, digits,
-symbols, closing punctuation, length). So there are less than
-2^16 tokens, however large the corpus is.
+symbols, closing punctuation, length). So the tokens grow with the corpus; a
+context is two of them in 64 bits.
 
 Counts of all n-grams of all trusted training documents are gathered by
 shuffles; discounts come from the counts of counts. An n-gram's count is joined
@@ -33,7 +33,6 @@ toxic 1. Further columns pass through ``accepted``.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,16 +43,18 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_of, whole_row, written
+from .common import hot_keys, salted_join, text_of, whole_row, written
 from .kernels import SOLID, U, blocks, column_bytes, hash_ranges, padded, split_words
 
-MAX_WORDS = 50_000
+LEAST_WORD = 5
 SHARD_ROWS = 8_000_000
 #: Whether n-grams of count 1 are left out of the stored model, as toolkits do; all are counted.
 CUT = False
 PRIOR, QUANTILE, MARGIN, LEAST_HELD, BINS = 16, 0.99, 0.25, 20, 256
 #: Up to so many trusted ids they are broadcast; beyond, documents are shuffled by id.
 BROADCAST_IDS = 1_000_000
+#: Of a context, the bits of the token before.
+LOW = 0xFFFFFFFF
 START, AGAIN, RUNS, SHAPES, WORDS = 0, 1, 6, 8, 256
 
 # Counts of kinds of bytes side by side, 12 bits each: lower case and other scripts, upper case, digits, symbols, "!".
@@ -124,8 +125,8 @@ def _counted(parts: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n, pa.int64())], ["key", "n"])
 
 
-def known_words(texts: DataFrame, max_words: int = MAX_WORDS) -> np.ndarray:
-    """Sorted hashes of the words with at least 1 / max_words of all words (and 5 of them): max_words at most."""
+def known_words(texts: DataFrame, least: int = LEAST_WORD) -> np.ndarray:
+    """Sorted hashes of the words that occur ``least`` times or more."""
 
     def words(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         starts, ends, _ = split_words(buf, offsets, SOLID)
@@ -136,26 +137,27 @@ def known_words(texts: DataFrame, max_words: int = MAX_WORDS) -> np.ndarray:
             yield _counted(parts)
 
     counts = written(texts.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "words")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    found = counts.where(F.col("n") >= max(5, math.ceil(total / max_words))).select("key").toPandas()["key"]
+    found = counts.where(F.col("n") >= least).select("key").toPandas()["key"]
     return np.sort(found.to_numpy(np.int64).view(U))
 
 
 def trigram_counts(texts: DataFrame, words: np.ndarray) -> DataFrame:
-    """(c, w, n) for all trigrams of tokens; c is the context, u * 65536 + v. A context has less than 2^16 rows, however often it occurs."""
+    """(c, w, n) for all trigrams of tokens; c is the context, u * 2^32 + v. A context has a row per token at most, however often it occurs."""
     shared = texts.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def keys(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        def pairs(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             token, first = tokens_of(buf, offsets, shared.value)
             u, v = contexts(token, first)
-            return (u << 32) | (v << 16) | token
+            return (u << 32) | v, token
 
-        for _, parts in _per_block(batches, keys):
-            yield _counted(parts)
+        none = np.zeros(0, np.int64)
+        for _, parts in _per_block(batches, pairs):
+            c, place = np.unique(np.concatenate([none, *(p[0] for p in parts)]), return_inverse=True)
+            key, n = np.unique((place << 32) | np.concatenate([none, *(p[1] for p in parts)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c[key >> 32]), pa.array((key & LOW).astype(np.int32)), pa.array(n, pa.int64())], ["c", "w", "n"])
 
-    part = texts.mapInArrow(run, "key long, n long").select(F.shiftright("key", 16).alias("c"), F.col("key").bitwiseAND(0xFFFF).cast("int").alias("w"), "n")
-    return part.groupBy("c", "w").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(run, "c long, w int, n long").groupBy("c", "w").agg(F.sum("n").alias("n"))
 
 
 def _discounts(counts: DataFrame) -> list[float]:
@@ -191,13 +193,19 @@ class Model:
     shards: int
 
     def shard(self, k: int) -> dict:
-        """What positions after words of shard ``k`` need, packed."""
+        """What positions after words of shard ``k`` need, packed; a trigram's key has its context's place among those of g3."""
         out: dict = {"p1": self.p1, "k": k, "shards": self.shards}
+        known = np.zeros(0, np.int64)
         for name, table in self.tables.items():
-            rows = table.where(F.pmod("v", F.lit(self.shards)) == k).select("key", F.col("x").cast("float")).toArrow()
+            rows = table.where(F.pmod("v", F.lit(self.shards)) == k).drop("v").withColumn("x", F.col("x").cast("float")).toArrow()
             keys, x = rows.column("key").to_numpy(), rows.column("x").to_numpy()
+            if name == "p3":
+                keys = (np.searchsorted(known, keys) << 32) | rows.column("w").to_numpy()
             order = np.argsort(keys)
-            out[name] = _pack(keys[order], x[order])
+            keys = keys[order]
+            if name == "g3":
+                known = keys
+            out[name] = _pack(keys, x[order])
         return out
 
 
@@ -215,21 +223,21 @@ def _unpacked(shard: dict) -> dict:
     return out
 
 
-def train(texts: DataFrame, max_words: int = MAX_WORDS, shard_rows: int = SHARD_ROWS, cut: bool = CUT) -> Model | None:
+def train(texts: DataFrame, least_word: int = LEAST_WORD, shard_rows: int = SHARD_ROWS, cut: bool = CUT) -> Model | None:
     """The model of the column ``text``; None without any word."""
-    words = known_words(texts, max_words)
+    words = known_words(texts, least_word)
     by_context = Window.partitionBy("c")
     tri = trigram_counts(texts, words).withColumns({k: f.over(by_context) for k, f in _of_context().items()})
     tri = written(tri, "trigrams")
     if tri.isEmpty():
         return None
-    v = F.col("c").bitwiseAND(0xFFFF).cast("int")
+    v = F.col("c").bitwiseAND(LOW).cast("int")
     bi = written(tri.groupBy(v.alias("v"), "w").agg(F.count("*").alias("n")), "bigrams")
     uni = written(bi.groupBy("w").agg(F.count("*").alias("n")), "unigrams")
     d3, d2, d1 = _discounts(tri), _discounts(bi), _discounts(uni)
 
     size = WORDS + len(words)
-    every = uni.toPandas()  # a row for each of less than 2^16 tokens
+    every = uni.toPandas()  # a row for each token
     n = every["n"].to_numpy(float)
     off = np.where(n == 1, d1[0], np.where(n == 2, d1[1], d1[2]))
     p1 = np.full(size, off.sum() / n.sum() / size)
@@ -237,12 +245,14 @@ def train(texts: DataFrame, max_words: int = MAX_WORDS, shard_rows: int = SHARD_
 
     least = 2 if cut else 1
     kept3 = tri.where(F.col("n") >= least)
-    c2 = written(bi.groupBy("v").agg(*(f.alias(k) for k, f in _of_context().items())), "contexts2")  # less than 2^16 rows
-    kept2 = bi.where(F.col("n") >= least).join(F.broadcast(c2), "v")
+    c2 = written(bi.groupBy("v").agg(*(f.alias(k) for k, f in _of_context().items())), "contexts2")
+    c2n = c2.withColumn("rows", F.col("n1") + F.col("n2") + F.col("n3"))
+    n_bi = c2n.agg(F.sum("rows")).first()[0]
+    kept2 = salted_join(bi.where(F.col("n") >= least), c2, "v", hot_keys(c2n, "v", "rows", n_bi), F.col("w"))
     tables = {
-        "p3": kept3.select(v.alias("v"), F.expr("c * 65536 + w").alias("key"), _share(d3).alias("x")),
         "g3": kept3.select(v.alias("v"), F.col("c").alias("key"), _rest(d3, cut).alias("x")).distinct(),
-        "p2": kept2.select("v", F.expr("v * 65536L + w").alias("key"), _share(d2).alias("x")),
+        "p3": kept3.select(v.alias("v"), F.col("c").alias("key"), "w", _share(d3).alias("x")),
+        "p2": kept2.select("v", F.expr("v * 4294967296L + w").alias("key"), _share(d2).alias("x")),
         "g2": c2.select("v", F.col("v").cast("long").alias("key"), _rest(d2, cut).alias("x")),
     }
     rows = sum(t.count() for t in tables.values())
@@ -264,12 +274,18 @@ def log_probabilities(token: np.ndarray, first: np.ndarray, shard: dict) -> np.n
     out = np.zeros(len(token))
     mine = np.flatnonzero(v % shard["shards"] == shard["k"]) if shard["shards"] > 1 else slice(None)
     u, v, w = u[mine], v[mine], token[mine]
-    low = _find(shard["p2"], (v << 16) | w, 0.0) + _find(shard["g2"], v, 1.0) * shard["p1"][w]
-    context = (u << 16) | v
-    out[mine] = np.log(_find(shard["p3"], (context << 16) | w, 0.0) + _find(shard["g3"], context, 1.0) * low)
+    low = _find(shard["p2"], (v << 32) | w, 0.0) + _find(shard["g2"], v, 1.0) * shard["p1"][w]
+    context, known = (u << 32) | v, shard["g3"][0]
+    place = np.searchsorted(known, context)
+    out[mine] = np.log(_find(shard["p3"], (place << 32) | w, 0.0) * _is(known, place, context) + _find(shard["g3"], context, 1.0) * low)
     return out
 
 
+def _is(keys: np.ndarray, at: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Whether ``keys`` has each key at its place."""
+    return keys[np.minimum(at, len(keys) - 1)] == key if len(keys) else np.zeros(len(key), bool)
+
+
 def _sums(x: np.ndarray, first: np.ndarray) -> np.ndarray:
     total = np.concatenate([[0.0], np.cumsum(x)])
     return total[first[1:]] - total[first[:-1]]
@@ -305,7 +321,7 @@ def _many_shards(rows: DataFrame, model: Model) -> DataFrame:
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def per_text(buf: np.ndarray, offsets: np.ndarray) -> list[bytes]:
             token, first = tokens_of(buf, offsets, words.value)
-            return [token[a:b].astype("<u2").tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
+            return [token[a:b].astype("<u4").tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
 
         for batch, parts in _per_block(batches, per_text):
             yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in kept), pa.array([x for p in parts for x in p], pa.binary())], [*kept, "tokens"])
@@ -320,7 +336,7 @@ def _many_shards(rows: DataFrame, model: Model) -> DataFrame:
             tables = _unpacked(shard.value)
             for batch in batches:
                 nll = np.zeros(batch.num_rows)
-                texts = [np.frombuffer(x, "<u2") for x in batch.column("tokens").to_pylist()]
+                texts = [np.frombuffer(x, "<u4") for x in batch.column("tokens").to_pylist()]
                 first = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
                 for a, b in blocks(first, 1 << 17):
                     part = first[a : b + 1] - first[a]
@@ -330,7 +346,7 @@ def _many_shards(rows: DataFrame, model: Model) -> DataFrame:
         part = written(table.select("rid", "tokens").mapInArrow(run, "rid long, nll double"), "shard-scores")
         parts = part if parts is None else parts.unionByName(part)
     sums = parts.groupBy("rid").agg(F.sum("nll").alias("nll"))
-    return table.withColumn("n", (F.octet_length("tokens") / 2).cast("long")).drop("tokens").join(sums, "rid").drop("rid")
+    return table.withColumn("n", (F.octet_length("tokens") / 4).cast("long")).drop("tokens").join(sums, "rid").drop("rid")
 
 
 def trusted_ids(labels: DataFrame, label_id: str = "doc_id", quality: str = "quality", toxic: str = "toxic") -> DataFrame:
@@ -385,13 +401,13 @@ def _thresholds(held: DataFrame, quantile: float, margin: float) -> tuple[DataFr
     return written(means.join(own, by).select(*by, "mean", "limit"), "limits"), (whole, overall)
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = QUANTILE, margin: float = MARGIN, max_words: int = MAX_WORDS, shard_rows: int = SHARD_ROWS) -> Classifier:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = QUANTILE, margin: float = MARGIN, least_word: int = LEAST_WORD, shard_rows: int = SHARD_ROWS) -> Classifier:
     """Train on four fifths of the trusted documents and set thresholds on the rest."""
     ids = written(trusted_ids(labels), "trusted")
     few = ids.count() <= BROADCAST_IDS
     trusted = _rows(docs, id_col, text_col, lang_col).join(F.broadcast(ids) if few else ids, "id", "left_semi")
     held = F.pmod(F.xxhash64("id"), F.lit(5)) == 0
-    model = train(trusted.where(~held).select("text"), max_words, shard_rows)
+    model = train(trusted.where(~held).select("text"), least_word, shard_rows)
     if model is None:
         return Classifier(None, None, None)
     scores = written(_scored(trusted.where(held), model), "held-out")

@@ -545,6 +545,35 @@ def test_ngrams_seen_once_are_scored(spark):
     assert model.shard(0)["p3"][0] == counts.count()
 
 
+def test_words_stay_known_as_text_is_added(spark):
+    """A word that occurs five times is known at every size, and there may be more than 2^16 of them."""
+    import numpy as np
+
+    from quern.llm.quality import known_words
+
+    few = spark.createDataFrame([("rare " * 5 + "once",)], "text string")
+    more = spark.range(5).selectExpr("array_join(transform(sequence(1, 70000), x -> concat('w', x)), ' ') as text")
+    known = known_words(few)
+    grown = known_words(few.unionByName(more))
+    assert len(known) == 1 and len(grown) == 70_001 and np.isin(known, grown).all()
+
+
+def test_model_of_more_than_65536_tokens(spark):
+    """Trigrams of large tokens keep apart."""
+    import numpy as np
+
+    from quern.llm.quality import WORDS, _unpacked, log_probabilities, tokens_of, train
+
+    text = " ".join(f"w{k}" for k in range(70_000))
+    model = train(spark.createDataFrame([(text,)] * 5, "text string"))
+    buf = np.frombuffer(text.encode(), np.uint8)
+    token, first = tokens_of(buf, np.array([0, len(buf)]), model.words)
+    shard = _unpacked(model.shard(0))
+    assert token.max() == WORDS + 69_999 and len(shard["p3"][0]) == 70_000
+    assert np.exp(log_probabilities(token, first, shard)).min() > 0.5
+    assert np.exp(log_probabilities(token[::-1].copy(), first, shard))[2:].max() < 0.01
+
+
 # main text
 
 
