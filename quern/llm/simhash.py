@@ -67,8 +67,9 @@ def fingerprints_of(buf: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE
     return out
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(id, fp) for each row; fp is the 64 bits of the fingerprint as a bigint."""
+def _with_fingerprints(rows: DataFrame, shingle: int, seed: int) -> DataFrame:
+    """``rows`` with fp in place of their column text."""
+    kept = [x for x in rows.columns if x != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,10 +78,15 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             for a, b in blocks(offsets):
                 part = offsets[a : b + 1]
                 fps.append(fingerprints_of(data[part[0] : part[-1]], part - part[0], shingle, seed))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.concatenate(fps).view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in kept), pa.array(np.concatenate(fps).view(np.int64))], [*kept, "fp"])
+
+    kinds = ", ".join(f"{x} {rows.schema[x].dataType.simpleString()}" for x in kept)
+    return rows.mapInArrow(run, f"{kinds}, fp long")
 
-    rows = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp long")
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
+    """(id, fp) for each row; fp is the 64 bits of the fingerprint as a bigint."""
+    return _with_fingerprints(docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text")), shingle, seed)
 
 
 def covering_masks(radius: int, turn: int = 1) -> list[int]:
@@ -198,13 +204,18 @@ def near_links(fps: DataFrame, radius: int = RADIUS, max_bucket: int = MAX_BUCKE
     return links.unionByName(_bucket_links(keyed, ["t", "u", "k2"], radius, None).select("a", "b").where("b is not null"))
 
 
+def _members(nodes: DataFrame, radius: int, max_bucket: int) -> DataFrame:
+    """(fp, root) for the fingerprints that have links."""
+    roots = written(components(near_links(nodes.select("fp"), radius, max_bucket)), "roots")
+    return roots.select(F.col("node").alias("fp"), "root").unionByName(roots.select(F.col("root").alias("fp"), "root").distinct())
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """One row per row of ``docs``: id, fp and component_id, the smallest id that links reach."""
     rows = written(fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
     nodes = written(rows.groupBy("fp").agg(F.min("id").alias("least_id"), F.count("*").alias("n")), "fp-nodes")
     total = nodes.agg(F.sum("n")).first()[0] or 0
-    roots = written(components(near_links(nodes.select("fp"), radius, max_bucket)), "roots")
-    members = roots.select(F.col("node").alias("fp"), "root").unionByName(roots.select(F.col("root").alias("fp"), "root").distinct())
+    members = _members(nodes, radius, max_bucket)
     members = written(members.join(nodes.select("fp", "least_id"), "fp"), "members")
     by_root = written(members.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count("*").alias("n")), "by-root")
     n_members = by_root.agg(F.sum("n")).first()[0] or 0
@@ -214,9 +225,15 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
     return out.select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-def near_deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row of ``docs`` for each component: that of the smallest id (of rows that repeat it, one)."""
-    stay = classes(docs, id_col, text_col, **options).where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__id"))
-    rows = docs.select(docs[id_col].alias("id"), whole_row(docs).alias("row"))
-    kept = rows.join(stay.select("__id").distinct(), rows["id"].eqNullSafe(F.col("__id")), "left_semi")
-    return kept.dropDuplicates(["id"]).select("row.*")
+def near_deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED, max_bucket: int = MAX_BUCKET) -> DataFrame:
+    """One row of ``docs`` for each component: that of the smallest id, null last; of rows that repeat it, that whose id and text have the smallest hash."""
+    text = text_of(docs, text_col)
+    key = F.xxhash64(docs[id_col], text)
+    rows = _with_fingerprints(docs.select(docs[id_col].alias("id"), key.alias("key"), text.alias("text")), shingle, seed)
+    best = F.min(F.struct(F.col("id").isNull().alias("absent"), "id", "key"))
+    nodes = written(rows.groupBy("fp").agg(best.alias("best")), "fp-nodes")
+    rooted = nodes.join(_members(nodes, radius, max_bucket), "fp", "left")
+    stay = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best")).select(F.col("best.id").alias("__id"), F.col("best.key").alias("__key"))
+    rows = docs.select(docs[id_col].alias("id"), key.alias("key"), whole_row(docs).alias("row"))
+    kept = rows.join(stay, (F.col("key") == F.col("__key")) & F.col("id").eqNullSafe(F.col("__id")), "left_semi")
+    return kept.dropDuplicates(["id", "key"]).select("row.*")

@@ -357,6 +357,18 @@ def test_simhash(spark, max_bucket):
     assert classes(empty(spark)).count() == 0
 
 
+def test_near_deduplicated_keeps_a_row_of_each_component(spark):
+    """Also where ids are null or repeat."""
+    from quern.llm.simhash import near_deduplicated
+
+    r = random.Random(5)
+    a, b, c, d, e = (prose(r, 60) for _ in range(5))
+    rows = [(None, a), (None, a), (None, b), (7, c), (7, d), (7, d), (8, d), (None, e), (9, e)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for df in (docs, docs.repartition(5)):
+        assert Counter((x.doc_id, x.text) for x in near_deduplicated(df).collect()) == Counter([(None, a), (None, b), (7, c), (7, d), (9, e)])
+
+
 def test_links_of_a_dense_ball(spark):
     """Many fingerprints near one another, and chains, keep all their links."""
     from quern.llm.components import components
