@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -92,6 +93,10 @@ def _boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+def _end_of(tag: str) -> re.Pattern[str]:
+    return re.compile(rf"</{tag}(?=[\s/>])[^>]*+(?:>|\Z)", re.I)
+
+
 class Block:
     __slots__ = ("article", "boilerplate", "label", "linked", "parts", "text")
 
@@ -104,6 +109,8 @@ def cut(page: str) -> list[Block]:
     blocks: list[Block] = []
     stack: list[tuple[str, bool, int]] = []  # element, boilerplate, number of the article around it
     skip: str | None = None
+    inner: Counter[str] = Counter()  # open blocks within the skipped element
+    endless: set[str] = set()  # RAW elements that have no end tag from here on
     depth = articles = links = breaks = 0
     block = Block(False, 0)
 
@@ -137,7 +144,28 @@ def cut(page: str) -> list[Block]:
                 depth += -1 if closing else (not m[3].endswith("/"))
                 if depth <= 0:
                     skip = None
-            continue
+                continue
+            if tag in RAW and not closing and not m[3].endswith("/") and tag not in endless:
+                close = _end_of(tag).search(page, at)
+                if close:
+                    at = scan = close.end()
+                else:
+                    endless.add(tag)
+                continue
+            if tag not in BLOCKS:
+                continue
+            if skip == "head":  # a block ends it, <body> too
+                if closing:
+                    continue
+            elif not closing:
+                inner[tag] += tag not in VOID
+                continue
+            elif inner[tag]:
+                inner[tag] -= 1
+                continue
+            elif all(x[0] != tag for x in stack):
+                continue
+            skip = None  # the block around it ends
         if tag == "br":
             breaks += 1
             block.parts.append(" ")
@@ -147,10 +175,11 @@ def cut(page: str) -> list[Block]:
         if tag in SKIPPED and tag not in VOID:
             if not closing and not m[3].endswith("/"):
                 if tag in RAW:
-                    close = re.compile(rf"</{tag}(?=[\s/>])[^>]*+(?:>|\Z)", re.I).search(page, at)
+                    close = _end_of(tag).search(page, at)
                     at = scan = close.end() if close else end
                 else:
                     skip, depth = tag, 1
+                    inner.clear()
             continue
         if tag == "a":
             links = 0 if closing else 1

@@ -609,6 +609,18 @@ def test_html():
     assert main_text('<p title="a>b">x</p>') == "x" and main_text("plain &am text") == "plain &am text"
 
 
+def test_skipped_elements_without_end():
+    from quern.llm.html_extract import main_text
+
+    long = "The house is on the hill and it was there for all of the time that we have been in this town. " * 3
+    body = " ".join(long.split())
+    for head in ("<head><title>T</title><body>", "<html><head><meta charset=x><script>var t='<p>no</p>'</script><title>T</title>", "<head><title>T</title></head><body>", "<head><style>p{}</style>\n<body><select><option>no</select>"):
+        assert main_text(f"{head}<p>{long}</p><p>{long}</p>") == f"{body}\n\n{body}"
+    for odd in ("select", "button", "map", "svg", "object"):
+        assert main_text(f"<body><p>{long}</p><div><{odd}>no <b>no</b></div><p>{long}</p></body>") == f"{body}\n\n{body}"
+        assert main_text(f"<body><div><p>{long}</p><{odd}><div>no</div> no</{odd}><p>{long}</p></div></body>") == f"{body}\n\n{body}"
+
+
 def test_extract(spark):
     from quern.llm.html_extract import extract
 
