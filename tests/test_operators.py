@@ -314,3 +314,16 @@ def test_chapter_prompts_are_in_order(spark):
 
     rows = spark.range(500).selectExpr("'A' as part", "'i' as chapter", "499 - id as n", "concat('b', 499 - id) as bullet").repartition(7)
     assert chapter_prompts(rows, "part", "chapter", "n").first().prompt == "\n".join(f"b{k}" for k in range(500))
+
+
+def test_text_queries_read_whole_tables(spark, tmp_path):
+    from quern.plans import text
+
+    spark.range(6000).selectExpr("id as o_orderkey", "id % 99 as o_custkey", "date '1995-01-31' as o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(2500).selectExpr("id as event_id", "'click' as event_type").write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(400).selectExpr("id as c_custkey", "concat('C', id) as c_name").write.parquet(f"{tmp_path}/customer.parquet")
+    for name, key, n in (("extract_year", "o_orderkey", 6000), ("parse_dates", "o_orderkey", 6000), ("citation_extract", "o_orderkey", 6000), ("json_validated_parse", "event_id", 2500), ("plan_validation", "c_custkey", 400), ("scope_detect", "c_custkey", 400)):
+        assert text.QUERIES[name](spark, str(tmp_path)).select(key).distinct().count() == n, name
+    last = {x.o_orderkey: x.at for x in text.parse_dates(spark, str(tmp_path)).where("o_orderkey > 5997").collect()}
+    assert [str(last[k]) for k in (5998, 5999)] == ["1995-01-31 22:15:00", "1995-01-31 23:15:00"]
+    assert text.citation_extract(spark, str(tmp_path)).where("o_orderkey = 5998 and pos = 1").first().number == "5998"
