@@ -200,18 +200,24 @@ class Model:
             rows = table.where(F.pmod("v", F.lit(self.shards)) == k).drop("v").withColumn("x", F.col("x").cast("float")).toArrow()
             keys, x = rows.column("key").to_numpy(), rows.column("x").to_numpy()
             if name == "p3":
-                keys = (np.searchsorted(known, keys) << 32) | rows.column("w").to_numpy()
+                keys = np.searchsorted(known, keys)
+                keys <<= 32
+                keys |= rows.column("w").to_numpy()
+            del rows  # at most one copy of a table at a time: the driver is small
+            pa.default_memory_pool().release_unused()
             order = np.argsort(keys)
-            keys = keys[order]
+            keys, x = keys[order], x[order]
+            del order
             if name == "g3":
                 known = keys
-            out[name] = _pack(keys, x[order])
+            out[name] = _pack(keys, x)
+            del keys, x
         return out
 
 
 def _pack(keys: np.ndarray, x: np.ndarray) -> tuple[int, bytes, bytes]:
     """Ascending keys by their differences, and values, compressed: a broadcast lies on every executor's disk."""
-    return len(keys), zstandard.compress(np.diff(keys, prepend=0).astype("<i8").tobytes()), zstandard.compress(x.astype("<f4").tobytes())
+    return len(keys), zstandard.compress(np.diff(keys, prepend=0).astype("<i8", copy=False)), zstandard.compress(x.astype("<f4", copy=False))
 
 
 def _unpacked(shard: dict) -> dict:
