@@ -84,9 +84,9 @@ def repair(text: str | None) -> str | None:
     body = text[text.index("{") :]
     try:
         return json.dumps(json.JSONDecoder().raw_decode(body)[0], ensure_ascii=False)
-    except ValueError:
-        pass
-    # Close what is open at each place from the end where a value may have ended.
+    except json.JSONDecodeError as e:
+        wrong = e.pos
+    # Close what is open at each place, from the first error backwards, where a value may have ended: beyond it nothing can be right.
     stack, inside, escaped, ends = [], False, False, []
     for i, c in enumerate(body):
         if inside:
@@ -109,7 +109,7 @@ def repair(text: str | None) -> str | None:
             ends.append((i + 1, "".join(reversed(stack))))
         elif c == ",":
             ends.append((i, "".join(reversed(stack))))
-    tries = ([(len(body), '"' + "".join(reversed(stack)))] if inside else [(len(body), "".join(reversed(stack)))]) + ends[::-1][:200]
+    tries = ([(len(body), '"' + "".join(reversed(stack)))] if inside else [(len(body), "".join(reversed(stack)))]) + [x for x in reversed(ends) if x[0] <= wrong]
     for end, close in tries:
         try:
             return json.dumps(json.loads(body[:end] + close), ensure_ascii=False)

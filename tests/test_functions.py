@@ -109,3 +109,9 @@ def test_budgets(spark):
     assert tuple(one(spark, budgets.budget(F.col("t")), t=words)) == (25, 1, 69)
     assert tuple(one(spark, budgets.dynamic_budget(F.col("t")), t=words)) == (24, 36, 83)
     assert tuple(one(spark, budgets.budget(F.col("t")), t=""))[:2] == (1, 1)
+
+
+def test_repair_of_early_damage():
+    rest = ", ".join(f'"k{i}": [{i}]' for i in range(500))
+    assert json.repair('{"a": [1, 2], "b": oops, ' + rest + "}") == '{"a": [1, 2]}'
+    assert json.repair('{"a": {"b": "c" "d": 1, ' + rest) == '{"a": {"b": "c"}}'
