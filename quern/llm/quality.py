@@ -1,27 +1,16 @@
 """Quality classifier: an interpolated modified Kneser-Ney trigram model of trusted text.
 
-Words (runs without ASCII white space) that occur LEAST_WORD times or more in
-the trusted texts are tokens of their own, whatever the size of the corpus; a word that repeats the one before
-is the token of its place in the run of repeats (so that no run foretells
-itself), and any other word is the token of its shape (letter case, digits,
-symbols, closing punctuation, length). So the tokens grow with the corpus; a
-context is two of them in 64 bits.
-
-Counts of all n-grams of all trusted training documents are gathered by
-shuffles; discounts come from the counts of counts. An n-gram's count is joined
-with those of its context, and of the lower orders, when it is scored: the
-counts are cut into shards by the word before the scored one, so everything
-that a position needs lies in one shard. N-grams of count 1 are
-stored like all others (unless ``cut`` is asked for). A model of one shard is scored in one pass
-over the texts; of several, the tokens are written once and each shard adds
-its part of a document's sum. A shard has SHARD_ROWS n-grams at most, which
-bounds what is broadcast.
+The model (see ``ngrams``) has every word and every n-gram of all trusted
+training documents, however rare, in shards that grow in number with the text.
+Documents' n-grams are joined with the shards by a shuffle; words without an
+n-gram of their own count as their class (letter case, digits, symbols, closing
+punctuation, length), by the share of all known words that are of it.
 
 A document's score is its mean negative log-probability per token, drawn to
 its language's mean as if by PRIOR tokens more, so a few odd words in a short
 text don't decide. A document is rejected if its score is above its language's
 threshold: the QUANTILE of the scores of trusted documents that the model was
-not trained on (a fifth of them, by hash of the id), plus MARGIN.
+not trained on (a fifth of them, by hash of the id).
 
 Defined cases: a null text is empty; an empty text has no perplexity and is
 kept. A null language is a language of its own. Languages with less than
@@ -33,326 +22,17 @@ toxic 1. Further columns pass through ``accepted``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
-import zstandard
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import hot_keys, salted_join, text_of, whole_row, written
-from .kernels import SOLID, U, blocks, column_bytes, hash_ranges, padded, split_words
+from .ngrams import score, train
 
-LEAST_WORD = 5
-SHARD_ROWS = 8_000_000
-#: Whether n-grams of count 1 are left out of the stored model, as toolkits do; all are counted.
-CUT = False
-PRIOR, QUANTILE, MARGIN, LEAST_HELD, BINS = 16, 0.99, 0.25, 20, 256
+PRIOR, QUANTILE, LEAST_HELD, BINS = 16, 0.999, 20, 256
 #: Up to so many trusted ids they are broadcast; beyond, documents are shuffled by id.
 BROADCAST_IDS = 1_000_000
-#: Of a context, the bits of the token before.
-LOW = 0xFFFFFFFF
-START, AGAIN, RUNS, SHAPES, WORDS = 0, 1, 6, 8, 256
-
-# Counts of kinds of bytes side by side, 12 bits each: lower case and other scripts, upper case, digits, symbols, "!".
-_KIND = np.zeros(256, U)
-_KIND[97:123] = _KIND[128:] = 1
-_KIND[65:91] = 1 << 12
-_KIND[48:58] = 1 << 24
-_KIND[[ord(c) for c in "#$%&*+/<=>@[\\]^_`{|}~"]] = 1 << 36
-_KIND[33] = 1 << 48
-_CLOSE = np.zeros(256, np.int64)
-_CLOSE[[ord(c) for c in ".!?"]] = 1
-_CLOSE[[ord(c) for c in ",;:"]] = 2
-
-
-def tokens_of(buf: np.ndarray, offsets: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens of all texts of a buffer, and each text's first token (len + 1). ``words``: sorted hashes of the known words."""
-    starts, ends, first = split_words(buf, offsets, SOLID)
-    h = hash_ranges(padded(buf), starts, ends)
-    total = np.zeros(len(buf) + 1, U)
-    np.cumsum(_KIND[buf], out=total[1:])
-    n = total[ends] - total[starts]
-    lower, upper, digits, symbols, cries = (((n >> U(12 * k)) & U(4095)).astype(np.int64) for k in range(5))
-    letters = lower + upper
-    initial = buf[starts] if len(starts) else np.zeros(0, np.uint8)
-    kind = np.select(
-        [symbols > 0, (digits > 0) & (letters > 0), digits > 0, letters == 0, (upper > 1) & (lower == 0), (initial >= 65) & (initial <= 90)],
-        [1, 2, 3, 0, 4, 5],
-        6,
-    )
-    close = _CLOSE[buf[ends - 1]] if len(ends) else np.zeros(0, np.int64)
-    token = SHAPES + ((kind * 2 + (cries > 0)) * 3 + close) * 4 + np.searchsorted([4, 8, 13], ends - starts, "right")
-    if len(words):
-        at = np.minimum(np.searchsorted(words, h), len(words) - 1)
-        token = np.where(words[at] == h, WORDS + at, token)
-    again = np.zeros(len(h), bool)
-    again[1:] = h[1:] == h[:-1]
-    again[first[:-1][first[:-1] < len(h)]] = False
-    place = np.arange(len(h))
-    run = place - np.maximum.accumulate(np.where(again, 0, place))
-    return np.where(again, AGAIN + np.minimum(run, RUNS) - 1, token), first
-
-
-def contexts(token: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The token two before and the token before each token; START at the beginning of a text."""
-    v = np.zeros_like(token)
-    u = np.zeros_like(token)
-    v[1:], u[2:] = token[:-1], token[:-2]
-    head = first[:-1][np.diff(first) > 0]
-    v[head] = START
-    u[head] = START
-    second = head + 1
-    u[second[second < len(u)]] = START
-    return u, v
-
-
-def _per_block(batches: Iterator[pa.RecordBatch], of) -> Iterator[tuple[pa.RecordBatch, list]]:
-    for batch in batches:
-        data, offsets = column_bytes(batch.column("text"))
-        found = []
-        for a, b in blocks(offsets):
-            part = offsets[a : b + 1]
-            found.append(of(data[part[0] : part[-1]], part - part[0]))
-        yield batch, found
-
-
-def _counted(parts: list[np.ndarray]) -> pa.RecordBatch:
-    key, n = np.unique(np.concatenate([np.zeros(0, np.int64), *parts]), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n, pa.int64())], ["key", "n"])
-
-
-def known_words(texts: DataFrame, least: int = LEAST_WORD) -> np.ndarray:
-    """Sorted hashes of the words that occur ``least`` times or more."""
-
-    def words(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        starts, ends, _ = split_words(buf, offsets, SOLID)
-        return hash_ranges(padded(buf), starts, ends).view(np.int64)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, parts in _per_block(batches, words):
-            yield _counted(parts)
-
-    counts = written(texts.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "words")
-    found = counts.where(F.col("n") >= least).select("key").toPandas()["key"]
-    return np.sort(found.to_numpy(np.int64).view(U))
-
-
-def trigram_counts(texts: DataFrame, words: np.ndarray) -> DataFrame:
-    """(c, w, n) for all trigrams of tokens; c is the context, u * 2^32 + v. A context has a row per token at most, however often it occurs."""
-    shared = texts.sparkSession.sparkContext.broadcast(words)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            token, first = tokens_of(buf, offsets, shared.value)
-            u, v = contexts(token, first)
-            return (u << 32) | v, token
-
-        none = np.zeros(0, np.int64)
-        for _, parts in _per_block(batches, pairs):
-            c, place = np.unique(np.concatenate([none, *(p[0] for p in parts)]), return_inverse=True)
-            key, n = np.unique((place << 32) | np.concatenate([none, *(p[1] for p in parts)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(c[key >> 32]), pa.array((key & LOW).astype(np.int32)), pa.array(n, pa.int64())], ["c", "w", "n"])
-
-    return texts.mapInArrow(run, "c long, w int, n long").groupBy("c", "w").agg(F.sum("n").alias("n"))
-
-
-def _discounts(counts: DataFrame) -> list[float]:
-    """Modified Kneser-Ney discounts of counts of 1, 2 and 3 or more."""
-    row = counts.agg(*(F.count_if(F.col("n") == k).alias(f"n{k}") for k in (1, 2, 3, 4))).first()
-    n = [0, *row]
-    if not all(n[1:4]):
-        return [0.5, 0.75, 0.9]
-    y = n[1] / (n[1] + 2 * n[2])
-    return [min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.05), k - 0.05) for k in (1, 2, 3)]
-
-
-def _of_context() -> dict[str, Column]:
-    """Of a context: the sum of its counts, and how many of them are 1, 2 and more."""
-    return {"total": F.sum("n"), "n1": F.count_if(F.col("n") == 1), "n2": F.count_if(F.col("n") == 2), "n3": F.count_if(F.col("n") > 2)}
-
-
-def _share(d: list[float]) -> Column:
-    """What an n-gram's own count gives it: (n - discount) / total."""
-    return (F.col("n") - F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])) / F.col("total")
-
-
-def _rest(d: list[float], cut: bool) -> Column:
-    """What a context leaves to the lower order; with ``cut`` the whole counts of 1 are left to it."""
-    return ((1.0 if cut else d[0]) * F.col("n1") + d[1] * F.col("n2") + d[2] * F.col("n3")) / F.col("total")
-
-
-@dataclass
-class Model:
-    words: np.ndarray
-    tables: dict[str, DataFrame]
-    p1: np.ndarray
-    shards: int
-
-    def shard(self, k: int) -> dict:
-        """What positions after words of shard ``k`` need, packed; a trigram's key has its context's place among those of g3."""
-        out: dict = {"p1": self.p1, "k": k, "shards": self.shards}
-        known = np.zeros(0, np.int64)
-        for name, table in self.tables.items():
-            rows = table.where(F.pmod("v", F.lit(self.shards)) == k).drop("v").withColumn("x", F.col("x").cast("float")).toArrow()
-            keys, x = rows.column("key").to_numpy(), rows.column("x").to_numpy()
-            if name == "p3":
-                keys = np.searchsorted(known, keys)
-                keys <<= 32
-                keys |= rows.column("w").to_numpy()
-            del rows  # at most one copy of a table at a time: the driver is small
-            pa.default_memory_pool().release_unused()
-            order = np.argsort(keys)
-            keys, x = keys[order], x[order]
-            del order
-            if name == "g3":
-                known = keys
-            out[name] = _pack(keys, x)
-            del keys, x
-        return out
-
-
-def _pack(keys: np.ndarray, x: np.ndarray) -> tuple[int, bytes, bytes]:
-    """Ascending keys by their differences, and values, compressed: a broadcast lies on every executor's disk."""
-    return len(keys), zstandard.compress(np.diff(keys, prepend=0).astype("<i8", copy=False)), zstandard.compress(x.astype("<f4", copy=False))
-
-
-def _unpacked(shard: dict) -> dict:
-    out = dict(shard)
-    for name, packed in shard.items():
-        if isinstance(packed, tuple):
-            n, keys, x = packed
-            out[name] = (np.cumsum(np.frombuffer(zstandard.decompress(keys, n * 8 + 1), "<i8")), np.frombuffer(zstandard.decompress(x, n * 4 + 1), "<f4"))
-    return out
-
-
-def train(texts: DataFrame, least_word: int = LEAST_WORD, shard_rows: int = SHARD_ROWS, cut: bool = CUT) -> Model | None:
-    """The model of the column ``text``; None without any word."""
-    words = known_words(texts, least_word)
-    by_context = Window.partitionBy("c")
-    tri = trigram_counts(texts, words).withColumns({k: f.over(by_context) for k, f in _of_context().items()})
-    tri = written(tri, "trigrams")
-    if tri.isEmpty():
-        return None
-    v = F.col("c").bitwiseAND(LOW).cast("int")
-    bi = written(tri.groupBy(v.alias("v"), "w").agg(F.count("*").alias("n")), "bigrams")
-    uni = written(bi.groupBy("w").agg(F.count("*").alias("n")), "unigrams")
-    d3, d2, d1 = _discounts(tri), _discounts(bi), _discounts(uni)
-
-    size = WORDS + len(words)
-    every = uni.toPandas()  # a row for each token
-    n = every["n"].to_numpy(float)
-    off = np.where(n == 1, d1[0], np.where(n == 2, d1[1], d1[2]))
-    p1 = np.full(size, off.sum() / n.sum() / size)
-    p1[every["w"].to_numpy()] += (n - off) / n.sum()
-
-    least = 2 if cut else 1
-    kept3 = tri.where(F.col("n") >= least)
-    c2 = written(bi.groupBy("v").agg(*(f.alias(k) for k, f in _of_context().items())), "contexts2")
-    c2n = c2.withColumn("rows", F.col("n1") + F.col("n2") + F.col("n3"))
-    n_bi = c2n.agg(F.sum("rows")).first()[0]
-    kept2 = salted_join(bi.where(F.col("n") >= least), c2, "v", hot_keys(c2n, "v", "rows", n_bi), F.col("w"))
-    tables = {
-        "g3": kept3.select(v.alias("v"), F.col("c").alias("key"), _rest(d3, cut).alias("x")).distinct(),
-        "p3": kept3.select(v.alias("v"), F.col("c").alias("key"), "w", _share(d3).alias("x")),
-        "p2": kept2.select("v", F.expr("v * 4294967296L + w").alias("key"), _share(d2).alias("x")),
-        "g2": c2.select("v", F.col("v").cast("long").alias("key"), _rest(d2, cut).alias("x")),
-    }
-    rows = sum(t.count() for t in tables.values())
-    return Model(words, tables, p1.astype(np.float32), -(-rows // shard_rows))
-
-
-def _find(table: tuple[np.ndarray, np.ndarray], key: np.ndarray, absent: float) -> np.ndarray:
-    """Values of keys."""
-    keys, x = table
-    if not len(keys):
-        return np.full(len(key), absent, np.float32)
-    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-    return np.where(keys[at] == key, x[at], np.float32(absent))
-
-
-def log_probabilities(token: np.ndarray, first: np.ndarray, shard: dict) -> np.ndarray:
-    """Each token's log-probability; 0 if it belongs to another shard."""
-    u, v = contexts(token, first)
-    out = np.zeros(len(token))
-    mine = np.flatnonzero(v % shard["shards"] == shard["k"]) if shard["shards"] > 1 else slice(None)
-    u, v, w = u[mine], v[mine], token[mine]
-    low = _find(shard["p2"], (v << 32) | w, 0.0) + _find(shard["g2"], v, 1.0) * shard["p1"][w]
-    context, known = (u << 32) | v, shard["g3"][0]
-    place = np.searchsorted(known, context)
-    out[mine] = np.log(_find(shard["p3"], (place << 32) | w, 0.0) * _is(known, place, context) + _find(shard["g3"], context, 1.0) * low)
-    return out
-
-
-def _is(keys: np.ndarray, at: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """Whether ``keys`` has each key at its place."""
-    return keys[np.minimum(at, len(keys) - 1)] == key if len(keys) else np.zeros(len(key), bool)
-
-
-def _sums(x: np.ndarray, first: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0.0], np.cumsum(x)])
-    return total[first[1:]] - total[first[:-1]]
-
-
-def _one_shard(rows: DataFrame, model: Model) -> DataFrame:
-    """``rows`` (with a column text) without their text, with n and nll."""
-    context = rows.sparkSession.sparkContext
-    words, shard = context.broadcast(model.words), context.broadcast(model.shard(0))
-    kept = [x for x in rows.columns if x != "text"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = _unpacked(shard.value)
-
-        def score(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            token, first = tokens_of(buf, offsets, words.value)
-            return np.diff(first), -_sums(log_probabilities(token, first, tables), first)
-
-        for batch, parts in _per_block(batches, score):
-            n = np.concatenate([np.zeros(0, np.int64), *(p[0] for p in parts)])
-            nll = np.concatenate([np.zeros(0), *(p[1] for p in parts)])
-            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in kept), pa.array(n), pa.array(nll)], [*kept, "n", "nll"])
-
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*kept).schema)
-    return rows.mapInArrow(run, f"{kinds}, n long, nll double")
-
-
-def _many_shards(rows: DataFrame, model: Model) -> DataFrame:
-    """As ``_one_shard``, with a pass over the written tokens for each shard."""
-    words = rows.sparkSession.sparkContext.broadcast(model.words)
-    kept = [x for x in rows.columns if x != "text"]
-
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def per_text(buf: np.ndarray, offsets: np.ndarray) -> list[bytes]:
-            token, first = tokens_of(buf, offsets, words.value)
-            return [token[a:b].astype("<u4").tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
-
-        for batch, parts in _per_block(batches, per_text):
-            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in kept), pa.array([x for p in parts for x in p], pa.binary())], [*kept, "tokens"])
-
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*kept).schema)
-    table = written(rows.mapInArrow(tokens, f"{kinds}, tokens binary").withColumn("rid", F.monotonically_increasing_id()), "tokens")
-    parts = None
-    for k in range(model.shards):
-        shard = rows.sparkSession.sparkContext.broadcast(model.shard(k))
-
-        def run(batches: Iterator[pa.RecordBatch], shard: Broadcast = shard) -> Iterator[pa.RecordBatch]:
-            tables = _unpacked(shard.value)
-            for batch in batches:
-                nll = np.zeros(batch.num_rows)
-                texts = [np.frombuffer(x, "<u4") for x in batch.column("tokens").to_pylist()]
-                first = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-                for a, b in blocks(first, 1 << 17):
-                    part = first[a : b + 1] - first[a]
-                    nll[a:b] = -_sums(log_probabilities(np.concatenate(texts[a:b]).astype(np.int64), part, tables), part)
-                yield pa.RecordBatch.from_arrays([batch.column("rid"), pa.array(nll)], ["rid", "nll"])
-
-        part = written(table.select("rid", "tokens").mapInArrow(run, "rid long, nll double"), "shard-scores")
-        parts = part if parts is None else parts.unionByName(part)
-    sums = parts.groupBy("rid").agg(F.sum("nll").alias("nll"))
-    return table.withColumn("n", (F.octet_length("tokens") / 4).cast("long")).drop("tokens").join(sums, "rid").drop("rid")
 
 
 def trusted_ids(labels: DataFrame, label_id: str = "doc_id", quality: str = "quality", toxic: str = "toxic") -> DataFrame:
@@ -361,82 +41,98 @@ def trusted_ids(labels: DataFrame, label_id: str = "doc_id", quality: str = "qua
     return per.where("good = 1 and bad = 0").select("id")
 
 
-@dataclass
-class Classifier:
-    model: Model | None
-    limits: DataFrame | None  # absent, lang, mean, threshold
-    overall: tuple[float, float] | None  # mean and threshold over all languages
-
-    def decide(self, scored: DataFrame) -> DataFrame:
-        """Adds score, perplexity, threshold and keep to rows with absent, lang, n and nll."""
-        if self.overall is None:
-            none = F.lit(None).cast("double")
-            return scored.withColumns({"score": none, "perplexity": none, "threshold": none, "keep": F.lit(True)})
-        rows = scored.join(F.broadcast(self.limits), ["absent", "lang"], "left")
-        mean, limit = (F.coalesce(x, F.lit(y)) for x, y in zip(("mean", "limit"), self.overall, strict=True))
-        rows = rows.withColumn("score", F.when(F.col("n") > 0, (F.col("nll") + PRIOR * mean) / (F.col("n") + PRIOR)))
-        rows = rows.withColumn("threshold", limit).withColumn("perplexity", F.exp(F.col("nll") / F.nullif("n", F.lit(0))))
-        return rows.withColumn("keep", F.coalesce(F.col("score") <= F.col("threshold"), F.lit(True))).drop("mean", "limit")
-
-
-def _rows(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    return docs.select(docs[id_col].alias("id"), docs[lang_col].isNull().alias("absent"), F.coalesce(docs[lang_col].cast("string"), F.lit("")).alias("lang"), text_of(docs, text_col).alias("text"))
+def _language(docs: DataFrame, lang_col: str) -> list[Column]:
+    """Whether there is none, and which; null is told from an empty one."""
+    return [docs[lang_col].isNull().alias("absent"), F.coalesce(docs[lang_col].cast("string"), F.lit("")).alias("lang")]
 
 
-def _scored(rows: DataFrame, model: Model) -> DataFrame:
-    return (_one_shard if model.shards == 1 else _many_shards)(rows, model)
+def _key(text: Column) -> Column:
+    return F.unhex(F.md5(text))
 
 
-def _thresholds(held: DataFrame, quantile: float, margin: float) -> tuple[DataFrame, tuple[float, float] | None]:
+def _thresholds(held: DataFrame, quantile: float) -> tuple[DataFrame, float, float]:
     """Mean and threshold of each language, and over all, from scored held-out documents."""
-    held = held.where("n > 0")
     whole = held.agg(F.sum("nll") / F.sum("n")).first()[0]
-    if whole is None:
-        return held.sparkSession.createDataFrame([], "absent boolean, lang string, mean double, limit double"), None
-    means = written(held.groupBy("absent", "lang").agg(F.count("*").alias("docs"), (F.sum("nll") / F.sum("n")).alias("mean")).where(F.col("docs") >= LEAST_HELD), "means")
+    means = held.groupBy("absent", "lang").agg(F.count("*").alias("docs"), (F.sum("nll") / F.sum("n")).alias("mean"))
+    means = written(means.where(F.col("docs") >= LEAST_HELD), "means")
 
     def limits(scores: DataFrame, mean: Column, by: list[str]) -> DataFrame:
         bins = scores.withColumn("bin", F.floor((F.col("nll") + PRIOR * mean) / (F.col("n") + PRIOR) * BINS)).groupBy(*by, "bin").agg(F.count("*").alias("c"))
         window = Window.partitionBy(*by)
         bins = bins.withColumns({"upto": F.sum("c").over(window.orderBy("bin")), "all": F.sum("c").over(window)})
-        return bins.where(F.col("upto") >= F.ceil(F.col("all") * quantile)).groupBy(*by).agg(((F.min("bin") + 1) / BINS + margin).alias("limit"))
+        return bins.where(F.col("upto") >= F.ceil(F.col("all") * quantile)).groupBy(*by).agg(((F.min("bin") + 1) / BINS).alias("limit"))
 
     by = ["absent", "lang"]
-    own = limits(held.join(F.broadcast(means), by), F.col("mean"), by)
+    own = limits(held.join(means, by), F.col("mean"), by)
     overall = limits(held, F.lit(whole), []).first()[0]
-    return written(means.join(own, by).select(*by, "mean", "limit"), "limits"), (whole, overall)
+    return written(means.join(own, by).select(*by, "mean", "limit"), "limits"), whole, overall
+
+
+@dataclass
+class Judged:
+    """All rows as (id, absent, lang, key, n, nll), and how they are judged; without a model, n and nll are null."""
+
+    rows: DataFrame
+    limits: DataFrame | None
+    mean: float | None
+    limit: float | None
+
+    def decided(self) -> DataFrame:
+        """The rows with score, perplexity, threshold and keep."""
+        if self.limits is None:
+            none = F.lit(None).cast("double")
+            return self.rows.withColumns({"score": none, "perplexity": none, "threshold": none, "keep": F.lit(True)})
+        rows = self.rows.join(F.broadcast(self.limits) if self.limits.count() <= BROADCAST_IDS else self.limits, ["absent", "lang"], "left")
+        mean, limit = F.coalesce("mean", F.lit(self.mean)), F.coalesce("limit", F.lit(self.limit))
+        rows = rows.withColumn("score", F.when(F.col("n") > 0, (F.col("nll") + PRIOR * mean) / (F.col("n") + PRIOR)))
+        rows = rows.withColumn("threshold", limit).withColumn("perplexity", F.exp(F.col("nll") / F.nullif("n", F.lit(0))))
+        return rows.withColumn("keep", F.coalesce(F.col("score") <= F.col("threshold"), F.lit(True))).drop("mean", "limit")
+
 
+def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = QUANTILE, **sizes: int) -> Judged:
+    """Train on four fifths of the trusted documents, score all, and set thresholds on the other fifth.
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = QUANTILE, margin: float = MARGIN, least_word: int = LEAST_WORD, shard_rows: int = SHARD_ROWS) -> Classifier:
-    """Train on four fifths of the trusted documents and set thresholds on the rest."""
+    ``sizes`` are ``train``'s of shards, blocks and slices.
+    """
+    text = text_of(docs, text_col)
+    rows = docs.select(docs[id_col].alias("id"), *_language(docs, lang_col), text.alias("text"))
     ids = written(trusted_ids(labels), "trusted")
     few = ids.count() <= BROADCAST_IDS
-    trusted = _rows(docs, id_col, text_col, lang_col).join(F.broadcast(ids) if few else ids, "id", "left_semi")
+    trusted = rows.join(F.broadcast(ids) if few else ids, "id", "left_semi")
     held = F.pmod(F.xxhash64("id"), F.lit(5)) == 0
-    model = train(trusted.where(~held).select("text"), least_word, shard_rows)
+    model = train(trusted.where(~held).select("text"), **sizes)
+    keyed = rows.select("id", "absent", "lang", _key(F.col("text")).alias("key"))
     if model is None:
-        return Classifier(None, None, None)
-    scores = written(_scored(trusted.where(held), model), "held-out")
-    return Classifier(model, *_thresholds(scores, quantile, margin))
+        return Judged(keyed.withColumns({"n": F.lit(None).cast("long"), "nll": F.lit(None).cast("double")}), None, None, None)
+    scoring = {k: v for k, v in sizes.items() if k != "shard_bytes"}
+    scores = written(score(rows.select(_key(F.col("text")).alias("key"), F.xxhash64("id", "text").alias("spread"), "text"), model, **scoring), "text-scores")
+    model.drop()
+    keyed = written(keyed, "keyed")
+    copies = written(keyed.groupBy("key").agg(F.count("*").alias("copies")).where("copies > 1"), "copies")
+    total = copies.agg(F.sum("copies")).first()[0] or 0
+    scored = written(salted_join(keyed, scores, "key", hot_keys(copies, "key", "copies", total), F.xxhash64("id")), "scored")
+    own = scored.where(held & F.col("id").isNotNull() & (F.col("n") > 0)).join(F.broadcast(ids) if few else ids, "id", "left_semi")
+    own = written(own.select("absent", "lang", "n", "nll"), "held-out")
+    if own.isEmpty():
+        return Judged(scored, None, None, None)
+    return Judged(scored, *_thresholds(own, quantile))
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
     """One row per row of ``docs``: id, lang, n_tokens, perplexity, score, threshold and keep."""
-    known = fit(docs, labels, id_col, text_col, lang_col, **options)
-    rows = _rows(docs, id_col, text_col, lang_col)
-    if known.model is None:
-        nothing = {"n": F.lit(None).cast("long"), "nll": F.lit(None).cast("double")}
-        scored = rows.drop("text").withColumns(nothing)
-    else:
-        scored = _scored(rows, known.model)
-    out = known.decide(scored)
+    out = judge(docs, labels, id_col, text_col, lang_col, **options).decided()
     return out.select(F.col("id").alias(id_col), F.when(~F.col("absent"), F.col("lang")).alias("lang"), F.col("n").alias("n_tokens"), "perplexity", "score", "threshold", "keep")
 
 
 def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
-    """``docs`` without those rejected. With a model of one shard the text crosses no network."""
-    known = fit(docs, labels, id_col, text_col, lang_col, **options)
-    if known.model is None:
+    """``docs`` without those rejected. Rows of one text and language are judged alike; many copies of one are salted."""
+    judged = judge(docs, labels, id_col, text_col, lang_col, **options)
+    if judged.limits is None:
         return docs
-    rows = docs.select(whole_row(docs).alias("row"), docs[lang_col].isNull().alias("absent"), F.coalesce(docs[lang_col].cast("string"), F.lit("")).alias("lang"), text_of(docs, text_col).alias("text"))
-    return known.decide(_scored(rows, known.model)).where("keep").select("row.*")
+    by = ["key", "absent", "lang"]
+    rejected = written(judged.decided().where("not keep").groupBy(*by).agg(F.count("*").alias("n")), "rejected")
+    hot = hot_keys(rejected, by, "n", rejected.agg(F.sum("n")).first()[0] or 0)
+    text = text_of(docs, text_col)
+    rows = docs.select(_key(text).alias("key"), *_language(docs, lang_col), F.xxhash64(docs[id_col], F.monotonically_increasing_id()).alias("spread"), whole_row(docs).alias("row"))
+    out = salted_join(rows, rejected.select(*by, F.lit(True).alias("out")), by, hot, F.col("spread"), "left")
+    return out.where("out is null").select("row.*")
