@@ -30,29 +30,39 @@ def greek_to_int(label: Column) -> Column:
     return (F.aggregate(letters, F.lit(0), lambda s, c: s + F.coalesce(F.try_element_at(values, c), F.lit(0))) + 6 * stigmas).cast("int")
 
 
-#: Ordinal words by their parts: the words for 1 to 10, and for the tens.
+#: Ordinal words (neuter) by their parts; 11 and 12 have words of their own.
 ORDINAL_UNITS = ("πρώτο", "δεύτερο", "τρίτο", "τέταρτο", "πέμπτο", "έκτο", "έβδομο", "όγδοο", "ένατο")
 ORDINAL_TENS = ("δέκατο", "εικοστό", "τριακοστό", "τεσσαρακοστό", "πεντηκοστό", "εξηκοστό", "εβδομηκοστό", "ογδοηκοστό", "ενενηκοστό")
-
-
-def ordinals() -> dict[str, int]:
-    """Ordinal words of 1 to 100 (neuter), in lower case."""
-    out = {w: i for i, w in enumerate(ORDINAL_UNITS, 1)}
-    for t, ten in enumerate(ORDINAL_TENS, 1):
-        out[ten] = 10 * t
-        out |= {f"{ten} {w}": 10 * t + i for i, w in enumerate(ORDINAL_UNITS, 1)}
-    return out | {"ενδέκατο": 11, "δωδέκατο": 12, "εκατοστό": 100}
+ORDINAL_HUNDREDS = ("εκατοστό", "διακοσιοστό", "τριακοσιοστό", "τετρακοσιοστό", "πεντακοσιοστό", "εξακοσιοστό", "επτακοσιοστό", "οκτακοσιοστό", "εννιακοσιοστό")
+ORDINAL_TEENS = {"ενδέκατο": 11, "δωδέκατο": 12}
+ORDINAL_THOUSAND = "χιλιοστό"
+
+
+def ordinal_number(content: Column) -> Column:
+    """The number of the ordinal words (1 to 1999) that a text begins with: thousand, hundred, ten and unit, each at most once; null if there is none."""
+    parts = [{ORDINAL_THOUSAND: 1000}]
+    parts += [{w: size * i for i, w in enumerate(words, 1)} for size, words in ((100, ORDINAL_HUNDREDS), (10, ORDINAL_TENS), (1, ORDINAL_UNITS))]
+    parts[3] |= ORDINAL_TEENS
+    folded = [{_fold(w): n for w, n in part.items()} for part in parts]
+    thousand, hundred, ten, unit = ("|".join(x) for x in folded)
+    teen = "|".join(_fold(w) for w in ORDINAL_TEENS)
+    stop = r"(?:\s+|(?=[.,;:|()\-])|$)"
+    small = rf"(?:({ten}){stop}(?:((?!{teen})(?:{unit})){stop})?|({unit}){stop})"
+    pattern = rf"(?U)^(?=(?:{thousand}|{hundred}|{ten}|{unit})(?:[\s.,;:|()\-]|$))(?:({thousand}){stop})?(?:({hundred}){stop})?{small}?"
+    text = fold_lower(content)
+    total = F.lit(0)
+    for group, of in ((1, folded[0]), (2, folded[1]), (3, folded[2]), (4, folded[3]), (5, folded[3])):
+        values = F.create_map(*[F.lit(x) for pair in of.items() for x in pair])
+        total = total + F.coalesce(F.try_element_at(values, F.regexp_extract(text, pattern, group)), F.lit(0))
+    return F.nullif(total, F.lit(0))
 
 
 def heading_number(content: Column) -> Column:
-    """STRUCT(number, type) of what follows the word "article" in a heading: digits, or else the longest ordinal word; null if neither."""
+    """STRUCT(number, type) of what follows the word "article" in a heading: digits, or else ordinal words; null if neither."""
     digits = F.regexp_extract(content, r"^(\d{1,9})(?:\s|$|[.,\-'|])", 1)
-    folded = {fold: n for word, n in ordinals().items() for fold in [_fold(word)]}
-    pattern = "|".join(sorted(folded, key=len, reverse=True))
-    word = F.regexp_extract(fold_lower(content), rf"(?U)^({pattern})(?=\s|$|[.,;:|()\-])", 1)
-    values = F.create_map(*[F.lit(x) for pair in folded.items() for x in pair])
+    word = ordinal_number(content)
     return F.when(digits != "", F.struct(digits.cast("int").alias("number"), F.lit("arabic").alias("type"))).when(
-        word != "", F.struct(F.try_element_at(values, word).alias("number"), F.lit("greek_word").alias("type"))
+        word.isNotNull(), F.struct(word.alias("number"), F.lit("greek_word").alias("type"))
     )
 
 
@@ -62,9 +72,14 @@ def _fold(word: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFD", word.lower()) if not unicodedata.combining(c))
 
 
-ARTICLE_HEADING = r"(?iu)^(?:##\s*|\|\s*)?Άρθρο\s+(.*?)\s*(?:$|\||\s*[-–—]|\.)"
+#: A heading may open with a markdown or table mark; its number or words go up to a dash, a stop, or the end of the cell.
+HEADING_MARKS = ("##", "|")
+HEADING_STOPS = ("|", ".", "-", "–", "—")
 
 
 def article_heading(line: Column) -> Column:
     """STRUCT(number, type) of a line that is an article's heading (plain, markdown or in a table); null elsewhere."""
-    return F.when(line.rlike(ARTICLE_HEADING), heading_number(F.regexp_extract(line, ARTICLE_HEADING, 1)))
+    marks = "|".join(rf"\Q{m}\E" for m in HEADING_MARKS)
+    stops = "".join(rf"\{c}" for c in HEADING_STOPS)
+    pattern = rf"(?iu)^(?:(?:{marks})\s*)?Άρθρο\s+([^{stops}]*)"
+    return F.when(line.rlike(pattern), heading_number(F.regexp_replace(F.regexp_extract(line, pattern, 1), r"\s+$", "")))

@@ -13,7 +13,7 @@ comment says so in the line.
 from __future__ import annotations
 
 from functools import reduce
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,15 +63,20 @@ def script_names() -> list[str]:
 
 
 def decode_entities(col: Column) -> Column:
-    """Character references that end with a semicolon: decimal, hexadecimal, and the names of HTML 4; others stay."""
-    names = F.create_map(*[F.lit(x) for name, code in {**name2codepoint, "apos": 39}.items() for x in (name, code)])
+    """Character references that end with a semicolon: decimal, hexadecimal, and all names of HTML; others stay."""
+    by_letter: dict[str, dict[str, str]] = {}
+    for name, chars in html5.items():
+        if name.endswith(";"):
+            by_letter.setdefault(name[0], {})[name[:-1]] = chars
+    # a map by first letter, as a look-up goes through a map's keys
+    names = F.create_map(*[x for letter, of in by_letter.items() for x in (F.lit(letter), F.create_map(*[F.lit(y) for pair in of.items() for y in pair]))])
 
     def piece(p: Column, i: Column) -> Column:
         ref = F.regexp_extract(p, r"^(#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
-        number = F.when(ref.rlike("^#[0-9]"), F.substring(ref, 2, 9).try_cast("int")).when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 9), 16, 10).cast("int")).otherwise(F.try_element_at(names, ref))
+        number = F.when(ref.rlike("^#[0-9]"), F.substring(ref, 2, 9).try_cast("int")).when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 9), 16, 10).cast("int"))
         good = number.isNotNull() & (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-        return F.when(i == 0, p).when(good, F.concat(char, F.substr(p, F.length(ref) + 2))).otherwise(F.concat(F.lit("&"), p))
+        char = F.when(good, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).when(number.isNull(), F.try_element_at(F.try_element_at(names, F.substring(ref, 1, 1)), ref))
+        return F.when(i == 0, p).when(char.isNotNull(), F.concat(char, F.substr(p, F.length(ref) + 2))).otherwise(F.concat(F.lit("&"), p))
 
     return F.when(col.contains("&"), F.array_join(F.transform(F.split(col, "&"), piece), "")).otherwise(col)
 

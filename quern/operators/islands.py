@@ -61,20 +61,37 @@ def index_headings(lines: DataFrame, rows: DataFrame, share: float = INDEX_SHARE
     return numbered.withColumn("is_index", F.coalesce(is_index, F.lit(False))).drop("run", "filled", "n", "between")
 
 
-def segments(lines: DataFrame, accepted: DataFrame) -> DataFrame:
-    """(doc, title, content, article_num, sequence): one row per accepted heading up to the next, and the introduction before the first one."""
-    n = lines.groupBy("doc").agg((F.max("line_no") + 1).alias("n"))
-    marks = accepted.select("doc", "line_no", "text", "number", "sequence")
-    first = marks.groupBy("doc").agg(F.min("line_no").alias("stop"))
-    order = Window.partitionBy("doc").orderBy("line_no")
-    ranges = marks.join(n, "doc").select("doc", F.col("line_no").alias("a"), F.coalesce(F.lead("line_no").over(order), F.col("n")).alias("b"), F.col("text").alias("title"), F.col("number").alias("article_num"), "sequence")
-    intro = first.where("stop > 0").select("doc", F.lit(0).alias("a"), F.col("stop").alias("b"), F.lit("Introduction").alias("title"), F.lit(0).alias("article_num"), F.lit(None).cast("string").alias("sequence"))
-    parts = ranges.unionByName(intro)
-    starts = parts.select("doc", F.col("a").alias("line_no"), F.col("a").alias("__a"))
-    # each line belongs to the last part that starts at or before it
-    placed = lines.join(starts, ["doc", "line_no"], "left").withColumn("a", F.last("__a", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    texts = placed.where("a is not null").groupBy("doc", "a").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda s: s["line"]), "\n").alias("content"))
-    return parts.join(texts, ["doc", "a"]).select("doc", "title", "content", "article_num", "sequence", F.col("a").alias("start_line"), F.col("b").alias("end_line"))
+CONTENTS_TITLE = "ΠΙΝΑΚΑΣ ΠΕΡΙΕΧΟΜΕΝΩΝ"
+
+
+def segments(docs: DataFrame, accepted: DataFrame, index: DataFrame) -> DataFrame:
+    """(doc, title, content, article_num, sequence, start_line, end_line) of documents with an accepted heading or an index.
+
+    ``docs`` has doc and lines (an array), ``accepted`` doc, line_no, text,
+    number and sequence, ``index`` doc and line_no. There is a segment for the
+    index, from its first heading to its last, titled and led by the title of
+    contents within five lines before it; one for what lies between the index (or
+    the beginning) and the first accepted heading, unless blank; and one for each
+    accepted heading, of the lines from the next one to the heading after it.
+    Only headings are grouped; lines are cut out of a document's array.
+    """
+    marks = accepted.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("line_no", "text", "number", "sequence"))).alias("marks"))
+    listed = index.groupBy("doc").agg(F.min("line_no").alias("i0"), F.max("line_no").alias("i1"))
+    rows = docs.join(marks.join(listed, "doc", "full"), "doc")
+    cut = lambda a, b: F.array_join(F.slice("lines", a + 1, F.greatest(b - a, F.lit(0))), "\n")
+    part = lambda title, content, number, sequence, a, b: F.struct(title.cast("string").alias("title"), content.alias("content"), number.cast("int").alias("article_num"), sequence.cast("string").alias("sequence"), a.cast("int").alias("start_line"), b.cast("int").alias("end_line"))
+    none, first, i0, i1 = F.lit(None), F.col("marks")[0]["line_no"], F.col("i0"), F.col("i1")
+    near = F.slice("lines", F.greatest(i0 - 5, F.lit(0)) + 1, F.least(i0, F.lit(5)))
+    title = F.try_element_at(F.filter(near, lambda x: x.contains(CONTENTS_TITLE)), F.lit(1))
+    listing = part(F.coalesce(F.regexp_replace(title, r"(?U)^\s+|\s+$", ""), F.lit("Index")), F.concat(F.coalesce(F.concat(title, F.lit("\n")), F.lit("")), cut(i0, i1 + 1)), none, F.lit("INDEX"), i0, i1 + 1)
+    begin = F.coalesce(i1 + 1, F.lit(0))
+    intro = part(F.lit("Introduction"), cut(begin, first), none, none, begin, first)
+    after = lambda i: F.coalesce(F.try_element_at(F.col("marks"), i + 2)["line_no"], F.size("lines"))
+    articles = F.transform("marks", lambda m, i: part(m["text"], cut(m["line_no"] + 1, after(i)), m["number"], m["sequence"], m["line_no"], after(i)))
+    empty = F.filter(F.array(listing), lambda x: F.lit(False))
+    filled = intro["content"].rlike(r"(?U)\S") & (first > begin)
+    every = F.concat(F.when(i0.isNotNull(), F.array(listing)).otherwise(empty), F.when(filled, F.array(intro)).otherwise(empty), F.coalesce(articles, empty))
+    return rows.select("doc", F.inline(every))
 
 
 def number_gaps(found: DataFrame, group: str, number: str, expected: DataFrame | None = None) -> DataFrame:

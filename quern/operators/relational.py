@@ -8,17 +8,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def cascade(queries: DataFrame, key: str, tiers: list[tuple[DataFrame, str, Column | str]], order: str) -> DataFrame:
-    """For each query the match of the first tier that has any: the first by ``order`` of it.
-
-    Each tier is (candidates, condition over q and c, name); the candidates all have the same columns.
+def cascade(queries: DataFrame, key: str, term: str, tiers: list[tuple[DataFrame, Column | str, str]], order: str) -> DataFrame:
+    """For each row of ``queries`` (its ``key`` is unique) the match of the first tier that has any: the first by ``order`` of it.
+
+    Each tier is (candidates, what equals the term or a condition over q and c,
+    name); the candidates all have the same columns. Where a term is to be
+    equal, only the first candidate of each value is joined, so a frequent one is
+    not expanded into pairs; a condition is tried only for rows without a match
+    so far.
     """
-    found = []
-    for n, (candidates, condition, name) in enumerate(tiers, 1):
-        hit = queries.alias("q").join(candidates.alias("c"), F.expr(condition) if isinstance(condition, str) else condition)
-        found.append(hit.select(F.col(f"q.{key}").alias(key), *(F.col(f"c.{c}").alias(f"match_{c}") for c in candidates.columns), F.lit(n).alias("tier"), F.lit(name).alias("tier_name")))
-    rank = F.row_number().over(Window.partitionBy(key).orderBy("tier", f"match_{order}"))
-    return reduce(DataFrame.unionByName, found).withColumn("__nth", rank).where("__nth = 1").drop("__nth")
+    out, found = queries, []
+    for n, (candidates, on, _) in enumerate(tiers):
+        best = F.min_by(F.struct(*candidates.columns), order).alias(f"__{n}")
+        if isinstance(on, str):
+            rest = out.where(~reduce(Column.__or__, found, F.lit(False))).select(*queries.columns)
+            first = rest.alias("q").join(candidates.alias("c"), F.expr(on)).groupBy(F.col(f"q.{key}").alias("__key"))
+            first, same = first.agg(F.min_by(F.struct(*(F.col(f"c.{c}") for c in candidates.columns)), F.col(f"c.{order}")).alias(f"__{n}")), F.col(key)
+        else:
+            first, same = candidates.groupBy(on.alias("__key")).agg(best), F.col(term)
+        out = out.join(first, same == F.col("__key"), "left").drop("__key")
+        found.append(F.col(f"__{n}").isNotNull())
+    pick = lambda values: F.coalesce(*(F.when(f, v) for f, v in zip(found, values, strict=True)))
+    match = pick([F.col(f"__{n}") for n in range(len(tiers))])
+    columns = [match[c].alias(f"match_{c}") for c in tiers[0][0].columns]
+    return out.where(match.isNotNull()).select(*queries.columns, *columns, pick([F.lit(n + 1) for n in range(len(tiers))]).alias("tier"), pick([F.lit(x) for *_, x in tiers]).alias("tier_name"))
 
 
 def match_decisions(refs: DataFrame, catalogue: DataFrame) -> DataFrame:

@@ -12,18 +12,19 @@ from quern.plans.base import table
 
 
 def existing_by_cascade(spark, sf_dir) -> DataFrame:
-    """Pages found for search terms: by exact address, by address part, by title-like part of the html, in this order."""
+    """Pages found for search terms, one made of each page: by exact address, else by host."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    terms = table(spark, sf_dir, "pages").where("page_id % 10 = 0").select("page_id", F.when(F.col("page_id") % 20 == 0, F.col("url")).otherwise(F.regexp_extract("url", "//([^/]*)", 1)).alias("term"))
-    tiers = [(pages, "q.term = c.url", "exact"), (pages.withColumn("host", F.regexp_extract("url", "//([^/]*)", 1)).drop("host"), "regexp_extract(c.url, '//([^/]*)', 1) = q.term", "host")]
-    return cascade(terms, "page_id", tiers, "page_id").select("page_id", "tier", "tier_name", "match_page_id")
+    host = F.regexp_extract("url", "//([^/]*)", 1)
+    terms = pages.select("page_id", F.when(F.col("page_id") % 20 == 0, F.col("url")).otherwise(host).alias("term"))
+    return cascade(terms, "page_id", "term", [(pages, F.col("url"), "exact"), (pages, host, "host")], "page_id").select("page_id", "tier", "tier_name", "match_page_id")
 
 
 SQL_CASCADE = """
-with q as (select page_id, case when page_id % 20 = 0 then url else regexp_extract(url, '//([^/]*)', 1) end as term from pages where page_id % 10 = 0),
-h as (select q.page_id, 1 as tier, 'exact' as tier_name, p.page_id as match_page_id from q join pages p on q.term = p.url
-  union all select q.page_id, 2, 'host', p.page_id from q join pages p on regexp_extract(p.url, '//([^/]*)', 1) = q.term)
-select page_id, tier, tier_name, match_page_id from (select *, row_number() over (partition by page_id order by tier, match_page_id) as nth from h) where nth = 1
+with p as (select page_id, url, regexp_extract(url, '//([^/]*)', 1) as host from pages),
+q as (select page_id, case when page_id % 20 = 0 then url else host end as term from p),
+e as (select url as k, min(page_id) as m from p group by url), h as (select host as k, min(page_id) as m from p group by host)
+select page_id, case when e.m is not null then 1 else 2 end as tier, case when e.m is not null then 'exact' else 'host' end as tier_name, coalesce(e.m, h.m) as match_page_id
+from q left join e on e.k = q.term left join h on h.k = q.term where e.m is not null or h.m is not null
 """
 
 

@@ -71,33 +71,39 @@ def index_detection(spark, sf_dir) -> DataFrame:
     return index_headings(lines, _numbered(lines), share=0.6).select("doc", "line_no", "number", "type", "is_index")
 
 
-SQL_INDEX = rf"""
-with {_LINES}, {_NUMBERED},
+_INDEX = r"""
 p as (select *, lag(number) over w as pn, lag(type) over w as pt from h window w as (partition by doc order by line_no)),
 g as (select *, case when number >= 1 then sum(case when pn >= 1 and pt = type and number > pn and number <= pn + 2 then 0 else 1 end) over (partition by doc order by line_no) end as run from p),
-f as (select doc, line_no, sum(case when regexp_matches(line, '\S') then 1 else 0 end) over (partition by doc order by line_no) as filled, count(*) over (partition by doc) as n from l),
-j as (select g.*, f.filled, f.n, f.filled - lag(f.filled) over (partition by g.doc, g.type, g.run order by g.line_no) - 1 as gap from g join f using (doc, line_no))
-select doc, line_no, number, type, coalesce(run is not null and count(*) over w >= 2 and max(line_no) over w <= floor(n * 0.6::double) and avg(gap) over w < 2.5, false) as is_index
-from j window w as (partition by doc, type, run)
-"""
+c as (select doc, line_no, sum(case when regexp_matches(line, '\S') then 1 else 0 end) over (partition by doc order by line_no) as filled, count(*) over (partition by doc) as n from l),
+j as (select g.*, c.filled, c.n, c.filled - lag(c.filled) over (partition by g.doc, g.type, g.run order by g.line_no) - 1 as gap from g join c using (doc, line_no)),
+x as (select *, coalesce(run is not null and count(*) over w >= 2 and max(line_no) over w <= floor(n * 0.6::double) and avg(gap) over w < 2.5, false) as is_index from j window w as (partition by doc, type, run))"""
+SQL_INDEX = f"with {_LINES}, {_NUMBERED}, {_INDEX} select doc, line_no, number, type, is_index from x"
 
 
 def segment_content(spark, sf_dir) -> DataFrame:
     lines = _lines(spark, sf_dir)
-    return segments(lines, sequences(_numbered(lines))).select("doc", "title", "article_num", "sequence", "start_line", "end_line", F.md5("content").alias("digest"))
-
-
-SQL_SEGMENTS = f"""
-with {_LINES}, {_NUMBERED},
-p as (select *, lag(number) over w as pn, lag(type) over w as pt from h window w as (partition by doc order by line_no)),
-g as (select *, case when number >= 1 then sum(case when pn >= 1 and pt = type and number > pn and number <= pn + 2 then 0 else 1 end) over (partition by doc order by line_no) end as run from p),
-s as (select *, count(*) over (partition by doc, run) as n from g where run is not null),
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), F.split("text", "\n").alias("lines"))
+    found = index_headings(lines, _numbered(lines), share=0.6)
+    out = segments(docs, sequences(found.where("not is_index")), found.where("is_index"))
+    return out.select("doc", "title", "article_num", "sequence", "start_line", "end_line", F.md5("content").alias("digest"))
+
+
+SQL_SEGMENTS = rf"""
+with {_LINES}, {_NUMBERED}, {_INDEX},
+hi as (select doc, line_no, text, number, type from x where not is_index),
+p2 as (select *, lag(number) over w as pn, lag(type) over w as pt from hi window w as (partition by doc order by line_no)),
+g2 as (select *, case when number >= 1 then sum(case when pn >= 1 and pt = type and number > pn and number <= pn + 2 then 0 else 1 end) over (partition by doc order by line_no) end as run from p2),
+s as (select *, count(*) over (partition by doc, run) as n from g2 where run is not null),
 a as (select doc, line_no, text, number, chr(64 + (dense_rank() over (partition by doc order by run))::int) as sequence from s where n >= 2),
 e as (select doc, max(line_no) + 1 as n from l group by doc),
-r as (select a.doc, text as title, number as article_num, sequence, line_no as start_line, coalesce(lead(line_no) over (partition by a.doc order by line_no), e.n) as end_line from a join e on a.doc = e.doc
-  union all select doc, 'Introduction', 0, null, 0, min(line_no) from a group by doc having min(line_no) > 0)
-select r.doc, title, article_num, sequence, start_line, end_line, md5(string_agg(line, chr(10) order by line_no)) as digest
-from r join l on l.doc = r.doc and line_no >= start_line and line_no < end_line group by all
+i as (select doc, min(line_no) as i0, max(line_no) + 1 as i1 from x where is_index group by doc),
+f as (select doc, min(line_no) as first from a group by doc),
+r as (select doc, text as title, number as article_num, sequence, line_no as start_line, line_no + 1 as b0, coalesce(lead(line_no) over (partition by doc order by line_no), n) as end_line from a join e using (doc)
+  union all select doc, 'Index', null, 'INDEX', i0, i0, i1 from i
+  union all select doc, 'Introduction', null, null, coalesce(i1, 0), coalesce(i1, 0), first from f left join i using (doc) where first > coalesce(i1, 0)),
+t as (select r.doc, title, article_num, sequence, start_line, end_line, coalesce(string_agg(line, chr(10) order by l.line_no), '') as content
+  from r left join l on l.doc = r.doc and l.line_no >= b0 and l.line_no < end_line group by all)
+select doc, title, article_num, sequence, start_line, end_line, md5(content) as digest from t where title <> 'Introduction' or sequence is not null or regexp_matches(content, '\S')
 """
 
 
@@ -219,7 +225,7 @@ def number_spans(spark, sf_dir) -> DataFrame:
 
 
 def ranges_in_titles(spark, sf_dir) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").where("o_orderkey <= 500")
+    orders = table(spark, sf_dir, "orders")
     title = F.concat(F.lit("Articles ("), (F.col("o_custkey") % 9).cast("string"), F.lit(" - "), (F.col("o_orderkey") % 11).cast("string"), F.lit(")"))
     return orders.select("o_orderkey", F.size(title_range(title)).alias("n"))
 
@@ -258,5 +264,5 @@ ORACLES = {
     "hierarchy_shape": "select conv_id, (turn % 2)::varchar as part, count(distinct role) as n_chapters, count(*) as n_articles from conversations group by all",
     "tree_reduce": SQL_TREE,
     "article_chunks": SQL_CHUNKED,
-    "title_ranges": "select o_orderkey, greatest(0, o_orderkey % 11 - o_custkey % 9 + 1) as n from orders where o_orderkey <= 500",
+    "title_ranges": "select o_orderkey, greatest(0, o_orderkey % 11 - o_custkey % 9 + 1) as n from orders",
 }

@@ -141,8 +141,8 @@ def citation_extract(spark, sf_dir) -> DataFrame:
 
 
 SQL_CITATIONS = """
-select o_orderkey, 0 as pos, 'Ν. ' || o_custkey || '/' || year(o_orderdate) as full_match, 'Ν.' as type, o_custkey::varchar as number, year(o_orderdate)::int as year from orders where o_orderkey <= 5000
-union all select o_orderkey, 1, 'ΝΌΜΟΥ ' || o_orderkey || ' / 2001', 'ΝΌΜΟΥ', o_orderkey::varchar, 2001 from orders where o_orderkey <= 5000 and o_orderkey % 2 = 0
+select o_orderkey, 0 as pos, 'Ν. ' || o_custkey || '/' || year(o_orderdate) as full_match, 'Ν.' as type, o_custkey::varchar as number, year(o_orderdate)::int as year from orders
+union all select o_orderkey, 1, 'ΝΌΜΟΥ ' || o_orderkey || ' / 2001', 'ΝΌΜΟΥ', o_orderkey::varchar, 2001 from orders where o_orderkey % 2 = 0
 """
 
 
@@ -183,7 +183,7 @@ def json_validated_parse(spark, sf_dir) -> DataFrame:
 
 
 SQL_JSON = """
-with e as (select event_id, event_type, event_id % 2 = 1 and event_id % 5 = 0 as none, event_id % 3 = 0 as more from events where event_id < 2000)
+with e as (select event_id, event_type, event_id % 2 = 1 and event_id % 5 = 0 as none, event_id % 3 = 0 as more from events)
 select event_id, case when not none and not more then event_type end as title, case when not none and not more then 's' end as summary, case when not none and not more then 'a|b|c' end as themes,
   case when not none then 'x' end as kind, case when not none and not more then '• ' || event_type || ' (x): s' end as bullet from e
 """
@@ -219,7 +219,7 @@ def parse_dates(spark, sf_dir) -> DataFrame:
     return o.select("o_orderkey", greek_timestamp(F.when(F.col("o_orderkey") % 10 != 0, text).otherwise("x")).alias("at"))
 
 
-SQL_DATES = "select o_orderkey, case when o_orderkey % 10 <> 0 then date_trunc('day', o_orderdate) + to_hours((o_orderkey % 24)::int) + interval 15 minute end as at from orders where o_orderkey <= 3000"
+SQL_DATES = "select o_orderkey, case when o_orderkey % 10 <> 0 then date_trunc('day', o_orderdate) + to_hours((o_orderkey % 24)::int) + interval 15 minute end as at from orders"
 
 
 def scope_detect(spark, sf_dir) -> DataFrame:
@@ -259,7 +259,7 @@ ORACLES = {
     "accent_fold": "select doc_id, md5(strip_accents(text)) as digest from documents",
     "edit_le1": "select p_partkey, p_brand from part where levenshtein(p_brand, 'Brand#12') <= 1",
     "parse_dates": SQL_DATES,
-    "scope_detect": "select c_custkey, c_custkey % 3 = 0 as purpose, c_custkey % 3 = 1 as object from customer where c_custkey <= 300",
+    "scope_detect": "select c_custkey, c_custkey % 3 = 0 as purpose, c_custkey % 3 = 1 as object from customer",
     "normalize_url": SQL_URL,
     "host_counts": "select lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) as host, count(*) as n from pages group by 1 order by n desc, host limit 20",
     "page_parameter": SQL_PARAMETER,
@@ -269,11 +269,11 @@ ORACLES = {
     "length_budget": SQL_BUDGET,
     "categorize_titles": SQL_CATEGORY,
     "lenient_cast": SQL_CASTS,
-    "extract_year": "select o_orderkey, case when o_orderkey % 3 < 2 then year(o_orderdate)::int end as year from orders where o_orderkey <= 3000",
+    "extract_year": "select o_orderkey, case when o_orderkey % 3 < 2 then year(o_orderdate)::int end as year from orders",
     "status_mapping": SQL_STATUSES,
     "citation_extract": SQL_CITATIONS,
     "quotes_and_names": SQL_QUOTES,
     "json_validated_parse": SQL_JSON,
     "event_properties": "select key, count(*) as n from (select unnest(json_keys(props)) as key from events) group by key",
-    "plan_validation": "select c_custkey, case when c_custkey % 5 = 0 then 1 when c_custkey % 4 in (1, 2) then 0 else 1 end as n_errors from customer where c_custkey <= 200",
+    "plan_validation": "select c_custkey, case when c_custkey % 5 = 0 then 1 when c_custkey % 4 in (1, 2) then 0 else 1 end as n_errors from customer",
 }

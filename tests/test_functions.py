@@ -50,7 +50,7 @@ def test_numerals(spark):
     assert [found[n] for n in (1, 6, 10, 16, 21, 100, 111, 200)] == ["Α", "ΣΤ", "Ι", "ΙΣΤ", "ΚΑ", "Ρ", "ΡΙΑ", "Σ"]
     assert found[90] == found[100] == "Ρ"
     assert one(spark, numerals.greek_to_int(F.col("t")), t="ιστ΄") == 16 and one(spark, numerals.greek_to_int(F.col("t")), t="") == 0
-    for line, want in (("Άρθρο 12", (12, "arabic")), ("## ΆΡΘΡΟ 3. Τίτλος", (3, "arabic")), ("| Άρθρο 7 | x", (7, "arabic")), ("Άρθρο δέκατο τρίτο", (13, "greek_word")), ("Άρθρο Πρώτο – Σκοπός", (1, "greek_word")), ("Άρθρο ένα", None), ("Το άρθρο 5", None)):
+    for line, want in (("Άρθρο 12", (12, "arabic")), ("## ΆΡΘΡΟ 3. Τίτλος", (3, "arabic")), ("| Άρθρο 7 | x", (7, "arabic")), ("Άρθρο δέκατο τρίτο", (13, "greek_word")), ("Άρθρο Πρώτο – Σκοπός", (1, "greek_word")), ("Άρθρο ένα", None), ("Το άρθρο 5", None), ("Άρθρο εκατοστό πρώτο", (101, "greek_word")), ("Άρθρο τριακοσιοστό", (300, "greek_word")), ("Άρθρο διακοσιοστό τριακοστό ένατο – x", (239, "greek_word")), ("Άρθρο εκατοστό δωδέκατο.", (112, "greek_word")), ("Άρθρο χιλιοστό", (1000, "greek_word")), ("Άρθρο πρώτος", None), ("Άρθρο δέκατο – τρίτο", (10, "greek_word"))):
         got = one(spark, numerals.article_heading(F.col("t")), t=line)
         assert (got and tuple(got)) == want, line
 
@@ -88,6 +88,16 @@ def test_citations(spark):
     assert pairs("των ΠΟΛ 12/2020", citations.LAW_OR_DECREE_COMPAT) == [("12", 2020)] and pairs("των ΠΟΛ 12/2020", citations.LAW_OR_DECREE) == []
     assert one(spark, citations.modifies_law(c), t="Στον ν. 1/2020:\n«α\nβ»") and one(spark, citations.modifies_law(c), t="π.δ. 5/2001\n«ολόκληρη γραμμή»\n")
     assert not one(spark, citations.modifies_law(c), t="«α\nβ» ν. 1/2020") and not one(spark, citations.modifies_law(c), t="«α\nβ»")
+    found = lambda t: [(r.id, r.series, r.number, r.year) for r in one(spark, citations.decisions(c), t=t)]
+    assert found("Την υπουργική απόφαση υπ' αριθμ. Δ6/Β/1234 και") == [("Δ6/Β/1234", None, None, None)]
+    assert found("η Κ.Υ.Α. 145447/2011 (ΦΕΚ Β' 1015/2011) ισχύει") == [("145447/2011", "Β'", "1015", 2011)]
+    assert found("με την 145447/2011 ΚΥΑ") == [("145447/2011", None, None, None)] and found("παρ. 3 ΚΥΑ 12/2011") == [] and found("απόφαση 12") == []
+    key = lambda n, d: tuple(spark.createDataFrame([(n, d)], "n string, d string").select(citations.decree_key(F.col("n"), F.col("d")).alias("x")).first().x)
+    assert [key(" 12 ", "2001-03-04"), key(None, "έτος 1998."), key("3", None), key("3", "x")] == [("12", 2001), ("", 1998), ("3", 0), ("3", 0)]
+    full = spark.createDataFrame([("[α.ν. 5 / 1936, (Α' 12)]",)], "t string").select(F.explode(citations.matches(F.col("t"), citations.LAW, {"type": 1, "number": 2, "year": 3, "series": 4, "gazette": 5})).alias("x")).first().x
+    assert tuple(full) == ("α.ν.", "5", "1936", "Α'", "12")
+    dated = spark.createDataFrame([("π.δ. της 28ης Ιουλιου2 1931",)], "t string").select(F.explode(citations.matches(F.col("t"), citations.PRESIDENTIAL_DECREE, {"day": 4, "month": 5, "year": 8})).alias("x")).first().x
+    assert tuple(dated) == ("28ης", "Ιουλιου2", "1931")
     assert tuple(one(spark, citations.gazette_title(c), t="ΦΕΚ Α 123/12.03.2010")) == ("Α", 123, 2010)
 
 

@@ -171,18 +171,29 @@ def test_runs(spark):
 def test_segments(spark):
     text = ["intro", "Άρθρο 1", "a", "", "Άρθρο 2", "b", "Άρθρο 9"]
     lines = spark.createDataFrame([(1, k, x) for k, x in enumerate(text)], "doc int, line_no int, line string")
-    got = islands.segments(lines, islands.sequences(islands.headings(lines))).orderBy("start_line").collect()
-    assert [(x.title, x.content, x.article_num) for x in got] == [("Introduction", "intro", 0), ("Άρθρο 1", "Άρθρο 1\na\n", 1), ("Άρθρο 2", "Άρθρο 2\nb\nΆρθρο 9", 2)]
+    docs = spark.createDataFrame([(1, text), (2, ["x", "## ΠΙΝΑΚΑΣ ΠΕΡΙΕΧΟΜΕΝΩΝ ", "Άρθρο 1", "Άρθρο 2", " ", "Άρθρο 1", "a", "Άρθρο 2"]), (3, ["none"])], "doc int, lines array<string>")
+    more = spark.createDataFrame([(2, 5, "Άρθρο 1", 1, "A"), (2, 7, "Άρθρο 2", 2, "A")], "doc int, line_no int, text string, number int, sequence string")
+    accepted = islands.sequences(islands.headings(lines)).select(more.columns).unionByName(more)
+    index = spark.createDataFrame([(2, 2), (2, 3)], "doc int, line_no int")
+    got = islands.segments(docs, accepted, index).orderBy("doc", "start_line").collect()
+    assert [(x.title, x.content, x.article_num, x.sequence) for x in got] == [
+        ("Introduction", "intro", None, None),
+        ("Άρθρο 1", "a\n", 1, "A"),
+        ("Άρθρο 2", "b\nΆρθρο 9", 2, "A"),
+        ("## ΠΙΝΑΚΑΣ ΠΕΡΙΕΧΟΜΕΝΩΝ", "## ΠΙΝΑΚΑΣ ΠΕΡΙΕΧΟΜΕΝΩΝ \nΆρθρο 1\nΆρθρο 2", None, "INDEX"),
+        ("Άρθρο 1", "a", 1, "A"),
+        ("Άρθρο 2", "", 2, "A"),
+    ]
     assert spark.range(1).select(islands.title_range(F.lit("Άρθρα ( 3 – 6 )")).alias("x")).first().x == [3, 4, 5, 6]
     m = spark.createDataFrame([(1, 2, 5, False, False), (1, 2, 9, True, True), (1, 2, 12, True, False), (1, 3, 1, True, False)], "doc int, number int, pos int, line_start boolean, quoted boolean")
     assert [(x.number, x.pos) for x in islands.best_mentions(m, spark.createDataFrame([(1, 2)], "doc int, number int")).collect()] == [(2, 12)]
 
 
 def test_sections(spark):
-    titles = [(1, 1, "ΜΕΡΟΣ Α΄ ΓΕΝΙΚΑ"), (1, 2, "Άρθρο 1 – Σκοπός"), (1, 3, "ΚΕΦΑΛΑΙΟ Α΄ – Ορισμοί"), (1, 4, "ΜΕPOΣ Β' ΚΕΦΑΛΑΙΟ Α' x"), (1, 5, "Άρθρο 7 ΜΕΡΟ Γ"), (1, 6, "στο Μέρος Δ του ν."), (2, 1, "Άρθρο"), (2, 2, "Κεφάλαιο ΣΤ΄ – x")]
+    titles = [(1, 1, "ΜΕΡΟΣ Α΄ ΓΕΝΙΚΑ"), (1, 2, "Άρθρο 1 – Σκοπός"), (1, 3, "ΚΕΦΑΛΑΙΟ Α΄ – Ορισμοί"), (1, 4, "ΜΕPOΣ Β' ΚΕΦΑΛΑΙΟ Α' x"), (1, 5, "Άρθρο 7 ΜΕΡΟ Γ"), (1, 6, "στο Μέρος Δ του ν."), (2, 1, "Άρθρο"), (2, 2, "Κεφάλαιο ΣΤ΄ – x"), (3, 1, "ΜΕΡΟΣ ΠΡΩΤΟ Γενικά"), (3, 2, "Κεφάλαιο δέκατο τρίτο: x"), (3, 3, "ΜΕΡΟΣ ΔΕΥΤΕΡΟ ΚΕΦΑΛΑΙΟ ΠΡΩΤΟ")]
     df = spark.createDataFrame(titles, "consultation_id int, id int, title string")
     got = [(x.consultation_id, x.id, x.part, x.chapter) for x in sections.parse_titles(df).orderBy("consultation_id", "id").collect()]
-    assert got == [(1, 1, "Α'", None), (1, 2, "Α'", None), (1, 3, "Α'", "Α'"), (1, 4, "Β'", "Α'"), (1, 5, "Γ'", None), (1, 6, "Γ'", None), (2, 1, None, None), (2, 2, None, "ΣΤ'")]
+    assert got == [(1, 1, "Α'", None), (1, 2, "Α'", None), (1, 3, "Α'", "Α'"), (1, 4, "Β'", "Α'"), (1, 5, "Γ'", None), (1, 6, "Γ'", None), (2, 1, None, None), (2, 2, None, "ΣΤ'"), (3, 1, "Α'", None), (3, 2, "Α'", "ΙΓ'"), (3, 3, "Β'", "Α'")]
     numbers = spark.createDataFrame([(1, 1, 2, 1), (1, 2, 2, 1), (1, 3, 3, 2), (1, 4, 5, None), (2, 1, 1, 1), (2, 2, 1, 2)], "g int, o int, p int, c int")
     assert [x.problem for x in sections.continuity(numbers, "g", "o", "p", "c").orderBy("o", "problem").collect()] == ["parts start with 2", "chapters start with 2", "part 3 is followed by 5"]
     assert {x.g: x.status for x in sections.continuity_summary(numbers, "g", "o", "p", "c").collect()} == {1: "issues", 2: "ok"}
@@ -194,7 +205,7 @@ def test_matching(spark):
     assert {tuple(x) for x in relational.match_decisions(refs, cat).collect()} == {(1, 10), (2, 10)}
     q = spark.createDataFrame([(1, "u1"), (2, "x")], "k int, term string")
     c = spark.createDataFrame([(5, "u1"), (6, "axb"), (7, "xx")], "id int, url string")
-    got = relational.cascade(q, "k", [(c, "q.term = c.url", "exact"), (c, "contains(c.url, q.term)", "part")], "id").collect()
+    got = relational.cascade(q, "k", "term", [(c, F.col("url"), "exact"), (c, "contains(c.url, q.term)", "part")], "id").collect()
     assert {(x.k, x.match_id, x.tier_name) for x in got} == {(1, 5, "exact"), (2, 6, "part")}
 
 
