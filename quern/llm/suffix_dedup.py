@@ -10,7 +10,7 @@ stands. Three steps find all of them, and nothing but them:
    other segment has are unique and go.
 2. Equal segments of a gram are all repeats; one of each kind represents them.
 3. What differs goes through the column-wise construction: the segments of a
-   gram are laid on top of each other at the gram, written as one file per
+   group are laid on top of each other at the gram, written as one file per
    batch with a column per record, and read back from the last column to the
    first. Each round puts one symbol in front of every segment, sorts the
    suffixes by symbol in their old order and carries the common prefixes of
@@ -21,7 +21,11 @@ stands. Three steps find all of them, and nothing but them:
    be read once per round, which is the square of the length).
 
 A gram with more than ``max_group`` different segments would be too much for
-one task; its strings of MIN bytes are counted one by one by digest instead.
+one task. A string of MIN bytes over the gram has at least half of its other
+bytes after the gram or before it, so the group falls apart, without loss, into
+groups of those that have the same bytes there; what is still large is halved
+again. After LEVELS halvings a group has nearly a whole string in common, and
+the few strings over that part are counted one by one by 128-bit digest.
 
 Defined cases: null and short texts have nothing removed; rows that repeat id
 and text are documents of their own and repeats of each other; overlapping
@@ -33,6 +37,7 @@ from __future__ import annotations
 import hashlib
 import tempfile
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,13 +45,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HOT_SHARE, hot_keys, salted_join, text_of, written
+from .common import hot_keys, salted_join, text_of, written
 from .decontaminate import merged
 from .kernels import U, _view, blocks, column_bytes, mix64, padded
 
 MIN, GRAM = 400, 32
-MAX_GROUP = 16_384
+#: Contents of a group that are compared in one task, and how often a larger group is halved.
+MAX_GROUP, LEVELS = 256, 3
 BATCH = 8_192
+#: No column.
+NONE = -(1 << 62)
 #: Longest stretch of starts that is looked at in one go; fits the bits left for places.
 STRETCH = 1 << 19
 _PLACE = 20
@@ -106,52 +114,97 @@ def segments_of(buf: np.ndarray, offsets: np.ndarray, min_bytes: int = MIN) -> d
     return {k: np.concatenate([np.zeros(0, np.int64), *v]) for k, v in out.items()}
 
 
-def repeated_starts(texts: list[bytes], leads: np.ndarray, groups: np.ndarray, min_bytes: int = MIN) -> tuple[np.ndarray, np.ndarray]:
+class Columns:
+    """Segments laid on top of each other at their anchors, in a file that is read column by column from the last one on.
+
+    Rows are added in the order of their numbers and held in memory only up to
+    a block of them, which is written turned round.
+    """
+
+    ROWS = 512
+
+    def __init__(self) -> None:
+        self.file = tempfile.TemporaryFile()  # noqa: SIM115
+        self.blocks: list[tuple[int, int, int, int]] = []  # rows, first column, column after the last, place
+        self.low: list[int] = []
+        self.high: list[int] = []
+        self.open: list[bytes] = []
+
+    def __enter__(self) -> Columns:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.file.close()
+
+    def add(self, text: bytes, lead: int) -> None:
+        self.low.append(-lead)
+        self.high.append(len(text) - lead)
+        self.open.append(text)
+        if len(self.open) == self.ROWS:
+            self.write()
+
+    def write(self) -> None:
+        n = len(self.open)
+        if not n:
+            return
+        low, high = self.low[-n:], self.high[-n:]
+        first, stop = min(low), max(high)
+        table = np.zeros((n, stop - first), np.uint8)
+        for i, t in enumerate(self.open):
+            table[i, low[i] - first : high[i] - first] = np.frombuffer(t, np.uint8)
+        self.blocks.append((n, first, stop, self.file.tell()))
+        np.ascontiguousarray(table.T[::-1]).tofile(self.file)
+        self.open = []
+
+    def symbols(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Each column with its symbols (1 and up; 0 where a row has none), last column first."""
+        self.write()
+        low, high = np.array(self.low), np.array(self.high)
+        for c in range(int(high.max()) - 1, int(low.min()) - 1, -1):
+            column = np.zeros(len(low), np.int64)
+            at = 0
+            for n, first, stop, place in self.blocks:
+                if first <= c < stop:
+                    self.file.seek(place + (stop - 1 - c) * n)
+                    column[at : at + n] = np.frombuffer(self.file.read(n), np.uint8)
+                at += n
+            yield c, np.where((low <= c) & (c < high), column + 1, 0)
+
+
+def repeated_starts(columns: Columns, groups: np.ndarray, min_bytes: int = MIN) -> tuple[np.ndarray, np.ndarray]:
     """Column-wise construction over segments laid on top of each other at their anchors.
 
     ``groups`` are ascending numbers. Returns the first and last start of each
     segment that has ``min_bytes`` bytes in common with a segment of its group
     at the same column; -1 where there is none.
     """
-    m = len(texts)
-    size = np.array([len(t) for t in texts])
-    low = leads.max() - leads  # first column of each
-    high = low + size
-    width = int(high.max())
-    first, last = np.full(m, -1), np.full(m, -1)
-    with tempfile.TemporaryFile() as columns:
-        table = np.zeros((m, width), np.uint8)
-        for i, t in enumerate(texts):
-            table[i, low[i] : high[i]] = np.frombuffer(t, np.uint8)
-        np.ascontiguousarray(table.T[::-1]).tofile(columns)
-        del table
-        columns.seek(0)
-        order, common = np.arange(m), np.zeros(m + 1, np.int64)
-        group = groups.astype(np.int64)
-        for c in range(width - 1, -1, -1):
-            column = np.frombuffer(columns.read(m), np.uint8)
-            symbol = np.where((low <= c) & (c < high), column.astype(np.int64) + 1, 0)
-            key = group * 257 + symbol[order]
-            rank = np.argsort(key, kind="stable") if (key[1:] < key[:-1]).any() else np.arange(m)
-            key, order = key[rank], order[rank]
-            a, b = rank[:-1], rank[1:]
-            same = (key[1:] == key[:-1]) & (key[1:] % 257 > 0)
-            new = np.zeros(m + 1, np.int64)
-            near = np.flatnonzero(same & (b == a + 1))
-            new[near + 1] = common[b[near]] + 1
-            far = np.flatnonzero(same & (b != a + 1))
-            if len(far):
-                cuts = np.empty(2 * len(far), np.int64)
-                cuts[0::2], cuts[1::2] = a[far] + 1, b[far] + 1
-                new[far + 1] = np.minimum.reduceat(common, cuts)[0::2] + 1
-            common = new
-            hit = np.flatnonzero(common[:m] >= min_bytes)
-            if len(hit):
-                rows = np.concatenate([order[hit], order[hit - 1]])
-                first[rows] = c
-                fresh = rows[last[rows] < 0]
-                last[fresh] = c
-    return np.where(first >= 0, first - low, -1), np.where(last >= 0, last - low, -1)
+    m = len(groups)
+    first, last = np.full(m, NONE), np.full(m, NONE)
+    order, common = np.arange(m), np.zeros(m + 1, np.int64)
+    group = groups.astype(np.int64)
+    for c, symbol in columns.symbols():
+        key = group * 257 + symbol[order]
+        rank = np.argsort(key, kind="stable") if (key[1:] < key[:-1]).any() else np.arange(m)
+        key, order = key[rank], order[rank]
+        a, b = rank[:-1], rank[1:]
+        same = (key[1:] == key[:-1]) & (key[1:] % 257 > 0)
+        new = np.zeros(m + 1, np.int64)
+        near = np.flatnonzero(same & (b == a + 1))
+        new[near + 1] = common[b[near]] + 1
+        far = np.flatnonzero(same & (b != a + 1))
+        if len(far):
+            cuts = np.empty(2 * len(far), np.int64)
+            cuts[0::2], cuts[1::2] = a[far] + 1, b[far] + 1
+            new[far + 1] = np.minimum.reduceat(common, cuts)[0::2] + 1
+        common = new
+        hit = np.flatnonzero(common[:m] >= min_bytes)
+        if len(hit):
+            rows = np.concatenate([order[hit], order[hit - 1]])
+            first[rows] = c
+            fresh = rows[last[rows] == NONE]
+            last[fresh] = c
+    low = np.array(columns.low)
+    return np.where(first != NONE, first - low, -1), np.where(last != NONE, last - low, -1)
 
 
 _SEGMENT = "key binary, start int, n int, lead int, anchor long, c1 long, c2 long"
@@ -190,88 +243,110 @@ def _bytes_of(rows: DataFrame, wanted: DataFrame, min_bytes: int) -> DataFrame:
     return wanted.join(rows, "key").select("segs", "text").mapInArrow(run, "anchor long, c1 long, c2 long, copies long, n int, lead int, body binary")
 
 
-def _compared(bodies: DataFrame, hot: DataFrame, min_bytes: int, max_group: int) -> DataFrame:
-    """(c1, c2, lo, hi): the repeated part of each content; and, with hi null, the contents of groups of over ``max_group``.
+_BODY = "group long, c1 long, c2 long, n int, lead int, body binary, before int, after int"
+_PART = "c1 long, c2 long, lo int, hi int"
 
-    Groups known to be larger (``hot``) are dealt over all tasks, which hand
-    them on; others that turn out larger are handed on as they are read.
-    """
+
+def _parts(found: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
+    cols = list(zip(*found, strict=True)) or [[]] * 4
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], ["c1", "c2", "lo", "hi"])
+
+
+def _compared(bodies: DataFrame, min_bytes: int) -> DataFrame:
+    """(c1, c2, lo, hi): the repeated part of each content that shares a string with another one of its group. Groups are whole in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready: list[dict] = []
-        held: list[dict] = []  # the open group
-        hot_rows: list[dict] = []
-        over = False
-
-        def flush(rows: list[dict]) -> pa.RecordBatch | None:
-            groups = np.unique(np.array([r["anchor"] for r in rows]), return_inverse=True)[1]
-            by = np.argsort(groups, kind="stable")
-            rows, groups = [rows[i] for i in by], groups[by]
-            first, last = repeated_starts([r["body"] for r in rows], np.array([r["lead"] for r in rows]), groups, min_bytes)
-            hits = [(r["c1"], r["c2"], int(a), int(b) + min_bytes) for r, a, b in zip(rows, first, last, strict=True) if a >= 0]
-            return pack([(*x, None) for x in hits])
-
-        def pack(found: list[tuple]) -> pa.RecordBatch:
-            kind = pa.struct([("anchor", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("n", pa.int32()), ("lead", pa.int32()), ("body", pa.binary())])
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), kind]
-            cols = list(zip(*found, strict=True)) or [[]] * 5
-            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], ["c1", "c2", "lo", "hi", "left"])
-
-        def spill(rows: list[dict]) -> pa.RecordBatch:
-            return pack([(r["c1"], r["c2"], None, None, {k: r[k] for k in ("anchor", "c1", "c2", "n", "lead", "body")}) for r in rows])
+        spool, of, names, group = Columns(), [], [], None
+
+        def flush() -> pa.RecordBatch:
+            with spool:
+                first, last = repeated_starts(spool, np.array(of), min_bytes)
+            return _parts([(*x, int(a), int(b) + min_bytes) for x, a, b in zip(names, first, last, strict=True) if a >= 0])
 
         for batch in batches:
+            for row in zip(*(batch.column(x).to_pylist() for x in ("group", "c1", "c2", "lead", "body")), strict=True):
+                if row[0] != group:
+                    if len(of) >= BATCH:
+                        yield flush()
+                        spool, of, names = Columns(), [], []
+                    group = row[0]
+                    number = of[-1] + 1 if of else 0
+                of.append(number)
+                names.append(row[1:3])
+                spool.add(row[4], row[3])
+        if of:
+            yield flush()
+
+    dealt = bodies.repartition("group").sortWithinPartitions("group")
+    return dealt.select("group", "c1", "c2", "lead", "body").mapInArrow(run, _PART)
+
+
+def _halved(bodies: DataFrame, min_bytes: int) -> DataFrame:
+    """``bodies`` in smaller groups, in up to two each.
+
+    All of a group have the gram and ``before`` and ``after`` bytes around it in
+    common. A string of MIN bytes over these takes at least half of its other
+    bytes after them or before them; two contents that share it meet in the
+    group of what is there.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [x.split()[0] for x in _BODY.split(", ")]
+        for batch in batches:
+            out = []
             for row in batch.to_pylist():
-                if row["hot"]:
-                    hot_rows.append(row)
-                    if len(hot_rows) >= 256:
-                        yield spill(hot_rows)
-                        hot_rows = []
-                    continue
-                if held and held[0]["anchor"] != row["anchor"]:
-                    if not over:
-                        ready += held
-                    held, over = [], False
-                    if len(ready) >= BATCH:
-                        yield flush(ready)
-                        ready = []
-                held.append(row)
-                if over or len(held) > max_group:
-                    yield spill(held[1:] if over else held)
-                    held, over = held[:1], True
-        if hot_rows:
-            yield spill(hot_rows)
-        if held and not over:
-            ready += held
-        if ready:
-            yield flush(ready)
-
-    left = "struct<anchor:long,c1:long,c2:long,n:int,lead:int,body:binary>"
-    flagged = bodies.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "anchor", "left")
-    flagged = flagged.withColumn("salt", F.when(F.col("hot"), F.xxhash64("c1", "c2")).otherwise(0))
-    dealt = flagged.repartition("anchor", "salt").sortWithinPartitions("hot", "anchor", "c1", "c2")
-    return dealt.select("anchor", "c1", "c2", "n", "lead", "body", "hot").mapInArrow(run, f"c1 long, c2 long, lo int, hi int, left {left}")
+                half = (min_bytes - GRAM - row["before"] - row["after"] + 1) // 2
+                body, a, b = row["body"], row["lead"] - row["before"], row["lead"] + GRAM + row["after"]
+                seed = row["group"] & (2**64 - 1)
+                if b + half <= len(body):
+                    out.append(row | {"group": xxhash.xxh3_64_intdigest(b"a" + body[b : b + half], seed) - 2**63, "after": row["after"] + half})
+                if a >= half:
+                    out.append(row | {"group": xxhash.xxh3_64_intdigest(b"b" + body[a - half : a], seed) - 2**63, "before": row["before"] + half})
+            types = [batch.schema.field(x).type for x in names]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in zip(names, types, strict=True)], names)
+
+    return bodies.select(*(x.split()[0] for x in _BODY.split(", "))).mapInArrow(run, _BODY)
+
+
+def _sized(bodies: DataFrame, total: int) -> DataFrame:
+    """``bodies`` with the number of contents of their groups; those alone in theirs go."""
+    sizes = written(bodies.groupBy("group").agg(F.count("*").alias("times")).where("times > 1"), "group-sizes")
+    return salted_join(bodies, sizes, "group", hot_keys(sizes, "group", "times", total), F.xxhash64("c1", "c2"))
 
 
 def _counted(left: DataFrame, min_bytes: int) -> DataFrame:
-    """(c1, c2, lo, hi) for contents of groups too large to compare: equal strings at one place of a gram by digest."""
+    """(c1, c2, lo, hi) for contents of groups that stay large, which have nearly a whole string in common: the few strings over it are counted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 body = memoryview(row["body"])
-                digests = b"".join(xxhash.xxh3_128_digest(body[s : s + min_bytes], seed=row["anchor"] & (2**64 - 1)) for s in range(row["n"]))
+                starts = np.arange(max(0, row["lead"] + GRAM + row["after"] - min_bytes), min(row["n"] - 1, row["lead"] - row["before"]) + 1)
+                digests = b"".join(xxhash.xxh3_128_digest(body[s : s + min_bytes], seed=row["group"] & (2**64 - 1)) for s in starts.tolist())
                 pair = np.frombuffer(digests, np.int64).reshape(-1, 2)
-                starts = np.arange(row["n"])
-                cols = [np.full(row["n"], row["c1"]), np.full(row["n"], row["c2"]), starts, starts - row["lead"], pair[:, 0], pair[:, 1]]
+                cols = [np.full(len(starts), row["c1"]), np.full(len(starts), row["c2"]), starts, starts - row["lead"], pair[:, 0], pair[:, 1]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["c1", "c2", "s", "col", "d1", "d2"])
 
-    windows = written(left.mapInArrow(run, "c1 long, c2 long, s long, col long, d1 long, d2 long"), "windows")
+    windows = written(left.select(*(x.split()[0] for x in _BODY.split(", "))).mapInArrow(run, "c1 long, c2 long, s long, col long, d1 long, d2 long").distinct(), "windows")
     key = ["col", "d1", "d2"]
     counts = written(windows.groupBy(*key).agg(F.count("*").alias("times")), "window-counts")
     total = counts.agg(F.sum("times")).first()[0] or 0
     twice = salted_join(windows, counts.where("times > 1"), key, hot_keys(counts, key, "times", total), F.xxhash64("c1", "c2"))
-    return twice.groupBy("c1", "c2").agg(F.min("s").cast("int").alias("lo"), (F.max("s") + min_bytes).cast("int").alias("hi"))
+    return twice.select("c1", "c2", F.col("s").cast("int").alias("lo"), (F.col("s") + min_bytes).cast("int").alias("hi"))
+
+
+def _narrowed(bodies: DataFrame, min_bytes: int, max_group: int) -> list[DataFrame]:
+    """(c1, c2, lo, hi) of contents in groups of over ``max_group``, which are halved until they are small or have nearly a whole string in common."""
+    found = []
+    for level in range(LEVELS):
+        total = bodies.count()
+        sized = written(_sized(_halved(bodies, min_bytes), 2 * total), f"halves{level}")
+        small, bodies = sized.where(F.col("times") <= max_group), sized.where(F.col("times") > max_group).drop("times")
+        found.append(written(_compared(small, min_bytes), "compared-halves"))
+        if bodies.isEmpty():
+            return found
+    return [*found, _counted(bodies, min_bytes)]
 
 
 def repeated_spans(rows: DataFrame, min_bytes: int = MIN, max_group: int = MAX_GROUP) -> DataFrame:
@@ -291,14 +366,21 @@ def repeated_spans(rows: DataFrame, min_bytes: int = MIN, max_group: int = MAX_G
     one = F.struct("key", "start", "n", "lead", "anchor")
     contents = unlike.groupBy("c1", "c2").agg(F.count("*").alias("copies"), F.min(one).alias("one"))
     contents = written(contents.select("c1", "c2", "copies", "one.*"), "contents")
-    wanted = contents.groupBy("key").agg(F.collect_list(F.struct("start", "n", "lead", "anchor", "c1", "c2", "copies")).alias("segs"))
-    sizes = contents.groupBy("anchor").agg(F.count("*").alias("n"))
-    large = sizes.where(F.col("n") > max(max_group, int(contents.count() * HOT_SHARE))).select("anchor")  # 1 / HOT_SHARE at most
-    found = written(_compared(_bytes_of(rows, wanted, min_bytes), large, min_bytes, max_group), "compared")
-    parts = found.where("hi is not null").select("c1", "c2", "lo", "hi")
-    left = found.where("hi is null").select("left.*")
-    if not left.isEmpty():
-        parts = parts.unionByName(_counted(left, min_bytes))
+    sizes = contents.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > max_group)
+    sizes = written(sizes, "large-groups")
+    some, n_large = sizes.count(), sizes.agg(F.sum("n")).first()[0] or 0
+    if some:
+        marked = salted_join(contents, sizes.select("anchor", F.lit(True).alias("large")), "anchor", hot_keys(sizes, "anchor", "n", n_large), F.xxhash64("c1", "c2"), "left")
+    else:
+        marked = contents.withColumn("large", F.lit(None).cast("boolean"))
+    seg = F.collect_list(F.struct("start", "n", "lead", "anchor", "c1", "c2", "copies"))
+    wanted = lambda large: marked.where(F.col("large").isNotNull() if large else F.col("large").isNull()).groupBy("key").agg(seg.alias("segs"))
+    bodies = lambda large: _bytes_of(rows, wanted(large), min_bytes).withColumnRenamed("anchor", "group")
+    found = [written(_compared(bodies(False), min_bytes), "compared")]
+    if some:
+        large = bodies(True).withColumns({"before": F.lit(0), "after": F.lit(0)})
+        found += _narrowed(written(large, "large-bodies"), min_bytes, max_group)
+    parts = reduce(DataFrame.unionByName, found)
     parts = parts.groupBy("c1", "c2").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     parts = contents.join(parts, ["c1", "c2"], "left").where("copies > 1 or hi is not null")
     parts = parts.select("c1", "c2", F.when(F.col("copies") > 1, 0).otherwise(F.col("lo")).alias("lo"), F.when(F.col("copies") > 1, whole).otherwise(F.col("hi")).alias("hi"))
