@@ -4,6 +4,8 @@ A page is cut into blocks at block elements. The first pass judges each block
 by itself: link density, length and stop-word density make it good, near good,
 short or bad; the element around it may say that it is boilerplate (menus,
 footers, forms, adverts, comments and the like) or that it is in the article.
+In an article a composed name, such as related-posts, only hints at boilerplate:
+long prose without links stays.
 The second pass gives short and near-good blocks the label of their nearest
 decided neighbours.
 
@@ -13,7 +15,8 @@ kept only if it is near good. A block without any decided neighbour is kept.
 
 Defined cases: null and empty html give an empty text. Elements and comments
 that never end, tags cut off by the end of the page and unknown entities are
-coped with; no block is dropped for its position or length alone. Further
+coped with; no block is dropped for its position or length alone. A page in a
+language without stop words here is judged by length and links. Further
 columns are ignored.
 """
 
@@ -33,6 +36,8 @@ from .common import text_of
 SHORT, LONG = 70, 200
 STOP_LOW, STOP_HIGH = 0.30, 0.32
 MAX_LINKS = 0.2
+#: A page of which a smaller share of words are stop words is in another language.
+LEAST_KNOWN = 0.05
 
 #: Frequent function words.
 STOP_WORDS = frozenset(
@@ -62,35 +67,59 @@ RAW = frozenset("script style textarea title noscript iframe noframes template".
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BOILERPLATE = frozenset("nav footer aside form menu dialog search fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
-#: First parts of class names and ids of boilerplate.
+#: Class names and ids of boilerplate: alone, as the last part of a name, or before a part that names a box.
 NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer disqus "
     "footer header login masthead menu modal nav navbar navigation newsletter notice notification pager pagination popup promo promoted promotion "
     "recommended related respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+#: Last parts of names that say what kind of box it is.
+BOXES = frozenset(
+    "area bar block box btn button buttons card cell column container content cta feed form frame group holder icon icons inner item items label left link "
+    "links list main message module nav notice outer overlay panel placement post posts right row section slot strip text title top unit widget wrap wrapper zone".split()
+)
 CLOSED_BY = {"p": BLOCKS - {"html", "body"}, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "option": frozenset(["option"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"])}
-_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]{0,65536}\"|'[^']{0,65536}')*+|[^>]*+)(?:>|\Z)|<[!?][^>]*+(?:>|\Z)|</[^>]*+(?:>|\Z)", re.S)
+#: A quotation in a tag begins after "=" only; one without end counts as plain characters.
+_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*')?)*+)(?:>|\Z)|<[!?][^>]*+(?:>|\Z)|</[^>]*+(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|$)", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
-_NAME_PART = re.compile(r"[a-z]+")
+_NAME_PART = re.compile(r"[a-z]+|[0-9]+")
+_HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 GOOD, NEAR, SHORT_BLOCK, BAD = "good", "near", "short", "bad"
 
 
-def _boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
+def _named(name: str) -> bool | None:
+    """Whether a class name or id says boilerplate by itself; None if it only hints at it."""
+    parts = _NAME_PART.findall(_HUMP.sub("-", name).lower())
+    while len(parts) > 1 and parts[-1].isdigit():
+        parts.pop()
+    if not parts:
+        return False
+    if len(parts) == 1:
+        return parts[0] in NAMES
+    if parts[-1] in NAMES or (parts[0] in NAMES and parts[-1] in BOXES):
+        return None
+    return False
+
+
+def _boilerplate(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is boilerplate, and whether its name hints at it; outside of articles a hint is enough."""
     if tag in BOILERPLATE or (tag == "header" and not in_article):
-        return True
+        return True, False
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return False, False
+    hint = False
     for name, *values in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), next(filter(None, values), "").lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in ROLES):
-            return True
+        name, value = name.lower(), next(filter(None, values), "")
+        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "role" and value.lower() in ROLES):
+            return True, False
         if name in ("class", "id"):
             for token in value.split():
-                first = _NAME_PART.match(token)
-                if first and first[0] in NAMES:
-                    return True
-    return False
+                named = _named(token)
+                if named or (named is None and not in_article):
+                    return True, False
+                hint = hint or named is None
+    return False, hint
 
 
 def _end_of(tag: str) -> re.Pattern[str]:
@@ -98,16 +127,16 @@ def _end_of(tag: str) -> re.Pattern[str]:
 
 
 class Block:
-    __slots__ = ("article", "boilerplate", "label", "linked", "parts", "text")
+    __slots__ = ("article", "boilerplate", "hint", "label", "linked", "parts", "text")
 
-    def __init__(self, boilerplate: bool, article: int):
-        self.boilerplate, self.article, self.parts, self.linked = boilerplate, article, [], 0
+    def __init__(self, boilerplate: bool, article: int, hint: bool = False):
+        self.boilerplate, self.article, self.hint, self.parts, self.linked = boilerplate, article, hint, [], 0
 
 
 def cut(page: str) -> list[Block]:
     """The blocks of a page that hold text, in page order; text has its white space collapsed."""
     blocks: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []  # element, boilerplate, number of the article around it
+    stack: list[tuple[str, bool, int, bool]] = []  # element, boilerplate, number of the article around it, hint of boilerplate
     skip: str | None = None
     inner: Counter[str] = Counter()  # open blocks within the skipped element
     endless: set[str] = set()  # RAW elements that have no end tag from here on
@@ -118,8 +147,8 @@ def cut(page: str) -> list[Block]:
         nonlocal block
         if block.parts:
             blocks.append(block)
-        _, boilerplate, article = stack[-1] if stack else ("", False, 0)
-        block = Block(boilerplate, article)
+        _, boilerplate, article, hint = stack[-1] if stack else ("", False, 0, False)
+        block = Block(boilerplate, article, hint)
 
     def text(a: int, b: int) -> None:
         nonlocal breaks
@@ -196,11 +225,12 @@ def cut(page: str) -> list[Block]:
             while stack and tag in CLOSED_BY.get(stack[-1][0], ()):
                 stack.pop()
             if tag not in VOID:
-                _, boilerplate, article = stack[-1] if stack else ("", False, 0)
+                _, boilerplate, article, hint = stack[-1] if stack else ("", False, 0, False)
                 if tag in ("article", "main") and not article:
                     articles += 1
                     article = articles
-                stack.append((tag, boilerplate or _boilerplate(tag, m[3], article > 0), article))
+                own, hints = _boilerplate(tag, m[3], article > 0)
+                stack.append((tag, boilerplate or own, article, hint or hints))
             links = 0
         end_block()
     text(at, end)
@@ -213,17 +243,23 @@ def cut(page: str) -> list[Block]:
     return out
 
 
-def judge(block: Block) -> str:
-    """First pass: the label of a block by itself."""
+def _density(block: Block) -> float:
+    words = _WORD.findall(block.text.lower())
+    return sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+
+
+def judge(block: Block, known: bool = True) -> str:
+    """First pass: the label of a block by itself; ``known`` is whether the page's language has stop words here."""
     size = len(block.text)
-    if block.boilerplate or block.linked > MAX_LINKS * size and not (block.article and size >= LONG):
+    if block.boilerplate or block.linked > MAX_LINKS * size and not (block.article and size >= LONG and not block.hint):
         return BAD
-    if not block.article and "©" in block.text:
+    if size < LONG and "©" in block.text and not block.article:
         return BAD
     if size < SHORT:
-        return BAD if block.linked and not block.article else SHORT_BLOCK
-    words = _WORD.findall(block.text.lower())
-    density = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+        return BAD if block.hint or (block.linked and not block.article) else SHORT_BLOCK
+    density = _density(block) if known else STOP_HIGH
+    if block.hint and (size < LONG or density < STOP_LOW):
+        return BAD
     if density >= STOP_HIGH:
         return GOOD if size > LONG else NEAR
     if density >= STOP_LOW or block.article:
@@ -231,9 +267,16 @@ def judge(block: Block) -> str:
     return BAD
 
 
+def _knows(blocks: list[Block]) -> bool:
+    """Whether the page's longer blocks are in a language with stop words here; if not, length and links alone decide."""
+    words = [w for b in blocks if not b.boilerplate and len(b.text) >= SHORT and b.linked <= MAX_LINKS * len(b.text) for w in _WORD.findall(b.text.lower())]
+    return not words or sum(w in STOP_WORDS for w in words) >= LEAST_KNOWN * len(words)
+
+
 def settle(blocks: list[Block]) -> list[bool]:
     """Second pass: whether each block is kept, ambiguous ones as their nearest decided neighbours are."""
-    first = [judge(b) for b in blocks]
+    known = _knows(blocks)
+    first = [judge(b, known) for b in blocks]
     n = len(blocks)
 
     def nearest(order: range, decided: frozenset[str]) -> list[str | None]:
