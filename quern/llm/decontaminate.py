@@ -7,7 +7,8 @@ words are counted or cut out.
 
 The set is built from blocks of at most BLOCK_TEXT bytes of benchmark text and
 broadcast block by block: a benchmark of any size is scanned in as many passes,
-each of which adds to the hits found so far.
+each of which adds to the hits found so far. The driver holds one block's index
+at a time: its words, and 20 bytes for each window.
 
 Defined cases: a null text has no words; an item without words has no window;
 an item occurs as soon as one of its windows does; repeated item ids count
@@ -16,7 +17,8 @@ once. An empty table of either kind is allowed.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +43,19 @@ def _windows(hashes: np.ndarray, lengths: set[int]) -> Iterator[tuple[int, np.nd
             yield n, acc
 
 
-def _index(items: list[tuple[str, str]], window: int) -> dict:
-    """By window length: {hash: {words: item ids}}."""
-    index: dict[int, dict[int, dict[bytes, set[str]]]] = {}
+@dataclass
+class Index:
+    """Windows of a block of the benchmark: by length, ascending hashes with the place of their words in ``words`` and their item."""
+
+    ids: list[str]
+    words: bytes  # of all items, in lower case, with a space after each
+    windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]  # hash, begin, end, item
+
+
+def _index(items: Iterable[tuple[str, str]], window: int) -> Index:
+    """The index takes 20 bytes for a window, besides the words themselves."""
+    ids, words, size = [], [], 0
+    parts: dict[int, list[tuple[np.ndarray, ...]]] = {}
     for item, text in items:
         raw = np.frombuffer(text.encode(), np.uint8)
         low = padded(LOWER[raw])
@@ -52,22 +64,29 @@ def _index(items: list[tuple[str, str]], window: int) -> dict:
             continue
         n = min(window, len(starts))
         memory = low.tobytes()
-        words = [memory[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        words.append(b"".join(memory[a:b] + b" " for a, b in zip(starts.tolist(), ends.tolist(), strict=True)))
+        end = size + np.cumsum(ends - starts + 1) - 1
+        begin = end - (ends - starts)
         (_, hashes), *_ = _windows(hash_ranges(low, starts, ends), {n})
-        for j, h in enumerate(hashes.tolist()):
-            index.setdefault(n, {}).setdefault(h, {}).setdefault(b" ".join(words[j : j + n]), set()).add(item)
-    return {n: {h: {w: sorted(ids) for w, ids in by.items()} for h, by in of.items()} for n, of in index.items()}
+        parts.setdefault(n, []).append((hashes, begin[: len(hashes)].astype(np.int32), end[n - 1 :].astype(np.int32), np.full(len(hashes), len(ids), np.int32)))
+        ids.append(item)
+        size += len(words[-1])
+    windows = {}
+    for n, of in parts.items():
+        columns = [np.concatenate(x) for x in zip(*of, strict=True)]
+        order = np.argsort(columns[0], kind="stable")
+        windows[n] = tuple(x[order] for x in columns)
+    return Index(ids, b"".join(words), windows)
 
 
 class Scanner:
     """Finds the windows of one block of the benchmark in batches of texts."""
 
-    def __init__(self, index: dict):
+    def __init__(self, index: Index):
         self.index, self.filters = index, {}
-        for n, of in index.items():
-            bits = max(16, min(26, int(np.log2(len(of) + 1)) + 6))
+        for n, (keys, *_) in index.windows.items():
+            bits = max(16, min(26, int(np.log2(len(keys) + 1)) + 6))
             there = np.zeros(1 << bits, bool)
-            keys = np.fromiter(of.keys(), U, len(of))
             there[(keys >> U(64 - bits)).astype(np.int64)] = True
             self.filters[n] = (U(64 - bits), there)
 
@@ -81,19 +100,18 @@ class Scanner:
         memory = None
         marks: list[tuple[int, int]] = []
         last = np.repeat(first[1:], np.diff(first))
-        for n, hashes in _windows(hash_ranges(low, starts, ends), set(self.index)):
+        for n, hashes in _windows(hash_ranges(low, starts, ends), set(self.index.windows)):
             shift, there = self.filters[n]
             found = np.flatnonzero(there[(hashes >> shift).astype(np.int64)] & (np.arange(n, n + len(hashes)) <= last[: len(hashes)]))
-            of = self.index[n]
-            for j in found.tolist():
-                by = of.get(int(hashes[j]))
-                if by is None:
-                    continue
+            keys, begin, end, item = self.index.windows[n]
+            left, right = np.searchsorted(keys, hashes[found], "left"), np.searchsorted(keys, hashes[found], "right")
+            for j, a, b in zip(found[left < right].tolist(), left[left < right].tolist(), right[left < right].tolist(), strict=True):
                 memory = memory or low.tobytes()
-                words = b" ".join(memory[a:b] for a, b in zip(starts[j : j + n].tolist(), ends[j : j + n].tolist(), strict=True))
-                if words in by:
+                words = b" ".join(memory[x:y] for x, y in zip(starts[j : j + n].tolist(), ends[j : j + n].tolist(), strict=True))
+                same = {int(item[k]) for k in range(a, b) if self.index.words[begin[k] : end[k]] == words}
+                if same:
                     doc = int(np.searchsorted(first, j, "right")) - 1
-                    items[doc].update(by[words])
+                    items[doc].update(self.index.ids[k] for k in same)
                     marks.append((j, j + n))
         for a, b in merged(marks):
             doc = int(np.searchsorted(first, a, "right")) - 1
@@ -125,7 +143,7 @@ _ARROW = [
 ]
 
 
-def _one_pass(rows: DataFrame, index: dict) -> DataFrame:
+def _one_pass(rows: DataFrame, index: Index) -> DataFrame:
     """Columns id, text and the state (n_words, hits, items), to which one block's hits are added."""
     shared = rows.sparkSession.sparkContext.broadcast(index)
     kept = [x for x in rows.columns if x not in ("n_words", "hits", "items")]
@@ -162,19 +180,19 @@ def _join(ranges: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int,
     return [(a, b, starts[a], ends[b]) for a, b in merged(ranges)]
 
 
-def _blocks(benchmark: DataFrame, window: int, id_col: str, text_col: str, block_text: int) -> list[dict]:
-    """The index of each block of the benchmark."""
+def _blocks(benchmark: DataFrame, window: int, id_col: str, text_col: str, block_text: int) -> Iterator[Index]:
+    """The index of each block of the benchmark, one at a time."""
     rows = benchmark.select(F.coalesce(benchmark[id_col].cast("string"), F.lit("null")).alias("id"), text_of(benchmark, text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-size // block_text) or 1
-    return [_index([(r.id, r.text) for r in rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).toLocalIterator()], window) for k in range(n)]
+    for k in range(n):
+        yield _index(((r.id, r.text) for r in rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).toLocalIterator()), window)
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block_text: int = BLOCK_TEXT, keep_text: bool = True) -> DataFrame:
     """One row per row of ``docs``: id, text, n_words, hits (ranges of hit words with their bytes) and items (ids, as sorted strings)."""
     rows = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
-    parts = _blocks(benchmark, window, item_col, item_text, block_text)
-    for k, index in enumerate(parts):
+    for k, index in enumerate(_blocks(benchmark, window, item_col, item_text, block_text)):
         rows = _one_pass(rows if not k else written(rows, f"hits{k}"), index)
     return rows if keep_text else rows.drop("text")
 
