@@ -1,7 +1,7 @@
 """Personal data by anchor expansion.
 
 An Aho-Corasick automaton reads each text once and stops at anchors: at-signs,
-digits, plus signs, schemes and cue words. A local parser for the anchor's kind
+digits, plus signs, schemes and cue words (in any case). A local parser for the anchor's kind
 expands to both sides and validates; nothing else of the text is looked at.
 
 Kinds email, ip, card and phone follow fixed patterns (see SPEC): the leftmost
@@ -54,12 +54,16 @@ def _automaton() -> ahocorasick.Automaton:
         out.add_word(word, value)
     for kind, words in CUES.items():
         for word in words:
-            for form in {word, word.upper(), word.capitalize()}:
-                out.add_word(form, (kind, len(form)))
+            out.add_word(word, (kind, len(word)))
     out.make_automaton()
     return out
 
 
+def _lower(text: str) -> str:
+    """Lower case, character by character: İ is the only one that would become two."""
+    return text.replace("İ", "i").lower()
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for k, d in enumerate(reversed(digits)):
@@ -77,7 +81,7 @@ def find(text: str, automaton: ahocorasick.Automaton) -> list[tuple[str, int, in
     """All spans (kind, start, end) of a text, by kind as listed, then start."""
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     done = dict.fromkeys((*KINDS, "secret"), 0)  # where each kind's search goes on
-    for last, (kind, size) in automaton.iter(text):
+    for last, (kind, size) in automaton.iter(_lower(text)):
         at = last - size + 1
         if kind == "digit":
             if at >= done["ip"]:
