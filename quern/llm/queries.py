@@ -64,6 +64,18 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+_CRC_STEPS = ", ".join(f"t{k} as (select i, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end as c from t{k - 1})" for k in range(1, 9))
+OP5_SQL = f"""
+with t0 as (select i::bigint as i, i::bigint as c from range(256) r(i)), {_CRC_STEPS}, crc as (select list(c order by i) as t from t8),
+d as (select doc_id, source, hex(encode(coalesce(text, ''))) as x, ('0x' || substr(md5('shard:' || doc_id), 1, 15))::bigint as h from documents),
+b as (select doc_id, source, h, x, list_transform(range(0, length(x), 2), lambda k: ('0x' || substr(x, k + 1, 2))::bigint) as bytes from d),
+c as (select doc_id, source, h, (length(x) / 2 + 8)::bigint as size, xor(list_reduce(list_prepend(4294967295::bigint, bytes), lambda c, y: xor(c >> 8, t[1 + xor(c & 255, y)])), 4294967295) as text_crc32 from b, crc),
+r as (select *, row_number() over (partition by source order by h, doc_id, text_crc32, size) - 1 as nth, count(*) over (partition by source) as n_source, count(*) over () as n from c),
+p as (select *, row_number() over (order by (2 * nth + 1)::double / (2 * n_source)::double, source is null, coalesce(source, '')) - 1 as position from r)
+select doc_id, size, text_crc32::bigint as text_crc32, 'rows' as law, (position * 24 // n)::int as shard, position - (position * 24 // n * n + 23) // 24 as slot, null::int as grown_shard from p
+"""
+
+
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .common import scratch_path
     from .warc import read_archive, write_archive
@@ -150,4 +162,4 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_pii": op10_pii,
 }
-ORACLES = {"op1_warc": OP1_SQL, "op2_decontamination": OP2_SQL, "op3_mixing": OP3_SQL, "op4_exact_dedup": OP4_SQL}
+ORACLES = {"op1_warc": OP1_SQL, "op2_decontamination": OP2_SQL, "op3_mixing": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op5_sharding": OP5_SQL}

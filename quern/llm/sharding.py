@@ -11,12 +11,14 @@ each; counts of buckets give each bucket its first rank.
 
 Defined cases: null sources form a source of their own, a null text is empty,
 rows that tie in hash and id are told apart by checksum and size (identical
-rows are interchangeable). An empty table gives an empty result.
+rows are interchangeable). Rows without id are told apart by checksum, size and
+a number among those that have the same, so many of them spread like others.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import hash60, hot_keys, salted_join, text_of, whole_row, written
@@ -37,18 +39,24 @@ def _ranked(df: DataFrame, group: list[str], order: list, out: str) -> DataFrame
     return own.join(firsts, at).withColumn(out, F.col("first_rank") + F.col("nth")).drop("first_rank", "nth", "bucket")
 
 
-def shard(docs: DataFrame, shards: int = 24, seed: str = "shard", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per row of ``docs``: id, size, text_crc32, source, position, shard, slot and a hash of id and text (row_key)."""
-    text = text_of(docs, text_col)
-    light = docs.select(
-        docs[id_col].alias("id"),
-        (F.octet_length(text) + 8).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.xxhash64(docs[id_col], text).alias("row_key"),
-        docs[source_col].isNull().cast("int").alias("absent"),
-        F.coalesce(docs[source_col].cast("string"), F.lit("")).alias("name"),
-    )
-    light = written(light.withColumn("h", hash60(F.lit(seed), F.coalesce(F.col("id").cast("string"), F.lit("null")))), "shard-light")
+def _numbered(light: DataFrame) -> DataFrame:
+    """Adds copy: rows without id that have one text are numbered, part of the table by part; null for others."""
+    lone = light.where("id is null")
+    if lone.isEmpty():
+        return light.withColumn("copy", F.lit(None).cast("long"))
+    same = ["text_crc32", "size"]
+    lone = lone.select("row", *same, F.shiftrightunsigned("row", 33).alias("part"))
+    before = Window.partitionBy(*same).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = lone.groupBy(*same, "part").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    own = lone.withColumn("nth", F.row_number().over(Window.partitionBy(*same, "part").orderBy("row")))
+    return light.join(own.join(counts, [*same, "part"]).select("row", (F.col("before") + F.col("nth")).alias("copy")), "row", "left")
+
+
+def _placed(light: DataFrame, shards: int, seed: str) -> DataFrame:
+    """Adds position, shard and slot to written rows (id, size, text_crc32, absent, name, row), whatever else they have; ``row`` is a number of a row's own."""
+    light = _numbered(light)
+    name = F.coalesce(F.col("id").cast("string"), F.concat_ws(" ", F.lit("text"), "text_crc32", "size", "copy"))
+    light = light.withColumn("h", hash60(F.lit(seed), name)).drop("copy")
     sources = light.groupBy("absent", "name").agg(F.count("*").alias("n_source"))
     sources = written(sources, "shard-sources")
     total, n_sources = sources.agg(F.sum("n_source"), F.count("*")).first()
@@ -61,7 +69,7 @@ def shard(docs: DataFrame, shards: int = 24, seed: str = "shard", id_col: str =
         light = salted_join(light, sources, key, hot_keys(sources, key, "n_source", total), F.col("h"))
     buckets = F.ceil(F.col("n_source") / BUCKET_ROWS)
     light = light.withColumn("bucket", F.floor(F.col("h") / F.lit(float(1 << BITS)) * buckets))
-    ranked = _ranked(light, ["absent", "name"], ["h", "id", "text_crc32", "size"], "rank")
+    ranked = _ranked(light, ["absent", "name"], ["h", "id", "text_crc32", "size", "row"], "rank")
     fraction = (2 * F.col("rank") + 1).cast("double") / (2 * F.col("n_source")).cast("double")
     ranked = written(ranked.withColumn("fraction", fraction), "shard-ranked")
     ranges = max(1, -(-total // BUCKET_ROWS))
@@ -70,16 +78,25 @@ def shard(docs: DataFrame, shards: int = 24, seed: str = "shard", id_col: str =
     n = max(1, total)
     placed = placed.withColumn("shard", F.expr(f"cast(position * {shards} div {n} as int)"))
     first = F.expr(f"(cast(shard as bigint) * {n} + {shards - 1}) div {shards}")
-    return placed.select(
-        F.col("id").alias(id_col),
-        "size",
-        "text_crc32",
-        F.when(F.col("absent") == 0, F.col("name")).alias(source_col),
-        "position",
-        "shard",
-        (F.col("position") - first).alias("slot"),
-        "row_key",
-    )
+    return placed.withColumn("slot", F.col("position") - first)
+
+
+def _light(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> list[Column]:
+    text = text_of(docs, text_col)
+    return [
+        docs[id_col].alias("id"),
+        (F.octet_length(text) + 8).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        docs[source_col].isNull().cast("int").alias("absent"),
+        F.coalesce(docs[source_col].cast("string"), F.lit("")).alias("name"),
+        F.monotonically_increasing_id().alias("row"),
+    ]
+
+
+def shard(docs: DataFrame, shards: int = 24, seed: str = "shard", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """One row per row of ``docs``: id, size, text_crc32, source, position, shard and slot."""
+    placed = _placed(written(docs.select(*_light(docs, id_col, text_col, source_col)), "shard-light"), shards, seed)
+    return placed.select(F.col("id").alias(id_col), "size", "text_crc32", F.when(F.col("absent") == 0, F.col("name")).alias(source_col), "position", "shard", "slot")
 
 
 def write_shards(docs: DataFrame, path: str, **options) -> None:
@@ -87,12 +104,9 @@ def write_shards(docs: DataFrame, path: str, **options) -> None:
     sharded(docs, **options).write.partitionBy("shard").parquet(path)
 
 
-def sharded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with the columns shard and slot; rows that repeat id and text share out the places of that row."""
-    places = shard(docs, id_col=id_col, text_col=text_col, **options)
-    places = places.groupBy(F.col("row_key").alias("__key")).agg(F.sort_array(F.collect_list(F.struct("shard", "slot"))).alias("__places"))
+def sharded(docs: DataFrame, shards: int = 24, seed: str = "shard", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """``docs`` with the columns shard and slot. Each row keeps its own place, however many are equal: rows are numbered as they are written."""
     bare = docs.drop("shard", "slot")
-    rows = bare.select(whole_row(bare).alias("row"), F.xxhash64(docs[id_col], text_of(docs, text_col)).alias("__key"))
-    rows = rows.withColumn("__nth", F.row_number().over(Window.partitionBy("__key").orderBy("__key")))
-    out = rows.join(places, "__key").withColumn("__place", F.element_at("__places", F.col("__nth")))
-    return out.select("row.*", "__place.shard", "__place.slot")
+    rows = written(docs.select(*_light(docs, id_col, text_col, source_col), whole_row(bare).alias("whole")), "shard-rows")
+    places = _placed(rows.drop("whole"), shards, seed).select(F.col("row").alias("__row"), "shard", "slot")
+    return rows.select("row", "whole").join(places, F.col("row") == F.col("__row")).select("whole.*", "shard", "slot")
