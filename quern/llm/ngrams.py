@@ -32,7 +32,7 @@ from .common import discard, scratch_path, shuffles_freed, written
 from .kernels import SOLID, U, blocks, column_bytes, hash_ranges, mix64, padded, split_words
 
 #: Bytes of trusted text for a shard, and of text for a block.
-SHARD_BYTES, BLOCK_BYTES = 1 << 26, 1 << 22
+SHARD_BYTES, BLOCK_BYTES = 1 << 26, 1 << 21
 #: A table has at most so many buckets; a bucket may hold several shards.
 MOST_BUCKETS = 10_000
 #: Slices of large inputs; of small ones, as many as there are pieces of so many bytes.
@@ -57,16 +57,43 @@ _CLOSE[[ord(c) for c in ".!?"]] = 1
 _CLOSE[[ord(c) for c in ",;:"]] = 2
 
 
-def tokens_of(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens of all texts of a buffer, their classes, and each text's first token (len + 1).
+@dataclass
+class Tokens:
+    """Tokens of all texts of a buffer, and each text's first token (len + 1).
 
     A token is the hash of a word (a run without ASCII white space); a word
     that repeats the one before is the token of its place in the run of
-    repeats, so that no run foretells itself. A class is a word's shape:
-    letter case, digits, symbols, closing punctuation, length.
+    repeats, so that no run foretells itself.
     """
+
+    buf: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    first: np.ndarray
+    token: np.ndarray
+    again: np.ndarray
+
+    def classes(self, at: np.ndarray) -> np.ndarray:
+        """The classes of some tokens: a word's shape, or AGAIN."""
+        return np.where(self.again[at], AGAIN, _shapes(self.buf, self.starts[at], self.ends[at]))
+
+
+def tokens_of(buf: np.ndarray, offsets: np.ndarray) -> Tokens:
     starts, ends, first = split_words(buf, offsets, SOLID)
     h = hash_ranges(padded(buf), starts, ends)
+    again = np.zeros(len(h), bool)
+    again[1:] = h[1:] == h[:-1]
+    again[first[:-1][first[:-1] < len(h)]] = False
+    token = h
+    if again.any():
+        place = np.arange(len(h))
+        run = place - np.maximum.accumulate(np.where(again, 0, place))
+        token = np.where(again, _AGAIN[np.minimum(np.maximum(run, 1), RUNS) - 1], h)
+    return Tokens(buf, starts, ends, first, token, again)
+
+
+def _shapes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Letter case, digits, symbols, closing punctuation and length of words, as one number."""
     total = np.zeros(len(buf) + 1, U)
     np.cumsum(_KIND[buf], out=total[1:])
     n = total[ends] - total[starts]
@@ -79,24 +106,15 @@ def tokens_of(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
         6,
     )
     close = _CLOSE[buf[ends - 1]] if len(ends) else np.zeros(0, np.int64)
-    shape = ((kind * 2 + (cries > 0)) * 3 + close) * 4 + np.searchsorted([4, 8, 13], ends - starts, "right")
-    again = np.zeros(len(h), bool)
-    again[1:] = h[1:] == h[:-1]
-    again[first[:-1][first[:-1] < len(h)]] = False
-    place = np.arange(len(h))
-    run = place - np.maximum.accumulate(np.where(again, 0, place))
-    return np.where(again, _AGAIN[np.minimum(np.maximum(run, 1), RUNS) - 1], h), np.where(again, AGAIN, shape), first
+    return ((kind * 2 + (cries > 0)) * 3 + close) * 4 + np.searchsorted([4, 8, 13], ends - starts, "right")
 
 
-def contexts(token: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The token two before and the token before each token; START at the beginning of a text."""
-    u, v = np.full_like(token, START), np.full_like(token, START)
-    v[1:], u[2:] = token[:-1], token[:-2]
-    head = first[:-1][np.diff(first) > 0]
-    v[head] = u[head] = START
-    second = head + 1
-    u[second[second < len(u)]] = START
-    return u, v
+def before(x: np.ndarray, first: np.ndarray, start: int | np.uint64) -> np.ndarray:
+    """What each token's predecessor has; ``start`` at the beginning of a text."""
+    out = np.full_like(x, start)
+    out[1:] = x[:-1]
+    out[first[:-1][np.diff(first) > 0]] = start
+    return out
 
 
 def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -104,6 +122,18 @@ def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix64(mix64(a + U(0x9E3779B97F4A7C15)) ^ b)
 
 
+#: The context of a text's first token.
+BEGIN = pair(np.array([START], U), np.array([START], U))[0]
+
+
+def grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different keys, ascending, with a place and the number of each."""
+    order = np.argsort(key)
+    key = key[order]
+    new = np.flatnonzero(np.concatenate([np.ones(min(len(key), 1), bool), key[1:] != key[:-1]]))
+    return key[new], order[new], np.diff(np.append(new, len(key)))
+
+
 def dump(arrays: list[np.ndarray], ascending: bool = True) -> bytes:
     """64-bit arrays of one length, packed; the first is ascending keys, unless said otherwise."""
     planes = []
@@ -139,7 +169,7 @@ def cut(arrays: list[np.ndarray], shards: int) -> Iterator[tuple[int, list[np.nd
 
 def summed(key: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
     """Different keys, ascending, and the sums of their values."""
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     key = key[order]
     new = np.flatnonzero(np.concatenate([np.ones(min(len(key), 1), bool), key[1:] != key[:-1]]))
     return [key[new], *(np.add.reduceat(v[order], new) if len(new) else v[:0] for v in values)]
@@ -215,19 +245,20 @@ def _count_trigrams(texts: DataFrame, plan: Plan, k: int, limit: int) -> DataFra
     lo, hi = plan.bounds(k)
 
     def block(buf: np.ndarray, offsets: np.ndarray) -> list[tuple]:
-        token, _, first = tokens_of(buf, offsets)
-        u, v = contexts(token, first)
-        context = pair(u, v)
+        found = tokens_of(buf, offsets)
+        token, first = found.token, found.first
+        below = pair(before(token, first, START), token)
+        context = before(below, first, BEGIN)
         key = pair(context, token)
         of = shard_of(key, plan.shards)
         mine = np.flatnonzero((of >= U(lo)) & (of < U(hi)))
-        key, at, n = np.unique(key[mine], return_index=True, return_counts=True)
+        key, at, n = grouped(key[mine])
         at = mine[at]
-        return [(s, "tri", dump(x)) for s, x in cut([key, n.astype(U), context[at], pair(v[at], token[at])], plan.shards)]
+        return [(s, "tri", dump(x)) for s, x in cut([key, n.astype(U), context[at], below[at]], plan.shards)]
 
     def shard(s: int, bodies: dict[str, list[bytes]]) -> list[dict]:
         key, n, context, below = load_all(bodies.get("tri", []), 4)
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         key, n, context, below = key[order], n[order], context[order], below[order]
         new = np.flatnonzero(np.concatenate([np.ones(min(len(key), 1), bool), key[1:] != key[:-1]]))
         key, n, context, below = key[new], np.add.reduceat(n, new) if len(new) else n, context[new], below[new]
@@ -248,25 +279,26 @@ def _count_bigrams(texts: DataFrame, more: DataFrame, plan: Plan, k: int, limit:
         return (of >= U(lo)) & (of < U(hi))
 
     def block(buf: np.ndarray, offsets: np.ndarray) -> list[tuple]:
-        token, classes, first = tokens_of(buf, offsets)
-        _, v = contexts(token, first)
+        found = tokens_of(buf, offsets)
+        token = found.token
+        v = before(token, found.first, START)
         key = pair(v, token)
         own = np.flatnonzero(mine(key))
-        key, at = np.unique(key[own], return_index=True)
+        key, at, _ = grouped(key[own])
         at = own[at]
         own = np.flatnonzero(mine(token))
-        word, place = np.unique(token[own], return_index=True)
+        word, place, _ = grouped(token[own])
         rows = [(s, "bi", dump(x)) for s, x in cut([key, v[at], token[at]], plan.shards)]
-        return rows + [(s, "word", dump(x)) for s, x in cut([word, classes[own][place].astype(U)], plan.shards)]
+        return rows + [(s, "word", dump(x)) for s, x in cut([word, found.classes(own[place]).astype(U)], plan.shards)]
 
     def shard(s: int, bodies: dict[str, list[bytes]]) -> list[dict]:
         table = summed(*load_all(bodies.get("u2", []), 6))
         key, x, y = load_all(bodies.get("bi", []), 3)
-        key, at = np.unique(key, return_index=True)
+        key, at, _ = grouped(key)
         x, y = x[at], y[at]
         n = table[1][np.searchsorted(table[0], key)]
         word, of = load_all(bodies.get("word", []), 2)
-        word, at = np.unique(word, return_index=True)
+        word, at, _ = grouped(word)
         none, zero = np.zeros(len(n), U), np.zeros(len(word), U)
         columns = [(np.ones(len(n), U), none, zero), (none, n, zero), *((none, c, zero) for c in by_count(n)), (none, none, of[at] + U(1))]
         words = summed(np.concatenate([y, x, word]), *(np.concatenate(c) for c in columns))
@@ -306,7 +338,7 @@ class Model:
     d1: list[float]
     total1: int  # of all words' numbers of left neighbours
     rest1: float  # what words leave to their classes
-    base: np.ndarray  # a class's share of all words, or of none
+    base: np.ndarray  # a class's share of all words; an unknown word counts as its class
 
     def rows(self) -> DataFrame:
         """A row per shard with the bodies of all three tables; no shuffle, as they have the same buckets."""
@@ -384,30 +416,33 @@ def _tokens(rows: DataFrame, limit: int) -> DataFrame:
             keys = batch.column("key").to_pylist()
             for a, b in blocks(offsets, limit):
                 part = offsets[a : b + 1]
-                token, classes, first = tokens_of(data[part[0] : part[-1]], part - part[0])
-                word, at, place = np.unique(token, return_index=True, return_inverse=True)
-                cells = [b"".join(keys[a:b]), dump([np.diff(first)], False), dump([word, classes[at]]), dump([place], False)]
+                found = tokens_of(data[part[0] : part[-1]], part - part[0])
+                word, place = np.unique(found.token, return_inverse=True)
+                at = np.zeros(len(word), np.int64)
+                at[place] = np.arange(len(place))
+                cells = [b"".join(keys[a:b]), dump([np.diff(found.first)], False), dump([word, found.classes(at)]), dump([place], False)]
                 yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in cells], ["b1", "b2", "b3", "b4"])
 
     return rows.select("key", "text").mapInArrow(run, "b1 binary, b2 binary, b3 binary, b4 binary").withColumn("block", F.monotonically_increasing_id())
 
 
 class _Block:
-    """The n-grams of a block: different trigrams, bigrams (contexts, too) and words, ascending."""
+    """The n-grams of a block: different trigrams, bigrams (contexts, too) and words, ascending, and which of them each token has."""
 
     def __init__(self, sizes: bytes, words: bytes, places: bytes) -> None:
         self.sizes = load(sizes, 1, False)[0].astype(np.int64)
         word, self.classes = load(words, 2)
         self.place = load(places, 1, False)[0].astype(np.int64)
-        token = word[self.place]
         first = np.concatenate([[0], np.cumsum(self.sizes)])
-        u, v = contexts(token, first)
+        token = word[self.place]
         self.words = np.union1d(word, np.array([START], U))
-        self.w, self.v = np.searchsorted(self.words, token), np.searchsorted(self.words, v)
-        context, key = pair(u, v), pair(v, token)
-        self.bigrams, at = np.unique(np.concatenate([context, key]), return_inverse=True)
-        self.context, self.bigram = at[: len(token)], at[len(token) :]
-        self.trigrams, self.trigram = np.unique(pair(context, token), return_inverse=True)
+        self.w = np.searchsorted(self.words, word)[self.place]
+        self.v = before(self.w, first, int(np.searchsorted(self.words, START)))
+        key = pair(self.words[self.v], token)
+        self.bigrams, at = np.unique(np.append(key, BEGIN), return_inverse=True)
+        self.bigram = at[:-1]
+        self.context = before(self.bigram, first, int(at[-1]))
+        self.trigrams, self.trigram = np.unique(pair(self.bigrams[self.context], token), return_inverse=True)
 
 
 def _requests(tokens: DataFrame, shards: int) -> DataFrame:
@@ -456,8 +491,8 @@ def _rest(d: list[float], total: np.ndarray, by: list[np.ndarray]) -> np.ndarray
 
 def log_probabilities(model: Model, block: _Block, tri: np.ndarray, bi: list[np.ndarray], uni: list[np.ndarray]) -> np.ndarray:
     """Each token's log-probability, from the counts of the block's n-grams."""
-    classes = block.classes.astype(np.int64)[block.place]
-    p1 = (uni[0].astype(float) - np.array(model.d1)[np.minimum(uni[0], U(3)).astype(np.int64)])[block.w] / model.total1 + model.rest1 * model.base[classes]
+    own = (uni[0].astype(float) - np.array(model.d1)[np.minimum(uni[0], U(3)).astype(np.int64)])[block.w] / model.total1
+    p1 = np.where(own > 0, own, model.rest1 * model.base[block.classes.astype(np.int64)[block.place]])
     total2, total3 = uni[1].astype(float), bi[1].astype(float)
     rest2, rest3 = _rest(model.d2, total2, uni[2:]), _rest(model.d3, total3, bi[2:])
     p2 = _level(bi[0][block.bigram], model.d2, total2[block.v], rest2[block.v], p1)

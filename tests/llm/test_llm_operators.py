@@ -404,19 +404,8 @@ def test_links_of_a_dense_ball(spark):
 # repeats
 
 
-@pytest.mark.parametrize(("max_group", "share"), [(16384, 0.001), (2, 0.001), (2, 1000)])
-def test_repeats(spark, monkeypatch, max_group, share):
-    """Compared side by side; counted, known from the start to be too many; counted, found out on the way."""
-    from quern.llm import suffix_dedup
-    from quern.llm.suffix_dedup import cut_repeats
-
-    monkeypatch.setattr(suffix_dedup, "HOT_SHARE", share)
-
-    n = 40
-    r = random.Random(5)
-    pool = ["".join(r.choice("ab") for _ in range(r.randrange(30, 90))) for _ in range(6)] + ["a" * 150, "ab" * 80, "é" * 50]
-    docs = [(i, "".join(r.choice(pool) for _ in range(r.randrange(0, 6)))) for i in range(40)]
-    docs += [(100, ""), (101, None), (102, "z" * 39), (103, "z" * 41), (104, "y" * 40), (5, docs[5][1]), (None, "null" * 30), (None, "null" * 30)]
+def removed_by_force(docs, n):
+    """(id, bytes, removed bytes, runs, digest of the rest, rest) of each row."""
     raw = [(t or "").encode() for _, t in docs]
     counts = Counter(b[s : s + n] for b in raw for s in range(len(b) - n + 1))
     want = Counter()
@@ -428,12 +417,50 @@ def test_repeats(spark, monkeypatch, max_group, share):
         kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
         runs = len(re.findall(rb"\x01+", bytes(gone)))
         want[(i, len(b), sum(gone), runs, hashlib.sha256(kept).hexdigest(), kept)] += 1
+    return want
+
+
+@pytest.mark.parametrize("max_group", [16384, 8, 2])
+def test_repeats(spark, max_group):
+    """Groups compared side by side, halved, and halved until their strings are counted."""
+    from quern.llm.suffix_dedup import cut_repeats
+
+    n = 40
+    r = random.Random(5)
+    pool = ["".join(r.choice("ab") for _ in range(r.randrange(30, 90))) for _ in range(6)] + ["a" * 150, "ab" * 80, "é" * 50]
+    docs = [(i, "".join(r.choice(pool) for _ in range(r.randrange(0, 6)))) for i in range(40)]
+    docs += [(100, ""), (101, None), (102, "z" * 39), (103, "z" * 41), (104, "y" * 40), (5, docs[5][1]), (None, "null" * 30), (None, "null" * 30)]
+    want = removed_by_force(docs, n)
     df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 as key", "2 as spans").repartition(3)
     got = cut_repeats(df, min_bytes=n, max_group=max_group).collect()
     assert Counter((x.id, x.n_bytes, x.n_removed, len(x.spans), x.kept_sha256, bytes(x.kept)) for x in got) == want
     assert cut_repeats(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size", [50, 300])
+def test_repeats_of_a_frequent_passage(spark, monkeypatch, size):
+    """Thousands of unlike segments around one passage: what is shared goes, and no task gets a whole group."""
+    from quern.llm import suffix_dedup
+    from quern.llm.suffix_dedup import _compared, cut_repeats
+
+    r = random.Random(size)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randrange(2, 9)))
+    passage = (" ".join(word() for _ in range(200)))[:size]
+    around = [" ".join(word() for _ in range(30)) for _ in range(40)]
+    docs = [(i, (r.choice(around) if i % 3 == 0 else " ".join(word() for _ in range(30))) + passage + " ".join(word() for _ in range(30))) for i in range(3000)]
+    groups = []
+
+    def watched(bodies, min_bytes):
+        groups.append(bodies.groupBy("group").count().agg({"count": "max"}).first()[0] or 0)
+        return _compared(bodies, min_bytes)
+
+    monkeypatch.setattr(suffix_dedup, "_compared", watched)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = cut_repeats(df, min_bytes=100).collect()
+    assert Counter((x.id, x.n_bytes, x.n_removed, len(x.spans), x.kept_sha256, bytes(x.kept)) for x in got) == removed_by_force(docs, 100)
+    assert len(groups) > 1 and max(groups) <= suffix_dedup.MAX_GROUP
+
+
 def test_stretches_of_long_texts(monkeypatch):
     """A text that is longer than a stretch, next to short ones, has the same starts as in one go."""
     import numpy as np
@@ -470,53 +497,54 @@ def quality_tables(spark):
     return spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, score double"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
 
 
-@pytest.mark.parametrize("shard_rows", [8_000_000, 400])
-def test_quality(spark, shard_rows):
+SMALL = {"shard_bytes": 2000, "block_bytes": 1500, "slices": 4, "slice_bytes": 5000}
+
+
+@pytest.mark.parametrize("sizes", [{}, SMALL])
+def test_quality(spark, sizes):
     from quern.llm.quality import accepted, classify
 
     docs, labels = quality_tables(spark)
-    got = {x.doc_id: x for x in classify(docs, labels, shard_rows=shard_rows).collect()}
+    got = {x.doc_id: x for x in classify(docs, labels, **sizes).collect()}
     bad = {i for i in range(400) if i % 10 == 0}
     assert sum(not got[i].keep for i in bad) >= 0.95 * len(bad)
     assert sum(not got[i].keep for i in range(400) if i not in bad) <= 8
     assert got[1000].keep and got[1001].keep and got[1000].perplexity is None
-    kept = accepted(docs, labels, shard_rows=shard_rows)
+    kept = accepted(docs, labels, **sizes)
     assert kept.columns == docs.columns and {x.doc_id for x in kept.collect()} == {i for i, x in got.items() if x.keep}
-    assert all(x.keep for x in classify(docs, labels.limit(0)).collect())
-    assert classify(docs.limit(0), labels).count() == 0
-
-
-def test_shards_give_the_scores_of_one(spark):
-    from quern.llm.quality import classify
-
-    docs, labels = quality_tables(spark)
-    one = {x.doc_id: x.score for x in classify(docs, labels).collect()}
-    many = {x.doc_id: x.score for x in classify(docs, labels, shard_rows=300).collect()}
-    assert one.keys() == many.keys() and all(one[k] == pytest.approx(many[k], rel=1e-5) for k in one if one[k] is not None)
-
-
-@pytest.mark.parametrize("cut", [False, True])
-def test_language_model(spark, cut):
-    """Probabilities are those of the formulas, and sum to 1 over all tokens."""
-    import numpy as np
-
-    from quern.llm.quality import START, WORDS, _unpacked, contexts, known_words, log_probabilities, tokens_of, train
-
-    r = random.Random(4)
-    texts = [prose(r, 60) for _ in range(150)]
-    df = spark.createDataFrame([(t,) for t in texts], "text string")
-    model = train(df, cut=cut)
-    words = known_words(df)
-    shard = _unpacked(model.shard(0))
-    size = WORDS + len(words)
-    buf = np.frombuffer("".join(texts).encode(), np.uint8)
-    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
-    token, first = tokens_of(buf, offsets, words)
-    u, v = contexts(token, first)
-    assert set(u[first[:-1]]) == set(v[first[:-1]]) == {START}
-    c3 = Counter(zip(u.tolist(), v.tolist(), token.tolist(), strict=True))
-    c2 = Counter((b, c) for _, b, c in c3)
-    c1 = Counter(c for _, c in c2)
+    if not sizes:
+        assert all(x.keep for x in classify(docs, labels.limit(0)).collect())
+        assert classify(docs.limit(0), labels).count() == 0 and accepted(docs.limit(0), labels).count() == 0
+
+
+def plain_tokens(text):
+    """Words and classes of a text by plain string functions: (token, class)."""
+    words = re.findall(r"[^ \t\n\v\f\r]+", text or "")
+    out, run = [], 0
+    for i, w in enumerate(words):
+        run = run + 1 if i and w == words[i - 1] else 0
+        b = w.encode()
+        upper, digits = sum(65 <= c <= 90 for c in b), sum(48 <= c <= 57 for c in b)
+        lower, symbols = sum(97 <= c <= 122 or c > 127 for c in b), sum(chr(c) in "#$%&*+/<=>@[\\]^_`{|}~" for c in b)
+        kind = 1 if symbols else 2 if digits and lower + upper else 3 if digits else 0 if not lower + upper else 4 if upper > 1 and not lower else 5 if 65 <= b[0] <= 90 else 6
+        close = 1 if w[-1] in ".!?" else 2 if w[-1] in ",;:" else 0
+        shape = (kind, "!" in w, close, sum(len(b) >= x for x in (4, 8, 13)))
+        out.append((("again", min(run, 6)), "again") if run else (w, shape))
+    return out
+
+
+def force_of(texts):
+    """Log-probabilities by the formulas, from counts of plain tuples."""
+    c3, classes = Counter(), {}
+    for t in texts:
+        u = v = "<s>"
+        for w, c in plain_tokens(t):
+            c3[u, v, w] += 1
+            classes[w] = c
+            u, v = v, w
+    c2 = Counter((v, w) for _, v, w in c3)
+    c1 = Counter(w for _, w in c2)
+    of_class = Counter(classes[w] for w in c1)
 
     def discounts(counts):
         n = [sum(x == k for x in counts.values()) for k in range(5)]
@@ -525,65 +553,108 @@ def test_language_model(spark, cut):
         y = n[1] / (n[1] + 2 * n[2])
         return [0, *(min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.05), k - 0.05) for k in (1, 2, 3))]
 
-    def level(counts, d, context, w, below, cut):
-        own = {k[-1]: n for k, n in counts.items() if k[:-1] == context}
-        total = sum(own.values())
-        if not total or (cut and max(own.values()) == 1 and len(context) == 2):
-            return below
-        kept = {x: n for x, n in own.items() if not cut or n > 1}
-        rest = 1 - sum(n - d[min(n, 3)] for n in kept.values()) / total
-        return (kept[w] - d[min(kept[w], 3)] if w in kept else 0) / total + rest * below
+    def contexts(counts, d):
+        total, rest = Counter(), Counter()
+        for k, n in counts.items():
+            total[k[:-1]] += n
+            rest[k[:-1]] += d[min(n, 3)]
+        return total, {k: rest[k] / total[k] for k in total}
 
     d3, d2, d1 = discounts(c3), discounts(c2), discounts(c1)
+    (t3, r3), (t2, r2) = contexts(c3, d3), contexts(c2, d2)
     total1 = sum(c1.values())
     rest1 = sum(d1[min(n, 3)] for n in c1.values()) / total1
-    p1 = lambda w: (c1[w] - d1[min(c1[w], 3)] if w in c1 else 0) / total1 + rest1 / size
-    want = lambda a, b, w: level(c3, d3, (a, b), w, level(c2, d2, (b,), w, p1(w), cut), cut)
-    got = np.exp(log_probabilities(token, first, shard))
-    for j in range(0, len(token), 211):
-        assert got[j] == pytest.approx(want(int(u[j]), int(v[j]), int(token[j])), rel=1e-4)
-    a, b = int(u[5]), int(v[5])
-    assert sum(want(a, b, w) for w in range(size)) == pytest.approx(1)
 
+    def p(u, v, w, c):
+        below = (c1[w] - d1[min(c1[w], 3)]) / total1 if c1[w] else rest1 * (of_class[c] + 1) / (len(c1) + 169)
+        if t2[v,]:
+            below = (c2[v, w] - d2[min(c2[v, w], 3)]) / t2[v,] + r2[v,] * below
+        if t3[u, v]:
+            below = (c3[u, v, w] - d3[min(c3[u, v, w], 3)]) / t3[u, v] + r3[u, v] * below
+        return below
 
-def test_ngrams_seen_once_are_scored(spark):
-    """The model scored by default has all trigrams and bigrams of its texts."""
-    from quern.llm.quality import train, trigram_counts
+    return p, c1, of_class
 
-    df = spark.createDataFrame([("a b c d e f g",)] * 6 + [("g e c a f d b",)], "text string")
-    model = train(df)
-    counts = trigram_counts(df, model.words)
-    assert counts.where("n = 1").count() > 0
-    assert model.shard(0)["p3"][0] == counts.count()
 
+@pytest.mark.parametrize("sizes", [{}, SMALL])
+def test_scores_are_those_of_the_formulas(spark, sizes):
+    """Tokens, counts, probabilities and sums against plain tuples, for known and unknown texts, however the model is dealt."""
+    import math
 
-def test_words_stay_known_as_text_is_added(spark):
-    """A word that occurs five times is known at every size, and there may be more than 2^16 of them."""
-    import numpy as np
+    from pyspark.sql import functions as F
+
+    from quern.llm.ngrams import score, train
 
-    from quern.llm.quality import known_words
+    r = random.Random(4)
+    odd = ["", "one", "one two", "b b b b b b b b b b a", "É é 12 a1 A, x; #! WORD Word", "the of and"]
+    texts = [prose(r, r.randrange(1, 60)) for _ in range(150)] + odd + ["a b c d e f g"] * 6 + ["the and the"] * 3
+    others = [prose(r, r.randrange(1, 80)) for _ in range(60)] + ["zzz unseen w0rds !!", *odd, " \t\n", "of the of the"]
+    p, c1, of_class = force_of(texts)
+    model = train(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), **sizes)
+    rows = spark.createDataFrame([(t,) for t in set(texts + others)], "text string").repartition(3)
+    rows = rows.select(F.unhex(F.md5("text")).alias("key"), F.xxhash64("text").alias("spread"), "text")
+    got = {bytes(x.key): x for x in score(rows, model, **{k: v for k, v in sizes.items() if k != "shard_bytes"}).collect()}
+    model.drop()
+    assert len(got) == len(set(texts + others))
+    for t in set(texts + others):
+        tokens, u, v, nll = plain_tokens(t), "<s>", "<s>", 0.0
+        for w, c in tokens:
+            nll -= math.log(p(u, v, w, c))
+            u, v = v, w
+        x = got[hashlib.md5(t.encode()).digest()]
+        assert x.n == len(tokens) and x.nll == pytest.approx(nll, rel=1e-6, abs=1e-5), t
+    # known words and the classes of unknown ones together are certain
+    unknown = [(None, c) for c in of_class] + [(None, None)] * (169 - len(of_class))
+    for u, v in (("the", "of"), ("<s>", "<s>"), ("zzz", "yyy"), ("zzz", "the")):
+        assert sum(p(u, v, w, c) for w, c in [*((w, None) for w in c1), *unknown]) == pytest.approx(1)
+
+
+def test_decisions_are_quantiles(spark):
+    """Thresholds and decisions of each language from the scores, by plain lists."""
+    import math
 
-    few = spark.createDataFrame([("rare " * 5 + "once",)], "text string")
-    more = spark.range(5).selectExpr("array_join(transform(sequence(1, 70000), x -> concat('w', x)), ' ') as text")
-    known = known_words(few)
-    grown = known_words(few.unionByName(more))
-    assert len(known) == 1 and len(grown) == 70_001 and np.isin(known, grown).all()
+    from pyspark.sql import functions as F
 
+    from quern.llm.quality import BINS, PRIOR, QUANTILE, classify, trusted_ids
 
-def test_model_of_more_than_65536_tokens(spark):
-    """Trigrams of large tokens keep apart."""
+    docs, labels = quality_tables(spark)
+    good = {x.id for x in trusted_ids(labels).collect()}
+    held = {x.doc_id for x in docs.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(5)).alias("k")).where("k = 0").collect()} & good
+    rows = {x.doc_id: x for x in classify(docs, labels).collect() if x.doc_id is not None}
+    nll = {i: x.n_tokens * math.log(x.perplexity) for i, x in rows.items() if x.n_tokens}
+    for lang in ("en", "fr", "xx"):
+        own = [i for i in held if i in nll and rows[i].lang == lang]
+        base = own if len(own) >= 20 else [i for i in held if i in nll]
+        mean = sum(nll[i] for i in base) / sum(rows[i].n_tokens for i in base)
+        score = {i: (nll[i] + PRIOR * mean) / (rows[i].n_tokens + PRIOR) for i in nll if rows[i].lang == lang or i in base}
+        bins = sorted(math.floor(score[i] * BINS + 1e-9) for i in base)
+        limit = (bins[math.ceil(QUANTILE * len(bins)) - 1] + 1) / BINS
+        for i, x in rows.items():
+            if x.lang == lang and x.n_tokens:
+                assert x.threshold == pytest.approx(limit) and x.score == pytest.approx(score[i]) and x.keep == (x.score <= x.threshold)
+
+
+def test_shards_and_blocks_stay_even():
+    """Keys go to shards in order and all shards of a slice are in its range; bodies come back as they were."""
     import numpy as np
 
-    from quern.llm.quality import WORDS, _unpacked, log_probabilities, tokens_of, train
-
-    text = " ".join(f"w{k}" for k in range(70_000))
-    model = train(spark.createDataFrame([(text,)] * 5, "text string"))
-    buf = np.frombuffer(text.encode(), np.uint8)
-    token, first = tokens_of(buf, np.array([0, len(buf)]), model.words)
-    shard = _unpacked(model.shard(0))
-    assert token.max() == WORDS + 69_999 and len(shard["p3"][0]) == 70_000
-    assert np.exp(log_probabilities(token, first, shard)).min() > 0.5
-    assert np.exp(log_probabilities(token[::-1].copy(), first, shard))[2:].max() < 0.01
+    from quern.llm.ngrams import Plan, cut, dump, load, shard_of, summed
+
+    r = np.random.default_rng(3)
+    keys = np.sort(r.integers(0, 2**64, 5000, dtype=np.uint64))
+    other = r.integers(0, 9, 5000).astype(np.uint64)
+    parts = list(cut([keys, other], 7))
+    assert [s for s, _ in parts] == list(range(7)) and np.concatenate([x[0] for _, x in parts]).tolist() == keys.tolist()
+    assert max(len(x[0]) for _, x in parts) < 900 and (np.diff(shard_of(keys, 7).astype(int)) >= 0).all()
+    for k in (0, 1, 5000):
+        a, b = load(dump([keys[:k], other[:k]]), 2)
+        assert a.tolist() == keys[:k].tolist() and b.tolist() == other[:k].tolist()
+    assert load(dump([other], False), 1, False)[0].tolist() == other.tolist()
+    key, n = summed(other, np.ones(5000, np.uint64))
+    assert dict(zip(key.tolist(), n.tolist(), strict=True)) == Counter(other.tolist())
+    for plan in (Plan(7, 3), Plan(24, 8), Plan(1, 1)):
+        dealt = [s for k in range(plan.slices) for s in range(*plan.bounds(k))]
+        assert dealt == list(range(plan.shards)) and all(plan.bounds(plan.slice_of(s))[0] <= s < plan.bounds(plan.slice_of(s))[1] for s in dealt)
 
 
 # main text
@@ -621,6 +692,99 @@ def test_skipped_elements_without_end():
         assert main_text(f"<body><div><p>{long}</p><{odd}><div>no</div> no</{odd}><p>{long}</p></div></body>") == f"{body}\n\n{body}"
 
 
+def test_tags_and_names():
+    """Long attributes, stray quotes, names of boxes and other languages."""
+    from quern.llm.html_extract import main_text
+
+    long = "The house is on the hill and it was there for all of the time that we have been in this town. " * 3
+    body = " ".join(long.split())
+    for quote in "'\"":
+        for n in (10, 70_000, 300_000):
+            assert main_text(f"<p data-x={quote}{'a > b ' * (n // 6)}{quote}>{long}</p><p>{long}</p>") == f"{body}\n\n{body}"
+    assert main_text(f"<p don't>{long}</p><p title=it's>{long}</p>") == f"{body}\n\n{body}"
+    assert len(main_text("<a href='x>" * 20_000 + f"<p>{long}</p>")) <= len(long) and main_text("<a href=" * 20_000) == ""
+    for name in ("site-footer", "page-header", "main-nav", "left-sidebar", "article-comments", "user-comments", "top-banner", "ad-slot", "nav-item", "siteFooter", "ad", "sidebar-2", "cookie_notice"):
+        assert main_text(f"<body><p>{long}</p><div class='x {name}'><p>{long}</p></div><p>{long}</p>") == f"{body}\n\n{body}", name
+    for name in ("social-sciences", "ad-hoc", "related-work", "notice-of-rights", "header-text", "adhoc", "comments-on-law"):
+        assert main_text(f"<article><p>{long}</p><div class='{name}'><p>{long}</p></div></article>") == f"{body}\n\n{body}", name
+    assert main_text(f"<article><p>{long}</p><div class='share-buttons'><p>Share this with all of your friends and family on the net, as it is good to do so</p></div></article>") == body
+    rights = long + "In 1990 the © passed to the town and it is there for all. " * 4
+    assert main_text(f"<p>{long}</p><p>{rights}</p><p>© 2020 The Firm, all of the rights are with us and not with you</p>") == f"{body}\n\n{' '.join(rights.split())}"
+    other = "Tämä talo seisoi mäellä kauan ennen kuin muutimme kaupunkiin, eikä kukaan muistanut sen rakentajaa enää. " * 3
+    assert main_text(f"<ul><li><a href=x>Etusivu</a></li></ul><p>{other}</p><p>{other}</p>") == "\n\n".join([" ".join(other.split())] * 2)
+
+
+def tree_text(page):
+    """Main text of a page of closed elements by another way: a tree from ``html.parser``, blocks at its elements, boilerplate by the plain rules."""
+    from html.parser import HTMLParser
+
+    from quern.llm import html_extract as h
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.open, self.found, self.text = [], [], []
+
+        def flush(self):
+            text = " ".join("".join(self.text).split())
+            if text and not any(t in h.SKIPPED or bad for t, bad in self.open):
+                self.found.append(text)
+            self.text = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "br":
+                self.text.append(" ")
+            if tag in h.BLOCKS or tag in h.SKIPPED:
+                self.flush()
+            if tag not in h.VOID:
+                attrs = dict(attrs)
+                names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split()
+                self.open.append((tag, tag in ("nav", "footer", "aside", "form", "header") or any(x in h.NAMES for x in names)))
+
+        def handle_endtag(self, tag):
+            if tag in h.BLOCKS or tag in h.SKIPPED:
+                self.flush()
+            if any(t == tag for t, _ in self.open):
+                while self.open.pop()[0] != tag:
+                    pass
+
+        def handle_data(self, data):
+            self.text.append(data)
+
+    reader = Reader()
+    reader.feed(page)
+    reader.flush()
+    return "\n\n".join(reader.found)
+
+
+def test_main_text_of_random_trees():
+    """Pages of closed elements with prose in an article: the same text as from a parser of the library."""
+    from quern.llm.html_extract import main_text
+
+    r = random.Random(6)
+    long = lambda: " ".join(r.choice(WORDS) for _ in range(r.randrange(60, 90)))
+    inline = lambda t: r.choice([t, f"<b>{t}</b>", f"<i class=x>{t} </i>", f"{t} &amp; <em>more</em> &#8211; <!-- no --> {t}", f"{t}<br>{t}"])
+
+    def block(depth):
+        kind = r.choice(["p", "p", "blockquote", "li", "td", "h2", "div", "section", "nav", "aside", "footer", "form", "script", "style", "ad", "comments"])
+        if kind in ("script", "style"):
+            return f"<{kind}>var a = 1 < 2; p {{ }}</{kind}>"
+        if kind in ("ad", "comments"):
+            return f"<div {r.choice(['class', 'id'])}='{kind}'><p>{long()}</p></div>"
+        if kind in ("div", "section", "nav", "aside", "footer", "form") and depth < 3:
+            return f"<{kind}>{''.join(block(depth + 1) for _ in range(r.randrange(1, 4)))}</{kind}>"
+        if kind == "li":
+            return f"<ul><li>{inline(long())}</li><li>{long()}</li></ul>"
+        if kind == "td":
+            return f"<table><tr><td>{inline(long())}</td><td>{long()}</td></tr></table>"
+        return f"<p>{inline(long())}</p>" if kind not in ("blockquote", "h2") else f"<{kind}>{inline(long())}</{kind}>"
+
+    for _ in range(300):
+        inner = "".join(block(0) for _ in range(r.randrange(1, 8)))
+        page = f"<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body><header><p>{long()}</p></header><nav><a href=x>{long()}</a></nav><article>{inner}</article><footer><p>{long()}</p></footer></body></html>"
+        assert main_text(page) == tree_text(page), page
+
+
 def test_extract(spark):
     from quern.llm.html_extract import extract
 
