@@ -58,6 +58,11 @@ def removable(scripts: list[str] | tuple[str, ...]) -> str:
     return "".join(c for c in unusual_characters() if c not in allowed)
 
 
+def script_list(user: list[str] | tuple[str, ...]) -> list[str]:
+    """The scripts a user names, and those that are always allowed, each once."""
+    return list(dict.fromkeys([*user, *BASE_SCRIPTS]))
+
+
 def script_names() -> list[str]:
     return sorted(SCRIPTS)
 

@@ -18,7 +18,8 @@ from quern.operators.html import links, without_tags
 
 ITEM = r"""(?is)<li[^>]*>(?:(?!</li>).)*?<a\s[^>]*?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>((?:(?!</li>).)*)</li>"""
 START = r"""(?is)class\s*=\s*["'][^"']*\bstart\b[^"']*["'][^>]*>(.*?)<"""
-CONTENT = r"""(?is)<div[^>]*class\s*=\s*["'][^"']*\bpost_content\b[^"']*["'][^>]*>(.*?)</div>"""
+#: The class of the element with an article's content.
+CONTENT = "post_content"
 ROW, CELL = r"(?is)<tr[^>]*>(.*?)</tr>", r"(?is)<td[^>]*>(.*?)</td>"
 #: Phrases with the total of comments, as sites report it, in order.
 TOTALS = (r"(?iu)(\d+)\s+-\s+Όλα\s+τα\s+Σχόλια", r"(?iu)(\d+)\s+σχόλια\s+συνολικά", r"(?iu)συνολικά\s+(\d+)\s+σχόλια")
@@ -76,10 +77,22 @@ def metadata(pages: DataFrame, url: str, html: str, finished: str = "Ολοκλ
     return pages.select(F.col(url).alias("url"), post_id(F.col(url)).alias("post_id"), collapse(without_tags(heading)).alias("title"), at(1).alias("start_date"), end.alias("end_date"), is_finished.alias("is_finished"), comment_total(F.col(html)).alias("total_comments"))
 
 
+def div_content(html: Column, name: str) -> Column:
+    """The markup inside the first div of a class, up to its own end; to the end of the page if it has none; null without such a div."""
+    opening = rf"""(?is)^.*?<div\b[^>]*class\s*=\s*["'][^"']*(?<![\w-]){name}(?![\w-])[^"']*["'][^>]*>"""
+    rest = F.regexp_replace(html, opening, "")
+    pieces = F.split(rest, r"(?i)(?=<div[\s>])|(?=</div[\s>])")  # all but the first begin with a tag
+    steps = F.transform(pieces, lambda x: F.when(F.lower(x).rlike(r"^<div[\s>]"), 1).when(F.lower(x).rlike(r"^</div[\s>]"), -1).otherwise(0))
+    state = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("at"), F.lit(None).cast("int").alias("end"))
+    walk = lambda s, step: F.struct((s["depth"] + step).alias("depth"), (s["at"] + 1).alias("at"), F.coalesce(s["end"], F.when(s["depth"] + step < 0, s["at"])).alias("end"))
+    end = F.aggregate(steps, state, walk, lambda s: F.coalesce(s["end"], s["at"]))
+    return F.when(html.rlike(opening), F.array_join(F.slice(pieces, F.lit(1), end), ""))
+
+
 def article_pages(pages: DataFrame, url: str, html: str) -> DataFrame:
     """(url, post_id, title, raw_html) of article pages: the heading and the content's markup."""
     heading = F.regexp_extract(html, r"(?is)<h[1-3][^>]*>(.*?)</h[1-3]>", 1)
-    raw = F.nullif(F.regexp_extract(html, CONTENT, 1), F.lit(""))
+    raw = F.nullif(div_content(F.col(html), CONTENT), F.lit(""))
     return pages.select(F.col(url).alias("url"), post_id(F.col(url)).alias("post_id"), collapse(without_tags(heading)).alias("title"), raw.alias("raw_html"))
 
 

@@ -3,93 +3,90 @@
 A separator is a line whose first cell is dashes and colons; a row is a line
 between pipes. A separator starts a table unless it is a row inside the body
 of the table before; the table reaches from the row above it, if there is one,
-to the last row below. With lines as rows of a DataFrame these are islands:
-runs of row lines are numbered by a running count of other lines, so two
-windows over the lines of a document find all tables without a loop.
+to the last row below. All of a text's tables are found in one pass over its
+lines within its row, so nothing is exploded or shuffled; a text without a
+separator never reaches Python.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.functions.text import lines, trim
+from quern.functions.text import lines
 from quern.operators.clean import TABLE_REMOVED
 
-SEPARATOR = r"(?U)^\s*\|\s*[-:]+\s*\|"
-ROW = r"(?U)^\s*\|.*\|\s*$"
+#: Unicode white space, and what no line holds in the middle.
+_SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+SEPARATOR = rf"^{_SPACE}*\|{_SPACE}*[-:]+{_SPACE}*\|"
+ROW = rf"^{_SPACE}*\|[^\n\r\x85\u2028\u2029]*\|{_SPACE}*$"
+_SEPARATOR, _ROW, _ENDS = re.compile(SEPARATOR), re.compile(ROW), re.compile(rf"^{_SPACE}+|{_SPACE}+$")
 HEADER_MISMATCH = "Table header and separator column count mismatch"
 NO_HEADER = "Table separator without header row"
 ROW_MISMATCH = "Table row has inconsistent column count"
 
 
-def column_count(line: Column) -> Column:
+_SPAN = "start_line int, end_line int"
+FOUND = f"struct<tables: array<struct<sep_line int, columns int, header_columns int, {_SPAN}>>, issues: array<struct<line_number int, description string, expected int, found int, {_SPAN}>>>"
+
+
+def column_count(line: str) -> int:
     """Cells of a row; 0 for a line that isn't between pipes."""
-    core = trim(line)
-    inner = F.substring(core, F.lit(2), F.length(core) - 2)
-    return F.when(core.startswith("|") & core.endswith("|"), F.when(F.length(core) <= 1, 0).otherwise(F.size(F.split(inner, r"\|")))).otherwise(0)
-
-
-def exploded_lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, line_no, line), lines numbered from 0."""
-    return df.select(F.col(id_col).alias("doc"), F.posexplode(lines(F.coalesce(F.col(text_col), F.lit("")))).alias("line_no", "line"))
-
-
-def table_lines(rows: DataFrame) -> DataFrame:
-    """Adds to (doc, line_no, line) of all lines: is_row, columns, island, table_no of the table that starts at this separator, and is_start."""
-    order = Window.partitionBy("doc").orderBy("line_no")
-    out = rows.withColumns({"is_row": F.col("line").rlike(ROW), "is_sep": F.col("line").rlike(SEPARATOR), "columns": column_count(F.col("line"))})
-    out = out.withColumn("island", F.sum((~F.col("is_row")).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    inside = Window.partitionBy("doc", "island", "is_row").orderBy("line_no")
-    out = out.withColumns({"nth_sep": F.sum((F.col("is_sep") & F.col("is_row")).cast("int")).over(inside.rowsBetween(Window.unboundedPreceding, 0)), "above_open": F.lag("is_sep", 1, False).over(order) & ~F.lag("is_row", 1, False).over(order)})
-    first = F.first("above_open").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    starts = F.when(F.col("is_row"), F.col("is_sep") & (F.col("nth_sep") == 1) & ~first).otherwise(F.col("is_sep"))
-    return out.withColumn("is_start", starts).drop("nth_sep", "above_open")
-
-
-def tables(rows: DataFrame) -> DataFrame:
-    """One row per table: doc, sep_line, columns of the separator, header_columns (null without header), start_line and end_line (from 0, inclusive)."""
-    order = Window.partitionBy("doc").orderBy("line_no")
-    run = Window.partitionBy("doc", "island").orderBy("line_no").rowsBetween(0, Window.unboundedFollowing)
-    marked = table_lines(rows).withColumns(
-        {
-            "header_columns": F.when(F.lag("is_row", 1, False).over(order), F.lag("columns", 1).over(order)),
-            # the rows of an island follow the line that opens it, so the island's end is also the end of a table under a separator without closing pipe
-            "end_line": F.max("line_no").over(run),
-        }
-    )
-    start = F.when(F.col("header_columns").isNotNull(), F.col("line_no") - 1).otherwise(F.col("line_no"))
-    return marked.where("is_start").select("doc", F.col("line_no").alias("sep_line"), "columns", "header_columns", start.alias("start_line"), "end_line", "island")
+    core = _ENDS.sub("", line)
+    if not (core.startswith("|") and core.endswith("|")) or len(core) <= 1:
+        return 0
+    return core[1:-1].count("|") + 1
+
+
+def tables_of(text: list[str] | None) -> dict:
+    """The tables of a text's lines, and what is wrong with them; lines count from 0, those of issues from 1, ends are inclusive."""
+    tables: list[dict] = []
+    issues: list[dict] = []
+    ragged: list[tuple[int, int, int]] = []  # table, line, cells
+    inside = above = False
+    for i, line in enumerate(text or ()):
+        row = "|" in line and _ROW.match(line) is not None
+        if "|" in line and not (inside and row) and _SEPARATOR.match(line):
+            header = column_count(text[i - 1]) if above else None
+            tables.append({"sep_line": i, "columns": column_count(line), "header_columns": header, "start_line": i - 1 if above else i, "end_line": i})
+            inside = True
+        elif inside and row:
+            tables[-1]["end_line"] = i
+            n = column_count(line)
+            if tables[-1]["columns"] > 0 and n != tables[-1]["columns"]:
+                ragged.append((len(tables) - 1, i, n))
+        else:
+            inside = False
+        above = row
+    span = lambda t: {"start_line": t["start_line"], "end_line": t["end_line"]}
+    for t in tables:
+        if t["header_columns"] != t["columns"]:
+            said = NO_HEADER if t["header_columns"] is None else HEADER_MISMATCH
+            issues.append({"line_number": t["sep_line"] + 1, "description": said, "expected": t["header_columns"], "found": t["columns"], **span(t)})
+    for k, i, n in ragged:
+        issues.append({"line_number": i + 1, "description": ROW_MISMATCH, "expected": tables[k]["columns"], "found": n, **span(tables[k])})
+    return {"tables": tables, "issues": issues}
+
+
+def table_scan(text: Column) -> Column:
+    """STRUCT(tables, issues) of a text; both empty where it has no separator."""
+    scan = F.udf(tables_of, FOUND, useArrow=True)
+    some = F.coalesce(text, F.lit("")).rlike(rf"(?m){SEPARATOR}")
+    return scan(F.when(some, lines(text)))
 
 
 def table_issues(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per issue: doc, line_number (from 1), description, expected, found, start_line, end_line."""
-    rows = exploded_lines(df, id_col, text_col)
-    found = tables(rows)
-    at = [F.col("start_line"), F.col("end_line")]
-    none = F.lit(None).cast("int")
-    head = found.select(
-        "doc",
-        (F.col("sep_line") + 1).alias("line_number"),
-        F.when(F.col("header_columns").isNull(), NO_HEADER).when(F.col("header_columns") != F.col("columns"), HEADER_MISMATCH).alias("description"),
-        F.col("header_columns").alias("expected"),
-        F.col("columns").alias("found"),
-        *at,
-    ).where("description is not null")
-    body = table_lines(rows).where("is_row").select("doc", "line_no", F.col("columns").alias("found"), "island")
-    own = found.where("columns > 0").select("doc", "island", F.col("sep_line"), F.col("columns").alias("expected"), *at)
-    ragged = body.join(own, ["doc", "island"]).where("line_no > sep_line and found <> expected")
-    ragged = ragged.select("doc", (F.col("line_no") + 1).alias("line_number"), F.lit(ROW_MISMATCH).alias("description"), "expected", "found", *at)
-    return head.withColumn("expected", F.coalesce("expected", none)).unionByName(ragged)
+    found = df.select(F.col(id_col).alias("doc"), table_scan(F.col(text_col)).alias("found"))
+    return found.select("doc", F.inline("found.issues"))
 
 
 def table_summary(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Per document: total_tables and malformed_tables (the number of issues, as reports have it)."""
-    totals = tables(exploded_lines(df, id_col, text_col)).groupBy("doc").agg(F.count("*").alias("total_tables"))
-    issues = table_issues(df, id_col, text_col).groupBy("doc").agg(F.count("*").alias("malformed_tables"))
-    docs = df.select(F.col(id_col).alias("doc")).distinct()
-    out = docs.join(totals, "doc", "left").join(issues, "doc", "left")
-    return out.select("doc", F.coalesce("total_tables", F.lit(0)).cast("long").alias("total_tables"), F.coalesce("malformed_tables", F.lit(0)).cast("long").alias("malformed_tables"))
+    found = df.select(F.col(id_col).alias("doc"), table_scan(F.col(text_col)).alias("found"))
+    return found.select("doc", F.size("found.tables").cast("long").alias("total_tables"), F.size("found.issues").cast("long").alias("malformed_tables"))
 
 
 def remove_ranges(text: Column, ranges: Column) -> Column:
@@ -106,21 +103,32 @@ def remove_ranges(text: Column, ranges: Column) -> Column:
     return F.when((F.size(ranges) <= 0) | (text == ""), text).otherwise(ended)
 
 
+def _spans(issues: Column) -> Column:
+    return F.array_distinct(F.transform(issues, lambda x: F.struct(x["start_line"].alias("start_line"), x["end_line"].alias("end_line"))))
+
+
 def remove_malformed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``df`` with the tables that have an issue replaced by a comment."""
-    spans = table_issues(df, id_col, text_col).groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("start_line", "end_line"))).alias("__ranges"))
-    out = df.join(spans.withColumnRenamed("doc", "__doc"), F.col(id_col).eqNullSafe(F.col("__doc")), "left")
-    text = F.when(F.col("__ranges").isNull(), F.col(text_col)).otherwise(remove_ranges(F.col(text_col), F.col("__ranges")))
-    return out.withColumn(text_col, text).drop("__doc", "__ranges")
+    out = df.withColumn("__found", table_scan(F.col(text_col)))
+    text = F.when(F.size("__found.issues") > 0, remove_ranges(F.col(text_col), _spans(F.col("__found.issues")))).otherwise(F.col(text_col))
+    return out.withColumn(text_col, text).drop("__found")
 
 
 def clean_and_report(df: DataFrame, id_col: str, text_col: str, scripts=("latin", "greek")) -> DataFrame:
-    """The four steps in one plan: clean, find tables, remove malformed ones, score what is left."""
+    """The four steps in one projection: clean, find tables, remove malformed ones, score what is left."""
     from quern.operators.clean import with_quality
 
-    cleaned = with_quality(df, text_col, scripts).select(*[c for c in df.columns if c != text_col], F.col("cleaned").alias(text_col))
-    counts = table_summary(cleaned, id_col, text_col)
-    final = with_quality(remove_malformed(cleaned, id_col, text_col), text_col, scripts)
-    out = final.join(counts.withColumnRenamed("doc", "__doc"), F.col(id_col).eqNullSafe(F.col("__doc")), "left")
+    cleaned = with_quality(df.select(id_col, text_col), text_col, scripts).select(id_col, F.col("cleaned").alias(text_col))
+    found = cleaned.withColumn("__found", table_scan(F.col(text_col)))
+    text = F.when(F.size("__found.issues") > 0, remove_ranges(F.col(text_col), _spans(F.col("__found.issues")))).otherwise(F.col(text_col))
+    counts = [F.size("__found.tables").cast("long").alias("total_tables"), F.size("__found.issues").cast("long").alias("malformed_tables")]
+    final = with_quality(found.select(id_col, text.alias(text_col), *counts), text_col, scripts)
     score = lambda c: F.round(F.greatest(F.col(c), F.lit(0.0)), 3)
-    return out.select(F.col(id_col), F.col("cleaned").alias(text_col), score("badness").alias("badness"), score("greek_pct").alias("greek_pct"), score("latin_pct").alias("latin_pct"), "total_tables", "malformed_tables")
+    return final.select(F.col(id_col), F.col("cleaned").alias(text_col), score("badness").alias("badness"), score("greek_pct").alias("greek_pct"), score("latin_pct").alias("latin_pct"), "total_tables", "malformed_tables")
+
+
+def write_issues(df: DataFrame, path: str) -> None:
+    """The detailed table report: one CSV row per issue, by file and line."""
+    from quern.sources.files import write_csv
+
+    write_csv(df, path, ["doc", "line_number"])

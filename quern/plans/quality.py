@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quern.operators.clean import TEXT_MISSING, clean_text, quality_report, removable, script_count, visible, with_clean, with_quality
 from quern.operators.reports import histogram
-from quern.operators.tables import remove_malformed, table_issues, table_summary
+from quern.operators.tables import clean_and_report, remove_malformed, table_issues, table_summary
 from quern.plans.base import spread_table, table
 
 DROPPED = removable(["latin"])
@@ -153,6 +153,35 @@ e as (select doc_id, case when coalesce(n, 0) = 0 then whole when whole like '%
 select doc_id, length(text) as chars, md5(text) as digest from e"""
 )
 
+def complete_report(spark, sf_dir) -> DataFrame:
+    """All four steps: clean, find tables, remove malformed ones, score what is left."""
+    out = clean_and_report(_with_tables(spark, sf_dir), "doc_id", "text", ["latin"])
+    return out.select("doc_id", "total_tables", "malformed_tables", F.md5("text").alias("digest"))
+
+
+#: The same by the steps' SQL: lines are cleaned, then tables found in what came out of it. No line of the documents is dropped by either cleaning.
+SQL_COMPLETE = (
+    _TABLES.replace("select doc_id, i - 1 as line_no, list_extract(ls, i) as line from", f"select doc_id, i - 1 as line_no, translate(list_extract(ls, i), '{DROPPED}', '') as raw_line, list_extract(ls, i) as raw from").replace(
+        "\nk as (", """
+y as (select *, length(regexp_replace(raw, '\\s', '', 'g')) - length(regexp_replace(raw_line, '\\s', '', 'g')) as loss from l),
+o as (select doc_id, line_no, case when loss >= 5 and trim(raw_line) <> '' then rtrim(raw_line) || ' """
+        + TEXT_MISSING
+        + """' when loss >= 5 and trim(raw) <> '' then '"""
+        + TEXT_MISSING
+        + """' else raw_line end as line from y),
+k as (""",
+    ).replace("else 0 end as cols from l)", "else 0 end as cols from o)")
+    + r""", gone as (select o.doc_id, o.line_no, o.line, exists (select 1 from issues x where x.doc_id = o.doc_id and o.line_no between x.start_line and x.end_line) as gone from o),
+r as (select *, lag(gone, 1, false) over (partition by doc_id order by line_no) as above from gone),
+j as (select doc_id, string_agg(case when gone then '<!-- table-removed -->' else line end, chr(10) order by line_no) as body from r where not (gone and above) group by doc_id),
+e as (select doc_id, ls[len(ls)] = '' and len(ls) > 1 as ended from src)
+select d.doc_id, coalesce(a.n, 0)::bigint as total_tables, coalesce(b.n, 0)::bigint as malformed_tables,
+  md5(coalesce(body, '') || case when ended and body is not null and body <> '<!-- table-removed -->' then chr(10) else '' end) as digest
+from documents d left join (select doc_id, count(*) as n from f group by doc_id) a using (doc_id) left join (select doc_id, count(*) as n from issues group by doc_id) b using (doc_id) left join j using (doc_id) left join e using (doc_id)
+"""
+)
+
+
 QUERIES = {
     "quality_report_by_lang": quality_report_by_lang,
     "clean_metrics_per_doc": clean_metrics_per_doc,
@@ -163,6 +192,7 @@ QUERIES = {
     "malformed_tables": malformed_tables,
     "table_summary": table_summaries,
     "remove_tables": remove_tables,
+    "complete_report": complete_report,
 }
 ORACLES = {
     "quality_report_by_lang": SQL_REPORT,
@@ -174,4 +204,5 @@ ORACLES = {
     "malformed_tables": SQL_ISSUES,
     "table_summary": SQL_SUMMARY,
     "remove_tables": SQL_REMOVED,
+    "complete_report": SQL_COMPLETE,
 }

@@ -56,6 +56,30 @@ def write_quality_csv(df: DataFrame, path: str) -> None:
     write_csv(rows, path, ["File Name"])
 
 
+def write_comments_csv(df: DataFrame, path: str, order: list[str]) -> None:
+    """Flat comments as CSV that spreadsheets read as UTF-8: the header opens with a byte order mark."""
+    first, *rest = df.columns
+    mark = chr(0xFEFF)
+    write_csv(df.orderBy(*order).select(F.col(first).alias(f"{mark}{first}"), *rest), path)
+
+
+def write_matches_json(references: DataFrame, matches: DataFrame, key: str, path: str) -> None:
+    """References with the ARRAY of the catalogue's records that match them, as JSON lines; those without a match are left out."""
+    records = matches.groupBy(key).agg(F.collect_list(F.struct(*(c for c in matches.columns if c != key))).alias("matched_data"))
+    references.join(records, key).write.json(path)
+
+
+def with_defaults(df: DataFrame, schema: StructType, defaults: dict) -> DataFrame:
+    """The rows in a table's columns: those that are missing or null get their default, others are dropped."""
+    value = lambda f: F.coalesce(F.col(f.name) if f.name in df.columns else F.lit(None), F.lit(defaults.get(f.name))).cast(f.dataType).alias(f.name)
+    return df.select(*map(value, schema))
+
+
+def copy_table(df: DataFrame, path: str, schema: StructType, defaults: dict) -> None:
+    """Copy rows into a Parquet table with another schema."""
+    with_defaults(df, schema, defaults).write.mode("append").parquet(path)
+
+
 def write_split(df: DataFrame, valid, good: str, bad: str) -> None:
     """Valid rows to one Parquet folder, the others to another."""
     df.where(F.coalesce(valid, F.lit(False))).write.parquet(good)
