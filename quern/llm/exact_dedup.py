@@ -22,10 +22,23 @@ from pyspark.sql import functions as F
 from .common import SALTS, hot_keys, salted_join, text_of, whole_row, written
 
 
+#: Rows of one id and text that one task writes out.
+PIECE = 10_000
+
+
 def sha256_of(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
+def _expanded(rows: DataFrame) -> DataFrame:
+    """Each row as often as its n_rows says, numbered by nth; those with many are dealt out in pieces first."""
+    few = rows.where(F.col("n_rows") <= PIECE).withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_rows"))))
+    many = rows.where(F.col("n_rows") > PIECE).withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_rows") - 1) / PIECE))))
+    many = many.repartition("digest", "id", "piece")
+    nth = F.explode(F.sequence(F.col("piece") * PIECE + 1, F.least((F.col("piece") + 1) * PIECE, F.col("n_rows"))))
+    return few.unionByName(many.withColumn("nth", nth).drop("piece"))
+
+
 def exact_dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -48,7 +61,8 @@ def exact_dedup(
     hot = written(hot, "hot-digests")
 
     flagged = rows.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "digest", "left")
-    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("id"), F.lit(salts))).otherwise(0)
+    # a task combines its own copies, whatever their ids, and deals out what is left
+    salt = F.when(F.col("hot"), F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(0)
     merged = (
         flagged.groupBy("digest", salt.alias("salt"), "hot", "text")
         .agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
@@ -69,7 +83,7 @@ def exact_dedup(
         best = apart.groupBy("text").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
         own = apart.groupBy("digest", "id", "text").agg(F.count("*").alias("n_rows")).join(best, "text").drop("text")
         out = out.unionByName(own.select(out.columns))
-    out = out.withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("n_rows").cast("int"))))
+    out = _expanded(out)
     kept = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)
     return out.select(F.col("id").alias(id_col), "keep_id", "group_size", kept.alias("kept"), "digest")
 
