@@ -90,7 +90,7 @@ def test_warc(spark, tmp_path):
     whole = [bytes(x.record) for x in records(spark, path).collect()]
     parsed = [r for b in whole for r in parse_records(b)]
     assert len(parsed) == len(rows)
-    for fields, block in parsed:
+    for fields, _, block in parsed:
         head, _, body = block.partition(b"\r\n\r\n")
         assert int(fields["Content-Length"]) == len(block)
         if fields["WARC-Type"] == "response":
@@ -103,6 +103,57 @@ def test_warc(spark, tmp_path):
     assert read_archive(spark, f"{path}0").count() == 0
 
 
+def test_given_records_come_back(spark, tmp_path):
+    """Records with headers of any kind, plain and gzipped, are archived and put together again byte by byte; odd files are read as far as they go."""
+    import gzip
+
+    from quern.llm.warc import archive_records, parse_records, read_warc_files, records, split_block
+
+    body = b"<p>\xce\xb1 same</p>"
+    http = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n"
+    blocks = [(b"response", http + body), (b"response", b"HTTP/1.0 200 Fine\r\n\r\n" + body), (b"warcinfo", b"software: y\r\n"), (b"resource", b""), (b"response", b"HTTP/1.1 204 None"), (b"response", http + body)]
+    made = [b"WARC/1.0\r\nwarc-type: " + kind + b"\r\nX-Long: a\r\n b\r\nContent-Length:" + str(len(b)).encode() + b"\r\n\r\n" + b + b"\r\n\r\n" for kind, b in blocks]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.warc").write_bytes(b"".join(made))
+    (tmp_path / "in/b.warc.gz").write_bytes(b"".join(map(gzip.compress, made)))
+    found = read_warc_files(spark, f"file://{tmp_path}/in")
+    rows = found.collect()
+    assert len(rows) == 2 * len(made) and {r.fields["X-Long"] for r in rows} == {"a b"} and {r.fields["warc-type"] for r in rows} == {"response", "warcinfo", "resource"}
+    header, payload = split_block(found["header"], found["block"])
+    path = f"file://{tmp_path}/archive"
+    archive_records(found.select(header.alias("header"), payload.alias("payload")), path)
+    assert Counter(bytes(x.record) for x in records(spark, path).collect()) == Counter(made * 2)
+    assert spark.read.parquet(f"{path}/payloads").count() == 4
+    for end in range(1, 12):
+        assert len(list(parse_records(b"".join(made)[: -len(made[-1]) + end * 5]))) == len(made) - 1
+        assert len(list(parse_records(gzip.compress(b"".join(made))[: -end * 2]))) <= len(made)
+    with pytest.raises(ValueError, match="no WARC record"):
+        list(parse_records(b"HTTP/1.1"))
+
+
+def test_many_rows_without_id_spread(spark):
+    """A third of all rows repeat one text without id: each operator gives its rows, and no piece or place is one task's."""
+    from pyspark.sql import functions as F
+
+    from quern.llm import exact_dedup as e
+    from quern.llm.sharding import shard, sharded
+
+    n = 30_000
+    docs = spark.range(n).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).otherwise("same").alias("text"), F.lit("a").alias("source")).repartition(8)
+    got = e.exact_dedup(docs)
+    assert got.count() == n and got.where("kept").count() == n - n // 3 + 1
+    assert got.where("doc_id is null").agg(F.count("*"), F.sum(F.col("kept").cast("int")), F.min("group_size")).first() == (n // 3, 1, n // 3)
+    pieces = e._expanded(spark.createDataFrame([(b"d", 1, 35_000), (b"e", None, 3)], "digest binary, id long, n_rows long"))
+    assert pieces.groupBy("digest").agg(F.count("*").alias("n"), F.count_distinct("nth").alias("m"), F.max("nth").alias("x")).orderBy("digest").collect() == [(b"d", 35_000, 35_000, 35_000), (b"e", 3, 3, 3)]
+    placed = shard(docs)
+    assert placed.count() == n and placed.select("shard", "slot").distinct().count() == n
+    lone = placed.where("doc_id is null").groupBy("shard").count().agg(F.min("count"), F.max("count"), F.count("*")).first()
+    assert lone[2] == 24 and lone[0] > 0.8 * n / 72 and lone[1] < 1.2 * n / 72
+    out = sharded(docs)
+    assert out.columns == ["doc_id", "text", "source", "shard", "slot"] and out.select("shard", "slot").distinct().count() == n
+    assert by_row(out.groupBy("text").count().collect(), "text", "count") == by_row(docs.groupBy("text").count().collect(), "text", "count")
+
+
 def test_warc_notices_damage(spark, tmp_path):
     from pyspark.sql import functions as F
 
