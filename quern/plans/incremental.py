@@ -172,6 +172,15 @@ def topic_terms(spark, sf_dir) -> DataFrame:
     return top_terms(class_tfidf(spread_table(spark, sf_dir, "documents"), "lang", "text"), "lang", 10).select("lang", "rank", "word")
 
 
+SQL_TERMS = f"""
+with w as (select lang, unnest({_WORDS}) as word from documents), c as (select lang, word, count(*) as n from w group by all),
+p as (select lang, sum(n) as m from c group by lang), t as (select word, sum(n) as k from c group by word),
+s as (select c.lang, c.word, c.n / p.m::double * ln(1 + (select avg(m) from p) / t.k::double) as score from c join p using (lang) join t using (word)),
+r as (select lang, row_number() over (partition by lang order by score desc, word) as rank, word from s)
+select lang, rank::int as rank, word from r where rank <= 10
+"""
+
+
 def mmr_keywords(spark, sf_dir) -> DataFrame:
     return mmr(table(spark, sf_dir, "embeddings"), "label", "vec_id", "embedding", 15, 0.3)
 
@@ -205,6 +214,25 @@ def part_narratives(spark, sf_dir) -> DataFrame:
     return part_summaries(chapters, "part", "chapter").join(inputs, "part")
 
 
+#: The stages by SQL: what the stub answers follows from the number of words.
+_STAGE_ONE = r"""
+a as (select doc_id, source as part, lang as chapter, case when doc_id % 2 = 0 then 'Στον ν. 12/2020 προστίθεται:' || chr(10) || '«' || substr(text, 1, 60) || chr(10) || 'τέλος»' || chr(10) || text else text end as content from documents),
+n as (select *, coalesce(len(regexp_extract_all(content, '\S+')), 0) as words, doc_id % 2 = 0 and content is not null as modifies from a),
+o as (select doc_id, part, chapter, case when coalesce(content, '') = '' then 'skip' when words < 80 then 'verbatim' else 'summarise' end as route, case when modifies then 'modifies' else 'new_provision' end as decision,
+    case when coalesce(content, '') = '' then null when words < 80 then content else 'Summary of ' || (words + 6) || ' words.' end as summary,
+    case when coalesce(content, '') = '' then null when modifies then '• Στο νομοσχέδιο τροποποιείται το άρθρο 1 του ν. 1/2000. Η σύνοψη της αλλαγής είναι: stub' else '• stub (ρύθμιση): stub' end as bullet from n)"""
+SQL_STAGE_ONE = f"with {_STAGE_ONE} select doc_id, route, decision, summary, bullet from o"
+_CHAPTERS = f"""{_STAGE_ONE},
+c as (select part, chapter, string_agg(bullet, chr(10) order by doc_id) as prompt from o where bullet is not null and not regexp_matches(lower(summary), '\\[error|\\[failed|placeholder') group by part, chapter)"""
+SQL_CHAPTERS = f"with {_CHAPTERS} select part, chapter, prompt from c"
+SQL_PARTS = rf"""
+with {_CHAPTERS},
+k as (select part, 'kefalaio_' || lower(chapter) as key, len(regexp_extract_all(prompt, '\S+')) as words, length(replace(prompt, chr(10), 'nn')) as chars, row_number() over (partition by part order by lower(chapter)) as nth, count(*) over (partition by part) as n from c)
+select part, any_value(n)::int as paragraphs, string_agg('Summary of ' || case when n = 1 then words + 6 else words + 8 + 4 * (nth - 1) end || ' words.', chr(10) || chr(10) order by nth) as text,
+  (sum(length(key) + chars + 5) + any_value(n) + 1)::int as plan_chars from k group by part
+"""
+
+
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{sf_dir}/event[s].parquet"  # as a pattern, since a stream takes a plain path for a folder
     return read_events(spark, path, spark.read.parquet(path).schema).withColumn("ts", F.col("ts").cast("timestamp"))
@@ -293,6 +321,10 @@ ORACLES = {
     "numeric_report": "select count(*) as n, round(avg(c_custkey), 3) as mean, min(c_custkey)::double as least, max(c_custkey)::double as greatest from customer where c_custkey % 3 <> 0",
     "stopword_threshold": SQL_STOP,
     "ctfidf": SQL_CTFIDF,
+    "topic_terms": SQL_TERMS,
+    "stage_one_routing": SQL_STAGE_ONE,
+    "chapter_bullets": SQL_CHAPTERS,
+    "part_narratives": SQL_PARTS,
     "vector_similarity": SQL_COSINE,
     "stream_tumbling": SQL_TUMBLING,
     "stream_sliding": SQL_SLIDING,

@@ -201,6 +201,16 @@ def chunk_by_budget(spark, sf_dir) -> DataFrame:
     return docs.select("doc_id", F.size(cut).alias("n_chunks"), F.aggregate(cut, F.lit(0), lambda s, x: s + F.size(x)).alias("n_items"))
 
 
+SQL_BUDGET_CHUNKS = """
+with recursive l as (select doc_id, i - 1 as i, length(ls[i]) as cost from (select doc_id, ls, unnest(range(1, len(ls) + 1)) as i from (select doc_id, string_split(text, chr(10)) as ls from documents))),
+w as (select doc_id, i, cost as s, 0 as first, 1 as n from l where i = 0
+  union all
+  select l.doc_id, l.i, case when w.s + l.cost > 150 and l.i > w.first then l.cost else w.s + l.cost end, case when w.s + l.cost > 150 and l.i > w.first then l.i else w.first end, w.n + case when w.s + l.cost > 150 and l.i > w.first then 1 else 0 end
+  from w join l on l.doc_id = w.doc_id and l.i = w.i + 1)
+select doc_id, max(n)::int as n_chunks, (max(i) + max(n))::int as n_items from w group by doc_id
+"""
+
+
 def tree_reduce(spark, sf_dir) -> DataFrame:
     c = table(spark, sf_dir, "conversations").withColumn("word", F.substring_index("text", " ", 1))
     return pairwise_reduce(c, "conv_id", "turn", "word", lambda a, b: f"{a} {b}").withColumnRenamed("word", "joined")
@@ -224,6 +234,14 @@ def number_spans(spark, sf_dir) -> DataFrame:
     return spans(table(spark, sf_dir, "documents"), "doc_id", "text", r"[0-9]{4,}")
 
 
+SQL_SPANS = """
+with d as (select doc_id as doc, regexp_extract_all(text, '[0-9]{4,}') as m, regexp_split_to_array(text, '[0-9]{4,}') as p from documents),
+u as (select doc, m, p, unnest(range(1, len(m) + 1)) as i from d),
+s as (select doc, m[i] as match, (list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::int as start from u)
+select doc, match, start, (start + length(match))::int as "end" from s
+"""
+
+
 def ranges_in_titles(spark, sf_dir) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     title = F.concat(F.lit("Articles ("), (F.col("o_custkey") % 9).cast("string"), F.lit(" - "), (F.col("o_orderkey") % 11).cast("string"), F.lit(")"))
@@ -263,6 +281,8 @@ ORACLES = {
     "hierarchy_rollup": SQL_ROLLUP,
     "hierarchy_shape": "select conv_id, (turn % 2)::varchar as part, count(distinct role) as n_chapters, count(*) as n_articles from conversations group by all",
     "tree_reduce": SQL_TREE,
+    "chunk_by_budget": SQL_BUDGET_CHUNKS,
+    "number_spans": SQL_SPANS,
     "article_chunks": SQL_CHUNKED,
     "title_ranges": "select o_orderkey, greatest(0, o_orderkey % 11 - o_custkey % 9 + 1) as n from orders",
 }
