@@ -54,7 +54,7 @@ def all_match(compared: DataFrame) -> DataFrame:
 
 
 def shares(df: DataFrame, column: str) -> DataFrame:
-    """Rows per value (null is one) and their share in percent, most frequent first."""
+    """Rows per value (null is one) and their share in percent."""
     counts = df.groupBy(column).agg(F.count("*").alias("n"))
     share = F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()), 2)
     return counts.withColumn("share", share)

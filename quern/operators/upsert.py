@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,16 +56,52 @@ def replace_children(children: DataFrame, fresh: DataFrame, parent: str) -> Data
     return children.join(fresh.select(parent).distinct(), parent, "left_anti").unionByName(fresh, allowMissingColumns=True)
 
 
-def write_merge(spark, path: str, new: DataFrame, key: str, frozen: str | None = None) -> None:
-    """Merge into a Parquet table: the result goes to a new folder, then takes the table's place."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    at = jvm.org.apache.hadoop.fs.Path
-    fs = at(path).getFileSystem(conf)
-    fresh, past = f"{path}.new", f"{path}.old"
-    for p in (fresh, past):
-        fs.delete(at(p), True)
-    (merge(spark.read.parquet(path), new, key, frozen) if fs.exists(at(path)) else new).write.parquet(fresh)
-    if fs.exists(at(path)):
-        fs.rename(at(path), at(past))
-    fs.rename(at(fresh), at(path))
-    fs.delete(at(past), True)
+BUCKETS = 64
+
+
+def _latest(spark, path: str) -> tuple[int, dict[str, str]]:
+    """Number and content (folder of each bucket) of the table's last manifest; 0 and nothing for a table that isn't there yet."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    folder = at(f"{path}/_manifests")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [x.getPath().getName() for x in fs.listStatus(folder)] if fs.exists(folder) else []
+    last = max((int(n) for n in names if n.isdigit()), default=0)
+    if not last:
+        return 0, {}
+    return last, json.loads("".join(r.value for r in spark.read.text(f"{path}/_manifests/{last}").collect()))
+
+
+def read_merged(spark, path: str) -> DataFrame:
+    """The table that ``write_merge`` keeps under a path."""
+    last, folders = _latest(spark, path)
+    if not last:
+        raise FileNotFoundError(path)
+    return spark.read.schema(folders["schema"]).parquet(*(f"{path}/{f}" for k, f in folders.items() if k.isdigit()))
+
+
+def write_merge(spark, path: str, new: DataFrame, key: str, frozen: str | None = None, buckets: int = BUCKETS) -> None:
+    """Merge into a table of Parquet folders, one per hash bucket of the key.
+
+    Only buckets that ``new`` has keys of are read and written again, in new
+    folders; a manifest that names the folders in force is put in place by one
+    rename, so a crash leaves the table as it was, and readers see one state.
+    """
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    last, folders = _latest(spark, path)
+    of = F.pmod(F.xxhash64(F.col(key)), F.lit(folders.get("buckets", buckets))).cast("int")
+    touched = sorted(r[0] for r in new.select(of.alias("b")).distinct().collect())  # as many as there are buckets at most
+    if not touched:
+        return
+    before = [f"{path}/{folders[str(b)]}" for b in touched if str(b) in folders]
+    rows = merge(spark.read.schema(folders["schema"]).parquet(*before), new, key, frozen) if before else new.select(folders["columns"]) if last else new
+    fresh = f"v{last + 1}-{uuid.uuid4().hex}"
+    rows.withColumn("__bucket", of).write.partitionBy("__bucket").parquet(f"{path}/{fresh}")
+    now = folders | {str(b): f"{fresh}/__bucket={b}" for b in touched}
+    now |= {"buckets": folders.get("buckets", buckets), "columns": folders.get("columns", rows.columns), "schema": folders.get("schema", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema))}
+    temporary = f"{path}/_manifests/_{fresh}"
+    out = fs.create(at(temporary))
+    out.write(bytearray(json.dumps(now).encode()))
+    out.close()
+    if not fs.rename(at(temporary), at(f"{path}/_manifests/{last + 1}")):
+        raise RuntimeError(f"{path} was changed by someone else meanwhile")

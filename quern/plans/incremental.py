@@ -14,7 +14,7 @@ from quern.operators.topics import class_tfidf, mmr, similarity, stop_words, top
 from quern.operators.upsert import above_mark, change_summary, changes, known_items, merge, new_items, replace_children
 from quern.plans.base import spread_table, table
 from quern.session import shared_folder
-from quern.streaming.incremental import deduplicated, drained, read_events, sessions, sliding, tumbling
+from quern.streaming.incremental import deduplicated, drained, joined, read_events, sessions, sliding, tumbling
 
 
 def _snapshots(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
@@ -278,6 +278,16 @@ def stream_dedup(spark, sf_dir) -> DataFrame:
     return drained(kept, _state(spark))
 
 
+def stream_join(spark, sf_dir) -> DataFrame:
+    """Purchases within six hours after a click of the same user."""
+    clicks = _stream(spark, sf_dir).where("event_type = 'click'").select("user_id", "event_id", "ts")
+    buys = _stream(spark, sf_dir).where("event_type = 'purchase'").select("user_id", "event_id", "ts")
+    return drained(joined(clicks, buys, "user_id", "ts", "6 hours", "60 days").select("user_id", "event_id", "next_event_id"), _state(spark))
+
+
+SQL_STREAM_JOIN = "select a.user_id, a.event_id, b.event_id as next_event_id from events a join events b on a.user_id = b.user_id and a.event_type = 'click' and b.event_type = 'purchase' and b.ts >= a.ts and b.ts <= a.ts + interval 6 hour"
+
+
 QUERIES = {
     "new_items_anti": new_items_anti,
     "existing_items_semi": existing_items_semi,
@@ -304,6 +314,7 @@ QUERIES = {
     "stream_sliding": stream_sliding,
     "stream_session": stream_session,
     "stream_dedup": stream_dedup,
+    "stream_join": stream_join,
 }
 ORACLES = {
     "new_items_anti": f"with {_SNAPSHOTS} select o_orderkey from n where o_orderkey not in (select o_orderkey from o)",
@@ -329,5 +340,6 @@ ORACLES = {
     "stream_tumbling": SQL_TUMBLING,
     "stream_sliding": SQL_SLIDING,
     "stream_session": SQL_SESSION,
+    "stream_join": SQL_STREAM_JOIN,
     "stream_dedup": "select distinct user_id, event_type from events",
 }

@@ -42,6 +42,18 @@ def deduplicated(events: DataFrame, ts: str, keys: list[str], late: str) -> Data
     return events.dropDuplicates(keys)
 
 
+def joined(left: DataFrame, right: DataFrame, key: str, ts: str, within: str, late: str) -> DataFrame:
+    """Pairs of events of a key of which the right one comes at most ``within`` after the left one; the watermarks bound what is kept of both.
+
+    Columns of the right side get the prefix next_.
+    """
+    a = left.withWatermark(ts, late) if left.isStreaming else left
+    b = right.select(*(F.col(c).alias(f"next_{c}") for c in right.columns))
+    b = b.withWatermark(f"next_{ts}", late) if right.isStreaming else b
+    near = (F.col(key) == F.col(f"next_{key}")) & (F.col(f"next_{ts}") >= F.col(ts)) & (F.col(f"next_{ts}") <= F.col(ts) + F.expr(f"interval {within}"))
+    return a.join(b, near).drop(f"next_{key}")
+
+
 def drained(stream: DataFrame, checkpoint: str, mode: str = "append") -> DataFrame:
     """All that a stream has by now, run to its end; written to the checkpoint's folder and read back."""
     out = f"{checkpoint}/out"

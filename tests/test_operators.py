@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import random
+import time
 import re
 import sqlite3
 
@@ -217,9 +218,17 @@ def test_merges(spark, tmp_path):
     assert tuple(upsert.change_summary(old, new, "k").first()) == (1, 3, 0)
     assert {x.k for x in upsert.above_mark(new, old.where("k < 0"), "k").collect()} == {1, 2, 3, 4} and {x.k for x in upsert.above_mark(new, old, "k").collect()} == {4}
     path = str(tmp_path / "t")
-    upsert.write_merge(spark, path, old, "k")
+    upsert.write_merge(spark, path, old, "k", buckets=3)
+    first = upsert._latest(spark, path)[1]
+    upsert.write_merge(spark, path, new.where("k = 4"), "k", "done")
+    second = upsert._latest(spark, path)[1]
+    assert sum(first.get(k) != second[k] for k in second) == 1 and second["buckets"] == 3  # the other buckets are as they were
+    assert {x.k: x.v for x in upsert.read_merged(spark, path).collect()} == {1: "a", 2: "b", 3: "c", 4: "n"}
     upsert.write_merge(spark, path, new, "k", "done")
-    assert {x.k: x.v for x in spark.read.parquet(path).collect()} == {1: "a", 2: "b", 3: "d", 4: "n"}
+    upsert.write_merge(spark, path, new.limit(0), "k", "done")
+    assert {x.k: x.v for x in upsert.read_merged(spark, path).collect()} == {1: "a", 2: "b", 3: "d", 4: "n"}
+    (tmp_path / "t/v99-crashed").mkdir()  # what a run that didn't come to its end leaves
+    assert upsert.read_merged(spark, path).count() == 4
 
 
 def test_reports(spark):
@@ -305,7 +314,25 @@ def test_stream_upserts(spark, tmp_path):
     stream = read_events(spark, source, spark.read.parquet(source).schema)
     query = stream.writeStream.foreachBatch(upsert_into(target, "k", order="n")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
     query.awaitTermination()
-    assert {x.k: x.v for x in spark.read.parquet(target).collect()} == {0: "v0", 1: "v1", 2: "v2", 3: "v2", 4: "v2"}
+    assert {x.k: x.v for x in upsert.read_merged(spark, target).collect()} == {0: "v0", 1: "v1", 2: "v2", 3: "v2", 4: "v2"}
+
+
+def test_streams_over_several_batches(spark, tmp_path):
+    """State goes on from batch to batch, and what is later than the watermark allows is dropped."""
+    from quern.streaming.incremental import drained, joined, read_events, tumbling
+
+    times = [["2024-01-01 00:10", "2024-01-01 02:30"], ["2024-01-01 00:50", "2024-01-03 00:00"], ["2024-01-01 00:20", "2024-01-03 00:30"]]
+    source = str(tmp_path / "in")
+    for n, batch in enumerate(times):
+        rows = spark.createDataFrame([("a", t, 10 * n + k) for k, t in enumerate(batch)], "user string, t string, id int").selectExpr("user", "cast(t as timestamp) as ts", "id")
+        rows.coalesce(1).write.mode("append").parquet(source)
+        time.sleep(1.1)  # files are read in the order of their times
+    schema = spark.read.parquet(source).schema
+    read = lambda: read_events(spark, source, schema)
+    got = drained(tumbling(read(), "ts", ["user"], "1 hour", "1 hour", "id"), str(tmp_path / "s1"))
+    assert {(x.start.hour, x.start.day): (x.n, x.total) for x in got.collect()} == {(0, 1): (2, 10), (2, 1): (1, 1)}
+    pairs = drained(joined(read(), read(), "user", "ts", "3 hours", "10 days").select("id", "next_id"), str(tmp_path / "s2"))
+    assert {(x.id, x.next_id) for x in pairs.collect() if x.id != x.next_id} == {(0, 1), (0, 10), (10, 1), (20, 1), (0, 20), (20, 10), (11, 21)}
 
 
 def test_generation_reads_all_documents(spark, tmp_path):
