@@ -33,6 +33,8 @@ from .kernels import SOLID, U, blocks, column_bytes, hash_ranges, mix64, padded,
 
 #: Bytes of trusted text for a shard, and of text for a block.
 SHARD_BYTES, BLOCK_BYTES = 1 << 26, 1 << 21
+#: A shard has no less text for the sake of more tasks.
+LEAST_BYTES = 1 << 20
 #: A table has at most so many buckets; a bucket may hold several shards.
 MOST_BUCKETS = 10_000
 #: Slices of large inputs; of small ones, as many as there are pieces of so many bytes.
@@ -231,13 +233,21 @@ def _per_shard(rows: DataFrame, shards: range, of: Callable[[int, dict[str, list
     spark = rows.sparkSession
     every = spark.range(shards.start, shards.stop).selectExpr("cast(id as int) as shard", "'' as kind", "cast(null as binary) as body")
 
-    def run(table: pa.Table) -> pa.Table:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: int | None = None
         bodies: dict[str, list[bytes]] = {}
-        for kind, body in zip(table.column("kind").to_pylist(), table.column("body").to_pylist(), strict=True):
-            bodies.setdefault(kind, []).append(body)
-        return _made(of(table.column("shard")[0].as_py(), bodies))
+        for batch in batches:
+            for s, kind, body in zip(*(batch.column(x).to_pylist() for x in ("shard", "kind", "body")), strict=True):
+                if s != now and now is not None:
+                    yield from _made(of(now, bodies)).to_batches()
+                    bodies = {}
+                now = s
+                bodies.setdefault(kind, []).append(body)
+        if now is not None:
+            yield from _made(of(now, bodies)).to_batches()
 
-    return rows.unionByName(every).repartition(len(shards), "shard").groupBy("shard").applyInArrow(run, _MADE)
+    # a shard is a task
+    return rows.unionByName(every).repartitionById(len(shards), F.col("shard")).sortWithinPartitions("shard").mapInArrow(run, _MADE)
 
 
 def _count_trigrams(texts: DataFrame, plan: Plan, k: int, limit: int) -> DataFrame:
@@ -366,9 +376,10 @@ def train(texts: DataFrame, shard_bytes: int = SHARD_BYTES, block_bytes: int = B
     """The model of the column ``text``; None without any word."""
     spark = texts.sparkSession
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parallel = min(4 * spark.sparkContext.defaultParallelism, -(-size // (1 << 18)))
-    plan = Plan(max(1, -(-size // shard_bytes), parallel), 1)
-    plan.slices = min(plan.shards, pieces(size, max(1, slices // 2), slice_bytes // 2))
+    parts = pieces(size, max(1, slices // 2), slice_bytes // 2)
+    busy = min(2 * parts * spark.sparkContext.defaultParallelism, -(-size // LEAST_BYTES))  # shards that keep all cores busy
+    plan = Plan(max(1, -(-size // shard_bytes), busy), 1)
+    plan.slices = min(plan.shards, parts)
 
     def made(rows: DataFrame, path: str) -> None:
         with shuffles_freed(spark):
