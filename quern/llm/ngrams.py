@@ -21,6 +21,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -357,9 +358,13 @@ class Model:
 
     def drop(self) -> None:
         """Delete the tables, when everything is scored."""
-        for name, path in self.tables:
-            self.spark.sql(f"drop table if exists {name}")
-            discard(self.spark, path)
+        _dropped(self.spark, self.tables)
+
+
+def _dropped(spark: SparkSession, tables: list[tuple[str, str]]) -> None:
+    for name, path in tables:
+        spark.sql(f"drop table if exists {name}")
+        discard(spark, path)
 
 
 def _kept(rows: DataFrame, kind: str, plan: Plan) -> tuple[str, str]:
@@ -402,16 +407,18 @@ def train(texts: DataFrame, shard_bytes: int = SHARD_BYTES, block_bytes: int = B
     tables.append(_kept(_count_words(read(second).where("kind = 'u1'"), plan), "t1", plan))
     discard(spark, second)
 
-    sums = [spark.table(name).agg(*(F.sum(x) for x in ("n1", "n2", "n3", "n4", "total"))).first() for name, _ in tables]
+    parts = [spark.table(name).select(F.lit(k).alias("k"), "n1", "n2", "n3", "n4", "total") for k, (name, _) in enumerate(tables)]
+    rows = reduce(DataFrame.unionByName, parts).groupBy("k").agg(*(F.sum(x) for x in ("n1", "n2", "n3", "n4", "total"))).orderBy("k").collect()  # a row per table
+    sums = [[int(x) for x in r[1:]] for r in rows]
     classes = spark.table(tables[2][0]).select(F.posexplode("classes")).groupBy("pos").agg(F.sum("col")).toPandas()  # CLASSES rows
     if not sums[0][4]:
+        _dropped(spark, tables)
         return None
-    d3, d2, d1 = (discounts([int(x) for x in s[:4]]) for s in sums)
+    d3, d2, d1 = (discounts(s[:4]) for s in sums)
     words = np.zeros(CLASSES)
     words[classes.iloc[:, 0].to_numpy()] = classes.iloc[:, 1].to_numpy()
-    n_words, total = int(words.sum()), int(sums[2][4])
-    often = n_words - int(sums[2][0]) - int(sums[2][1])
-    rest = (d1[1] * int(sums[2][0]) + d1[2] * int(sums[2][1]) + d1[3] * often) / total
+    n_words, (once, twice, *_, total) = int(words.sum()), sums[2]
+    rest = (d1[1] * once + d1[2] * twice + d1[3] * (n_words - once - twice)) / total
     return Model(spark, plan, tables, d3, d2, d1, total, rest, (words + 1) / (n_words + CLASSES))
 
 

@@ -105,7 +105,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if model is None:
         return Judged(keyed.withColumns({"n": F.lit(None).cast("long"), "nll": F.lit(None).cast("double")}), None, None, None)
     scoring = {k: v for k, v in sizes.items() if k != "shard_bytes"}
-    scores = written(score(rows.select(_key(F.col("text")).alias("key"), F.xxhash64("id", "text").alias("spread"), "text"), model, **scoring), "text-scores")
+    scores = score(rows.select(_key(F.col("text")).alias("key"), F.xxhash64("id", "text").alias("spread"), "text"), model, **scoring)
     model.drop()
     keyed = written(keyed, "keyed")
     copies = written(keyed.groupBy("key").agg(F.count("*").alias("copies")).where("copies > 1"), "copies")

@@ -9,7 +9,8 @@ radius agrees on all bits of some mask: no pair is lost.
 Only distinct fingerprints enter the tables. Buckets are read in sorted order
 as a stream; within one, members are linked by a search that compares each
 member with those not reached yet, so a dense bucket costs little more than
-its size, and a bucket gives fewer links than members. A bucket of more than
+its size, a sparse one the square of at most ``max_bucket`` words, and a bucket
+gives fewer links than members. A bucket of more than
 ``max_bucket`` members goes to a second family of masks over the bits that are
 still free, whose buckets can hold 2^16 fingerprints or so at most.
 

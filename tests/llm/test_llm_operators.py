@@ -548,7 +548,7 @@ def quality_tables(spark):
     return spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, score double"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
 
 
-SMALL = {"shard_bytes": 2000, "block_bytes": 1500, "slices": 4, "slice_bytes": 5000}
+SMALL = {"shard_bytes": 12_000, "block_bytes": 4000, "slices": 3, "slice_bytes": 9000}
 
 
 @pytest.mark.parametrize("sizes", [{}, SMALL])
