@@ -39,7 +39,7 @@ LEAST_BYTES = 1 << 20
 #: A table has at most so many buckets; a bucket may hold several shards.
 MOST_BUCKETS = 10_000
 #: Slices of large inputs; of small ones, as many as there are pieces of so many bytes.
-SLICES, SLICE_BYTES = 8, 1 << 26
+SLICES, SLICE_BYTES = 6, 1 << 26
 RUNS, SHAPES = 6, 168
 #: The class of a word that repeats the one before.
 AGAIN = SHAPES
@@ -381,7 +381,7 @@ def train(texts: DataFrame, shard_bytes: int = SHARD_BYTES, block_bytes: int = B
     """The model of the column ``text``; None without any word."""
     spark = texts.sparkSession
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = pieces(size, max(1, slices // 2), slice_bytes // 2)
+    parts = pieces(size, max(1, 2 * slices // 3), slice_bytes // 2)
     busy = min(2 * parts * spark.sparkContext.defaultParallelism, -(-size // LEAST_BYTES))  # shards that keep all cores busy
     plan = Plan(max(1, -(-size // shard_bytes), busy), 1)
     plan.slices = min(plan.shards, parts)
@@ -525,6 +525,7 @@ def score(rows: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES, slices:
     """
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = pieces(size, slices, slice_bytes)
+    tasks = max(2 * model.spark.sparkContext.defaultParallelism, size // slices // SHARD_BYTES)
     plain = {x: getattr(model, x) for x in ("plan", "tables", "d3", "d2", "d1", "total1", "rest1", "base")}
 
     def finish(table: pa.Table) -> pa.Table:
@@ -551,7 +552,7 @@ def score(rows: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES, slices:
         tokens = model.spark.read.schema(made.schema).parquet(path)
         answers = model.rows().groupBy("shard").cogroup(_requests(tokens, model.plan.shards).groupBy("shard")).applyInArrow(_answered, _ANSWER)
         both = answers.withColumn("b4", F.lit(None).cast("binary")).unionByName(tokens.withColumn("shard", F.lit(-1)))
-        dealt = both.repartition(max(model.plan.shards, rows.sparkSession.sparkContext.defaultParallelism), "block")
+        dealt = both.repartition(tasks, "block")
         found = dealt.groupBy("block").applyInArrow(finish, "key binary, n long, nll double")
         part = written(found, "scores")
         discard(model.spark, path)
