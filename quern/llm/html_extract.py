@@ -26,6 +26,7 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -88,6 +89,7 @@ _HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 GOOD, NEAR, SHORT_BLOCK, BAD = "good", "near", "short", "bad"
 
 
+@lru_cache(1 << 14)
 def _named(name: str) -> bool | None:
     """Whether a class name or id says boilerplate by itself; None if it only hints at it."""
     parts = _NAME_PART.findall(_HUMP.sub("-", name).lower())
@@ -127,10 +129,11 @@ def _end_of(tag: str) -> re.Pattern[str]:
 
 
 class Block:
-    __slots__ = ("article", "boilerplate", "hint", "label", "linked", "parts", "text")
+    __slots__ = ("article", "boilerplate", "counts", "hint", "label", "linked", "parts", "text")
 
     def __init__(self, boilerplate: bool, article: int, hint: bool = False):
         self.boilerplate, self.article, self.hint, self.parts, self.linked = boilerplate, article, hint, [], 0
+        self.counts: tuple[int, int] | None = None
 
 
 def cut(page: str) -> list[Block]:
@@ -243,9 +246,17 @@ def cut(page: str) -> list[Block]:
     return out
 
 
+def _counts(block: Block) -> tuple[int, int]:
+    """Words and stop words of a block."""
+    if block.counts is None:
+        words = _WORD.findall(block.text.lower())
+        block.counts = len(words), sum(w in STOP_WORDS for w in words)
+    return block.counts
+
+
 def _density(block: Block) -> float:
-    words = _WORD.findall(block.text.lower())
-    return sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+    words, stops = _counts(block)
+    return stops / words if words else 0.0
 
 
 def judge(block: Block, known: bool = True) -> str:
@@ -269,8 +280,9 @@ def judge(block: Block, known: bool = True) -> str:
 
 def _knows(blocks: list[Block]) -> bool:
     """Whether the page's longer blocks are in a language with stop words here; if not, length and links alone decide."""
-    words = [w for b in blocks if not b.boilerplate and len(b.text) >= SHORT and b.linked <= MAX_LINKS * len(b.text) for w in _WORD.findall(b.text.lower())]
-    return not words or sum(w in STOP_WORDS for w in words) >= LEAST_KNOWN * len(words)
+    found = [_counts(b) for b in blocks if not b.boilerplate and len(b.text) >= SHORT and b.linked <= MAX_LINKS * len(b.text)]
+    words = sum(n for n, _ in found)
+    return not words or sum(n for _, n in found) >= LEAST_KNOWN * words
 
 
 def settle(blocks: list[Block]) -> list[bool]:
