@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,6 +17,11 @@ def is_blank(col: Column) -> Column:
     return col.isNull() | (col == "")
 
 
+def once(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of`` a value that is computed once, however often ``of`` names it."""
+    return F.element_at(F.transform(F.array(value), of), 1)
+
+
 def trim(col: Column) -> Column:
     """Without Unicode white space at both ends (Spark's own trim knows the space only)."""
     return F.regexp_replace(col, r"(?U)^\s+|\s+$", "")

@@ -77,6 +77,32 @@ def continued(generate: Generator, text: str, max_tokens: int, endings: str = ".
     return answer
 
 
+#: Fields of the answers that a structured prompt asks for.
+SHAPES = {
+    "CHAPTER": ("summary",),
+    "PART": ("summary",),
+    "POLISHED": ("summary_text",),
+    "MODIFICATION": ("law_reference", "article_number", "change_type", "major_change_summary", "key_themes"),
+}
+
+
+def structured_prompt(text: Column, shape: str) -> Column:
+    """A prompt that asks for one JSON object and nothing else, with the fields of a shape (of a chapter, if it isn't known); the shape's own marker is taken out."""
+    fields = SHAPES.get(shape, SHAPES["CHAPTER"])
+    form = json.dumps({f: ["..."] if f.endswith("themes") else "..." for f in fields}, ensure_ascii=False)
+    rules = f"Answer with a single JSON object of this form, in double quotes, with nothing before or after it; shorten what is too long:\n{form}"
+    return F.concat(F.trim(F.replace(text, F.lit(f"[SCHEMA:{shape}]"), F.lit(""))), F.lit(f"\n\n{rules}\n"))
+
+
+def shortened(generate: Generator, text: str, max_tokens: int, endings: str = ".?!…", share: float = 0.8) -> str:
+    """An answer; if it breaks off, a second one that is asked to be shorter, unless that breaks off, too, and is no longer."""
+    answer = generate(text, max_tokens).rstrip()
+    if answer.endswith(tuple(endings)):
+        return answer
+    again = generate(f"{text}\n\nRewrite this in fewer words, to the end:\n{answer}", max(1, int(max_tokens * share))).rstrip()
+    return again if again.endswith(tuple(endings)) or len(again) > len(answer) else answer
+
+
 def generated(df: DataFrame, prompt_col: str, out: str, factory: Callable[[], Generator] = stub_factory, max_tokens: int = 512) -> DataFrame:
     """Adds the answers to a column of prompts (null stays null); the generator is made once per task."""
 
@@ -89,6 +115,12 @@ def generated(df: DataFrame, prompt_col: str, out: str, factory: Callable[[], Ge
     return df.withColumn(out, F.pandas_udf(run, StringType()).asNondeterministic()(F.col(prompt_col)))
 
 
+def noted(df: DataFrame, chunk: str, out: str, note: str, factory: Callable[[], Generator] = stub_factory, max_tokens: int = 512) -> DataFrame:
+    """Adds the summary of each chunk; a blank chunk gets a fixed note and no generation."""
+    ask = F.when(F.trim(F.coalesce(F.col(chunk), F.lit(""))) != "", F.concat(F.lit(PROMPTS["summary"]), F.col(chunk)))
+    return generated(df.withColumn("__ask", ask), "__ask", out, factory, max_tokens).withColumn(out, F.coalesce(out, F.lit(note))).drop("__ask")
+
+
 def route(title: Column, content: Column, number: Column) -> Column:
     """What stage one does with an article: skip, purpose, object, verbatim, or summarise."""
     return (

@@ -65,6 +65,16 @@ def child_counts(parents: DataFrame, key: str, children: DataFrame, foreign: str
     return parents.join(counts, key, "left").withColumn(name, F.coalesce(name, F.lit(0)).cast("long"))
 
 
+def first_with_content(children: DataFrame, parent: str, text: str) -> DataFrame:
+    """One row: the least parent that has a child with text; null if none has."""
+    return children.where(F.trim(F.coalesce(F.col(text), F.lit(""))) != "").agg(F.min(parent).alias(parent))
+
+
+def resume_page(stored: DataFrame, per_page: int = 12) -> DataFrame:
+    """One row: the page of a listing to go on with, after as many rows as are stored."""
+    return stored.agg((F.floor(F.count("*") / per_page) + 1).cast("int").alias("page"))
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key by ``order``."""
     nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

@@ -18,6 +18,13 @@ def stop_words(df: DataFrame, text: str, above: int = 10) -> DataFrame:
     return word_counts(df, text).where(F.col("n") > above)
 
 
+def plain_words(text, stop: list[str] | tuple[str, ...] = ()):
+    """ARRAY of a text's words in lower case, without digits and stop words."""
+    found = F.split(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[0-9]", ""), r"[ \t\r\n]+")
+    drop = F.array(*map(F.lit, stop)) if stop else F.array().cast("array<string>")
+    return F.filter(found, lambda w: (w != "") & ~F.array_contains(drop, w))
+
+
 def class_tfidf(df: DataFrame, label: str, text: str) -> DataFrame:
     """Per class and word: count, and share in the class times log(1 + mean words of a class / count of the word in all classes)."""
     words = F.explode(F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[ \t\r\n]+"), lambda w: w != ""))

@@ -7,10 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.operators.generate import chapter_prompts, part_summaries, plan_input, stage_one, usable
+from quern.operators.generate import chapter_prompts, noted, part_summaries, plan_input, stage_one, structured_prompt, usable
 from quern.operators.relational import first_per_key
 from quern.operators.reports import all_match, compare_counts, completeness_of, histogram, numeric_stats, share_at_least
-from quern.operators.topics import class_tfidf, mmr, similarity, stop_words, top_terms
+from quern.operators.topics import class_tfidf, mmr, plain_words, similarity, stop_words, top_terms
 from quern.operators.upsert import above_mark, change_summary, changes, known_items, merge, new_items, replace_children
 from quern.plans.base import spread_table, table
 from quern.session import shared_folder
@@ -181,6 +181,29 @@ select lang, rank::int as rank, word from r where rank <= 10
 """
 
 
+def plain_word_lists(spark, sf_dir) -> DataFrame:
+    """Words of documents without digits and a few stop words."""
+    docs = spread_table(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.md5(F.array_join(plain_words(F.col("text"), ("the", "of", "and")), " ")).alias("digest"))
+
+
+SQL_PLAIN = r"select doc_id, md5(array_to_string(list_filter(regexp_split_to_array(regexp_replace(lower(coalesce(text, '')), '[0-9]', '', 'g'), '[ \t\r\n]+'), lambda w: w not in ('', 'the', 'of', 'and')), ' ')) as digest from documents"
+
+
+def structured_prompts(spark, sf_dir) -> DataFrame:
+    """Prompts of conversations, and summaries in which blank turns have a note."""
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.when(F.col("turn") % 4 > 0, F.col("text")).otherwise(" ").alias("chunk"))
+    out = noted(c, "chunk", "summary", "(nothing)")
+    return out.select("conv_id", "turn", "summary", F.md5(structured_prompt(F.concat(F.lit("[SCHEMA:PART] Sum up: "), F.col("chunk")), "PART")).alias("digest"))
+
+
+SQL_PROMPTS = r"""
+with c as (select conv_id, turn, case when turn % 4 > 0 then text else ' ' end as chunk from conversations)
+select conv_id, turn, case when trim(coalesce(chunk, '')) = '' then '(nothing)' else 'Summary of ' || (len(regexp_extract_all(chunk, '\S+')) + 6) || ' words.' end as summary,
+  md5(trim(' Sum up: ' || chunk) || chr(10) || chr(10) || 'Answer with a single JSON object of this form, in double quotes, with nothing before or after it; shorten what is too long:' || chr(10) || '{"summary": "..."}' || chr(10)) as digest from c
+"""
+
+
 def mmr_keywords(spark, sf_dir) -> DataFrame:
     return mmr(table(spark, sf_dir, "embeddings"), "label", "vec_id", "embedding", 15, 0.3)
 
@@ -306,6 +329,8 @@ QUERIES = {
     "ctfidf": ctfidf,
     "topic_terms": topic_terms,
     "mmr_keywords": mmr_keywords,
+    "plain_word_lists": plain_word_lists,
+    "structured_prompts": structured_prompts,
     "vector_similarity": vector_similarity,
     "stage_one_routing": stage_one_routing,
     "chapter_bullets": chapter_bullets,
@@ -333,6 +358,8 @@ ORACLES = {
     "stopword_threshold": SQL_STOP,
     "ctfidf": SQL_CTFIDF,
     "topic_terms": SQL_TERMS,
+    "plain_word_lists": SQL_PLAIN,
+    "structured_prompts": SQL_PROMPTS,
     "stage_one_routing": SQL_STAGE_ONE,
     "chapter_bullets": SQL_CHAPTERS,
     "part_narratives": SQL_PARTS,

@@ -1,7 +1,9 @@
 """Jobs: the operators composed into the runs that keep the tables up to date.
 
-``python -m quern.plans.jobs clean IN OUT [script ...]`` cleans a tree of
-markdown and writes the texts and the report; ``update`` reads stored pages.
+``python -m quern.plans.jobs COMMAND IN OUT [script ...]``, where COMMAND is
+``clean`` (clean a tree of markdown, write texts and report), ``score`` (scores
+only), ``tables`` (report malformed tables), ``remove-tables`` or ``sections``
+(label articles in a Parquet table). ``update`` reads stored pages.
 """
 
 from __future__ import annotations
@@ -12,13 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions.convert import normalized_url
-from quern.operators.clean import stored_scores
+from quern.functions.numerals import greek_to_int
+from quern.operators.clean import stored_scores, with_quality
 from quern.operators.crawl import article_pages, until_known
 from quern.operators.html import convert_blank
 from quern.operators.reports import all_match, compare_counts, numeric_stats, shares
-from quern.operators.tables import clean_and_report
+from quern.operators.sections import continuity_summary, parse_titles
+from quern.operators.tables import clean_and_report, remove_malformed, table_issues, table_summary, write_issues
 from quern.operators.upsert import merge, new_items
-from quern.sources.files import read_markdown, write_csv
+from quern.sources.files import read_markdown, write_csv, write_quality_csv, write_sections
 
 
 def discover(listing: DataFrame, known: DataFrame, mark=None) -> DataFrame:
@@ -62,11 +66,46 @@ def cleaning_stats(documents: DataFrame) -> dict[str, DataFrame]:
     return {c: numeric_stats(documents, c) for c in ("badness_score", "greek_percentage", "english_percentage")} | {"methods": shares(documents, "extraction_method")}
 
 
+def score_tree(spark: SparkSession, source: str, target: str, scripts=("greek", "latin")) -> DataFrame:
+    """Score all markdown files under a folder as they are cleaned, and write the scores; the texts stay where they are."""
+    report = with_quality(read_markdown(spark, source), "text", scripts).select("name", "badness", "greek_pct", "latin_pct")
+    write_quality_csv(report, target)
+    return report
+
+
+def tables_of_tree(spark: SparkSession, source: str, target: str, _scripts=()) -> DataFrame:
+    """Report malformed tables of all markdown files under a folder: a summary, and one row per issue."""
+    files = read_markdown(spark, source)
+    summary = table_summary(files, "path", "text")
+    write_csv(summary, f"{target}/summary", ["doc"])
+    write_issues(table_issues(files, "path", "text"), f"{target}/issues")
+    return summary
+
+
+def without_tables(spark: SparkSession, source: str, target: str, _scripts=()) -> DataFrame:
+    """Rewrite all markdown files under a folder without malformed tables."""
+    out = remove_malformed(read_markdown(spark, source), "path", "text")
+    out.select("path", "text").write.mode("overwrite").parquet(target)
+    return out.select("path")
+
+
+def sections_of(spark: SparkSession, source: str, target: str, _scripts=()) -> DataFrame:
+    """Parts and chapters of the articles in a Parquet table (consultation_id, id, title), with what is wrong with their numbering."""
+    rows = parse_titles(spark.read.parquet(source))
+    number = lambda c: F.when(F.col(c).isNotNull(), greek_to_int(F.col(c)))
+    summary = continuity_summary(rows.withColumns({"part_no": number("part"), "chapter_no": number("chapter")}), "consultation_id", "id", "part_no", "chapter_no")
+    write_sections(rows, summary, target, ["consultation_id", "id"])
+    return summary
+
+
+COMMANDS = {"clean": clean_tree, "score": score_tree, "tables": tables_of_tree, "remove-tables": without_tables, "sections": sections_of}
+
+
 def main(args: list[str]) -> None:
-    if len(args) < 3 or args[0] != "clean":
+    if len(args) < 3 or args[0] not in COMMANDS:
         sys.exit(__doc__)
-    spark = SparkSession.builder.appName("clean").getOrCreate()
-    clean_tree(spark, args[1], args[2], args[3:] or ("greek", "latin")).show(20, truncate=False)
+    spark = SparkSession.builder.appName(args[0]).getOrCreate()
+    COMMANDS[args[0]](spark, args[1], args[2], args[3:] or ("greek", "latin")).show(20, truncate=False)
     spark.stop()
 
 

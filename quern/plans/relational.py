@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions.text import is_blank, preview
-from quern.operators.relational import cascade, child_counts, first_match, first_per_key, match_decisions, match_rate, sample_rows, side_texts, top_frequencies
+from quern.operators.relational import cascade, child_counts, first_match, first_per_key, first_with_content, match_decisions, match_rate, resume_page, sample_rows, side_texts, top_frequencies
 from quern.operators.reports import shares
 from quern.plans.base import table
 
@@ -28,6 +28,15 @@ from q left join e on e.k = q.term left join h on h.k = q.term where e.m is not
 """
 
 
+def first_consultation(spark, sf_dir) -> DataFrame:
+    """The first order, as a consultation, that has an item with a text, and the page to go on with after its items."""
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", F.when(F.col("l_quantity") > 40, F.col("l_returnflag")).otherwise(" ").alias("text"))
+    return first_with_content(items, "l_orderkey", "text").withColumn("page", resume_page(items).scalar())
+
+
+SQL_FIRST_CONTENT = "select min(l_orderkey) filter (l_quantity > 40 and trim(l_returnflag) <> '') as l_orderkey, (count(*) // 12 + 1)::int as page from lineitem"
+
+
 def decision_match(spark, sf_dir) -> DataFrame:
     """Orders as references (year only for even keys, series only for keys that 3 divides) against line items' own."""
     orders = table(spark, sf_dir, "orders")
@@ -238,6 +247,7 @@ SQL_PRICING = "select l_returnflag, l_linestatus, sum(l_quantity::bigint)::bigin
 QUERIES = {
     "existing_by_cascade": existing_by_cascade,
     "decision_match": decision_match,
+    "first_consultation": first_consultation,
     "first_catalogue_match": first_catalogue_match,
     "citation_match_rate": citation_match_rate,
     "child_counts": children_per_parent,
@@ -265,6 +275,7 @@ QUERIES = {
 ORACLES = {
     "existing_by_cascade": SQL_CASCADE,
     "decision_match": SQL_DECISIONS,
+    "first_consultation": SQL_FIRST_CONTENT,
     "first_catalogue_match": SQL_FIRST,
     "citation_match_rate": SQL_RATE,
     "child_counts": "select c_custkey, any_value(c_name) as c_name, count(o_orderkey) as n_orders from customer left join orders on o_custkey = c_custkey group by c_custkey",

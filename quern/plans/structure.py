@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.operators.islands import index_headings, number_gaps, number_jumps, order_anomalies, segments, sequence_counts, sequences, title_range
-from quern.operators.sections import chapter_texts, continuity, continuity_summary, forward_fill, hierarchy
+from quern.operators.sections import chapter_texts, continuity, continuity_summary, dry_run_report, dry_run_text, forward_fill, hierarchy
 from quern.operators.structure import article_chunks, chunks, pairwise_reduce, spans
 from quern.plans.base import table
 
@@ -194,6 +194,25 @@ def hierarchy_shape(spark, sf_dir) -> DataFrame:
     return out.select("conv_id", "part", F.size("chapters").alias("n_chapters"), F.aggregate("chapters", F.lit(0), lambda s, x: s + F.size(x["articles"])).alias("n_articles"))
 
 
+def outline_report(spark, sf_dir) -> DataFrame:
+    """Outlines of conversations: parts by thirds of turns, chapters by role."""
+    c = table(spark, sf_dir, "conversations")
+    rows = c.select("conv_id", "turn", F.floor(F.col("turn") / 3).cast("string").alias("part"), F.when(F.col("turn") % 5 > 0, F.col("role")).alias("chapter"), F.concat(F.lit("Turn "), F.col("turn").cast("string")).alias("title"), "text")
+    problems = continuity(_numbers(spark, sf_dir), "conv_id", "turn", "p", "ch").where("turn < 4")
+    return dry_run_text(dry_run_report(rows, "conv_id", "turn", "part", "chapter", "title", "text"), problems, "conv_id")
+
+
+SQL_OUTLINE = rf"""
+with {_CONTINUITY},
+b as (select conv_id, turn, floor(turn / 3)::int::varchar as part, case when turn % 5 > 0 then role end as chapter, text from conversations),
+m as (select *, part is distinct from lag(part) over w as np, chapter is distinct from lag(chapter) over w as nc from b window w as (partition by conv_id order by turn)),
+o as (select conv_id, string_agg(case when np then '# ' || part || chr(10) else '' end || case when (np or nc) and chapter is not null then '## ' || chapter || chr(10) else '' end
+    || '- Turn ' || turn || ' (' || len(regexp_extract_all(coalesce(text, ''), '\S+')) || ' words)', chr(10) order by turn) as report from m group by conv_id),
+q as (select conv_id, 'Problems:' || chr(10) || string_agg('- ' || problem, chr(10) order by problem) || chr(10) || chr(10) as head from x where turn < 4 group by conv_id)
+select conv_id, coalesce(head, '') || report as report from o left join q using (conv_id)
+"""
+
+
 def chunk_by_budget(spark, sf_dir) -> DataFrame:
     """Lines of documents in chunks of 150 characters at most, each led by the last line of the chunk before."""
     docs = table(spark, sf_dir, "documents").withColumn("ls", F.split("text", "\n"))
@@ -261,6 +280,7 @@ QUERIES = {
     "order_anomalies": anomalies,
     "hierarchy_rollup": hierarchy_rollup,
     "hierarchy_shape": hierarchy_shape,
+    "outline_report": outline_report,
     "chunk_by_budget": chunk_by_budget,
     "tree_reduce": tree_reduce,
     "article_chunks": chunked_articles,
@@ -281,6 +301,7 @@ ORACLES = {
     "hierarchy_rollup": SQL_ROLLUP,
     "hierarchy_shape": "select conv_id, (turn % 2)::varchar as part, count(distinct role) as n_chapters, count(*) as n_articles from conversations group by all",
     "tree_reduce": SQL_TREE,
+    "outline_report": SQL_OUTLINE,
     "chunk_by_budget": SQL_BUDGET_CHUNKS,
     "number_spans": SQL_SPANS,
     "article_chunks": SQL_CHUNKED,

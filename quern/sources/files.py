@@ -56,6 +56,13 @@ def write_quality_csv(df: DataFrame, path: str) -> None:
     write_csv(rows, path, ["File Name"])
 
 
+def write_sections(sections: DataFrame, summary: DataFrame, path: str, order: list[str]) -> None:
+    """Section labels as CSV and as JSON lines, and their summary as JSON lines."""
+    write_csv(sections, f"{path}/csv", order)
+    sections.write.json(f"{path}/json")
+    summary.write.json(f"{path}/summary")
+
+
 def write_comments_csv(df: DataFrame, path: str, order: list[str]) -> None:
     """Flat comments as CSV that spreadsheets read as UTF-8: the header opens with a byte order mark."""
     first, *rest = df.columns

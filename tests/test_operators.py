@@ -365,3 +365,62 @@ def test_text_queries_read_whole_tables(spark, tmp_path):
     last = {x.o_orderkey: x.at for x in text.parse_dates(spark, str(tmp_path)).where("o_orderkey > 5997").collect()}
     assert [str(last[k]) for k in (5998, 5999)] == ["1995-01-31 22:15:00", "1995-01-31 23:15:00"]
     assert text.citation_extract(spark, str(tmp_path)).where("o_orderkey = 5998 and pos = 1").first().number == "5998"
+
+
+def test_answers_that_break_off():
+    from quern.operators.generate import shortened
+
+    asked = []
+
+    def model(answers):
+        left = iter(answers)
+
+        def answer(text, most):
+            asked.append((text, most))
+            return next(left)
+
+        return answer
+
+    assert shortened(model(["Done."]), "x", 10) == "Done." and asked == [("x", 10)]
+    assert shortened(model(["It goes on and", "Short."]), "x", 10) == "Short." and asked[-1][1] == 8 and "It goes on and" in asked[-1][0]
+    assert shortened(model(["It goes on and", "It"]), "x", 10) == "It goes on and"
+    assert shortened(model(["It", "It goes on and"]), "x", 10) == "It goes on and"
+
+
+def test_jobs_and_sinks(spark, tmp_path):
+    from quern.operators.clean import BASE_SCRIPTS, script_list
+    from quern.plans import jobs
+    from quern.sources import files
+
+    (tmp_path / "in/deep").mkdir(parents=True)
+    (tmp_path / "in/a.md").write_text("Some text\n| a | b |\n|---|\n| c | d |\nmore\n")
+    (tmp_path / "in/deep/b.md").write_text("plain ελληνικά\n")
+    source = str(tmp_path / "in")
+    jobs.score_tree(spark, source, str(tmp_path / "scores"))
+    assert sorted(r["File Name"] for r in spark.read.csv(str(tmp_path / "scores"), header=True).collect()) == ["a.md", "b.md"]
+    assert sorted((x.total_tables, x.malformed_tables) for x in jobs.tables_of_tree(spark, source, str(tmp_path / "tables")).collect()) == [(0, 0), (1, 2)]
+    assert spark.read.csv(str(tmp_path / "tables/issues"), header=True).count() == 2
+    jobs.without_tables(spark, source, str(tmp_path / "bare"))
+    assert {r.text for r in spark.read.parquet(str(tmp_path / "bare")).collect()} == {f"Some text\n{REMOVED}\nmore\n", "plain ελληνικά\n"}
+    titles = spark.createDataFrame([(1, 1, "ΜΕΡΟΣ Α"), (1, 2, "ΜΕΡΟΣ Γ")], "consultation_id int, id int, title string")
+    titles.write.parquet(str(tmp_path / "titles"))
+    assert [(x.status, x.articles) for x in jobs.sections_of(spark, str(tmp_path / "titles"), str(tmp_path / "out")).collect()] == [("issues", 2)]
+    assert spark.read.json(str(tmp_path / "out/summary")).first().problems == ["part 1 is followed by 3"]
+    comments = spark.createDataFrame([(2, "β"), (1, "a,b")], "id int, text string")
+    files.write_comments_csv(comments, str(tmp_path / "comments"), ["id"])
+    raw = b"".join(p.read_bytes() for p in sorted((tmp_path / "comments").glob("part*")))
+    assert raw.decode("utf-8-sig").split("\n")[:2] == ["id,text", '1,"a,b"'] and raw.startswith(b"\xef\xbb\xbf")
+    files.write_matches_json(comments, spark.createDataFrame([(1, "x"), (1, "y")], "id int, law string"), "id", str(tmp_path / "json"))
+    assert [(r.id, sorted(m.law for m in r.matched_data)) for r in spark.read.json(str(tmp_path / "json")).collect()] == [(1, ["x", "y"])]
+    schema = spark.createDataFrame([], "id long, text string, status string").schema
+    files.copy_table(comments, str(tmp_path / "copy"), schema, {"status": "pending"})
+    assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "copy")).collect()} == {(1, "a,b", "pending"), (2, "β", "pending")}
+    assert script_list(["greek", "numbers"]) == ["greek", "numbers", *(s for s in BASE_SCRIPTS if s != "numbers")]
+
+
+def test_nested_content(spark):
+    from quern.operators.crawl import div_content
+
+    pages = ["<div class='post_content'>a<div>b</div>c</div>d", "<p>x</p><DIV id=1 class=\"m post_content\">a<b>y</b>", "<div class='post_content-2'>x</div>", "", None, "<div class='post_content'></div>"]
+    df = spark.createDataFrame([(p,) for p in pages], "h string")
+    assert [r.x for r in df.select(div_content(F.col("h"), "post_content").alias("x")).collect()] == ["a<div>b</div>c", "a<b>y</b>", None, None, None, ""]
