@@ -349,7 +349,7 @@ class Model:
     d1: list[float]
     total1: int  # of all words' numbers of left neighbours
     rest1: float  # what words leave to their classes
-    base: np.ndarray  # a class's share of all words; an unknown word counts as its class
+    base: np.ndarray  # a class's share of all words
 
     def rows(self) -> DataFrame:
         """A row per shard with the bodies of all three tables; no shuffle, as they have the same buckets."""
@@ -510,7 +510,8 @@ def _rest(d: list[float], total: np.ndarray, by: list[np.ndarray]) -> np.ndarray
 def log_probabilities(model: Model, block: _Block, tri: np.ndarray, bi: list[np.ndarray], uni: list[np.ndarray]) -> np.ndarray:
     """Each token's log-probability, from the counts of the block's n-grams."""
     own = (uni[0].astype(float) - np.array(model.d1)[np.minimum(uni[0], U(3)).astype(np.int64)])[block.w] / model.total1
-    p1 = np.where(own > 0, own, model.rest1 * model.base[block.classes.astype(np.int64)[block.place]])
+    # what is left goes to a word's class, known or not, so that a rare word costs no more than an unknown one of its kind
+    p1 = own + model.rest1 * model.base[block.classes.astype(np.int64)[block.place]]
     total2, total3 = uni[1].astype(float), bi[1].astype(float)
     rest2, rest3 = _rest(model.d2, total2, uni[2:]), _rest(model.d3, total3, bi[2:])
     p2 = _level(bi[0][block.bigram], model.d2, total2[block.v], rest2[block.v], p1)

@@ -2,9 +2,11 @@
 
 The model (see ``ngrams``) has every word and every n-gram of all trusted
 training documents, however rare, in shards that grow in number with the text.
-Documents' n-grams are joined with the shards by a shuffle; words without an
-n-gram of their own count as their class (letter case, digits, symbols, closing
-punctuation, length), by the share of all known words that are of it.
+Documents' n-grams are joined with the shards by a shuffle. What the words leave
+goes to classes of words (letter case, digits, symbols, closing punctuation,
+length) by their share of all known words: an unknown word counts as its class,
+and a known one as itself or its class, so that a rare word costs no more than an
+unknown one of its kind (scores are those of overlapping events, then).
 
 A document's score is its mean negative log-probability per token, drawn to
 its language's mean as if by PRIOR tokens more, so a few odd words in a short

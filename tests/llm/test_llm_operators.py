@@ -617,7 +617,7 @@ def force_of(texts):
     rest1 = sum(d1[min(n, 3)] for n in c1.values()) / total1
 
     def p(u, v, w, c):
-        below = (c1[w] - d1[min(c1[w], 3)]) / total1 if c1[w] else rest1 * (of_class[c] + 1) / (len(c1) + 169)
+        below = (c1[w] - d1[min(c1[w], 3)]) / total1 + rest1 * (of_class[c] + 1) / (len(c1) + 169) * (c != "own")
         if t2[v,]:
             below = (c2[v, w] - d2[min(c2[v, w], 3)]) / t2[v,] + r2[v,] * below
         if t3[u, v]:
@@ -654,10 +654,10 @@ def test_scores_are_those_of_the_formulas(spark, sizes):
             u, v = v, w
         x = got[hashlib.md5(t.encode()).digest()]
         assert x.n == len(tokens) and x.nll == pytest.approx(nll, rel=1e-6, abs=1e-5), t
-    # known words and the classes of unknown ones together are certain
+    # known words by themselves and all classes together are certain
     unknown = [(None, c) for c in of_class] + [(None, None)] * (169 - len(of_class))
     for u, v in (("the", "of"), ("<s>", "<s>"), ("zzz", "yyy"), ("zzz", "the")):
-        assert sum(p(u, v, w, c) for w, c in [*((w, None) for w in c1), *unknown]) == pytest.approx(1)
+        assert sum(p(u, v, w, c) for w, c in [*((w, "own") for w in c1), *unknown]) == pytest.approx(1)
 
 
 def test_decisions_are_quantiles(spark):
