@@ -1,12 +1,12 @@
-"""Topic helpers: frequent words, class-based TF-IDF, keyword choice by marginal relevance."""
+"""Topic helpers: frequent words, class-based TF-IDF, cosines."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.session import small, stored
+
 
 def word_counts(df: DataFrame, text: str) -> DataFrame:
     words = F.explode(F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[ \t\r\n]+"), lambda w: w != ""))
@@ -25,15 +25,19 @@ def plain_words(text, stop: list[str] | tuple[str, ...] = ()):
     return F.filter(found, lambda w: (w != "") & ~F.array_contains(drop, w))
 
 
-def class_tfidf(df: DataFrame, label: str, text: str) -> DataFrame:
-    """Per class and word: count, and share in the class times log(1 + mean words of a class / count of the word in all classes)."""
+def class_tfidf(df: DataFrame, label: str, text: str, reduce_frequent: bool = False) -> DataFrame:
+    """Per class and word: count, and share in the class times log(1 + mean words of a class / count of the word in all classes).
+
+    ``reduce_frequent`` takes the square root of the share.
+    """
     words = F.explode(F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[ \t\r\n]+"), lambda w: w != ""))
-    counts = df.select(label, words.alias("word")).groupBy(label, "word").agg(F.count("*").alias("n"))
-    per_class = counts.groupBy(label).agg(F.sum("n").alias("class_words"))
+    counts = stored(df.select(label, words.alias("word")).groupBy(label, "word").agg(F.count("*").alias("n")), "word-counts")
+    per_class = stored(counts.groupBy(label).agg(F.sum("n").alias("class_words")), "class-words")
     per_word = counts.groupBy("word").agg(F.sum("n").alias("word_total"))
     mean = per_class.agg(F.avg("class_words").alias("mean_words"))
-    out = counts.join(F.broadcast(per_class), label).join(per_word, "word").withColumn("mean_words", mean.scalar())
-    score = F.col("n") / F.col("class_words") * F.log(1 + F.col("mean_words") / F.col("word_total"))
+    out = counts.join(small(per_class), label).join(per_word, "word").withColumn("mean_words", mean.scalar())
+    share = F.col("n") / F.col("class_words")
+    score = (F.sqrt(share) if reduce_frequent else share) * F.log(1 + F.col("mean_words") / F.col("word_total"))
     return out.select(label, "word", "n", score.alias("score"))
 
 
@@ -48,27 +52,3 @@ def similarity(a, b):
     """Cosine of two ARRAY<FLOAT> columns."""
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
     return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
-
-
-def mmr(df: DataFrame, group: str, key: str, vector: str, k: int = 15, diversity: float = 0.3) -> DataFrame:
-    """Per group k rows near the group's mean vector yet unlike each other: group, key, rank and relevance.
-
-    Sequential by nature, so each group is one task; groups are topics' candidate lists, not documents.
-    """
-    kinds = {n: t for n, t in df.dtypes}
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(key)
-        x = np.array(rows[vector].tolist(), float)
-        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-        mean = x.mean(axis=0)
-        relevance = x @ (mean / max(np.linalg.norm(mean), 1e-12))
-        chosen = [int(np.argmax(relevance))]
-        while len(chosen) < min(k, len(x)):
-            score = (1 - diversity) * relevance - diversity * (x @ x[chosen].T).max(axis=1)
-            score[chosen] = -np.inf
-            chosen.append(int(np.argmax(score)))
-        picked = rows.iloc[chosen]
-        return pd.DataFrame({group: picked[group], key: picked[key], "rank": range(1, len(chosen) + 1), "relevance": relevance[chosen]})
-
-    return df.select(group, key, vector).groupBy(group).applyInPandas(run, f"{group} {kinds[group]}, {key} {kinds[key]}, rank int, relevance double")

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from quern.plans import incremental, pages, quality, relational, structure, text
+from quern.plans import incremental, pages, quality, relational, site, structure, text, topics
 
-MODULES = (quality, relational, structure, text, pages, incremental)
+MODULES = (quality, relational, structure, text, pages, site, topics, incremental)
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}

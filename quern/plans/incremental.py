@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from quern.operators.generate import chapter_prompts, noted, part_summaries, plan_input, stage_one, structured_prompt, usable
 from quern.operators.relational import first_per_key
 from quern.operators.reports import all_match, compare_counts, completeness_of, histogram, numeric_stats, share_at_least
-from quern.operators.topics import class_tfidf, mmr, plain_words, similarity, stop_words, top_terms
+from quern.operators.keywords import mmr
+from quern.operators.topics import class_tfidf, plain_words, similarity, stop_words, top_terms
 from quern.operators.upsert import above_mark, change_summary, changes, known_items, merge, new_items, replace_children
 from quern.plans.base import spread_table, table
-from quern.session import shared_folder
+from quern.session import shared_folder, small
 from quern.streaming.incremental import deduplicated, drained, joined, read_events, sessions, sliding, tumbling
 
 
@@ -205,13 +206,27 @@ select conv_id, turn, case when trim(coalesce(chunk, '')) = '' then '(nothing)'
 
 
 def mmr_keywords(spark, sf_dir) -> DataFrame:
-    return mmr(table(spark, sf_dir, "embeddings"), "label", "vec_id", "embedding", 15, 0.3)
+    return mmr(table(spark, sf_dir, "embeddings"), "label", "vec_id", "embedding", 15, 0.3).withColumn("relevance", F.round("relevance", 9))
+
+
+def _mmr_sql(k: int = 15, diversity: float = 0.3) -> str:
+    steps = [
+        "u as materialized (select label, vec_id, list_transform(embedding, lambda y: y::double / sqrt(list_inner_product(embedding::double[], embedding::double[]))) as x from embeddings)",
+        "g as materialized (select label, list(m order by i) as y from (select label, i, avg(x[i]) as m from u, range(1, 65) r(i) group by all) group by label)",
+        "s0 as materialized (select u.label, vec_id, x, list_inner_product(x, y) / sqrt(list_inner_product(y, y)) as relevance, 0::double as near from u join g using (label))",
+    ]
+    for r in range(1, k + 1):
+        score = "relevance" if r == 1 else f"(1 - {diversity}::double) * relevance - {diversity}::double * near"
+        steps.append(f"c{r} as materialized (select label, vec_id, relevance, x from s{r - 1} qualify row_number() over (partition by label order by {score} desc, vec_id) = 1)")
+        near = "list_inner_product(c.x, s.x)" if r == 1 else "greatest(s.near, list_inner_product(c.x, s.x))"
+        steps.append(f"s{r} as materialized (select s.label, s.vec_id, s.x, s.relevance, {near} as near from s{r - 1} s join c{r} c using (label) where s.vec_id <> c.vec_id)")
+    return f"with {', '.join(steps)} " + " union all ".join(f"select label, vec_id, {r}::int as rank, round(relevance, 9) as relevance from c{r}" for r in range(1, k + 1))
 
 
 def vector_similarity(spark, sf_dir) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     first = first_per_key(e, ["label"], ["vec_id"]).select("label", F.col("embedding").alias("first"))
-    return e.join(F.broadcast(first), "label").select("vec_id", F.round(similarity(F.col("embedding"), F.col("first")), 4).alias("cosine"))
+    return e.join(small(first), "label").select("vec_id", F.round(similarity(F.col("embedding"), F.col("first")), 4).alias("cosine"))
 
 
 SQL_COSINE = "with f as (select label, embedding::double[] as first from (select *, row_number() over (partition by label order by vec_id) as nth from embeddings) where nth = 1) select vec_id, round(list_cosine_similarity(embedding::double[], first), 4) as cosine from embeddings join f using (label)"
@@ -358,6 +373,7 @@ ORACLES = {
     "stopword_threshold": SQL_STOP,
     "ctfidf": SQL_CTFIDF,
     "topic_terms": SQL_TERMS,
+    "mmr_keywords": _mmr_sql(),
     "plain_word_lists": SQL_PLAIN,
     "structured_prompts": SQL_PROMPTS,
     "stage_one_routing": SQL_STAGE_ONE,

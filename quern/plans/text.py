@@ -62,6 +62,14 @@ def paragraph_text(spark, sf_dir) -> DataFrame:
     return pages.select("page_id", F.posexplode(paragraphs(F.col("html"))).alias("pos", "paragraph"))
 
 
+SQL_PARAGRAPHS = r"""
+with s as (select page_id, string_split(regexp_replace(coalesce(html, ''), '(?is)<p(?:\s[^>]*)?>', chr(1), 'g'), chr(1)) as parts from pages),
+e as (select page_id, unnest(range(2, len(parts) + 1)) as i, parts from s),
+t as (select page_id, i, trim(regexp_replace(regexp_replace(regexp_replace(parts[i], '(?is)(</p>|<p\s).*$', ''), '<[^>]*>', '', 'g'), '[ \t\r\n]+', ' ', 'g')) as paragraph from e)
+select page_id, (row_number() over (partition by page_id order by i) - 1)::int as pos, paragraph from t where paragraph <> ''
+"""
+
+
 def markdown_pages(spark, sf_dir) -> DataFrame:
     return spread_table(spark, sf_dir, "pages").select("page_id", html_to_markdown(F.col("html")).alias("markdown"))
 
@@ -72,6 +80,15 @@ def listing_links(spark, sf_dir) -> DataFrame:
     return pages.select("page_id", F.size(article_links(F.col("html"))).alias("n"))
 
 
+_LINK = r"""(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["''][^>]*>(.*?)</a>"""
+SQL_LISTING_LINKS = rf"""
+with p as (select page_id, replace(coalesce(html, ''), 'href="/', 'href="/x/?p=1') as html from pages),
+l as (select page_id, unnest(list_zip(regexp_extract_all(html, '{_LINK}', 1), regexp_extract_all(html, '{_LINK}', 2))) as x from p),
+k as (select page_id, x[1] as href, trim(regexp_replace(x[2], '<[^>]*>', '', 'g')) as label from l)
+select p.page_id, count(distinct href) filter (regexp_matches(href, '[?&]p=\d+') and length(label) >= 3 and label not like '%http%')::int as n from p left join k using (page_id) group by p.page_id
+"""
+
+
 def text_measures(spark, sf_dir) -> DataFrame:
     docs, t = table(spark, sf_dir, "documents"), F.col("text")
     return docs.select("doc_id", n_words(t).alias("words"), n_nonblank_lines(t).alias("filled_lines"), n_sentences(t).alias("sentences"), estimated_tokens(t).alias("tokens"))
@@ -147,22 +164,32 @@ union all select o_orderkey, 1, 'ΝΌΜΟΥ ' || o_orderkey || ' / 2001', 'ΝΌ
 
 
 def greek_scalars(spark, sf_dir) -> DataFrame:
-    """Numerals of 1 to 300 there and back, and functions on Greek words (no SQL: other engines fold Greek differently)."""
-    n = F.col("id").cast("int")
-    numeral = int_to_greek(n)
-    return spark.range(1, 301).select(
-        n.alias("n"),
+    """Orders' numbers as numerals there and back, and functions on Greek texts with them."""
+    o = table(spark, sf_dir, "orders").withColumn("n", (F.col("o_orderkey") % 999 + 1).cast("int"))
+    n, numeral = F.col("n"), int_to_greek(F.col("n"))
+    day = (n % 28 + 1).cast("string")
+    return o.select(
+        "o_orderkey",
         numeral.alias("numeral"),
         greek_to_int(numeral).alias("back"),
         article_heading(F.concat(F.lit("## Άρθρο "), n.cast("string"), F.lit(". Τίτλος")))["number"].alias("heading"),
-        fold_upper(F.lit("Σκοπός του άρθρου")).alias("folded"),
+        fold_upper(F.concat(F.lit("Σκοπός του άρθρου "), n.cast("string"))).alias("folded"),
         within_one_edit(F.concat(F.lit("ΜΕΡΟ"), numeral), F.lit("ΜΕΡΟΣ")).alias("near"),
-        greek_timestamp(F.concat((n % 28 + 1).cast("string"), F.lit(" Μαΐου 2024, 09:30"))).alias("stamp"),
-        greek_date(F.concat((n % 28 + 1).cast("string"), F.lit(" Μάιος, 2024"))).alias("day"),
-        modifies_law(F.concat(F.lit("Στον ν. "), n.cast("string"), F.lit("/2020 προστίθεται:\n«Κείμενο\nσε γραμμές»"))).alias("modifies"),
+        greek_timestamp(F.concat(day, F.lit(" Μαΐου 2024, 09:30"))).alias("stamp"),
+        greek_date(F.concat(day, F.lit(" Μάιος, 2024"))).alias("day"),
+        modifies_law(F.concat(F.lit("Στον ν. "), n.cast("string"), F.lit("/2020 προστίθεται:\n«Κείμενο\nσε γραμμές"), F.when(n % 2 == 0, "»").otherwise(""))).alias("modifies"),
     )
 
 
+#: The numeral's 90 shares its letter with 100, and 900 has one that isn't read back.
+SQL_GREEK = """
+with o as (select o_orderkey, (o_orderkey % 999 + 1)::int as n from orders),
+k as (select *, ['', 'Ρ', 'Σ', 'Τ', 'Υ', 'Φ', 'Χ', 'Ψ', 'Ω', 'Ϡ'][n // 100 + 1] || ['', 'Ι', 'Κ', 'Λ', 'Μ', 'Ν', 'Ξ', 'Ο', 'Π', 'Ρ'][n // 10 % 10 + 1] || ['', 'Α', 'Β', 'Γ', 'Δ', 'Ε', 'ΣΤ', 'Ζ', 'Η', 'Θ'][n % 10 + 1] as numeral from o)
+select o_orderkey, numeral, (n + case when n // 10 % 10 = 9 then 10 else 0 end - case when n >= 900 then 900 else 0 end)::int as back, n as heading, 'ΣΚΟΠΟΣ ΤΟΥ ΑΡΘΡΟΥ ' || n as folded,
+  length(numeral) = 1 or (length(numeral) = 2 and contains(numeral, 'Σ')) as near, make_timestamp(2024, 5, n % 28 + 1, 9, 30, 0) as stamp, make_date(2024, 5, n % 28 + 1) as day, n % 2 = 0 as modifies from k
+"""
+
+
 def quotes_and_names(spark, sf_dir) -> DataFrame:
     c = table(spark, sf_dir, "conversations")
     text = F.concat(F.lit("a «"), F.col("text"), F.lit("» b «abc»"))
@@ -256,6 +283,9 @@ QUERIES = {
     "plan_validation": plans_checked,
 }
 ORACLES = {
+    "paragraph_text": SQL_PARAGRAPHS,
+    "listing_links": SQL_LISTING_LINKS,
+    "greek_scalars": SQL_GREEK,
     "accent_fold": "select doc_id, md5(strip_accents(text)) as digest from documents",
     "edit_le1": "select p_partkey, p_brand from part where levenshtein(p_brand, 'Brand#12') <= 1",
     "parse_dates": SQL_DATES,

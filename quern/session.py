@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,3 +31,23 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder, for results that are used more than once; it goes when the application ends."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/quern-{label}-{uuid.uuid4().hex}"
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def is_small(df: DataFrame, rows: int = 100_000) -> bool:
+    """Whether a table has no more than so many rows; it is read up to there."""
+    return df.limit(rows + 1).count() <= rows
+
+
+def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """``df``, marked for broadcasting if it has no more than so many rows."""
+    return F.broadcast(df) if is_small(df, rows) else df
