@@ -8,6 +8,10 @@ Kinds email, ip, card and phone follow fixed patterns (see SPEC): the leftmost
 matches that do not overlap, those that fail their check dropped without a
 second try. Kinds url, iban and account are added by their own parsers.
 
+An anchor that fails costs no more than the text around it: what was learned of
+a stretch (its end, that it has no digit, that no host ends in it) is kept for
+the anchors that follow in it.
+
 Defined cases: a null text is empty and has no spans. Offsets count code
 points, ends are exclusive. Further columns are ignored.
 """
@@ -39,11 +43,15 @@ _IP, _CARD, _PHONE = re.compile(SPEC["ip"]), re.compile(SPEC["card"]), re.compil
 _DIGITS = re.compile(r"[0-9]+")
 _SCHEME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+.-")
 _URL_REST = re.compile(r"[^\s<>\"'`{}|\\^]+")
-_HOST = re.compile(r"(?:[^@/?#]*@)?(?:[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+|localhost|\[[0-9a-fA-F:.]+\])(?::[0-9]{1,5})?(?=[/?#]|$)")
+_MARK = re.compile(r"[@/?#]")
+_LABELS = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*")
+_HOST = re.compile(r"(?:[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+|localhost|\[[0-9a-fA-F:.]+\])(?::[0-9]{1,5})?(?=[/?#]|$)")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 _LINK = r"(?:\x20?(?:no\.?|nr\.?|number|code|#))?\x20?[:=#]?\x20?[\"']?"
 _ACCOUNT = re.compile(_LINK + r"([0-9](?:[\x20-]?[0-9]){5,33})(?![0-9A-Za-z])")
 _SECRET = re.compile(_LINK + r"([A-Za-z0-9_+/=.-]{16,})")
+#: A stretch of a secret's characters that goes on for so long is the secret, whatever the link before it takes of it.
+_LINK_AND_LEAST = 24
 #: Cue words by the parser that reads what follows them.
 CUES = {"iban": ("iban",), "account": ("account", "acct", "konto", "compte", "cuenta", "passport", "ssn", "tax id"), "secret": ("token", "secret", "password", "passwd", "api_key", "apikey", "api key")}
 
@@ -77,10 +85,44 @@ def _iban_valid(text: str) -> bool:
     return 15 <= len(text) <= 34 and int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97 == 1
 
 
+class _Addresses:
+    """Ends of the addresses of one text, by where their hosts would begin; asked for in rising order."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.run = (0, 0)  # a stretch of an address's characters
+        self.end = 0  # of it, without closing punctuation
+        self.mark = (-1, -1)  # no mark of authority's end from the first to the second place
+        self.dead = (0, 0)  # labels after which no host ends
+
+    def end_of(self, host: int) -> int | None:
+        """Where the address ends whose host, or user, begins here; null if there is none."""
+        if not self.run[0] <= host < self.run[1]:
+            m = _URL_REST.match(self.text, host)
+            if not m:
+                return None
+            self.run, self.end = m.span(), m.start() + len(m[0].rstrip(".,;:!?)]"))
+        end = max(host, self.end)
+        if not self.mark[0] <= host <= self.mark[1]:
+            m = _MARK.search(self.text, host, self.run[1])
+            self.mark = (host, m.start() if m else self.run[1])
+        at = self.mark[1]
+        at = at + 1 if at < end and self.text[at] == "@" else host
+        if self.dead[0] <= at < self.dead[1]:
+            return None
+        if _HOST.match(self.text, at, end):
+            return end
+        m = _LABELS.match(self.text, at, end)
+        self.dead = m.span() if m else self.dead
+        return None
+
+
 def find(text: str, automaton: ahocorasick.Automaton) -> list[tuple[str, int, int]]:
     """All spans (kind, start, end) of a text, by kind as listed, then start."""
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
-    done = dict.fromkeys((*KINDS, "secret"), 0)  # where each kind's search goes on
+    done = dict.fromkeys(KINDS, 0)  # where each kind's search goes on
+    addresses = _Addresses(text)
+    barren = (0, 0)  # a stretch of a secret's characters without a digit
     for last, (kind, size) in automaton.iter(_lower(text)):
         at = last - size + 1
         if kind == "digit":
@@ -119,10 +161,10 @@ def find(text: str, automaton: ahocorasick.Automaton) -> list[tuple[str, int, in
                     start -= 1
                 while start < at and not text[start].isalpha():
                     start += 1
-            if at < done["url"] or (kind == "url" and start == at) or not (m := _URL_REST.match(text, host)):
+            if at < done["url"] or (kind == "url" and start == at):
                 continue
-            end = m.start() + len(m[0].rstrip(".,;:!?)]"))
-            if _HOST.match(text[host:end]):
+            end = addresses.end_of(host)
+            if end is not None:
                 done["url"] = end
                 found["url"].append((start, end))
         else:
@@ -135,11 +177,13 @@ def find(text: str, automaton: ahocorasick.Automaton) -> list[tuple[str, int, in
                 if m and _iban_valid(m[0]):
                     done["account"] = m.end()
                     found["iban"].append(m.span())
-            else:
+            elif kind == "account" or not barren[0] <= after <= barren[1] - _LINK_AND_LEAST:
                 m = (_ACCOUNT if kind == "account" else _SECRET).match(text, after)
                 if m and (kind == "account" or any(c.isdigit() for c in m[1])):
                     done["account"] = m.end()
                     found["account"].append(m.span(1))
+                elif m:
+                    barren = m.span(1)
     return [(k, a, b) for k in KINDS for a, b in found[k]]
 
 
