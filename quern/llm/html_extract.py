@@ -3,21 +3,33 @@
 A page is cut into blocks at block elements. The first pass judges each block
 by itself: link density, length and stop-word density make it good, near good,
 short or bad; the element around it may say that it is boilerplate (menus,
-footers, forms, adverts, comments and the like) or that it is in the article.
-In an article a composed name, such as related-posts, only hints at boilerplate:
-long prose without links stays.
+footers, forms, adverts and the like) or that it is in the article.
 The second pass gives short and near-good blocks the label of their nearest
 decided neighbours.
 
+What an element's tag, role, class or id says is weighed with what is in it. An
+element under suspicion that holds the page's main article (the one with most
+prose, if that is more than all prose outside of suspects) is cleared; so is a
+form with most of the page's prose, and an element with most of it that is
+suspected for its name only, where no article has prose. What is suspected
+inside of these stays so. Reader comments
+are out wherever they are, in articles, too, unless the element that is named
+for them has the page's main element or first heading in it. In an article
+other composed names, such as related-posts, only hint at boilerplate: long
+prose without links stays. What follows has, no, with or without in a name
+isn't what the element is.
+
 Within an article (or main) element, neighbours are looked for in the article
 only. Outside, an ambiguous block between neighbours of different labels is
-kept only if it is near good. A block without any decided neighbour is kept.
+kept only if it is near good. A block without any decided neighbour is kept. On
+a page without any good block near good ones count as good.
 
 Defined cases: null and empty html give an empty text. Elements and comments
 that never end, tags cut off by the end of the page and unknown entities are
 coped with; no block is dropped for its position or length alone. A page in a
-language without stop words here is judged by length and links. Further
-columns are ignored.
+language without stop words here is judged by length and links. A page takes
+time in proportion to its length, however its tags are nested. Further columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -74,14 +86,18 @@ NAMES = frozenset(
     "footer header login masthead menu modal nav navbar navigation newsletter notice notification pager pagination popup promo promoted promotion "
     "recommended related respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+#: Names of reader comments; alone, as the last part, or before a part that names a box.
+COMMENTS = frozenset("comment comments commentlist commentarea commentsection discussion discussions disqus replies reply respond".split())
+#: After these parts a name says what an element has or lacks.
+HAVING = frozenset("has no with without".split())
 #: Last parts of names that say what kind of box it is.
 BOXES = frozenset(
-    "area bar block box btn button buttons card cell column container content cta feed form frame group holder icon icons inner item items label left link "
-    "links list main message module nav notice outer overlay panel placement post posts right row section slot strip text title top unit widget wrap wrapper zone".split()
+    "area author bar block body box btn button buttons card cell column container content cta feed form frame group holder icon icons inner item items label left link "
+    "links list main message module nav notice outer overlay panel placement post posts right row section slot strip text title top thread unit widget wrap wrapper zone".split()
 )
 CLOSED_BY = {"p": BLOCKS - {"html", "body"}, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "option": frozenset(["option"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"])}
 #: A quotation in a tag begins after "=" only; one without end counts as plain characters.
-_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*')?)*+)(?:>|\Z)|<[!?][^>]*+(?:>|\Z)|</[^>]*+(?:>|\Z)", re.S)
+_TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*')?)*+)(?:>|\Z)|<[!?][^>]*+(?:>|\Z)|</[^>]*+(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?(?=[\s/]|$)", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 _NAME_PART = re.compile(r"[a-z]+|[0-9]+")
@@ -89,14 +105,21 @@ _HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 GOOD, NEAR, SHORT_BLOCK, BAD = "good", "near", "short", "bad"
 
 
+#: What an element is suspected of.
+BY_COMMENTS, BY_FORM, BY_NAME, BY_TAG = "comments", "form", "name", "tag"
+
+
 @lru_cache(1 << 14)
-def _named(name: str) -> bool | None:
-    """Whether a class name or id says boilerplate by itself; None if it only hints at it."""
+def _named(name: str) -> str | bool | None:
+    """Whether a class name or id says boilerplate by itself, or comments; None if it only hints at boilerplate."""
     parts = _NAME_PART.findall(_HUMP.sub("-", name).lower())
+    parts = parts[: next((k for k, part in enumerate(parts) if part in HAVING), len(parts))]
     while len(parts) > 1 and parts[-1].isdigit():
         parts.pop()
     if not parts:
         return False
+    if parts[-1] in COMMENTS or (parts[0] in COMMENTS and parts[-1] in BOXES):
+        return BY_COMMENTS
     if len(parts) == 1:
         return parts[0] in NAMES
     if parts[-1] in NAMES or (parts[0] in NAMES and parts[-1] in BOXES):
@@ -104,24 +127,37 @@ def _named(name: str) -> bool | None:
     return False
 
 
-def _boilerplate(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
-    """Whether an element is boilerplate, and whether its name hints at it; outside of articles a hint is enough."""
+def _suspected(tag: str, attributes: str, in_article: bool) -> tuple[str | None, bool]:
+    """What an element is suspected of, and whether its name hints at boilerplate; outside of articles a hint is enough."""
+    by_tag = None
     if tag in BOILERPLATE or (tag == "header" and not in_article):
-        return True, False
-    if not attributes or tag in ("html", "body", "article", "main"):
-        return False, False
-    hint = False
+        by_tag = BY_FORM if tag in ("form", "fieldset") else BY_TAG
+    if not attributes or tag in ("html", "body", "main"):
+        return by_tag, False
+    hint = by_name = False
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), next(filter(None, values), "")
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "role" and value.lower() in ROLES):
-            return True, False
-        if name in ("class", "id"):
+            by_tag = BY_TAG
+        elif name in ("class", "id"):
             for token in value.split():
                 named = _named(token)
-                if named or (named is None and not in_article):
-                    return True, False
+                if named == BY_COMMENTS:
+                    return BY_COMMENTS, False
+                if tag == "article":
+                    continue
+                by_name = by_name or named is True or (named is None and not in_article)
                 hint = hint or named is None
-    return False, hint
+    return by_tag or (BY_NAME if by_name else None), hint and not by_name
+
+
+class Suspect:
+    """An element that may be boilerplate, and how much prose is in it."""
+
+    __slots__ = ("bad", "cleared", "in_comments", "kind", "parent", "prose")
+
+    def __init__(self, kind: str, parent: Suspect | None):
+        self.kind, self.parent, self.prose, self.cleared, self.bad, self.in_comments = kind, parent, 0, False, False, False
 
 
 def _end_of(tag: str) -> re.Pattern[str]:
@@ -129,29 +165,31 @@ def _end_of(tag: str) -> re.Pattern[str]:
 
 
 class Block:
-    __slots__ = ("article", "boilerplate", "counts", "hint", "label", "linked", "parts", "text")
+    __slots__ = ("article", "boilerplate", "counts", "hint", "label", "linked", "parts", "suspect", "text")
 
-    def __init__(self, boilerplate: bool, article: int, hint: bool = False):
-        self.boilerplate, self.article, self.hint, self.parts, self.linked = boilerplate, article, hint, [], 0
+    def __init__(self, suspect: Suspect | None = None, article: int = 0, hint: bool = False):
+        self.suspect, self.article, self.hint, self.parts, self.linked, self.boilerplate = suspect, article, hint, [], 0, False
         self.counts: tuple[int, int] | None = None
 
 
 def cut(page: str) -> list[Block]:
     """The blocks of a page that hold text, in page order; text has its white space collapsed."""
     blocks: list[Block] = []
-    stack: list[tuple[str, bool, int, bool]] = []  # element, boilerplate, number of the article around it, hint of boilerplate
+    stack: list[tuple[str, Suspect | None, int, bool]] = []  # element, suspect around or at it, number of the article around it, hint of boilerplate
+    opened: Counter[str] = Counter()  # how often an element is in the stack
+    suspects: list[Suspect] = []
+    around: list[Suspect | None] = [None]  # by article
     skip: str | None = None
     inner: Counter[str] = Counter()  # open blocks within the skipped element
     endless: set[str] = set()  # RAW elements that have no end tag from here on
-    depth = articles = links = breaks = 0
-    block = Block(False, 0)
+    depth = links = breaks = 0
+    block = Block()
 
     def end_block() -> None:
         nonlocal block
         if block.parts:
             blocks.append(block)
-        _, boilerplate, article, hint = stack[-1] if stack else ("", False, 0, False)
-        block = Block(boilerplate, article, hint)
+        block = Block(*stack[-1][1:]) if stack else Block()
 
     def text(a: int, b: int) -> None:
         nonlocal breaks
@@ -163,6 +201,13 @@ def cut(page: str) -> list[Block]:
                 if links:
                     block.linked += len(" ".join(piece.split()))
 
+    def close(tag: str) -> None:
+        while True:
+            last = stack.pop()[0]
+            opened[last] -= 1
+            if last == tag:
+                return
+
     at, scan, end = 0, 0, len(page)
     while (m := _TOKEN.search(page, scan)) is not None:
         text(at, m.start())
@@ -178,9 +223,9 @@ def cut(page: str) -> list[Block]:
                     skip = None
                 continue
             if tag in RAW and not closing and not m[3].endswith("/") and tag not in endless:
-                close = _end_of(tag).search(page, at)
-                if close:
-                    at = scan = close.end()
+                ending = _end_of(tag).search(page, at)
+                if ending:
+                    at = scan = ending.end()
                 else:
                     endless.add(tag)
                 continue
@@ -195,7 +240,7 @@ def cut(page: str) -> list[Block]:
             elif inner[tag]:
                 inner[tag] -= 1
                 continue
-            elif all(x[0] != tag for x in stack):
+            elif not opened[tag]:
                 continue
             skip = None  # the block around it ends
         if tag == "br":
@@ -207,8 +252,8 @@ def cut(page: str) -> list[Block]:
         if tag in SKIPPED and tag not in VOID:
             if not closing and not m[3].endswith("/"):
                 if tag in RAW:
-                    close = _end_of(tag).search(page, at)
-                    at = scan = close.end() if close else end
+                    ending = _end_of(tag).search(page, at)
+                    at = scan = ending.end() if ending else end
                 else:
                     skip, depth = tag, 1
                     inner.clear()
@@ -220,20 +265,24 @@ def cut(page: str) -> list[Block]:
             continue
         breaks = 0
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+            if opened[tag]:
+                close(tag)
         else:
             while stack and tag in CLOSED_BY.get(stack[-1][0], ()):
-                stack.pop()
+                opened[stack.pop()[0]] -= 1
             if tag not in VOID:
-                _, boilerplate, article, hint = stack[-1] if stack else ("", False, 0, False)
+                suspect, article, hint = stack[-1][1:] if stack else (None, 0, False)
+                if tag in ("h1", "main"):
+                    _no_comments(suspect)
                 if tag in ("article", "main") and not article:
-                    articles += 1
-                    article = articles
-                own, hints = _boilerplate(tag, m[3], article > 0)
-                stack.append((tag, boilerplate or own, article, hint or hints))
+                    article = len(around)
+                    around.append(suspect)
+                kind, hints = _suspected(tag, m[3], article > 0)
+                if kind:
+                    suspect = Suspect(kind, suspect)
+                    suspects.append(suspect)
+                stack.append((tag, suspect, article, hint or hints))
+                opened[tag] += 1
             links = 0
         end_block()
     text(at, end)
@@ -243,9 +292,52 @@ def cut(page: str) -> list[Block]:
         b.text = " ".join("".join(b.parts).split())
         if b.text:
             out.append(b)
+    _weigh(out, suspects, around)
     return out
 
 
+def _no_comments(suspect: Suspect | None) -> None:
+    """Elements named for comments that have the page's main element or first heading in them are cleared."""
+    while suspect is not None and not suspect.in_comments:
+        suspect.in_comments = True  # seen, up to the root; _weigh sets what it means
+        suspect.cleared = suspect.kind == BY_COMMENTS
+        suspect = suspect.parent
+
+
+def _weigh(blocks: list[Block], suspects: list[Suspect], around: list[Suspect | None]) -> None:
+    """Sets which blocks are boilerplate, by what their suspects hold. Parents come before their children in ``suspects``."""
+    for s in suspects:
+        s.in_comments = (s.kind == BY_COMMENTS and not s.cleared) or (s.parent is not None and s.parent.in_comments)
+    clean = total = 0
+    by_article: Counter[int] = Counter()
+    for b in blocks:
+        size = len(b.text)
+        if size < SHORT or b.linked > MAX_LINKS * size or (b.suspect is not None and b.suspect.in_comments):
+            continue
+        total += size
+        by_article[b.article] += size
+        if b.suspect is None:
+            clean += size
+        else:
+            b.suspect.prose += size
+    for s in reversed(suspects):
+        if s.parent is not None and not s.in_comments:
+            s.parent.prose += s.prose
+    articles = [k for k in range(1, len(around)) if around[k] is None or not around[k].in_comments]
+    best = max(articles, key=lambda k: (by_article[k], -k), default=0)
+    if best and by_article[best] > clean:
+        s = around[best]
+        while s is not None:
+            s.cleared = True
+            s = s.parent
+    for s in suspects:
+        if 2 * s.prose > total and (s.kind == BY_FORM or (s.kind == BY_NAME and (not best or by_article[best] < SHORT))):
+            s.cleared = True
+        s.bad = not s.cleared or (s.parent is not None and s.parent.bad)
+    for b in blocks:
+        b.boilerplate = b.suspect is not None and b.suspect.bad
+
+
 def _counts(block: Block) -> tuple[int, int]:
     """Words and stop words of a block."""
     if block.counts is None:
@@ -264,7 +356,7 @@ def judge(block: Block, known: bool = True) -> str:
     size = len(block.text)
     if block.boilerplate or block.linked > MAX_LINKS * size and not (block.article and size >= LONG and not block.hint):
         return BAD
-    if size < LONG and "©" in block.text and not block.article:
+    if size < LONG and "©" in block.text and not block.article and (block.text.startswith("©") or _density(block) < STOP_LOW):
         return BAD
     if size < SHORT:
         return BAD if block.hint or (block.linked and not block.article) else SHORT_BLOCK
@@ -289,6 +381,8 @@ def settle(blocks: list[Block]) -> list[bool]:
     """Second pass: whether each block is kept, ambiguous ones as their nearest decided neighbours are."""
     known = _knows(blocks)
     first = [judge(b, known) for b in blocks]
+    if GOOD not in first:  # all paragraphs are short
+        first = [GOOD if x == NEAR else x for x in first]
     n = len(blocks)
 
     def nearest(order: range, decided: frozenset[str]) -> list[str | None]:

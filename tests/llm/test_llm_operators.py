@@ -869,3 +869,123 @@ def test_kernels():
     s, e, first = split_words(data, offsets, SOLID)
     assert [bytes(data[a:b]).decode() for a, b in zip(s, e, strict=True)] == ["a", "bc", "d", "e", "f"] and first.tolist() == [0, 2, 2, 3, 3, 5]
     assert [x for a, b in blocks(offsets, 3) for x in range(a, b)] == list(range(5))
+
+
+# pages and texts that earlier rules lost, kept or took long for
+
+
+SENTENCES = "".join(f"<p>This is the sentence number {i} of a text that is about all the things that they have to say to us here and there.</p>" for i in range(8))
+REMARK = "<p>" + "I think that this is what they said to me and it is not so good as the other one that we had before in the house. " * 4 + "</p>"
+
+
+@pytest.mark.parametrize("page", ["<form id='aspnetForm'>{}</form>", "<form id='aspnetForm'><article>{}</article></form>", "<form><div class='teaser'><article><p>A teaser of some more than seventy characters, which is in an article element.</p></article></div>{}</form>"] + [f"<div class='{c}'>{{}}</div>" for c in ("has-sidebar", "no-sidebar", "page-with-sidebar", "has-navigation", "has-ads", "widget-content", "with-banner", "sidebar")] + ["<div class='sidebar'><main>{}</main></div>", "<aside><article>{}</article></aside>", "<!-->{}", "<!--->{}", "<div>{}</div><aside><article><p>" + "This is the teaser of a story that we have on our site for you to read. " * 2 + "</p></article></aside>"])
+def test_wrapped_pages_are_whole(page):
+    from quern.llm.html_extract import main_text
+
+    got = main_text(f"<body>{page.replace('{}', SENTENCES)}</body>")
+    assert [x for x in got.split("\n\n") if x.startswith("This is the sentence")] == main_text(SENTENCES).split("\n\n")
+    assert len(main_text(SENTENCES).split("\n\n")) == 8
+
+
+@pytest.mark.parametrize("name", ["comment-list", "article-comments", "commentlist", "discussion", "replies", "comments", "comment", "x respond", "disqus_thread"])
+def test_comments_are_out(name):
+    from quern.llm.html_extract import main_text
+
+    want = main_text(SENTENCES)
+    assert main_text(f"<article>{SENTENCES}<div class='{name}'>{REMARK}</div></article>") == want
+    assert main_text(f"<body><article>{SENTENCES}</article><ol id='{name.split()[-1]}'><li><article>{REMARK * 3}</article></li></ol>") == want
+    assert main_text(f"<div class='{name}'><h1>Title of the page</h1>{SENTENCES}</div>").endswith(want)
+
+
+@pytest.mark.parametrize("part", ["<div>|</p>", "<form>|x", "<div class='comment'>|<h1>x</h1>", "<p>a|", "<!-->|", "<article>|</main>", "<textarea>|", "<select>|</div>", "<nav><p>|</form>"])
+def test_long_pages_take_linear_time(part):
+    import time
+
+    from quern.llm.html_extract import main_text
+
+    a, b = part.split("|")
+    began = time.time()
+    main_text(a * 100_000 + b * 100_000)
+    assert time.time() - began < 15
+
+
+def test_rules_by_hand(spark):
+    """Both passes on flat pages, with the rules written out again."""
+    from quern.llm.html_extract import main_text
+
+    r = random.Random(12)
+    stops, others = ["the", "of", "and", "is", "with"], ["house", "tree", "river", "stone", "light"]
+    for _ in range(400):
+        blocks, page = [], ""
+        for _ in range(r.randrange(1, 12)):
+            share, size, linked = r.choice([0.0, 0.31, 0.5]), r.choice([3, 6, 14, 30, 60]), r.random() < 0.25
+            n = round(share * size)
+            words = [r.choice(stops) for _ in range(n)] + [r.choice(others) for _ in range(size - n)]
+            r.shuffle(words)
+            text = " ".join(words)
+            blocks.append((text, sum(w in stops for w in words) / size, linked))
+            page += f"<p>{f'<a href=x>{text}</a>' if linked else text}</p>"
+        long_ones = [(t, d) for t, d, linked in blocks if len(t) >= 70 and not linked]
+        words = sum(len(t.split()) for t, _ in long_ones)
+        known = not words or sum(d * len(t.split()) for t, d in long_ones) >= 0.05 * words
+        labels = []
+        for text, density, linked in blocks:
+            density = density if known else 1.0
+            if linked:
+                labels.append("bad")
+            elif len(text) < 70:
+                labels.append("short")
+            elif density >= 0.32:
+                labels.append("good" if len(text) > 200 else "near")
+            else:
+                labels.append("near" if density >= 0.30 else "bad")
+        if "good" not in labels:
+            labels = ["good" if x == "near" else x for x in labels]
+        kept = []
+        for i, label in enumerate(labels):
+            before = next((x for x in reversed(labels[:i]) if x in ("good", "bad")), None)
+            after = next((x for x in labels[i + 1 :] if x in ("good", "bad")), None)
+            near = {before, after} - {None}
+            kept.append(label == "good" or (label in ("short", "near") and (near <= {"good"} or (label == "near" and "good" in near))))
+        assert main_text(page) == "\n\n".join(b[0] for b, keep in zip(blocks, kept, strict=True) if keep)
+
+
+@pytest.mark.parametrize("piece", ["token.", "a://", "www._", "www.www.", "a@", "secret=", "http://x.y@", "+1(", "1.1.1 ", "[1:", "account 1"])
+def test_personal_data_takes_linear_time(piece):
+    import time
+
+    from quern.llm.pii import _automaton, find
+
+    began = time.time()
+    find(piece * (1_000_000 // len(piece)), _automaton())
+    assert time.time() - began < 15
+
+
+def test_addresses_and_secrets_by_hand():
+    """Against the patterns as they are, without what is remembered of a text."""
+    from quern.llm import pii
+
+    rest, host = re.compile(r"[^\s<>\"'`{}|\\^]+"), re.compile(r"(?:[^@/?#]*@)?(?:[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+|localhost|\[[0-9a-fA-F:.]+\])(?::[0-9]{1,5})?(?=[/?#]|$)")
+    r = random.Random(1)
+    bits = ["www.", "://", "a", "http", "@", "/", "?", ".", "_", "-", "12", "localhost", "[", "]", ",", " ", ":80", "[1:2]"]
+    for _ in range(3000):
+        text = "".join(r.choice(bits) for _ in range(r.randrange(1, 14)))
+        done, want = 0, []
+        for m in re.finditer(r"://|www\.", text):
+            at, start, begin = m.start(), m.start(), m.start()
+            if m[0] == "://":
+                begin = at + 3
+                while start > done and (text[start - 1].isascii() and (text[start - 1].isalnum() or text[start - 1] in "+.-")):
+                    start -= 1
+                while start < at and not text[start].isalpha():
+                    start += 1
+                if start == at:
+                    continue
+            found = rest.match(text, begin)
+            if at < done or not found:
+                continue
+            end = begin + len(found[0].rstrip(".,;:!?)]"))
+            if host.match(text[begin:end]):
+                done = end
+                want.append(("url", start, end))
+        assert [x for x in pii.find(text, pii._automaton()) if x[0] == "url"] == want, text
