@@ -10,9 +10,14 @@ broadcast block by block: a benchmark of any size is scanned in as many passes,
 each of which adds to the hits found so far. The driver holds one block's index
 at a time: its words, and 20 bytes for each window.
 
+Rows of the benchmark that repeat id and text are one; a block is a range of
+hashes of the others, cut where the limit is reached, so only an item that is
+longer by itself exceeds it.
+
 Defined cases: a null text has no words; an item without words has no window;
 an item occurs as soon as one of its windows does; repeated item ids count
-once. An empty table of either kind is allowed.
+once. A null item id is an item of its own, written as null. An empty table of
+either kind is allowed.
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, whole_row, written
+from .common import hash60, text_of, whole_row, written
 from .kernels import ALNUM, LOWER, U, blocks, column_bytes, hash_ranges, padded, split_words
 
 WINDOW = 13
@@ -180,13 +185,46 @@ def _join(ranges: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int,
     return [(a, b, starts[a], ends[b]) for a, b in merged(ranges)]
 
 
+#: A null item id while hits are collected.
+_NULL = "\0"
+#: Ranges of hashes that are summed at a time.
+_FAN = 64
+
+
+def _ranges(rows: DataFrame, block_text: int, lo: int = 0, hi: int = 1 << 60) -> Iterator[tuple[int, int]]:
+    """Ranges of h of at most ``block_text`` bytes in all (columns h, size), or of one value of h."""
+    step = -(-(hi - lo) // _FAN)
+    sums = rows.where(F.col("h").between(lo, hi - 1)).groupBy(F.expr(f"(h - {lo}) div {step}").alias("part")).agg(F.sum("size").alias("size"), F.min("h").alias("lo"), F.max("h").alias("hi"))
+    begin, end, total = lo, lo, 0
+    for x in sums.orderBy("part").collect():  # _FAN rows
+        if total and total + x["size"] > block_text:
+            yield begin, end
+            begin, total = end, 0
+        if x["size"] > block_text and x["lo"] < x["hi"]:
+            yield from _ranges(rows, block_text, x["lo"], x["hi"] + 1)
+            begin = end = x["hi"] + 1
+            continue
+        end, total = x["hi"] + 1, total + x["size"]
+    if total:
+        yield begin, end
+
+
 def _blocks(benchmark: DataFrame, window: int, id_col: str, text_col: str, block_text: int) -> Iterator[Index]:
-    """The index of each block of the benchmark, one at a time."""
-    rows = benchmark.select(F.coalesce(benchmark[id_col].cast("string"), F.lit("null")).alias("id"), text_of(benchmark, text_col).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-size // block_text) or 1
-    for k in range(n):
-        yield _index(((r.id, r.text) for r in rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).toLocalIterator()), window)
+    """The index of each block of the benchmark, one at a time; an empty one if there is none."""
+    rows = benchmark.select(F.coalesce(benchmark[id_col].cast("string"), F.lit(_NULL)).alias("id"), text_of(benchmark, text_col).alias("text")).distinct()
+    rows = rows.withColumn("h", hash60("id", "text")).withColumn("size", F.octet_length("text"))
+    rows = written(rows.where("size > 0"), "benchmark")
+    found = False
+    for lo, hi in _ranges(rows.select("h", "size"), block_text):
+        found = True
+        yield _index(((r.id, r.text) for r in rows.where(F.col("h").between(lo, hi - 1)).toLocalIterator()), window)
+    if not found:
+        yield _index([], window)
+
+
+def _named(found: DataFrame) -> DataFrame:
+    """``found`` with the names of items as they are shown."""
+    return found.withColumn("items", F.array_sort(F.transform("items", lambda x: F.when(x == _NULL, "null").otherwise(x))))
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block_text: int = BLOCK_TEXT, keep_text: bool = True) -> DataFrame:
@@ -194,7 +232,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: st
     rows = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
     for k, index in enumerate(_blocks(benchmark, window, item_col, item_text, block_text)):
         rows = _one_pass(rows if not k else written(rows, f"hits{k}"), index)
-    return rows if keep_text else rows.drop("text")
+    return _named(rows if keep_text else rows.drop("text"))
 
 
 def measured(found: DataFrame) -> DataFrame:
