@@ -27,8 +27,12 @@ groups of those that have the same bytes there; what is still large is halved
 again. After LEVELS halvings a group has nearly a whole string in common, and
 the few strings over that part are counted one by one by 128-bit digest.
 
+Segments and strings are told apart by BLAKE2 digests of 128 bits, for which no
+two different texts can be made to agree.
+
 Defined cases: null and short texts have nothing removed; rows that repeat id
-and text are documents of their own and repeats of each other; overlapping
+and text are documents of their own and repeats of each other, so all of their
+text goes, and one of them stands for them when others are compared; overlapping
 repeats count. An empty table gives an empty result.
 """
 
@@ -80,6 +84,10 @@ def select_anchors(buf: np.ndarray, starts: np.ndarray, min_bytes: int = MIN) ->
     return (last - (least & last)).astype(np.int64), h
 
 
+def _digest(body: memoryview, seed: int) -> bytes:
+    return hashlib.blake2b(body, digest_size=16, salt=seed.to_bytes(16, "little")).digest()
+
+
 def segments_of(buf: np.ndarray, offsets: np.ndarray, min_bytes: int = MIN) -> dict[str, np.ndarray]:
     """The segments of a block of texts: doc, start, n (starts), lead (anchor's place in it), anchor, c1 and c2 (digest)."""
     size = np.diff(offsets)
@@ -106,7 +114,7 @@ def segments_of(buf: np.ndarray, offsets: np.ndarray, min_bytes: int = MIN) -> d
         s0, n = own[cut[:-1]], np.diff(cut)
         anchor = place[cut[:-1]]
         lead = anchor - s0
-        digests = b"".join([xxhash.xxh3_128_digest(memory[a:b], seed=c) for a, b, c in zip(s0.tolist(), (s0 + n + min_bytes - 1).tolist(), lead.tolist(), strict=True)])
+        digests = b"".join([_digest(memory[a:b], c) for a, b, c in zip(s0.tolist(), (s0 + n + min_bytes - 1).tolist(), lead.tolist(), strict=True)])
         pair = np.frombuffer(digests, np.int64).reshape(-1, 2)
         of = doc[at : at + len(own)][cut[:-1]]
         for k, v in (("doc", of), ("start", s0 - offsets[of]), ("n", n), ("lead", lead), ("anchor", h[anchor - base].view(np.int64)), ("c1", pair[:, 0]), ("c2", pair[:, 1])):
@@ -323,7 +331,7 @@ def _counted(left: DataFrame, min_bytes: int) -> DataFrame:
             for row in batch.to_pylist():
                 body = memoryview(row["body"])
                 starts = np.arange(max(0, row["lead"] + GRAM + row["after"] - min_bytes), min(row["n"] - 1, row["lead"] - row["before"]) + 1)
-                digests = b"".join(xxhash.xxh3_128_digest(body[s : s + min_bytes], seed=row["group"] & (2**64 - 1)) for s in starts.tolist())
+                digests = b"".join(_digest(body[s : s + min_bytes], row["group"] & (2**64 - 1)) for s in starts.tolist())
                 pair = np.frombuffer(digests, np.int64).reshape(-1, 2)
                 cols = [np.full(len(starts), row["c1"]), np.full(len(starts), row["c2"]), starts, starts - row["lead"], pair[:, 0], pair[:, 1]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["c1", "c2", "s", "col", "d1", "d2"])
@@ -394,8 +402,21 @@ def cut_repeats(docs: DataFrame, min_bytes: int = MIN, id_col: str = "doc_id", t
     """One row per row of ``docs``: id, n_bytes, spans (removed runs in bytes), n_removed, kept_sha256 and, unless left out, kept (bytes)."""
     text = text_of(docs, text_col)
     key = F.unhex(F.md5(F.concat(F.coalesce(docs[id_col].cast("string"), F.lit("null")), F.lit(":"), text)))
-    rows = docs.select(docs[id_col].alias("id"), key.alias("key"), text.alias("text"))
-    spans = repeated_spans(rows.select("key", "text"), min_bytes, max_group)
+    rows = docs.select(docs[id_col].alias("id"), key.alias("key"), text.alias("text"), F.monotonically_increasing_id().alias("spread"))
+    same = rows.where(F.octet_length("text") >= min_bytes).groupBy("key").agg(F.count("*").alias("times"))
+    same = written(same.where("times > 1"), "repeated-rows")
+    n_same = same.agg(F.sum("times")).first()[0]
+    if not n_same:
+        spans = repeated_spans(rows.select("key", "text"), min_bytes, max_group)
+        joined = rows.join(spans, "key", "left")
+    else:
+        hot = written(hot_keys(same, "key", "times", n_same), "hot-rows")
+        flagged = salted_join(rows, same, "key", hot, F.col("spread"), "left")
+        once = written(flagged.where("times is not null").groupBy("key").agg(F.first("text").alias("text")), "rows-once")
+        spans = repeated_spans(flagged.where("times is null").select("key", "text").unionByName(once), min_bytes, max_group)
+        everything = F.array(F.struct(F.lit(0).alias("a"), F.lit((1 << 31) - 1).alias("b")))
+        spans = spans.join(same.select("key"), "key", "left_anti").unionByName(same.select("key", everything.alias("spans")))
+        joined = salted_join(rows, spans, "key", hot, F.col("spread"), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -403,7 +424,7 @@ def cut_repeats(docs: DataFrame, min_bytes: int = MIN, id_col: str = "doc_id", t
             out, digests, kept = [], [], []
             for k, of in enumerate(batch.column("spans").to_pylist()):
                 own = data[offsets[k] : offsets[k + 1]].tobytes()
-                runs = merged([(x["a"], x["b"]) for x in of or ()])
+                runs = merged([(x["a"], min(x["b"], len(own))) for x in of or ()])
                 if runs:
                     edges = [0, *(x for r in runs for x in r), len(own)]
                     own = b"".join(own[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
@@ -415,6 +436,5 @@ def cut_repeats(docs: DataFrame, min_bytes: int = MIN, id_col: str = "doc_id", t
             cols = [batch.column("id"), pa.array(np.diff(offsets)), pa.array(out, kind), pa.array(removed, pa.int64()), pa.array(digests, pa.string()), pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, ["id", "n_bytes", "spans", "n_removed", "kept_sha256", "kept"])
 
-    joined = rows.join(spans, "key", "left").select("id", "text", "spans")
-    out = joined.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n_bytes long, spans array<struct<start:int,end:int>>, n_removed long, kept_sha256 string, kept binary")
+    out = joined.select("id", "text", "spans").mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n_bytes long, spans array<struct<start:int,end:int>>, n_removed long, kept_sha256 string, kept binary")
     return out if keep_bytes else out.drop("kept")
