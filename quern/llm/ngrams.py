@@ -100,7 +100,11 @@ def _shapes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     total = np.zeros(len(buf) + 1, U)
     np.cumsum(_KIND[buf], out=total[1:])
     n = total[ends] - total[starts]
-    lower, upper, digits, symbols, cries = (((n >> U(12 * k)) & U(4095)).astype(np.int64) for k in range(5))
+    lower, upper, digits, symbols, cries = kinds = [((n >> U(12 * k)) & U(4095)).astype(np.int64) for k in range(5)]
+    for i in np.flatnonzero(ends - starts > 4095):  # more than a count holds
+        own = np.bincount(np.log2(_KIND[buf[starts[i] : ends[i]]].astype(float), where=_KIND[buf[starts[i] : ends[i]]] > 0, out=np.full(ends[i] - starts[i], 60.0)).astype(np.int64) // 12, minlength=5)
+        for k, of in enumerate(kinds):
+            of[i] = own[k]
     letters = lower + upper
     initial = buf[starts] if len(starts) else np.zeros(0, np.uint8)
     kind = np.select(
@@ -510,19 +514,20 @@ def _rest(d: list[float], total: np.ndarray, by: list[np.ndarray]) -> np.ndarray
 def log_probabilities(model: Model, block: _Block, tri: np.ndarray, bi: list[np.ndarray], uni: list[np.ndarray]) -> np.ndarray:
     """Each token's log-probability, from the counts of the block's n-grams."""
     own = (uni[0].astype(float) - np.array(model.d1)[np.minimum(uni[0], U(3)).astype(np.int64)])[block.w] / model.total1
-    # what is left goes to a word's class, known or not, so that a rare word costs no more than an unknown one of its kind
-    p1 = own + model.rest1 * model.base[block.classes.astype(np.int64)[block.place]]
+    # what known words leave goes to unknown ones, an event for each class
+    p1 = np.where((uni[0] > 0)[block.w], own, model.rest1 * model.base[block.classes.astype(np.int64)[block.place]])
     total2, total3 = uni[1].astype(float), bi[1].astype(float)
     rest2, rest3 = _rest(model.d2, total2, uni[2:]), _rest(model.d3, total3, bi[2:])
     p2 = _level(bi[0][block.bigram], model.d2, total2[block.v], rest2[block.v], p1)
     return np.log(_level(tri[block.trigram], model.d3, total3[block.context], rest3[block.context], p2))
 
 
-def score(rows: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES, slices: int = SLICES, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+def score(rows: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES, slices: int = SLICES, slice_bytes: int = SLICE_BYTES, piece_bytes: int = 0) -> DataFrame:
     """(key, n, nll) for each different text of ``rows`` (key, spread, text): tokens and negative log-probability.
 
     ``key`` must be 16 bytes; rows of one key must have one text. ``spread``
-    is a number that deals the rows over slices.
+    is a number that deals the rows over slices. ``piece_bytes`` is the text
+    whose requests a shard answers at a time (a shard's own size if 0).
     """
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = pieces(size, slices, slice_bytes)
@@ -544,6 +549,10 @@ def score(rows: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES, slices:
         keys = [head["b1"][i : i + 16] for i in range(0, len(head["b1"]), 16)]
         return pa.table({"key": pa.array(keys, pa.binary()), "n": pa.array(block.sizes), "nll": pa.array(np.round(nll, 6))})
 
+    # requests for a shard are dealt in pieces, so that a group stays as small however much more text there is than the model has
+    many = -(-size // slices // (model.plan.shards * (piece_bytes or SHARD_BYTES))) or 1
+    by = ["shard", "piece"]
+    shards = model.rows().withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(many - 1)))) if many > 1 else model.rows()
     parts = None
     for k in range(slices):
         own = rows.where(F.pmod("spread", F.lit(slices)) == k)
@@ -551,7 +560,11 @@ def score(rows: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES, slices:
         made = _tokens(own, block_bytes)
         made.write.parquet(path)
         tokens = model.spark.read.schema(made.schema).parquet(path)
-        answers = model.rows().groupBy("shard").cogroup(_requests(tokens, model.plan.shards).groupBy("shard")).applyInArrow(_answered, _ANSWER)
+        asked = _requests(tokens, model.plan.shards)
+        if many > 1:
+            answers = shards.groupBy(*by).cogroup(asked.withColumn("piece", F.pmod("block", F.lit(many)).cast("int")).groupBy(*by)).applyInArrow(_answered, _ANSWER)
+        else:
+            answers = shards.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(_answered, _ANSWER)
         both = answers.withColumn("b4", F.lit(None).cast("binary")).unionByName(tokens.withColumn("shard", F.lit(-1)))
         dealt = both.repartition(tasks, "block")
         found = dealt.groupBy("block").applyInArrow(finish, "key binary, n long, nll double")

@@ -2,11 +2,11 @@
 
 The model (see ``ngrams``) has every word and every n-gram of all trusted
 training documents, however rare, in shards that grow in number with the text.
-Documents' n-grams are joined with the shards by a shuffle. What the words leave
-goes to classes of words (letter case, digits, symbols, closing punctuation,
-length) by their share of all known words: an unknown word counts as its class,
-and a known one as itself or its class, so that a rare word costs no more than an
-unknown one of its kind (scores are those of overlapping events, then).
+Documents' n-grams are joined with the shards by a shuffle. Known words and, for
+each class of words (letter case, digits, symbols, closing punctuation, length),
+the event of an unknown word of that class share the probability of one token:
+what the counts of words leave is dealt to the classes by their share of all
+known words. Probabilities after any context sum to 1.
 
 A document's score is its mean negative log-probability per token, drawn to
 its language's mean as if by PRIOR tokens more, so a few odd words in a short
@@ -94,7 +94,7 @@ class Judged:
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = QUANTILE, **sizes: int) -> Judged:
     """Train on four fifths of the trusted documents, score all, and set thresholds on the other fifth.
 
-    ``sizes`` are ``train``'s of shards, blocks and slices.
+    ``sizes`` are those of shards, blocks, slices and pieces in ``train`` and ``score``.
     """
     text = text_of(docs, text_col)
     rows = docs.select(docs[id_col].alias("id"), *_language(docs, lang_col), text.alias("text"))
@@ -102,7 +102,8 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     few = ids.count() <= BROADCAST_IDS
     trusted = rows.join(F.broadcast(ids) if few else ids, "id", "left_semi")
     held = F.pmod(F.xxhash64("id"), F.lit(5)) == 0
-    model = train(trusted.where(~held).select("text"), **sizes)
+    training = {k: v for k, v in sizes.items() if k != "piece_bytes"}
+    model = train(trusted.where(~held).select("text"), **training)
     keyed = rows.select("id", "absent", "lang", _key(F.col("text")).alias("key"))
     if model is None:
         return Judged(keyed.withColumns({"n": F.lit(None).cast("long"), "nll": F.lit(None).cast("double")}), None, None, None)

@@ -617,17 +617,17 @@ def force_of(texts):
     rest1 = sum(d1[min(n, 3)] for n in c1.values()) / total1
 
     def p(u, v, w, c):
-        below = (c1[w] - d1[min(c1[w], 3)]) / total1 + rest1 * (of_class[c] + 1) / (len(c1) + 169) * (c != "own")
+        below = (c1[w] - d1[min(c1[w], 3)]) / total1 if c1[w] else rest1 * (of_class[c] + 1) / (len(c1) + 169)
         if t2[v,]:
             below = (c2[v, w] - d2[min(c2[v, w], 3)]) / t2[v,] + r2[v,] * below
         if t3[u, v]:
             below = (c3[u, v, w] - d3[min(c3[u, v, w], 3)]) / t3[u, v] + r3[u, v] * below
         return below
 
-    return p, c1, of_class
+    return p, {w: classes[w] for w in c1}, of_class
 
 
-@pytest.mark.parametrize("sizes", [{}, SMALL])
+@pytest.mark.parametrize("sizes", [{}, SMALL, SMALL | {"piece_bytes": 20}])
 def test_scores_are_those_of_the_formulas(spark, sizes):
     """Tokens, counts, probabilities and sums against plain tuples, for known and unknown texts, however the model is dealt."""
     import math
@@ -637,11 +637,11 @@ def test_scores_are_those_of_the_formulas(spark, sizes):
     from quern.llm.ngrams import score, train
 
     r = random.Random(4)
-    odd = ["", "one", "one two", "b b b b b b b b b b a", "É é 12 a1 A, x; #! WORD Word", "the of and"]
+    odd = ["", "one", "one two", "b b b b b b b b b b a", "7" * 4095 + " " + "7" * 9000, "x" * 8192 + "! " + "X#" * 4096, "É é 12 a1 A, x; #! WORD Word", "the of and"]
     texts = [prose(r, r.randrange(1, 60)) for _ in range(150)] + odd + ["a b c d e f g"] * 6 + ["the and the"] * 3
     others = [prose(r, r.randrange(1, 80)) for _ in range(60)] + ["zzz unseen w0rds !!", *odd, " \t\n", "of the of the"]
     p, c1, of_class = force_of(texts)
-    model = train(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), **sizes)
+    model = train(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), **{k: v for k, v in sizes.items() if k != "piece_bytes"})
     rows = spark.createDataFrame([(t,) for t in set(texts + others)], "text string").repartition(3)
     rows = rows.select(F.unhex(F.md5("text")).alias("key"), F.xxhash64("text").alias("spread"), "text")
     got = {bytes(x.key): x for x in score(rows, model, **{k: v for k, v in sizes.items() if k != "shard_bytes"}).collect()}
@@ -654,10 +654,10 @@ def test_scores_are_those_of_the_formulas(spark, sizes):
             u, v = v, w
         x = got[hashlib.md5(t.encode()).digest()]
         assert x.n == len(tokens) and x.nll == pytest.approx(nll, rel=1e-6, abs=1e-5), t
-    # known words by themselves and all classes together are certain
+    # known words, as what they are, and an unknown word of each class together are certain
     unknown = [(None, c) for c in of_class] + [(None, None)] * (169 - len(of_class))
     for u, v in (("the", "of"), ("<s>", "<s>"), ("zzz", "yyy"), ("zzz", "the")):
-        assert sum(p(u, v, w, c) for w, c in [*((w, "own") for w in c1), *unknown]) == pytest.approx(1)
+        assert sum(p(u, v, w, c) for w, c in [*c1.items(), *unknown]) == pytest.approx(1)
 
 
 def test_decisions_are_quantiles(spark):
@@ -989,3 +989,42 @@ def test_addresses_and_secrets_by_hand():
                 done = end
                 want.append(("url", start, end))
         assert [x for x in pii.find(text, pii._automaton()) if x[0] == "url"] == want, text
+
+
+def test_blocks_of_the_benchmark_are_bounded(spark):
+    """Equal items are one, blocks keep their limit, and a null id is not the text null."""
+    from quern.llm.decontaminate import _blocks, measured, scan
+
+    r = random.Random(2)
+    texts = [prose(r, r.randrange(5, 60)) for _ in range(60)]
+    items = [(str(i), t) for i, t in enumerate(texts)] + [("0", texts[0])] * 300 + [(None, texts[1]), ("null", texts[1]), ("n", None), ("long", prose(r, 2000))]
+    b = spark.createDataFrame(items, "item_id string, text string").repartition(3)
+    for limit in (300, 2000, 1 << 20):
+        found = list(_blocks(b, 13, "item_id", "text", limit))
+        names = [i for index in found for i in index.ids]
+        assert sorted(names) == sorted(["\0" if i is None else i for i in {i for i, t in items if t}])
+        sizes = [sum(len(dict((i if i is not None else "\0", t) for i, t in items)[n].encode()) for n in index.ids) for index in found]
+        assert all(size <= limit or len(index.ids) == 1 for size, index in zip(sizes, found, strict=True))
+        out = measured(scan(spark.createDataFrame([(1, texts[1]), (2, "nothing of it")], "doc_id long, text string"), b, block_text=limit)).orderBy("id").collect()
+        ids = sorted(["1", "null", "null"] + [i for i, t in items if t and i not in ("1", "null", None) and len(t.split()) >= 13 and any(" ".join(t.split()[k : k + 13]) in texts[1] for k in range(len(t.split()) - 12))])
+        assert list(out[0]["items"]) == ids and out[0].n_items == len(ids) and out[0].items_sha256 == hashlib.sha256(",".join(ids).encode()).hexdigest()
+    assert [index.ids for index in _blocks(b.limit(0), 13, "item_id", "text", 100)] == [[]]
+
+
+def test_repeats_of_whole_rows(spark):
+    """Many rows of one id and text, beside others that share strings with them."""
+    import time
+
+    from quern.llm.suffix_dedup import cut_repeats
+
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randrange(2, 9)))
+    same, own = (" ".join(word() for _ in range(60)) for _ in range(2))
+    docs = [(None, same)] * 25 + [(1, same[:150] + own), (2, own[:50] + same[40:160]), (3, "short")] + [(4, "short")] * 2 + [(5, same + own)] * 2 + [(6, own[100:260])]
+    got = cut_repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), min_bytes=100).collect()
+    assert Counter((x.id, x.n_bytes, x.n_removed, len(x.spans), x.kept_sha256, bytes(x.kept)) for x in got) == removed_by_force(docs, 100)
+    long = " ".join(word() for _ in range(1700))[:10_000]
+    began = time.time()
+    many = spark.range(10_000).selectExpr("cast(null as long) as doc_id", f"'{long}' as text").repartition(4)
+    assert {(x.n_removed, x.n_spans, x.n) for x in cut_repeats(many, keep_bytes=False).selectExpr("n_removed", "size(spans) as n_spans").groupBy("n_removed", "n_spans").count().withColumnRenamed("count", "n").collect()} == {(10_000, 1, 10_000)}
+    assert time.time() - began < 60
