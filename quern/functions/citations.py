@@ -1,6 +1,12 @@
-"""Citations of laws, decrees and decisions as patterns for Spark's regular expressions.
+"""Citations of laws, decrees and decisions.
 
-Greek needs the flags iu: without u, Java ignores the case of ASCII only.
+A citation of a law or decree is found from its number and year: the text is
+split at every number over a year, the words before each are looked up in a
+table of names, and what follows is read as a gazette. Decrees that are cited by
+their date are found from the date. Names count as whole words only.
+
+Decisions have no such anchor and are found by a pattern. Greek needs the flags
+iu: without u, Java ignores the case of ASCII only.
 """
 
 from __future__ import annotations
@@ -8,41 +14,109 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_NUMBER_OF_YEAR = r"\s*(\d+)\s*/\s*(\d{4})"
-#: How laws are named. Capitals are left to the flag for case.
-STANDARD, EMERGENCY, CODIFIED, LATIN, LEGISLATIVE = r"ν\.", r"α\.ν\.", r"κ\.ν\.", r"v\.", r"ν\.δ\."
-GENITIVE, ACCUSATIVE = "νόμου", "νόμο"
-#: A law with a name of Greek letters in place of the stop, as in ν. ΓΩΠΣΤ.
-NAMED = r"ν\.?\s*[Α-Ω]+"
-#: The gazette's first series, with a Greek or Latin letter and its marks.
-FIRST_SERIES = r"[ΑA]'{1,2}|Α`'"
-
-
-def law_pattern(names: list[str], ahead: str = "") -> str:
-    """Pattern of citations: type, number, year, and the gazette's series and number if named; brackets may be around it."""
-    gazette = rf"(?:[\s,]*\(?({FIRST_SERIES})\s*(\d+)\)?)?"
-    return rf"(?iu){ahead}\[?({'|'.join(names)}){_NUMBER_OF_YEAR}{gazette}\]?"
-
-
-#: The short form: prefix, number, year.
-SIMPLE_LAW = rf"(?iu)({STANDARD}|{GENITIVE}|{ACCUSATIVE}){_NUMBER_OF_YEAR}"
-_LAWS = [STANDARD, EMERGENCY, CODIFIED, NAMED, LATIN, GENITIVE]
-#: The full form; legislative decrees left out or in.
-LAW = law_pattern(_LAWS, rf"(?!\s*\[?\s*{LEGISLATIVE.removesuffix('.').removesuffix(chr(92))})")
-LAW_OR_DECREE = law_pattern([LEGISLATIVE, *_LAWS], r"(?<![\p{L}.])")
-#: The form that is taken over bug for bug: no word boundary before, and «νόμου» only right before «ν.δ.».
-LAW_OR_DECREE_COMPAT = law_pattern([*_LAWS[:-1], GENITIVE + LEGISLATIVE, LEGISLATIVE])
-
-
-def _decree_pattern() -> str:
-    """Prefix, then number and year, or «της», one or two dates (day, month with its digits), and a year."""
-    prefixes = [r"π\.δ\.?", "πδ", r"προεδρικ[οό] διάταγμα"]
-    date = r"(\d{1,2}(?:ης)?)(?:\.|\s+|η)?([α-ω]+\d{1,2})"
-    dated = rf"\s+της\s+{date}(?:\s*/\s*{date})?(?:\.|\s+)?(\d{{4}})"
-    return rf"(?iu)({'|'.join(prefixes)})(?:{_NUMBER_OF_YEAR}|{dated})"
-
-
-PRESIDENTIAL_DECREE = _decree_pattern()
+from .convert import MONTHS_OF
+from .text import fold_lower, once
+
+LAW, LEGISLATIVE, PRESIDENTIAL = "law", "legislative decree", "presidential decree"
+#: Names before a number and year, without accents and in lower case; the last v is Latin.
+NAMES = {
+    "ν.": LAW,
+    "νομου": LAW,
+    "νομο": LAW,
+    "α.ν.": LAW,
+    "κ.ν.": LAW,
+    "v.": LAW,
+    "ν.δ.": LEGISLATIVE,
+    "π.δ.": PRESIDENTIAL,
+    "π.δ": PRESIDENTIAL,
+    "πδ": PRESIDENTIAL,
+    "προεδρικο διαταγμα": PRESIDENTIAL,
+}
+#: The short forms that a plain search for laws goes by.
+SHORT = ("ν.", "νομου", "νομο")
+NUMBERED = r"(\d+)\s*/\s*(\d{4})"
+DATED = r"(?iu)(?<=\s)της\s+(\d{1,2})(?:ης|η)?\s+(\p{L}+)\.?\s+(\d{4})"
+#: A name is looked for in so many characters before a number.
+REACH = 60
+
+
+def _names(before: Column) -> Column:
+    """STRUCT(name, kind) of the name that a text ends with; two words go before one. A law may have a name of Greek capitals after its sign."""
+    tail = F.substring(before, -REACH, REACH)
+    table = F.create_map(*[F.lit(x) for pair in NAMES.items() for x in pair])
+    last = lambda n: F.regexp_extract(tail, r"(?<![\p{L}.])([\p{L}.]+" + r"\s+[\p{L}.]+" * (n - 1) + r")\s*$", 1)
+    plain = lambda x: F.regexp_replace(fold_lower(x), r"\s+", " ")
+    kind = lambda x: F.coalesce(F.try_element_at(table, plain(x)), F.when(x.rlike(r"^[νΝ]\.?\s+[Α-Ω]+$|^[νΝ]\.[Α-Ω]+$"), LAW))
+    found = lambda x: once(x, lambda y: F.when(kind(y).isNotNull(), F.struct(y.alias("name"), plain(y).alias("plain"), kind(y).alias("kind"))))
+    return F.coalesce(found(last(2)), found(last(1)))
+
+
+def gazette_after(text: Column) -> Column:
+    """STRUCT(series, gazette) of the first series that a text begins with, in brackets or not; both null if it doesn't."""
+    bare = F.regexp_replace(text, r"^[\s,(]+", "")
+    number = F.regexp_extract(F.substring(bare, 2, REACH), r"^(?:['`’΄]{0,2})\s*(\d+)", 1)
+    here = F.substring(bare, 1, 1).isin("Α", "A") & (number != "")
+    return F.struct(F.when(here, F.regexp_extract(bare, r"^(.['`’΄]{0,2})", 1)).alias("series"), F.when(here, number).alias("gazette"))
+
+
+def _anchored(text: Column, anchor: str, groups: dict[str, int]) -> Column:
+    """ARRAY of STRUCT(nth, raw, before, after, ...groups) of the places where ``anchor`` is found; before and after go to the next place."""
+    cells = [F.split(text, anchor).alias("pieces"), *(F.regexp_extract_all(text, F.lit(anchor), F.lit(i)).alias(n) for n, i in {"raw": 0, **groups}.items())]
+
+    def of(x: Column) -> Column:
+        one = lambda raw, i: F.struct(i.alias("nth"), raw.alias("raw"), F.get(x["pieces"], i).alias("before"), F.get(x["pieces"], i + 1).alias("after"), *(F.get(x[n], i).alias(n) for n in groups))
+        return F.transform(x["raw"], one)
+
+    return once(F.struct(*cells), of)
+
+
+def _after_first(text: Column, anchor: str, kinds: tuple[str, ...]) -> Column:
+    """The text from the end of the first citation of such kinds on; null without one."""
+    hits = F.filter(_anchored(text, anchor, {}), lambda x: F.coalesce(_names(x["before"])["kind"].isin(*kinds), F.lit(False)))
+    nth = F.try_element_at(hits, F.lit(1))["nth"]
+
+    def rest(i: Column) -> Column:
+        pieces, raws = F.split(text, anchor), F.regexp_extract_all(text, F.lit(anchor), F.lit(0))
+        passed = F.aggregate(F.slice(F.zip_with(pieces, raws, lambda a, b: F.length(a) + F.length(F.coalesce(b, F.lit("")))), F.lit(1), i + 1), F.lit(0), lambda n, x: n + x)
+        return F.when(i.isNotNull(), F.substr(text, passed + 1))
+
+    return once(nth, rest)
+
+
+def law_citations(text: Column, kinds: tuple[str, ...] = (LAW,)) -> Column:
+    """ARRAY of STRUCT(full_match, type, name, kind, number, year, series, gazette) of citations by number and year."""
+    named = F.transform(_anchored(text, NUMBERED, {"number": 1, "year": 2}), lambda x: F.struct(x.alias("x"), _names(x["before"]).alias("n")))
+    kept = F.filter(named, lambda y: F.coalesce(y["n"]["kind"].isin(*kinds), F.lit(False)))
+
+    def cited(y: Column) -> Column:
+        gap = F.regexp_extract(F.substring(y["x"]["before"], -REACH, REACH), r"(\s*)$", 1)
+        gazette = gazette_after(y["x"]["after"])
+        return F.struct(
+            F.concat(y["n"]["name"], gap, y["x"]["raw"]).alias("full_match"),
+            y["n"]["name"].alias("type"),
+            y["n"]["plain"].alias("name"),
+            y["n"]["kind"].alias("kind"),
+            y["x"]["number"].alias("number"),
+            y["x"]["year"].cast("int").alias("year"),
+            gazette["series"].alias("series"),
+            gazette["gazette"].alias("gazette"),
+        )
+
+    return F.transform(kept, cited)
+
+
+def law_references(text: Column, names: tuple[str, ...] = SHORT) -> Column:
+    """ARRAY of STRUCT(full_match, type, number, year) of laws under their short names."""
+    found = F.filter(law_citations(text), lambda x: x["name"].isin(*names))
+    return F.transform(found, lambda x: F.struct(x["full_match"].alias("full_match"), x["type"].alias("type"), x["number"].alias("number"), x["year"].alias("year")))
+
+
+def dated_decrees(text: Column) -> Column:
+    """ARRAY of STRUCT(day, month, year) of presidential decrees that are cited by their date; month is a number."""
+    months = F.create_map(*[x for k, m in enumerate(MONTHS_OF, 1) for x in (fold_lower(F.lit(m)), F.lit(k))])
+    found = F.filter(_anchored(text, DATED, {"day": 1, "month": 2, "year": 3}), lambda x: F.coalesce(_names(x["before"])["kind"] == PRESIDENTIAL, F.lit(False)))
+    read = F.transform(found, lambda x: F.struct(x["day"].cast("int").alias("day"), F.try_element_at(months, fold_lower(x["month"])).alias("month"), x["year"].cast("int").alias("year")))
+    return F.filter(read, lambda x: x["month"].isNotNull())
 
 
 def _decision_pattern() -> str:
@@ -73,12 +147,6 @@ def matches(text: Column, pattern: str, groups: dict[str, int]) -> Column:
     return F.transform(zipped, lambda x: F.struct(*(F.nullif(x[n], F.lit("")).alias(n) for n in groups)))
 
 
-def law_references(text: Column, pattern: str = SIMPLE_LAW) -> Column:
-    """ARRAY of STRUCT(full_match, type, number, year)."""
-    found = matches(text, pattern, {"full_match": 0, "type": 1, "number": 2, "year": 3})
-    return F.transform(found, lambda x: F.struct(x["full_match"].alias("full_match"), x["type"].alias("type"), x["number"].alias("number"), x["year"].cast("int").alias("year")))
-
-
 def decisions(text: Column) -> Column:
     """ARRAY of STRUCT(full_match, type, id, series, number, year) of ministerial decisions; those after a paragraph's number are left out."""
     names = {"full_match": 0, "paragraph": 1, "type1": 2, "id1": 3, "series1": 4, "number1": 5, "year1": 6, "id2": 7, "series2": 8, "number2": 9, "year2": 10, "type2": 11}
@@ -96,12 +164,15 @@ def decree_key(number: Column, date: Column) -> Column:
 
 def modifies_law(text: Column) -> Column:
     """Whether a law or decree is cited and, after the first citation, a quotation of several lines or a whole line of quotation follows."""
-    at = F.least(*(F.nullif(F.regexp_instr(text, F.lit(p)), F.lit(0)) for p in (LAW_OR_DECREE, PRESIDENTIAL_DECREE)))
-    tail = F.substring(text, at, F.length(text))
-    first = F.regexp_replace(tail, rf"^(?:{LAW_OR_DECREE}|{PRESIDENTIAL_DECREE})", "")
-    several = first.rlike(r"(?s)«[^»]*\n[^»]*»")
-    line = F.exists(F.split(first, "\n"), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "").rlike(r"(?s)^«.{5,}(»|»\.)$"))
-    return F.coalesce(at.isNotNull() & (several | line), F.lit(False))
+    numbered, dated = _after_first(text, NUMBERED, (LAW, LEGISLATIVE, PRESIDENTIAL)), _after_first(text, DATED, (PRESIDENTIAL,))
+
+    def quoted(rest: Column) -> Column:
+        line = F.exists(F.split(rest, "\n"), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "").rlike(r"(?s)^«.{5,}(»|»\.)$"))
+        return rest.rlike(r"(?s)«[^»]*\n[^»]*»") | line
+
+    # what is left after the earlier of the two is longer
+    first = F.when(F.coalesce(F.length(numbered), F.lit(-1)) >= F.coalesce(F.length(dated), F.lit(-1)), numbered).otherwise(dated)
+    return F.coalesce(once(first, quoted), F.lit(False))
 
 
 def gazette_title(title: Column) -> Column:

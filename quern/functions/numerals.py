@@ -72,14 +72,18 @@ def _fold(word: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFD", word.lower()) if not unicodedata.combining(c))
 
 
-#: A heading may open with a markdown or table mark; its number or words go up to a dash, a stop, or the end of the cell.
-HEADING_MARKS = ("##", "|")
-HEADING_STOPS = ("|", ".", "-", "–", "—")
+def article_heading(line: Column) -> Column:
+    """STRUCT(number, type) of a line that is an article's heading; null elsewhere.
 
+    A line may have a markdown or table mark before the word "article"; what
+    follows the word is read up to a bar, a stop or a dash.
+    """
+    body = F.when(line.startswith("##"), F.ltrim(F.substr(line, F.lit(3)))).when(line.startswith("|"), F.ltrim(F.substr(line, F.lit(2)))).otherwise(line)
 
-def article_heading(line: Column) -> Column:
-    """STRUCT(number, type) of a line that is an article's heading (plain, markdown or in a table); null elsewhere."""
-    marks = "|".join(rf"\Q{m}\E" for m in HEADING_MARKS)
-    stops = "".join(rf"\{c}" for c in HEADING_STOPS)
-    pattern = rf"(?iu)^(?:(?:{marks})\s*)?Άρθρο\s+([^{stops}]*)"
-    return F.when(line.rlike(pattern), once(F.regexp_replace(F.regexp_extract(line, pattern, 1), r"\s+$", ""), heading_number))
+    def read(text: Column) -> Column:
+        word = F.regexp_extract(text, r"^(\p{L}+)\s", 1)
+        rest = F.regexp_replace(F.substr(text, F.length(word) + 1), r"(?U)^\s+", "")
+        content = F.substring_index(F.translate(rest, ".-–—", "||||"), "|", 1)
+        return F.when(F.lower(word) == "άρθρο", once(F.regexp_replace(content, r"(?U)\s+$", ""), heading_number))
+
+    return once(body, read)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.functions.citations import LAW, PRESIDENTIAL_DECREE, decisions, decree_key, matches
+from quern.functions.citations import LAW, PRESIDENTIAL, decisions, decree_key, law_citations
 from quern.functions.convert import MONTHS_OF
 from quern.functions.numerals import article_heading
 from quern.operators.crawl import article_pages, comment_pages, gazette_rows, listing_items, metadata
@@ -95,11 +95,8 @@ def full_law_citations(spark, sf_dir) -> DataFrame:
     """Citations in their full forms: bracketed with a gazette, of decrees that don't count as laws, and of presidential decrees by number or date."""
     o = table(spark, sf_dir, "orders")
     text = _text("[α.ν. ", "o_custkey", " / ", F.year("o_orderdate"), ", (Α' ", "o_orderkey", ")] και ν.δ. 5/1974, π.δ. ", "o_orderkey", "/", F.year("o_orderdate"))
-    law = F.explode(matches(text, LAW, {"type": 1, "number": 2, "year": 3, "gazette": 5})).alias("l")
-    rows = o.select("o_orderkey", text.alias("t"), law).select("o_orderkey", "t", "l.type", "l.number", "l.year", "l.gazette")
-    decree = F.explode(matches(F.col("t"), PRESIDENTIAL_DECREE, {"number": 2, "year": 3})).alias("d")
-    laws = rows.select("o_orderkey", "type", "number", "year", "gazette")
-    return laws.unionByName(o.select("o_orderkey", text.alias("t")).select("o_orderkey", decree).select("o_orderkey", F.lit("π.δ.").alias("type"), "d.number", "d.year", F.lit(None).cast("string").alias("gazette")))
+    rows = o.select("o_orderkey", F.explode(law_citations(text, (LAW, PRESIDENTIAL))).alias("c"))
+    return rows.select("o_orderkey", "c.type", "c.number", F.col("c.year").cast("string").alias("year"), "c.gazette")
 
 
 SQL_FULL = """

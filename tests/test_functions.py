@@ -78,14 +78,18 @@ def test_urls(spark):
 
 def test_citations(spark):
     c = F.col("t")
-    pairs = lambda t, p=citations.SIMPLE_LAW: [(r.number, r.year) for r in one(spark, citations.law_references(c, p), t=t)]
-    assert pairs("ν. 4887/2022 και Ν.12 / 2001, του νόμου 1/1999") == [("4887", 2022), ("12", 2001), ("1", 1999)]
-    assert pairs("τίποτα 12/2001") == []
-    assert pairs("ν.δ. 5/1974", citations.LAW) == [] and pairs("ν.δ. 5/1974", citations.LAW_OR_DECREE) == [("5", 1974)]
-    assert pairs("νόμου 4727/2020", citations.LAW_OR_DECREE) == [("4727", 2020)]
-    # taken over bug for bug, this spelling is missed and a word's end is taken for a law
-    assert pairs("νόμου 4727/2020", citations.LAW_OR_DECREE_COMPAT) == []
-    assert pairs("των ΠΟΛ 12/2020", citations.LAW_OR_DECREE_COMPAT) == [("12", 2020)] and pairs("των ΠΟΛ 12/2020", citations.LAW_OR_DECREE) == []
+    pairs = lambda t: [(r.number, r.year) for r in one(spark, citations.law_references(c), t=t)]
+    assert pairs("ν. 4887/2022 και Ν.12 / 2001, του νόμου 1/1999 ή ΝΌΜΟΥ  7/2003") == [("4887", 2022), ("12", 2001), ("1", 1999), ("7", 2003)]
+    assert pairs("τίποτα 12/2001") == [] and pairs("ν. 1/20") == [] and pairs("") == []
+    kinds = (citations.LAW, citations.LEGISLATIVE)
+    full = lambda t, k=kinds: [(r.type, r.number, r.year) for r in one(spark, citations.law_citations(c, k), t=t)]
+    assert full("ν.δ. 5/1974", (citations.LAW,)) == [] and full("ν.δ. 5/1974") == [("ν.δ.", "5", 1974)]
+    assert full("νόμου 4727/2020") == [("νόμου", "4727", 2020)] and full("ν. ΓΩΠΣΤ 3/1912, v. 2/2000") == [("ν. ΓΩΠΣΤ", "3", 1912), ("v.", "2", 2000)]
+    # whole names only
+    assert full("των ΠΟΛ 12/2020") == [] and full("αυτών. 12/2020") == [] and full("5/2001 και 6/2002") == []
+    assert [r.full_match for r in one(spark, citations.law_citations(c), t="του ν.  3 / 2001(Α 4), α.ν. 5/1936")] == ["ν.  3 / 2001", "α.ν. 5/1936"]
+    long = "λόγος " * 3000 + "ν. 1/2001 " * 500
+    assert len(pairs(long)) == 500
     assert one(spark, citations.modifies_law(c), t="Στον ν. 1/2020:\n«α\nβ»") and one(spark, citations.modifies_law(c), t="π.δ. 5/2001\n«ολόκληρη γραμμή»\n")
     assert not one(spark, citations.modifies_law(c), t="«α\nβ» ν. 1/2020") and not one(spark, citations.modifies_law(c), t="«α\nβ»")
     found = lambda t: [(r.id, r.series, r.number, r.year) for r in one(spark, citations.decisions(c), t=t)]
@@ -94,10 +98,13 @@ def test_citations(spark):
     assert found("με την 145447/2011 ΚΥΑ") == [("145447/2011", None, None, None)] and found("παρ. 3 ΚΥΑ 12/2011") == [] and found("απόφαση 12") == []
     key = lambda n, d: tuple(spark.createDataFrame([(n, d)], "n string, d string").select(citations.decree_key(F.col("n"), F.col("d")).alias("x")).first().x)
     assert [key(" 12 ", "2001-03-04"), key(None, "έτος 1998."), key("3", None), key("3", "x")] == [("12", 2001), ("", 1998), ("3", 0), ("3", 0)]
-    full = spark.createDataFrame([("[α.ν. 5 / 1936, (Α' 12)]",)], "t string").select(F.explode(citations.matches(F.col("t"), citations.LAW, {"type": 1, "number": 2, "year": 3, "series": 4, "gazette": 5})).alias("x")).first().x
-    assert tuple(full) == ("α.ν.", "5", "1936", "Α'", "12")
-    dated = spark.createDataFrame([("π.δ. της 28ης Ιουλιου2 1931",)], "t string").select(F.explode(citations.matches(F.col("t"), citations.PRESIDENTIAL_DECREE, {"day": 4, "month": 5, "year": 8})).alias("x")).first().x
-    assert tuple(dated) == ("28ης", "Ιουλιου2", "1931")
+    gazette = lambda t: [(r.type, r.number, r.year, r.series, r.gazette) for r in one(spark, citations.law_citations(c), t=t)]
+    assert gazette("[α.ν. 5 / 1936, (Α' 12)]") == [("α.ν.", "5", 1936, "Α'", "12")] and gazette("ν. 1/2001 (Β' 3)") == [("ν.", "1", 2001, None, None)]
+    assert gazette("ν. 1/2001 A 7 και ν. 2/2002") == [("ν.", "1", 2001, "A", "7"), ("ν.", "2", 2002, None, None)]
+    dated = lambda t: [tuple(r) for r in one(spark, citations.dated_decrees(c), t=t)]
+    assert dated("π.δ. της 28ης Ιουλίου 1931, προεδρικό διάταγμα της 1 Μαΐου 1982") == [(28, 7, 1931), (1, 5, 1982)]
+    assert dated("απόφαση της 28ης Ιουλίου 1931") == [] and dated("π.δ. της 28ης Τίποτα 1931") == []
+    assert one(spark, citations.modifies_law(c), t="π.δ. της 1ης Μαΐου 1982\n«ολόκληρη γραμμή»\n") and not one(spark, citations.modifies_law(c), t="«ολόκληρη γραμμή»\nπ.δ. της 1ης Μαΐου 1982")
     assert tuple(one(spark, citations.gazette_title(c), t="ΦΕΚ Α 123/12.03.2010")) == ("Α", 123, 2010)
 
 
