@@ -12,13 +12,14 @@ comment says so in the line.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.functions.text import lines, trim
+from quern.functions.text import lines, once, trim
 
 # Comments left in the text, artefacts, and character sets.
 TEXT_MISSING = "<!-- text-missing -->"
@@ -67,21 +68,47 @@ def script_names() -> list[str]:
     return sorted(SCRIPTS)
 
 
-def decode_entities(col: Column) -> Column:
-    """Character references that end with a semicolon: decimal, hexadecimal, and all names of HTML; others stay."""
-    by_letter: dict[str, dict[str, str]] = {}
+#: Names that count without their semicolon, too, the longest first.
+LEGACY = sorted((x for x in html5 if not x.endswith(";")), key=lambda x: (-len(x), x))
+
+
+def _entity_names() -> Column:
+    """All names of HTML, without their semicolons, by their first two letters: a look-up goes through a map's keys. One literal in a plan."""
+    by_start: dict[str, dict[str, str]] = {}
     for name, chars in html5.items():
         if name.endswith(";"):
-            by_letter.setdefault(name[0], {})[name[:-1]] = chars
-    # a map by first letter, as a look-up goes through a map's keys
-    names = F.create_map(*[x for letter, of in by_letter.items() for x in (F.lit(letter), F.create_map(*[F.lit(y) for pair in of.items() for y in pair]))])
+            by_start.setdefault(name[:2], {})[name[:-1]] = chars
+    return F.from_json(F.lit(json.dumps(by_start)), "map<string,map<string,string>>")
 
-    def piece(p: Column, i: Column) -> Column:
-        ref = F.regexp_extract(p, r"^(#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+
+def decode_entities(col: Column) -> Column:
+    """Character references: decimal, hexadecimal, and names of HTML.
+
+    Names end with a semicolon; those that may go without one are decoded as
+    the longest of them that a word begins with. Others stay.
+    """
+    names = _entity_names()
+
+    def named(p: Column) -> Column:
+        """STRUCT(char, size) of the name that a piece begins with."""
+        whole = F.regexp_extract(p, r"^([A-Za-z][A-Za-z0-9]*);", 1)
+        char = lambda x: F.try_element_at(F.try_element_at(names, F.substring(x, 1, 2)), x)
+        legacy = F.regexp_extract(p, rf"^({'|'.join(LEGACY)})", 1)
+        return F.coalesce(
+            once(char(whole), lambda c: F.when(c.isNotNull(), F.struct(c.alias("char"), (F.length(whole) + 1).alias("size")))),
+            F.when(legacy != "", F.struct(char(legacy).alias("char"), F.length(legacy).alias("size"))),
+        )
+
+    def numbered(p: Column) -> Column:
+        ref = F.regexp_extract(p, r"^(#\d{1,7}|#[xX][0-9a-fA-F]{1,6});", 1)
         number = F.when(ref.rlike("^#[0-9]"), F.substring(ref, 2, 9).try_cast("int")).when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 9), 16, 10).cast("int"))
         good = number.isNotNull() & (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
-        char = F.when(good, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).when(number.isNull(), F.try_element_at(F.try_element_at(names, F.substring(ref, 1, 1)), ref))
-        return F.when(i == 0, p).when(char.isNotNull(), F.concat(char, F.substr(p, F.length(ref) + 2))).otherwise(F.concat(F.lit("&"), p))
+        char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        return F.when(good, F.struct(char.alias("char"), (F.length(ref) + 1).alias("size")))
+
+    def piece(p: Column, i: Column) -> Column:
+        found = F.when(p.startswith("#"), numbered(p)).otherwise(named(p))
+        return F.when(i == 0, p).otherwise(once(found, lambda f: F.when(f.isNotNull(), F.concat(f["char"], F.substr(p, f["size"] + 1))).otherwise(F.concat(F.lit("&"), p))))
 
     return F.when(col.contains("&"), F.array_join(F.transform(F.split(col, "&"), piece), "")).otherwise(col)
 

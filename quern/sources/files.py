@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import sqlite3
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, IsNull, LessThan, LessThanOrEqual, Not
 from pyspark.sql.types import StructType
 
 from quern.schemas import SCHEMAS
@@ -98,35 +99,80 @@ class _Slice(InputPartition):
         self.lo, self.hi = lo, hi
 
 
+def _quoted(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
+_COMPARED = {EqualTo: "=", GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}
+
+
+def _bound(value: object) -> bool:
+    """Whether SQLite compares a value as Spark does; text is compared by its bytes."""
+    return isinstance(value, (int, str)) or (isinstance(value, float) and value == value)
+
+
+def _condition(f: Filter, names: list[str]) -> tuple[str, tuple] | None:
+    """A pushed filter as SQL and the values to bind; None for one that Spark has to apply itself."""
+    if isinstance(f, Not):
+        inner = _condition(f.child, names)
+        return inner and (f"not ({inner[0]})", inner[1])
+    if len(f.attribute) != 1 or f.attribute[0] not in names:
+        return None
+    column = f"{_quoted(f.attribute[0])} collate binary"
+    if isinstance(f, IsNull):
+        return f"{column} is null", ()
+    if isinstance(f, IsNotNull):
+        return f"{column} is not null", ()
+    if type(f) in _COMPARED and _bound(f.value):
+        return f"{column} {_COMPARED[type(f)]} ?", (f.value,)
+    if isinstance(f, In) and len(f.value) <= 500 and all(map(_bound, f.value)):
+        return f"{column} in ({', '.join('?' * len(f.value))})", tuple(f.value)
+    return None
+
+
 class _SqliteReader(DataSourceReader):
     def __init__(self, options: dict, schema: StructType):
-        self.path, self.table, self.key = options["path"], options["dbtable"], options.get("key")
+        self.path, self.table, self.key = options["path"], options.get("dbtable"), options.get("key")
+        self.query, self.params = options.get("query"), tuple(json.loads(options.get("params", "[]")))
         self.n, self.names = int(options.get("partitions", 1)), [f.name for f in schema]
+        self.where: list[tuple[str, tuple]] = []
 
-    def _name(self, name: str) -> str:
-        return '"' + name.replace('"', '""') + '"'
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        """Keeps what SQLite can say with bound values; gives the rest back."""
+        for f in filters:
+            found = None if self.query else _condition(f, self.names)
+            if found is None:
+                yield f
+            else:
+                self.where.append(found)
 
     def partitions(self) -> list[InputPartition]:
-        if not self.key or self.n == 1:
+        if self.query or not self.key or self.n == 1:
             return [_Slice(None, None)]
         with sqlite3.connect(f"file:{self.path}?mode=ro", uri=True) as db:
-            lo, hi = db.execute(f"select min({self._name(self.key)}), max({self._name(self.key)}) from {self._name(self.table)}").fetchone()
+            lo, hi = db.execute(f"select min({_quoted(self.key)}), max({_quoted(self.key)}) from {_quoted(self.table)}").fetchone()
         if lo is None:
             return [_Slice(None, None)]
         step = -(-(hi - lo + 1) // self.n)
         return [_Slice(a, a + step) for a in range(lo, hi + 1, step)]
 
     def read(self, part: _Slice) -> Iterator[tuple]:
-        sql = f"select {', '.join(map(self._name, self.names))} from {self._name(self.table)}"
-        args: tuple = ()
-        if part.lo is not None:
-            sql, args = f"{sql} where {self._name(self.key)} >= ? and {self._name(self.key)} < ?", (part.lo, part.hi)
+        sql, args = self.query, self.params
+        if not sql:
+            where = [*self.where, *([(f"{_quoted(self.key)} >= ? and {_quoted(self.key)} < ?", (part.lo, part.hi))] if part.lo is not None else [])]
+            sql = f"select {', '.join(map(_quoted, self.names))} from {_quoted(self.table)}" + (f" where {' and '.join(f'({w})' for w, _ in where)}" if where else "")
+            args = tuple(x for _, values in where for x in values)
         with sqlite3.connect(f"file:{self.path}?mode=ro", uri=True) as db:
             yield from db.execute(sql, args)
 
 
 class SqliteSource(DataSource):
-    """``spark.read.format("sqlite")``: options path, dbtable, and key and partitions to read ranges of an integer key at once."""
+    """``spark.read.format("sqlite")``: options path, dbtable, and key and partitions to read ranges of an integer key at once.
+
+    Filters on columns go to SQLite as bound values where it compares as Spark
+    does. In place of dbtable there may be a query with its params (a JSON list)
+    and a schema.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -143,6 +189,14 @@ class SqliteSource(DataSource):
 
 
 def read_sqlite(spark: SparkSession, path: str, table: str, key: str | None = None, partitions: int = 1) -> DataFrame:
+    """A table, in ranges of an integer key if one is named; filters are pushed down to it."""
     spark.dataSource.register(SqliteSource)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     options = {"path": path, "dbtable": table, "partitions": partitions} | ({"key": key} if key else {})
     return spark.read.format("sqlite").options(**options).load()
+
+
+def query_sqlite(spark: SparkSession, path: str, sql: str, params: tuple = (), schema: str = "value string") -> DataFrame:
+    """What a query of SQLite's own gives for some parameters, which are bound and never part of its text."""
+    spark.dataSource.register(SqliteSource)
+    return spark.read.format("sqlite").schema(schema).options(path=path, query=sql, params=json.dumps(list(params))).load()
