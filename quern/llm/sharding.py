@@ -11,8 +11,9 @@ each; counts of buckets give each bucket its first rank.
 
 Defined cases: null sources form a source of their own, a null text is empty,
 rows that tie in hash and id are told apart by checksum and size (identical
-rows are interchangeable). Rows without id are told apart by checksum, size and
-a number among those that have the same, so many of them spread like others.
+rows are interchangeable). Rows without id, and those of an id that a thousandth
+of all rows have, are told apart by checksum, size and a number among those that
+have the same, so many of them spread like others.
 An empty table gives an empty result.
 """
 
@@ -40,11 +41,15 @@ def _ranked(df: DataFrame, group: list[str], order: list, out: str) -> DataFrame
 
 
 def _numbered(light: DataFrame) -> DataFrame:
-    """Adds copy: rows without id that have one text are numbered, part of the table by part; null for others."""
-    lone = light.where("id is null")
-    if lone.isEmpty():
+    """Adds copy: rows without id, or of an id that very many have, that have one text are numbered, part of the table by part; null for others."""
+    counts = written(light.groupBy("id").agg(F.count("*").alias("n")).where((F.col("n") >= 1000) | F.col("id").isNull()), "shard-ids")
+    if counts.isEmpty():
         return light.withColumn("copy", F.lit(None).cast("long"))
-    same = ["text_crc32", "size"]
+    total = light.count()
+    hot = hot_keys(counts.where("id is not null"), "id", "n", total).withColumn("many", F.lit(True))
+    same = ["who", "text_crc32", "size"]
+    # null stands for itself here, as all of these rows have a name
+    lone = light.join(F.broadcast(hot), "id", "left").where("id is null or many").withColumn("who", F.coalesce(F.concat(F.lit("id "), F.col("id").cast("string")), F.lit("text")))
     lone = lone.select("row", *same, F.shiftrightunsigned("row", 33).alias("part"))
     before = Window.partitionBy(*same).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = lone.groupBy(*same, "part").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
@@ -55,7 +60,8 @@ def _numbered(light: DataFrame) -> DataFrame:
 def _placed(light: DataFrame, shards: int, seed: str) -> DataFrame:
     """Adds position, shard and slot to written rows (id, size, text_crc32, absent, name, row), whatever else they have; ``row`` is a number of a row's own."""
     light = _numbered(light)
-    name = F.coalesce(F.col("id").cast("string"), F.concat_ws(" ", F.lit("text"), "text_crc32", "size", "copy"))
+    copies = F.concat_ws(" ", F.coalesce(F.concat(F.lit("id "), F.col("id").cast("string")), F.lit("text")), "text_crc32", "size", "copy")
+    name = F.when(F.col("copy").isNull(), F.col("id").cast("string")).otherwise(copies)
     light = light.withColumn("h", hash60(F.lit(seed), name)).drop("copy")
     sources = light.groupBy("absent", "name").agg(F.count("*").alias("n_source"))
     sources = written(sources, "shard-sources")
