@@ -84,6 +84,26 @@ def whole_row(df: DataFrame) -> Column:
     return F.struct(*(df[f"`{name}`"] for name in df.columns))
 
 
+def kept_rows(docs: DataFrame, row_id: Column, key: Column, stay: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each (id, key) of ``stay``; ids may be null, keys may not.
+
+    Rows that many others are equal to are dealt out by salt, and each task
+    drops its own copies before they are sent on.
+    """
+    parts = ["key", "absent", "name"]
+    named = [F.col("id").isNull().alias("absent"), F.coalesce(F.col("id").cast("string"), F.lit("")).alias("name")]
+    rows = docs.select(row_id.alias("id"), key.alias("key"), F.monotonically_increasing_id().alias("spread"), whole_row(docs).alias("row")).select("key", *named, "spread", "row")
+    counts = rows.groupBy(*parts).agg(F.count("*").alias("n")).where(F.col("n") >= 1000)
+    counts = written(counts, "copies")
+    total = counts.agg(F.sum("n")).first()[0]
+    stay = stay.select("key", *named)
+    if total:
+        kept = salted_join(rows, stay, parts, hot_keys(counts, parts, "n", total), F.col("spread"), "left_semi")
+    else:
+        kept = rows.join(stay, parts, "left_semi")
+    return kept.dropDuplicates(parts).select("row.*")
+
+
 def hash60(*parts: Column) -> Column:
     """A hash of 60 bits from MD5, which any SQL engine can repeat."""
     return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 15), 16, 10).cast("long")

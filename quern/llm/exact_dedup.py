@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SALTS, hot_keys, salted_join, text_of, whole_row, written
+from .common import SALTS, hot_keys, kept_rows, salted_join, text_of, whole_row, written
 
 
 #: Rows of one id and text that one task writes out.
@@ -94,7 +94,10 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
     digest = options.get("digest", sha256_of)
     text = text_of(docs, text_col)
     text = options["normalise"](text) if options.get("normalise") else text
-    stay = exact_dedup(docs, **options).where("kept").select(F.col(id_col).alias("__id"), F.col("digest").alias("__digest"))
+    stay = exact_dedup(docs, **options).where("kept").select(F.col(id_col).alias("id"), F.col("digest").alias("key"))
+    if digest is sha256_of:
+        return kept_rows(docs, docs[id_col], digest(text), stay)
+    # texts may share a digest: equal rows are told apart by the text itself
     rows = docs.select(whole_row(docs).alias("row"), docs[id_col].alias("id"), digest(text).alias("d"), text.alias("t"))
-    kept = rows.join(stay, rows["id"].eqNullSafe(F.col("__id")) & (F.col("d") == F.col("__digest")), "left_semi")
+    kept = rows.join(stay, rows["id"].eqNullSafe(stay["id"]) & (F.col("d") == F.col("key")), "left_semi")
     return kept.dropDuplicates(["id", "t"]).select("row.*")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hot_keys, salted_join, text_of, whole_row, written
+from .common import hot_keys, kept_rows, salted_join, text_of, written
 from .components import components
 from .kernels import LOWER, SOLID, U, blocks, column_bytes, padded, split_words, xxh64_ranges
 
@@ -235,6 +235,4 @@ def near_deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     nodes = written(rows.groupBy("fp").agg(best.alias("best")), "fp-nodes")
     rooted = nodes.join(_members(nodes, radius, max_bucket), "fp", "left")
     stay = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best")).select(F.col("best.id").alias("__id"), F.col("best.key").alias("__key"))
-    rows = docs.select(docs[id_col].alias("id"), key.alias("key"), whole_row(docs).alias("row"))
-    kept = rows.join(stay, (F.col("key") == F.col("__key")) & F.col("id").eqNullSafe(F.col("__id")), "left_semi")
-    return kept.dropDuplicates(["id", "key"]).select("row.*")
+    return kept_rows(docs, docs[id_col], key, stay.withColumnsRenamed({"__id": "id", "__key": "key"}))

@@ -1028,3 +1028,22 @@ def test_repeats_of_whole_rows(spark):
     many = spark.range(10_000).selectExpr("cast(null as long) as doc_id", f"'{long}' as text").repartition(4)
     assert {(x.n_removed, x.n_spans, x.n) for x in cut_repeats(many, keep_bytes=False).selectExpr("n_removed", "size(spans) as n_spans").groupBy("n_removed", "n_spans").count().withColumnRenamed("count", "n").collect()} == {(10_000, 1, 10_000)}
     assert time.time() - began < 60
+
+
+def test_very_many_rows_of_one_id_and_text(spark):
+    """One of them stays where one is to stay; where all stay they are spread over the shards."""
+    from quern.llm.exact_dedup import deduplicated
+    from quern.llm.sharding import sharded
+    from quern.llm.simhash import near_deduplicated
+
+    r = random.Random(6)
+    rows = [(7, "the same words again and again", "a")] * 2500 + [(None, "one without id", "b")] * 1500 + [(i, prose(r, 30), r.choice("ab")) for i in range(100, 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    for fn in (deduplicated, near_deduplicated):
+        assert Counter(map(tuple, fn(docs).select(docs.columns).collect())) == Counter(set(rows))
+    out = sharded(docs, shards=6).collect()
+    assert Counter((x.doc_id, x.text, x.source) for x in out) == Counter(rows)
+    per = Counter((x.shard, x.doc_id) for x in out if x.doc_id in (7, None))
+    assert all(abs(per[k, 7] - 2500 / 6) <= 30 and abs(per[k, None] - 1500 / 6) <= 30 for k in range(6))
+    ranks = {x.slot for x in out if x.shard == 0 and x.doc_id == 7}
+    assert max(ranks) - min(ranks) >= len(ranks)  # not side by side
