@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import json
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 #: Kinds of change and of provision, as answers name them.
 CHANGE_TYPES = ("τροποποιείται", "καταργείται", "αντικαθίσταται", "προστίθεται", "συμπληρώνεται", "διαγράφεται")
@@ -118,6 +118,10 @@ def repair(text: str | None) -> str | None:
     return None
 
 
+def _repair_batch(answers: pd.Series) -> pd.Series:
+    return answers.map(repair, na_action="ignore")
+
+
 def repaired(col: Column) -> Column:
-    """``repair`` on a column (Python: no expression can follow brackets)."""
-    return F.udf(repair, StringType())(col)
+    """``repair`` on a column, in Arrow batches (no expression can follow brackets)."""
+    return F.pandas_udf(_repair_batch, "string")(col)

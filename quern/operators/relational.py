@@ -60,6 +60,12 @@ def match_rate(refs: DataFrame, catalogue: DataFrame, on: list[str]) -> DataFram
     return per.agg(F.sum("n").alias("total_refs"), F.count("*").alias("unique_refs"), F.count("__hit").alias("matched"), F.round(100.0 * F.count("__hit") / F.count("*"), 2).alias("match_rate"))
 
 
+def unmatched(refs: DataFrame, catalogue: DataFrame, on: list[str], k: int = 10) -> DataFrame:
+    """The ``k`` references that are made most often of those the catalogue doesn't have, with their number."""
+    per = refs.groupBy(*on).agg(F.count("*").alias("n"))
+    return per.join(catalogue.select(*on).distinct(), on, "left_anti").orderBy(F.desc("n"), *on).limit(k)
+
+
 def child_counts(parents: DataFrame, key: str, children: DataFrame, foreign: str, name: str = "n_children") -> DataFrame:
     counts = children.groupBy(F.col(foreign).alias(key)).agg(F.count("*").alias(name))
     return parents.join(counts, key, "left").withColumn(name, F.coalesce(name, F.lit(0)).cast("long"))

@@ -198,7 +198,7 @@ def outline_report(spark, sf_dir) -> DataFrame:
     """Outlines of conversations: parts by thirds of turns, chapters by role."""
     c = table(spark, sf_dir, "conversations")
     rows = c.select("conv_id", "turn", F.floor(F.col("turn") / 3).cast("string").alias("part"), F.when(F.col("turn") % 5 > 0, F.col("role")).alias("chapter"), F.concat(F.lit("Turn "), F.col("turn").cast("string")).alias("title"), "text")
-    problems = continuity(_numbers(spark, sf_dir), "conv_id", "turn", "p", "ch").where("turn < 4")
+    problems = continuity(_numbers(spark, sf_dir), "conv_id", "turn", "p", "ch")
     return dry_run_text(dry_run_report(rows, "conv_id", "turn", "part", "chapter", "title", "text"), problems, "conv_id")
 
 
@@ -208,7 +208,7 @@ b as (select conv_id, turn, floor(turn / 3)::int::varchar as part, case when tur
 m as (select *, part is distinct from lag(part) over w as np, chapter is distinct from lag(chapter) over w as nc from b window w as (partition by conv_id order by turn)),
 o as (select conv_id, string_agg(case when np then '# ' || part || chr(10) else '' end || case when (np or nc) and chapter is not null then '## ' || chapter || chr(10) else '' end
     || '- Turn ' || turn || ' (' || len(regexp_extract_all(coalesce(text, ''), '\S+')) || ' words)', chr(10) order by turn) as report from m group by conv_id),
-q as (select conv_id, 'Problems:' || chr(10) || string_agg('- ' || problem, chr(10) order by problem) || chr(10) || chr(10) as head from x where turn < 4 group by conv_id)
+q as (select conv_id, 'Problems:' || chr(10) || string_agg('- ' || problem, chr(10) order by problem) || chr(10) || chr(10) as head from x group by conv_id)
 select conv_id, coalesce(head, '') || report as report from o left join q using (conv_id)
 """
 
