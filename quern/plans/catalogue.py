@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from quern.plans import answers, incremental, pages, quality, refresh, relational, site, structure, text, topics
+from quern.plans import answers, incremental, pages, quality, refresh, relational, site, structure, summaries, text, topics
 
-MODULES = (quality, relational, structure, text, pages, site, topics, answers, refresh, incremental)
+MODULES = (quality, relational, structure, text, pages, site, topics, answers, refresh, summaries, incremental)
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}

@@ -2,8 +2,9 @@
 
 ``python -m quern.plans.jobs COMMAND IN OUT [script ...]``, where COMMAND is
 ``clean`` (clean a tree of markdown, write texts and report), ``score`` (scores
-only), ``tables`` (report malformed tables), ``remove-tables`` or ``sections``
-(label articles in a Parquet table). ``update`` reads stored pages.
+only), ``tables`` (report malformed tables), ``remove-tables``, ``sections``
+(label articles in a Parquet table) or ``summarise`` (the stages of generation
+over such a table). ``update`` reads stored pages.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from quern.operators.reports import all_match, compare_counts, numeric_stats, sh
 from quern.operators.sections import continuity_summary, parse_titles
 from quern.operators.tables import clean_and_report, remove_malformed, table_issues, table_summary, write_issues
 from quern.operators.upsert import merge, new_items
+from quern.plans.summaries import artefacts, write_artefacts
 from quern.sources.files import read_markdown, write_csv, write_quality_csv, write_sections
 
 
@@ -98,7 +100,14 @@ def sections_of(spark: SparkSession, source: str, target: str, _scripts=()) -> D
     return summary
 
 
-COMMANDS = {"clean": clean_tree, "score": score_tree, "tables": tables_of_tree, "remove-tables": without_tables, "sections": sections_of}
+def summarise(spark: SparkSession, source: str, target: str, _scripts=()) -> DataFrame:
+    """Summaries of the articles in a Parquet table (consultation_id, id, title, content), with all that is kept of the way to them."""
+    found = artefacts(spark.read.parquet(source))
+    write_artefacts(found, target)
+    return found["parts"]
+
+
+COMMANDS = {"clean": clean_tree, "score": score_tree, "tables": tables_of_tree, "remove-tables": without_tables, "sections": sections_of, "summarise": summarise}
 
 
 def main(args: list[str]) -> None:

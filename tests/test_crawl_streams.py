@@ -247,3 +247,32 @@ def test_entities_with_and_without_semicolon(spark, seed):
     texts = ["&amp", "&copy2020", "&notit;", "&ampamp;", "&&amp;&", "&#38;", "&#x26;", "&#38", "&#0;", "&#xD800;", "", "&"] + ["".join(r.choice(["&", "x", " ", "1"]) + r.choice(names) for _ in range(4)) for _ in range(500)]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", decode_entities(F.col("t")).alias("d")).collect()
     assert [x.d for x in rows] == [re.sub(r"&(#[0-9]{1,7};|#[xX][0-9a-fA-F]{1,6};|[A-Za-z][A-Za-z0-9]*;?)", plain, x.t) for x in rows]
+
+
+# the run to summaries
+
+
+def test_summaries_are_written(spark, tmp_path):
+    from quern.plans.jobs import summarise
+
+    quotation = "Στον ν. 1/2000 αντικαθίσταται:\n«νέο\nκείμενο»"
+    rows = [
+        (1, 1, "ΜΕΡΟΣ Α", f"Άρθρο 1\nΣκοπός του νόμου\nΆρθρο 2\n{quotation}"),
+        (1, 2, "ΚΕΦΑΛΑΙΟ Α", "λέξη " * 100),
+        (1, 3, "ΚΕΦΑΛΑΙΟ Β", quotation),
+        (1, 4, "x", None),
+        (2, 5, "y", "σύντομο"),
+    ]
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame(rows, "consultation_id long, id long, title string, content string").write.parquet(source)
+    parts = {(x.consultation_id, x.part): x for x in summarise(spark, source, target).collect()}
+    assert set(parts) == {("1", "Α'"), ("2", "-")} and parts["1", "Α'"].paragraphs == 3 and parts["2", "-"].paragraphs == 1
+    read = lambda name: spark.read.json(f"{target}/{name}").collect()
+    assert Counter((x.id, x.nth, x.change_type) for x in read("modifications")) == Counter([(1, 1, "τροποποιείται"), (3, 0, "τροποποιείται")])
+    assert Counter((x.id, x.nth) for x in read("provisions")) == Counter([(2, 0), (5, 0)])
+    intro = spark.read.csv(f"{target}/intro", header=True, multiLine=True, escape='"').collect()
+    assert [(x.id, x.type) for x in intro] == [("1", "purpose")]
+    stage = spark.read.csv(f"{target}/stage_one", header=True, multiLine=True, escape='"').collect()
+    assert Counter((x.id, x.part, x.chapter, x.route) for x in stage) == Counter([("1", "Α'", "-", "purpose"), ("1", "Α'", "-", "verbatim"), ("2", "Α'", "Α'", "summarise"), ("3", "Α'", "Β'", "verbatim"), ("5", "-", "-", "verbatim")])
+    assert {x.consultation_id: x.text.split("\n\n")[0] for x in read("final")} == {"1": "Α'", "2": "-"}
+    assert len(read("trace")) == 4
