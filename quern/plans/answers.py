@@ -14,6 +14,7 @@ from quern.functions.text import greek_look_alikes, inside_quotes, is_complete,
 from quern.functions.tokens import read_ranks, token_lengths
 from quern.operators.clean import decode_entities
 from quern.operators.html import comments
+from quern.operators.pdf import extracted
 from quern.operators.relational import match_rate, unmatched
 from quern.plans.base import spread_table, table
 from quern.plans.incremental import SQL_CHANGES, change_record
@@ -154,6 +155,20 @@ select number, year::int as year, n, (select round(100.0::double * count(*) filt
 """
 
 
+def pdf_texts(spark, sf_dir) -> DataFrame:
+    """Files made of orders, some of which aren't PDF files, through an extractor."""
+    o, k = spread_table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    body = _said("%PDF-1.4\n1 0 obj << /Length 9 >>\nstream\nBT /F1 12 Tf 72 700 Td (Order \\(", k, "\\)) Tj 0 -14 Td [(li) -20 (ne) -300 (", F.col("o_custkey"), ")] TJ ET\nBT <414243> Tj ET\nendstream\nendobj\n%%EOF")
+    files = o.select("o_orderkey", F.when(k % 4 == 3, _said("plain ", k)).otherwise(body).cast("binary").alias("content"))
+    return extracted(files, "o_orderkey", "content")
+
+
+SQL_PDF = """
+select o_orderkey, case when o_orderkey % 4 < 3 then 'Order (' || o_orderkey || ')' || chr(10) || 'line ' || o_custkey || chr(10) || chr(10) || 'ABC' end as text,
+  case when o_orderkey % 4 = 3 then 'ValueError: not a PDF file' end as error from orders
+"""
+
+
 def token_counts(spark, sf_dir) -> DataFrame:
     """Exact token counts of documents, and of their words as an estimate."""
     docs = spread_table(spark, sf_dir, "documents")
@@ -171,6 +186,7 @@ QUERIES = {
     "text_helpers": text_helpers,
     "law_or_decree_citations": law_or_decree_citations,
     "unmatched_refs": unmatched_refs,
+    "pdf_texts": pdf_texts,
 } | ({"token_counts": token_counts} if Path(RANKS).exists() else {})
 ORACLES = {
     "decoded_entities": SQL_ENTITIES,
@@ -183,4 +199,5 @@ ORACLES = {
     "text_helpers": SQL_HELPERS,
     "law_or_decree_citations": SQL_LAW_OR_DECREE,
     "unmatched_refs": SQL_UNMATCHED,
+    "pdf_texts": SQL_PDF,
 }

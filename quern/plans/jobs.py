@@ -3,8 +3,9 @@
 ``python -m quern.plans.jobs COMMAND IN OUT [script ...]``, where COMMAND is
 ``clean`` (clean a tree of markdown, write texts and report), ``score`` (scores
 only), ``tables`` (report malformed tables), ``remove-tables``, ``sections``
-(label articles in a Parquet table) or ``summarise`` (the stages of generation
-over such a table). ``update`` reads stored pages.
+(label articles in a Parquet table), ``summarise`` (the stages of generation
+over such a table), ``refresh`` (a run over stored pages of a site) or ``pdfs``
+(texts of a folder of PDF files). ``update`` reads stored pages.
 """
 
 from __future__ import annotations
@@ -19,12 +20,14 @@ from quern.functions.numerals import greek_to_int
 from quern.operators.clean import stored_scores, with_quality
 from quern.operators.crawl import article_pages, until_known
 from quern.operators.html import convert_blank
+from quern.operators.pdf import extracted
 from quern.operators.reports import all_match, compare_counts, numeric_stats, shares
 from quern.operators.sections import continuity_summary, parse_titles
 from quern.operators.tables import clean_and_report, remove_malformed, table_issues, table_summary, write_issues
 from quern.operators.upsert import merge, new_items
+from quern.plans.refresh import ARTICLE, COMMENT, CONSULTATION, Site, refresh
 from quern.plans.summaries import artefacts, write_artefacts
-from quern.sources.files import read_markdown, write_csv, write_quality_csv, write_sections
+from quern.sources.files import read_markdown, read_pdfs, write_csv, write_quality_csv, write_sections, write_split
 
 
 def discover(listing: DataFrame, known: DataFrame, mark=None) -> DataFrame:
@@ -107,7 +110,24 @@ def summarise(spark: SparkSession, source: str, target: str, _scripts=()) -> Dat
     return found["parts"]
 
 
-COMMANDS = {"clean": clean_tree, "score": score_tree, "tables": tables_of_tree, "remove-tables": without_tables, "sections": sections_of, "summarise": summarise}
+def refresh_site(spark: SparkSession, source: str, target: str, _scripts=()) -> DataFrame:
+    """A run over a site whose tables, listing and pages are Parquet tables in a folder; the new tables and the record are written to another."""
+    read = lambda name, kind=None: (spark.read.schema(kind) if kind else spark.read).parquet(f"{source}/{name}")
+    site, record = refresh(Site(read("consultations", CONSULTATION), read("articles", ARTICLE), read("comments", COMMENT)), read("listing"), read("pages"))
+    for name in ("consultations", "articles", "comments"):
+        getattr(site, name).write.parquet(f"{target}/{name}")
+    record.write.parquet(f"{target}/record")
+    return spark.read.parquet(f"{target}/record")
+
+
+def texts_of_pdfs(spark: SparkSession, source: str, target: str, _scripts=()) -> DataFrame:
+    """Texts of the PDF files under a folder, and the errors of those that can't be read."""
+    out = extracted(read_pdfs(spark, source, 50 << 20), "path", "content")
+    write_split(out, F.col("error").isNull(), f"{target}/texts", f"{target}/errors")
+    return spark.read.parquet(f"{target}/texts").select("path", F.length("text").alias("n_chars"))
+
+
+COMMANDS = {"clean": clean_tree, "score": score_tree, "tables": tables_of_tree, "remove-tables": without_tables, "sections": sections_of, "summarise": summarise, "refresh": refresh_site, "pdfs": texts_of_pdfs}
 
 
 def main(args: list[str]) -> None:

@@ -276,3 +276,57 @@ def test_summaries_are_written(spark, tmp_path):
     assert Counter((x.id, x.part, x.chapter, x.route) for x in stage) == Counter([("1", "Α'", "-", "purpose"), ("1", "Α'", "-", "verbatim"), ("2", "Α'", "Α'", "summarise"), ("3", "Α'", "Β'", "verbatim"), ("5", "-", "-", "verbatim")])
     assert {x.consultation_id: x.text.split("\n\n")[0] for x in read("final")} == {"1": "Α'", "2": "-"}
     assert len(read("trace")) == 4
+
+
+# PDF files
+
+
+def pdf_of(body: bytes, deflated: bool = False) -> bytes:
+    import zlib
+
+    body = zlib.compress(body) if deflated else body
+    return b"%PDF-1.5\n4 0 obj\n<< /Length " + str(len(body)).encode() + (b" /Filter /FlateDecode" if deflated else b"") + b" >>\nstream\n" + body + b"\nendstream\nendobj\n%%EOF"
+
+
+def test_texts_of_simple_pdfs():
+    from quern.operators.pdf import simple_text
+
+    body = rb"q BT /F1 9 Tf (a\(b\)\\ \351\n) Tj T* (next) Tj 10 0 Td (same) ' ET Q BT <FEFF03B103B2> Tj ET BT [(wo) 20 (rd) -250 (two)] TJ ET"
+    for deflated in (False, True):
+        assert simple_text(pdf_of(body, deflated)) == "a(b)\\ é\n\nnext\nsame\n\nαβ\n\nword two"
+    assert simple_text(b"%PDF-1.4\nnothing") == "" and simple_text(pdf_of(b"BT ET")) == ""
+    for bad in (b"", b"<html>", b"PDF"):
+        with pytest.raises(ValueError):
+            simple_text(bad)
+
+
+def test_documents_by_their_files(spark):
+    import hashlib
+
+    from quern.operators.pdf import fetched, process_documents
+
+    name = lambda url: hashlib.md5(url.encode()).hexdigest()[:8] + ".pdf"
+    urls = ["http://x/a.pdf", "http://x/b.pdf", "http://x/c.pdf", "http://x/d.pdf"]
+    files = [(name(urls[0]), pdf_of(b"BT (text a) Tj ET")), (name(urls[1]), b"broken"), (name(urls[2]), pdf_of(b"BT ET"))]
+    docs = [(i, u, "pending", None, 0) for i, u in enumerate(urls)] + [(9, None, "pending", None, 0)]
+    out = process_documents(spark.createDataFrame(docs, "id long, url string, status string, processed_text string, tries int"), spark.createDataFrame(files, "name string, content binary"))
+    got = {x.id: (x.status, x.processed_text) for x in out.collect()}
+    assert got[0] == ("processed", "text a") and got[1][0] == got[2][0] == "processing_failed" and got[3] == ("pending", None) and got[9][0] == "processing_skipped"
+
+    def factory():
+        tries = Counter()
+
+        def fetch(url):
+            tries[url] += 1
+            if url == "flaky" and tries[url] < 3:
+                raise OSError("again")
+            if url == "down":
+                raise OSError("down")
+            return (None if url == "silent" else 1000 if url == "long" else 3), iter([b"ab", b"c"] if url != "silent" else [b"x" * 60] * 2)
+
+        return fetch
+
+    rows = spark.createDataFrame([("ok",), ("ok",), ("flaky",), ("down",), ("long",), ("silent",), (None,)], "u string").coalesce(1)
+    got = {x.u: (x.content and bytes(x.content), x.error) for x in fetched(rows, "u", factory, most=100).collect()}
+    assert got["ok"] == got["flaky"] == (b"abc", None) and got["down"] == (None, "OSError: down") and set(got) == {"ok", "flaky", "down", "long", "silent"}
+    assert got["long"][1].startswith("OverflowError: 1000") and got["silent"] == (None, "OverflowError: more than 100 bytes")
