@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions.text import trim
+from quern.session import stored
 
 HEADER = r"(?imu)^\s*(?:#+\s*)?(?:\*{1,3}\s*)?(?:Άρθρο|ΑΡΘΡΟ|article)\s+(\d+)"
 INLINE = r"(?iu)(?:Άρθρο|ΑΡΘΡΟ|article)\s+(\d+)"
@@ -53,17 +54,31 @@ def chunks(items: Column, costs: Column, most: int, overlap: int = 1) -> Column:
 
 
 def pairwise_reduce(df: DataFrame, group: str, order: str, value: str, join: Callable[[str, str], str]) -> DataFrame:
-    """One row per group: its values joined in order by pairs, and the results by pairs again, until one is left; also the number of rounds."""
-    kind = df.schema[group].dataType.simpleString()
+    """One row per group: its values joined in order by pairs, and the results by pairs again, until one is left; also the number of rounds.
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        values, rounds = list(rows.sort_values(order)[value]), 0
-        while len(values) > 1:
-            values = [join(*values[i : i + 2]) if i + 1 < len(values) else values[i] for i in range(0, len(values), 2)]
-            rounds += 1
-        return pd.DataFrame({group: [rows[group].iloc[0]], value: values, "rounds": [rounds]})
-
-    return df.select(group, order, value).groupBy(group).applyInPandas(run, f"{group} {kind}, {value} string, rounds int")
+    A round deals pairs over all tasks, whatever group they are of; there are as
+    many rounds as the longest group needs. Only places in the order are numbered
+    by group, in a sort that spills. Null values count as empty.
+    """
+    place = Window.partitionBy(group).orderBy(order)
+    rows = df.select(F.struct(F.col(group).alias("name")).alias("of"), F.coalesce(value, F.lit("")).alias("value"), (F.row_number().over(place) - 1).cast("long").alias("nth"))
+    sizes = rows.groupBy("of").agg(F.count("*").alias("n"))
+    rows = stored(rows.join(sizes, "of").withColumn("rounds", F.lit(0)), "values")
+
+    def pairs_of(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([join(x, y) for x, y in zip(a, b, strict=True)], dtype=object)
+
+    joined = F.pandas_udf(pairs_of, "string")
+    left = rows.agg(F.max("n")).first()[0] or 0
+    while left > 1:
+        pick = lambda k: F.max(F.when(F.col("nth") % 2 == k, F.col("value"))).alias(f"v{k}")
+        pairs = rows.groupBy("of", F.floor(F.col("nth") / 2).alias("nth"), "n", "rounds").agg(pick(0), pick(1))
+        # a group that is done has one value and takes no further round
+        after = [F.ceil(F.col("n") / 2).alias("n"), (F.col("rounds") + (F.col("n") > 1).cast("int")).alias("rounds")]
+        made = pairs.where("v1 is not null").select("of", joined("v0", "v1").alias("value"), "nth", *after)
+        alone = pairs.where("v1 is null").select("of", F.col("v0").alias("value"), "nth", *after)
+        rows, left = stored(made.unionByName(alone), "values"), -(-left // 2)
+    return rows.select(F.col("of.name").alias(group), F.col("value").alias(value), "rounds")
 
 
 def spans(df: DataFrame, id_col: str, text_col: str, pattern: str) -> DataFrame:
