@@ -137,6 +137,20 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+#: Every string of 400 bytes by its digest; runs of starts that repeat, at most 400 apart, are spans.
+OP8_SQL = """
+with d as materialized (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as x from documents),
+w as (select r, i, md5(substr(x, 2 * i + 1, 800)) as h from (select r, x, unnest(range(0, length(x) // 2 - 399)) as i from d)),
+s as (select r, i from w qualify count(*) over (partition by h) > 1),
+g as (select r, i, case when i <= lag(i) over (partition by r order by i) + 400 then 0 else 1 end as fresh from s),
+n as (select r, i, sum(fresh) over (partition by r order by i) as k from g),
+p as (select r, k, min(i) as a, max(i) + 400 as b from n group by r, k),
+q as (select r, a, b, coalesce(lag(b) over (partition by r order by a), 0) as before, lead(a) over (partition by r order by a) as after from p),
+c as (select q.r, count(*) as n_spans, sum(b - a) as n_removed, string_agg(substr(x, 2 * before + 1, 2 * (a - before)) || case when after is null then substr(x, 2 * b + 1) else '' end, '' order by a) as kept from q join d using (r) group by q.r)
+select doc_id, (length(x) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans, sha256(unhex(coalesce(kept, x))) as kept_sha256 from d left join c using (r)
+"""
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import classes
 
@@ -253,4 +267,4 @@ QUERIES = {
     "op12_resampling": op12_resampling,
     "op13_clustering": op13_clustering,
 }
-ORACLES = {"op1_warc": OP1_SQL, "op2_decontamination": OP2_SQL, "op3_mixing": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op5_sharding": OP5_SQL, "op11_chat": OP11_SQL, "op12_resampling": OP12_SQL, "op13_clustering": OP13_SQL}
+ORACLES = {"op1_warc": OP1_SQL, "op2_decontamination": OP2_SQL, "op3_mixing": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op5_sharding": OP5_SQL, "op8_suffix_array_dedup": OP8_SQL, "op11_chat": OP11_SQL, "op12_resampling": OP12_SQL, "op13_clustering": OP13_SQL}
