@@ -10,8 +10,9 @@ decided neighbours.
 What an element's tag, role, class or id says is weighed with what is in it. An
 element under suspicion that holds the page's main article (the one with most
 prose, if that is more than all prose outside of suspects) is cleared; so is a
-form with most of the page's prose, and an element with most of it that is
-suspected for its name only, where no article has prose. What is suspected
+form with most of the page's prose (within an article: if that has no other), and
+an element with most of it that is suspected for its name only, on a page whose
+articles, if it has any, are empty. What is suspected
 inside of these stays so. Reader comments
 are out wherever they are, in articles, too, unless the element that is named
 for them has the page's main element or first heading in it. In an article
@@ -154,10 +155,11 @@ def _suspected(tag: str, attributes: str, in_article: bool) -> tuple[str | None,
 class Suspect:
     """An element that may be boilerplate, and how much prose is in it."""
 
-    __slots__ = ("bad", "cleared", "in_comments", "kind", "parent", "prose")
+    __slots__ = ("article", "bad", "by_tag", "cleared", "in_comments", "kind", "parent", "prose")
 
-    def __init__(self, kind: str, parent: Suspect | None):
-        self.kind, self.parent, self.prose, self.cleared, self.bad, self.in_comments = kind, parent, 0, False, False, False
+    def __init__(self, kind: str, parent: Suspect | None, article: int):
+        self.kind, self.parent, self.article, self.prose = kind, parent, article, 0
+        self.cleared = self.bad = self.in_comments = self.by_tag = False
 
 
 def _end_of(tag: str) -> re.Pattern[str]:
@@ -279,7 +281,7 @@ def cut(page: str) -> list[Block]:
                     around.append(suspect)
                 kind, hints = _suspected(tag, m[3], article > 0)
                 if kind:
-                    suspect = Suspect(kind, suspect)
+                    suspect = Suspect(kind, suspect, article)
                     suspects.append(suspect)
                 stack.append((tag, suspect, article, hint or hints))
                 opened[tag] += 1
@@ -308,31 +310,35 @@ def _weigh(blocks: list[Block], suspects: list[Suspect], around: list[Suspect |
     """Sets which blocks are boilerplate, by what their suspects hold. Parents come before their children in ``suspects``."""
     for s in suspects:
         s.in_comments = (s.kind == BY_COMMENTS and not s.cleared) or (s.parent is not None and s.parent.in_comments)
-    clean = total = 0
+        s.by_tag = s.in_comments or s.kind == BY_TAG or (s.parent is not None and s.parent.by_tag)
+    total = 0  # prose that is outside of what tags and comments say
     by_article: Counter[int] = Counter()
+    clean: Counter[int] = Counter()  # by article
+    worded = False  # whether an article has any text
     for b in blocks:
         size = len(b.text)
+        worded = worded or (b.article > 0 and (b.suspect is None or not b.suspect.in_comments))
         if size < SHORT or b.linked > MAX_LINKS * size or (b.suspect is not None and b.suspect.in_comments):
             continue
-        total += size
         by_article[b.article] += size
         if b.suspect is None:
-            clean += size
-        else:
+            clean[b.article] += size
+        elif not b.suspect.by_tag:
             b.suspect.prose += size
+        total += size if b.suspect is None or not b.suspect.by_tag else 0
     for s in reversed(suspects):
-        if s.parent is not None and not s.in_comments:
+        if s.parent is not None and not s.by_tag:
             s.parent.prose += s.prose
     articles = [k for k in range(1, len(around)) if around[k] is None or not around[k].in_comments]
     best = max(articles, key=lambda k: (by_article[k], -k), default=0)
-    if best and by_article[best] > clean:
+    if best and by_article[best] > clean.total():
         s = around[best]
         while s is not None:
             s.cleared = True
             s = s.parent
     for s in suspects:
-        if 2 * s.prose > total and (s.kind == BY_FORM or (s.kind == BY_NAME and (not best or by_article[best] < SHORT))):
-            s.cleared = True
+        if 2 * s.prose > total and s.prose >= LONG:
+            s.cleared = s.cleared or (s.kind == BY_FORM and (not s.article or clean[s.article] < SHORT)) or (s.kind == BY_NAME and not worded)
         s.bad = not s.cleared or (s.parent is not None and s.parent.bad)
     for b in blocks:
         b.boilerplate = b.suspect is not None and b.suspect.bad

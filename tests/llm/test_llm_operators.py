@@ -833,7 +833,11 @@ def test_main_text_of_random_trees():
     for _ in range(300):
         inner = "".join(block(0) for _ in range(r.randrange(1, 8)))
         page = f"<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body><header><p>{long()}</p></header><nav><a href=x>{long()}</a></nav><article>{inner}</article><footer><p>{long()}</p></footer></body></html>"
-        assert main_text(page) == tree_text(page), page
+        if plain := tree_text(page):
+            assert main_text(page) == plain, page
+        else:  # an article whose prose is all in a form
+            forms = tree_text(page.replace("<form>", "<div>").replace("</form>", "</div>")).split("\n\n")
+            assert set(main_text(page).split("\n\n")) - {""} <= set(forms), page
 
 
 def test_extract(spark):
