@@ -32,8 +32,8 @@ SCALE = 1000
 def text_vectors(df: DataFrame, key: str, text: str, dims: int) -> DataFrame:
     """(key, vector): SCALE times the share of a text's words in each bucket, floored. Each task counts its own texts before the shuffle."""
     words = df.select(df[key].alias("key"), F.explode_outer(plain_words(df[text])).alias("word"))
-    bucket = F.crc32(F.col("word").cast("binary")) % dims
-    counts = words.groupBy("key").agg(F.count("word").alias("n"), *(F.count_if(bucket == d).alias(f"b{d}") for d in range(dims)))
+    words = words.withColumn("bucket", F.crc32(F.col("word").cast("binary")) % dims)
+    counts = words.groupBy("key").agg(F.count("word").alias("n"), *(F.count_if(F.col("bucket") == d).alias(f"b{d}") for d in range(dims)))
     share = lambda d: F.coalesce(F.floor(SCALE * F.col(f"b{d}") / F.nullif(F.col("n"), F.lit(0))), F.lit(0)).cast("long")
     return counts.select(F.col("key").alias(key), F.array(*map(share, range(dims))).alias("vector"))
 
