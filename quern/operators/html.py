@@ -25,7 +25,8 @@ def without_tags(col: Column) -> Column:
 
 
 def links(page: Column) -> Column:
-    """ARRAY of STRUCT(href, label), labels without tags and trimmed."""
+    """ARRAY of STRUCT(href, label), labels without tags and trimmed; none for null."""
+    page = F.coalesce(page, F.lit(""))
     both = F.arrays_zip(F.regexp_extract_all(page, F.lit(LINK), F.lit(1)).alias("href"), F.regexp_extract_all(page, F.lit(LINK), F.lit(2)).alias("label"))
     return F.transform(both, lambda x: F.struct(x["href"].alias("href"), F.trim(without_tags(x["label"])).alias("label")))
 
@@ -34,7 +35,7 @@ def article_links(page: Column) -> Column:
     """Links to articles, by their query parameter p: labels of three characters or more that aren't addresses; the first of each address."""
     found = F.filter(links(page), lambda x: x["href"].rlike(r"[?&]p=\d+") & (F.length(x["label"]) >= 3) & ~x["label"].contains("http"))
     out = F.transform(found, lambda x: F.struct(F.regexp_extract(x["href"], r"[?&]p=(\d+)", 1).alias("post_id"), x["label"].alias("title"), x["href"].alias("url")))
-    return F.filter(out, lambda x: F.array_position(F.transform(out, lambda y: y["url"]), x["url"]) == F.array_position(out, x))
+    return F.filter(out, lambda x, i: F.array_position(F.transform(out, lambda y: y["url"]), x["url"]) == i + 1)
 
 
 def page_title(page: Column) -> Column:
