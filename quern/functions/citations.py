@@ -46,8 +46,13 @@ def _names(before: Column) -> Column:
     table = F.create_map(*[F.lit(x) for pair in NAMES.items() for x in pair])
     last = lambda n: F.regexp_extract(tail, r"(?<![\p{L}.])([\p{L}.]+" + r"\s+[\p{L}.]+" * (n - 1) + r")\s*$", 1)
     plain = lambda x: F.regexp_replace(fold_lower(x), r"\s+", " ")
-    kind = lambda x: F.coalesce(F.try_element_at(table, plain(x)), F.when(x.rlike(r"^[νΝ]\.?\s+[Α-Ω]+$|^[νΝ]\.[Α-Ω]+$"), LAW))
-    found = lambda x: once(x, lambda y: F.when(kind(y).isNotNull(), F.struct(y.alias("name"), plain(y).alias("plain"), kind(y).alias("kind"))))
+    kind = lambda x, p: F.coalesce(F.try_element_at(table, p), F.when(x.rlike(r"^[νΝ]\.?\s+[Α-Ω]+$|^[νΝ]\.[Α-Ω]+$"), LAW))
+
+    def found(name: Column) -> Column:
+        folded = once(name, lambda y: F.when(y != "", F.struct(y.alias("name"), plain(y).alias("plain"))))
+        known = once(folded, lambda s: F.struct(s["name"].alias("name"), s["plain"].alias("plain"), kind(s["name"], s["plain"]).alias("kind")))
+        return once(known, lambda s: F.when(s["kind"].isNotNull(), s))
+
     return F.coalesce(found(last(2)), found(last(1)))
 
 
@@ -164,15 +169,17 @@ def decree_key(number: Column, date: Column) -> Column:
 
 def modifies_law(text: Column) -> Column:
     """Whether a law or decree is cited and, after the first citation, a quotation of several lines or a whole line of quotation follows."""
-    numbered, dated = _after_first(text, NUMBERED, (LAW, LEGISLATIVE, PRESIDENTIAL)), _after_first(text, DATED, (PRESIDENTIAL,))
+    after = F.struct(_after_first(text, NUMBERED, (LAW, LEGISLATIVE, PRESIDENTIAL)).alias("numbered"), _after_first(text, DATED, (PRESIDENTIAL,)).alias("dated"))
 
     def quoted(rest: Column) -> Column:
         line = F.exists(F.split(rest, "\n"), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "").rlike(r"(?s)^«.{5,}(»|»\.)$"))
         return rest.rlike(r"(?s)«[^»]*\n[^»]*»") | line
 
     # what is left after the earlier of the two is longer
-    first = F.when(F.coalesce(F.length(numbered), F.lit(-1)) >= F.coalesce(F.length(dated), F.lit(-1)), numbered).otherwise(dated)
-    return F.coalesce(once(first, quoted), F.lit(False))
+    size = lambda x: F.coalesce(F.length(x), F.lit(-1))
+    first = once(after, lambda s: F.when(size(s["numbered"]) >= size(s["dated"]), s["numbered"]).otherwise(s["dated"]))
+    # most texts have no quotation, and citations cost more to find than a mark
+    return F.when(text.contains("«"), F.coalesce(once(first, quoted), F.lit(False))).otherwise(False)
 
 
 def gazette_title(title: Column) -> Column:

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import once
+
 #: Kinds of change and of provision, as answers name them.
 CHANGE_TYPES = ("τροποποιείται", "καταργείται", "αντικαθίσταται", "προστίθεται", "συμπληρώνεται", "διαγράφεται")
 PROVISION_TYPES = ("ορισμός", "σκοπός", "αρμοδιότητες", "διαδικασία", "οργάνωση", "ρύθμιση", "διάρθρωση")
@@ -29,23 +31,26 @@ def json_field(raw: Column, name: str) -> Column:
 
 def validated(raw: Column, fields: tuple[str, ...], list_field: str = "key_themes", most: int = 3) -> Column:
     """STRUCT of an answer that has just these fields, a list among them; null otherwise. The list keeps ``most`` trimmed items."""
-    body = json_slice(raw)
-    keys = F.json_object_keys(body)
     ddl = ", ".join(f"{f} {'array<string>' if f == list_field else 'string'}" for f in fields)
-    parsed = F.from_json(body, ddl)
-    good = (F.size(F.array_except(keys, F.array(*map(F.lit, fields)))) == 0) & (F.size(F.array_except(F.array(*map(F.lit, fields)), keys)) == 0)
-    good &= parsed[list_field].isNotNull() & F.get_json_object(body, f"$.{list_field}").startswith("[")
-    themes = F.slice(F.filter(F.transform(parsed[list_field], lambda x: F.trim(x)), lambda x: x != ""), 1, most)
-    cols = [themes.alias(f) if f == list_field else F.trim(parsed[f]).alias(f) for f in fields]
-    return F.when(good, F.struct(*cols))
+    wanted = F.array(*map(F.lit, fields))
+
+    def read(body: Column) -> Column:
+        keys = F.json_object_keys(body)
+        same = once(keys, lambda k: (F.size(F.array_except(k, wanted)) == 0) & (F.size(F.array_except(wanted, k)) == 0))
+        return F.when(same & F.get_json_object(body, f"$.{list_field}").startswith("["), F.from_json(body, ddl))
+
+    def of(parsed: Column) -> Column:
+        themes = F.slice(F.filter(F.transform(parsed[list_field], lambda x: F.trim(x)), lambda x: x != ""), 1, most)
+        return F.when(parsed[list_field].isNotNull(), F.struct(*(themes.alias(f) if f == list_field else F.trim(parsed[f]).alias(f) for f in fields)))
+
+    return once(once(json_slice(raw), read), of)
 
 
 def bullet(decision: Column, raw: Column) -> Column:
     """The line for one article's answer; null if the answer is not valid."""
-    m, p = validated(raw, MODIFICATION), validated(raw, PROVISION)
-    change = F.format_string("• Στο νομοσχέδιο %s το %s του %s. Η σύνοψη της αλλαγής είναι: %s", m["change_type"], m["article_number"], m["law_reference"], m["major_change_summary"])
-    new = F.format_string("• %s (%s): %s", p["article_title"], p["provision_type"], p["core_provision_summary"])
-    return F.when((decision == "modifies") & m.isNotNull(), change).when((decision == "new_provision") & p.isNotNull(), new)
+    change = lambda m: F.when(m.isNotNull(), F.format_string("• Στο νομοσχέδιο %s το %s του %s. Η σύνοψη της αλλαγής είναι: %s", m["change_type"], m["article_number"], m["law_reference"], m["major_change_summary"]))
+    new = lambda p: F.when(p.isNotNull(), F.format_string("• %s (%s): %s", p["article_title"], p["provision_type"], p["core_provision_summary"]))
+    return F.when(decision == "modifies", once(validated(raw, MODIFICATION), change)).when(decision == "new_provision", once(validated(raw, PROVISION), new))
 
 
 def plan_errors(raw: Column, allowed: Column) -> Column:
