@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quern.session import stored
+
 
 def completeness(df: DataFrame, table: str, defaults: dict[str, object] | None = None) -> DataFrame:
     """One row per column of ``df``: total, nulls, empties, defaults (set but equal to the default), populated and its rate in percent.
@@ -37,6 +39,7 @@ def completeness_of(tables: dict[str, DataFrame]) -> DataFrame:
 def histogram(df: DataFrame, value: str, bins_per_unit: int = 10) -> DataFrame:
     """Dense bins [lo, hi) of equal width from the least to the greatest value: bin, lo, hi and n (0 for empty bins); nulls are left out."""
     counts = df.where(F.col(value).isNotNull()).groupBy(F.floor(F.col(value) * bins_per_unit).alias("bin")).agg(F.count("*").alias("n"))
+    counts = stored(counts, "bins")  # a row per bin, used twice
     span = counts.agg(F.min("bin").alias("a"), F.max("bin").alias("b")).where("a is not null")
     dense = span.select(F.explode(F.sequence("a", "b")).alias("bin")).join(counts, "bin", "left")
     return dense.select("bin", (F.col("bin") / bins_per_unit).alias("lo"), ((F.col("bin") + 1) / bins_per_unit).alias("hi"), F.coalesce("n", F.lit(0)).cast("long").alias("n"))
