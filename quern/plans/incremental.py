@@ -14,7 +14,7 @@ from quern.operators.keywords import mmr
 from quern.operators.topics import class_tfidf, plain_words, similarity, stop_words, top_terms
 from quern.operators.upsert import above_mark, change_summary, changes, known_items, merge, new_items, replace_children
 from quern.plans.base import spread_table, table
-from quern.session import shared_folder, small
+from quern.session import shared_folder, small, stored
 from quern.streaming.incremental import deduplicated, drained, joined, read_events, sessions, sliding, tumbling
 
 
@@ -247,7 +247,7 @@ def chapter_bullets(spark, sf_dir) -> DataFrame:
 
 
 def part_narratives(spark, sf_dir) -> DataFrame:
-    chapters = chapter_bullets(spark, sf_dir).withColumnRenamed("prompt", "summary")
+    chapters = stored(chapter_bullets(spark, sf_dir).withColumnRenamed("prompt", "summary"), "chapter-bullets")
     inputs = plan_input(chapters, "part", "chapter").select("part", F.length("plan_input").alias("plan_chars"))
     return part_summaries(chapters, "part", "chapter").join(inputs, "part")
 
