@@ -165,7 +165,7 @@ union all select o_orderkey, 1, 'ΝΌΜΟΥ ' || o_orderkey || ' / 2001', 'ΝΌ
 
 def greek_scalars(spark, sf_dir) -> DataFrame:
     """Orders' numbers as numerals there and back, and functions on Greek texts with them."""
-    o = table(spark, sf_dir, "orders").withColumn("n", (F.col("o_orderkey") % 999 + 1).cast("int"))
+    o = spread_table(spark, sf_dir, "orders").withColumn("n", (F.col("o_orderkey") % 999 + 1).cast("int"))
     n, numeral = F.col("n"), int_to_greek(F.col("n"))
     day = (n % 28 + 1).cast("string")
     return o.select(
