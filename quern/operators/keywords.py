@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.functions.text import once
 from quern.operators.topics import plain_words
 from quern.session import is_small, small, stored
 
@@ -23,6 +24,8 @@ def terms(df: DataFrame, group: str, text: str, sizes: tuple[int, int] = (1, 1),
     rows = df.select(df[group].alias("group"), plain_words(df[text], list(stop)).alias("words"))
 
     def runs(k: int) -> Column:
+        if k == 1:
+            return F.col("words")
         starts = F.filter(F.sequence(F.lit(1), F.size("words")), lambda i: i + k - 1 <= F.size("words"))
         return F.transform(starts, lambda i: F.array_join(F.slice("words", i, k), " "))
 
@@ -34,9 +37,10 @@ def trigram_vector(term: Column, dims: int) -> Column:
     """Counts of a term's trigrams, begin and end marked, by hash."""
     marked = F.concat(F.lit("^"), term, F.lit("$"))
     grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(marked) - 2, F.lit(1))), lambda i: F.substr(marked, i, F.lit(3)))
-    at = F.array_sort(F.transform(grams, lambda g: F.conv(F.substring(F.md5(g), 1, 8), 16, 10).cast("long") % dims))
-    # as a term has few trigrams, its own buckets are looked up instead of all
-    return F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda d: F.size(F.filter(at, lambda x: x == d)).cast("double"))
+    at = F.transform(grams, lambda g: F.conv(F.substring(F.md5(g), 1, 8), 16, 10).cast("long") % dims)
+    places = F.sequence(F.lit(0).cast("long"), F.lit(dims - 1).cast("long"))
+    # the buckets are worked out once, not for each place
+    return once(at, lambda a: F.transform(places, lambda d: (F.size(a) - F.size(F.array_remove(a, d))).cast("double")))
 
 
 def dot(a: Column, b: Column) -> Column:

@@ -21,7 +21,9 @@ def stop_words(df: DataFrame, text: str, above: int = 10) -> DataFrame:
 def plain_words(text, stop: list[str] | tuple[str, ...] = ()):
     """ARRAY of a text's words in lower case, without digits and stop words."""
     found = F.split(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[0-9]", ""), r"[ \t\r\n]+")
-    drop = F.array(*map(F.lit, stop)) if stop else F.array().cast("array<string>")
+    if not stop:
+        return F.array_remove(found, "")
+    drop = F.array(*map(F.lit, stop))
     return F.filter(found, lambda w: (w != "") & ~F.array_contains(drop, w))
 
 
