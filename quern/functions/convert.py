@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import collapse, trim
+from .text import collapse, once, trim
 
 #: Greek month names, genitive and nominative, January first.
 MONTHS_OF = ("Ιανουαρίου", "Φεβρουαρίου", "Μαρτίου", "Απριλίου", "Μαΐου", "Ιουνίου", "Ιουλίου", "Αυγούστου", "Σεπτεμβρίου", "Οκτωβρίου", "Νοεμβρίου", "Δεκεμβρίου")
@@ -65,11 +65,16 @@ def post_id(url: Column) -> Column:
 
 def normalized_url(url: Column) -> Column:
     """Without scheme, fragment and closing slash, host in lower case; null and blank give null."""
-    text = trim(url)
-    part = lambda p: F.coalesce(F.regexp_extract(text, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?", p), F.lit(""))
-    path = F.when(part(2) == "/", "/").otherwise(F.regexp_replace(part(2), "/+$", ""))
-    query = F.when(part(3) != "", F.concat(F.lit("?"), part(3))).otherwise("")
-    return F.when(text != "", F.concat(F.lower(part(1)), path, query))
+
+    def joined(bare: Column) -> Column:
+        head = F.substring_index(bare, "?", 1)
+        host = F.when(head.startswith("//"), F.substring_index(F.substr(head, F.lit(3)), "/", 1)).otherwise("")
+        path = F.when(head.startswith("//"), F.substr(head, F.length(host) + 3)).otherwise(head)
+        query = F.substr(bare, F.length(head) + 1)  # with its mark
+        return F.concat(F.lower(host), F.when(path == "/", path).otherwise(F.rtrim(path, F.lit("/"))), F.when(F.length(query) > 1, query).otherwise(""))
+
+    whole = lambda text: F.when(text != "", once(F.regexp_replace(F.substring_index(text, "#", 1), "^[A-Za-z][A-Za-z0-9+.-]*:", ""), joined))
+    return once(trim(url), whole)
 
 
 def url_host(url: Column) -> Column:

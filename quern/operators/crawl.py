@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.convert import greek_date, greek_timestamp, post_id, with_parameter
-from quern.functions.text import collapse, trim
+from quern.functions.text import collapse, once, trim
 from quern.operators.html import links, without_tags
 
 ITEM = r"""(?is)<li[^>]*>(?:(?!</li>).)*?<a\s[^>]*?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>((?:(?!</li>).)*)</li>"""
@@ -89,19 +89,18 @@ def div_content(html: Column, name: str) -> Column:
     return F.when(html.rlike(opening), F.array_join(F.slice(pieces, F.lit(1), end), ""))
 
 
-def article_pages(pages: DataFrame, url: str, html: str) -> DataFrame:
-    """(url, post_id, title, raw_html) of article pages: the heading and the content's markup."""
+def article_pages(pages: DataFrame, url: str, html: str, *kept: str) -> DataFrame:
+    """(url, post_id, title, raw_html) of article pages, and columns that are kept: the heading and the content's markup."""
     heading = F.regexp_extract(html, r"(?is)<h[1-3][^>]*>(.*?)</h[1-3]>", 1)
     raw = F.nullif(div_content(F.col(html), CONTENT), F.lit(""))
-    return pages.select(F.col(url).alias("url"), post_id(F.col(url)).alias("post_id"), collapse(without_tags(heading)).alias("title"), raw.alias("raw_html"))
+    return pages.select(F.col(url).alias("url"), post_id(F.col(url)).alias("post_id"), collapse(without_tags(heading)).alias("title"), raw.alias("raw_html"), *kept)
 
 
 def comment_pages(url: Column, html: Column) -> Column:
     """ARRAY of the addresses of an article's comment pages: itself, and one per page if it says there are several."""
     numbers = F.regexp_extract_all(html, F.lit(r"""(?is)class\s*=\s*["'][^"']*page-numbers[^"']*["'][^>]*>\s*(\d+)\s*<"""), F.lit(1))
-    last = F.array_max(F.transform(numbers, lambda x: x.cast("int")))
-    more = F.transform(F.sequence(F.lit(1), last), lambda n: with_parameter(url, "cpage", n))
-    return F.when(last > 1, F.array_distinct(F.concat(F.array(url), more))).otherwise(F.array(url))
+    more = lambda last: F.transform(F.sequence(F.lit(1), last), lambda n: with_parameter(url, "cpage", n))
+    return once(F.array_max(F.transform(numbers, lambda x: x.cast("int"))), lambda last: F.when(last > 1, F.array_distinct(F.concat(F.array(url), more(last)))).otherwise(F.array(url)))
 
 
 def gazette_rows(pages: DataFrame, html: str) -> DataFrame:

@@ -11,9 +11,12 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quern.operators.elements import is_plain, plain_tokens, read_page
+
 LINK = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 PARAGRAPH = r"(?is)<p(?:\s[^>]*)?>(.*?)(?=</p>|<p[\s>]|$)"
@@ -128,6 +131,10 @@ def html_to_markdown(page: Column) -> Column:
     return F.pandas_udf(_markdown_batch, "string")(page)
 
 
+#: The first tag of a plain page that may have a comment's id.
+_FIRST_ID = re.compile(r"<[^<>]*comment-\d")
+
+
 class _Comments(HTMLParser):
     """Comments as list items with an id like comment-12: author, date and paragraphs."""
 
@@ -163,9 +170,13 @@ class _Comments(HTMLParser):
 
 def parse_comments(page: str | None, keep_names: bool = False) -> list[dict]:
     """The comments of a page, each id once; names are anonymised unless asked for."""
+    if not page or ("comment-" not in page and "&" not in page):  # no id can be one
+        return []
     parser = _Comments()
-    parser.feed(page or "")
-    parser.close()
+    # nothing counts before the first id; a plain page may be read from its tag on
+    at = _FIRST_ID.search(page)
+    tokens = plain_tokens(page[at.start() :]) if at and "&" not in page[: at.start()] and is_plain(page[: at.start()]) else None
+    read_page(parser, page, tokens)
     out = [{k: v.strip() for k, v in c.items()} for c in parser.found]
     return out if keep_names else [c | {"username": DEFAULT_AUTHOR} for c in out]
 
@@ -174,12 +185,15 @@ def comments(pages: DataFrame, id_col: str, html_col: str, keep_names: bool = Fa
     """One row per comment: page, comment_id, username, date and content."""
     kind = pages.schema[id_col].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [{"page": k} | c for k, h in zip(batch["k"], batch["h"], strict=True) for c in parse_comments(h, keep_names)]
-            yield pd.DataFrame(rows, columns=["page", "comment_id", "username", "date", "content"])
+            found = [(i, c) for i, h in enumerate(batch["h"].to_pylist()) for c in parse_comments(h, keep_names)]
+            columns = [pa.array([c[name] for _, c in found], pa.string()) for name in names]
+            yield pa.RecordBatch.from_arrays([batch["k"].take(pa.array([i for i, _ in found], pa.int32())), *columns], names=["page", *names])
 
-    return pages.select(F.col(id_col).alias("k"), F.col(html_col).alias("h")).mapInPandas(run, f"page {kind}, comment_id string, username string, date string, content string")
+    names = ["comment_id", "username", "date", "content"]
+    some = pages.where(F.col(html_col).contains("comment-") | F.col(html_col).contains("&"))  # others have none
+    return some.select(F.col(id_col).alias("k"), F.col(html_col).alias("h")).mapInArrow(run, f"page {kind}, comment_id string, username string, date string, content string")
 
 
 def convert_blank(articles: DataFrame, content: str = "content", raw: str = "raw_html") -> DataFrame:

@@ -41,20 +41,18 @@ def resolve(queries: DataFrame, candidates: DataFrame, tiers: list[Tier]) -> Dat
         F.lit(None).cast("int").alias("tier"),
     )
     for n, tier in enumerate(tiers, 1):
-        keys = [k.alias(f"key{i}") for i, k in enumerate(tier.key)]
-        rows = candidates.select(*keys, F.struct(*tier.order).alias("order"), F.struct(*(candidates[f"`{c}`"] for c in candidates.columns)).alias("found"))
-        names = [f"key{i}" for i in range(len(keys))]
-        best = rows.dropna(subset=names).groupBy(*names).agg(F.min_by("found", "order").alias("found"), F.count("*").alias("n_found"))
+        # a struct is never null, so that no filter of a join works the keys out once more; one with a null in it equals no term
+        key = F.struct(*(k.alias(f"_{i}") for i, k in enumerate(tier.key))).alias("key")
+        rows = candidates.select(key, F.struct(*tier.order).alias("order"), F.struct(*(candidates[f"`{c}`"] for c in candidates.columns)).alias("found"))
+        best = rows.groupBy("key").agg(F.min_by("found", "order").alias("found"), F.count("*").alias("n_found"))
         best = (best.where("n_found = 1") if tier.alone else best).withColumn("salt", F.lit(-1))
         open_ = F.col("match").isNull()
-        for i in range(len(keys)):
+        for i in range(len(tier.key)):
             open_ &= F.col(f"term{n}._{i}").isNotNull()
         out = out.withColumn("own_salt", F.when(open_, -1).otherwise(F.pmod(F.xxhash64("query"), F.lit(SPREAD)).cast("int")))
-        same = F.col("own_salt") == F.col("salt")
-        for i, name in enumerate(names):
-            same &= F.col(f"term{n}._{i}") == F.col(name)
+        same = (F.col("own_salt") == F.col("salt")) & (F.col(f"term{n}") == F.col("key"))
         out = out.join(best, same, "left").withColumn("tier", F.coalesce("tier", F.when(F.col("found").isNotNull(), n)))
-        out = out.withColumn("match", F.coalesce("match", "found")).drop("own_salt", "salt", "found", "n_found", f"term{n}", *names)
+        out = out.withColumn("match", F.coalesce("match", "found")).drop("own_salt", "salt", "found", "n_found", f"term{n}", "key")
     names = F.array(*(F.lit(t.name) for t in tiers))
     return out.select("query.*", "match", "tier", F.get(names, F.col("tier") - 1).alias("tier_name"))
 
