@@ -116,8 +116,7 @@ def to_markdown(page: str | None, collapse: bool = True) -> str:
     if not page or not page.strip():
         return ""
     parser = _Markdown()
-    parser.feed(page)
-    parser.close()
+    read_page(parser, page)
     text = "\n".join(line.rstrip() for line in re.sub(r"\n[ \t]+(?![*\d ])", "\n", "".join(parser.out)).split("\n"))
     return (re.sub(r"\n{3,}", "\n\n", text) if collapse else text).strip()
 
