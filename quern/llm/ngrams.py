@@ -133,9 +133,32 @@ def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 BEGIN = pair(np.array([START], U), np.array([START], U))[0]
 
 
+def order_of(key: np.ndarray) -> np.ndarray:
+    """The places of ascending hashes, those of equal ones in order.
+
+    A place is put where a hash has its low bits, so that numbers are sorted
+    instead of places; the few hashes that differ in these bits alone are seen
+    afterwards, and then places are sorted after all.
+    """
+    low = U((1 << len(key).bit_length()) - 1)
+    order = (np.sort((key & ~low) | np.arange(len(key), dtype=U)) & low).astype(np.int64)
+    found = key[order]
+    return order if (found[1:] >= found[:-1]).all() else np.argsort(key, kind="stable")
+
+
+def placed(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different hashes, ascending, and the place of each of ``key`` among them."""
+    order = order_of(key)
+    key = key[order]
+    new = np.concatenate([np.ones(min(len(key), 1), bool), key[1:] != key[:-1]])
+    at = np.empty(len(key), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return key[new], at
+
+
 def grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Different keys, ascending, with a place and the number of each."""
-    order = np.argsort(key)
+    order = order_of(key)
     key = key[order]
     new = np.flatnonzero(np.concatenate([np.ones(min(len(key), 1), bool), key[1:] != key[:-1]]))
     return key[new], order[new], np.diff(np.append(new, len(key)))
@@ -176,7 +199,7 @@ def cut(arrays: list[np.ndarray], shards: int) -> Iterator[tuple[int, list[np.nd
 
 def summed(key: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
     """Different keys, ascending, and the sums of their values."""
-    order = np.argsort(key)
+    order = order_of(key)
     key = key[order]
     new = np.flatnonzero(np.concatenate([np.ones(min(len(key), 1), bool), key[1:] != key[:-1]]))
     return [key[new], *(np.add.reduceat(v[order], new) if len(new) else v[:0] for v in values)]
@@ -273,7 +296,7 @@ def _count_trigrams(texts: DataFrame, plan: Plan, k: int, limit: int) -> DataFra
 
     def shard(s: int, bodies: dict[str, list[bytes]]) -> list[dict]:
         key, n, context, below = load_all(bodies.get("tri", []), 4)
-        order = np.argsort(key)
+        order = order_of(key)
         key, n, context, below = key[order], n[order], context[order], below[order]
         new = np.flatnonzero(np.concatenate([np.ones(min(len(key), 1), bool), key[1:] != key[:-1]]))
         key, n, context, below = key[new], np.add.reduceat(n, new) if len(new) else n, context[new], below[new]
@@ -439,7 +462,7 @@ def _tokens(rows: DataFrame, limit: int) -> DataFrame:
             for a, b in blocks(offsets, limit):
                 part = offsets[a : b + 1]
                 found = tokens_of(data[part[0] : part[-1]], part - part[0])
-                word, place = np.unique(found.token, return_inverse=True)
+                word, place = placed(found.token)
                 at = np.zeros(len(word), np.int64)
                 at[place] = np.arange(len(place))
                 cells = [b"".join(keys[a:b]), dump([np.diff(found.first)], False), dump([word, found.classes(at)]), dump([place], False)]
@@ -461,19 +484,34 @@ class _Block:
         self.w = np.searchsorted(self.words, word)[self.place]
         self.v = before(self.w, first, int(np.searchsorted(self.words, START)))
         key = pair(self.words[self.v], token)
-        self.bigrams, at = np.unique(np.append(key, BEGIN), return_inverse=True)
+        self.bigrams, at = placed(np.append(key, BEGIN))
         self.bigram = at[:-1]
         self.context = before(self.bigram, first, int(at[-1]))
-        self.trigrams, self.trigram = np.unique(pair(self.bigrams[self.context], token), return_inverse=True)
+        self.trigrams, self.trigram = placed(pair(self.bigrams[self.context], token))
+
+
+def different(sizes: bytes, words: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The trigrams, bigrams and words of a ``_Block``, without the places of its tokens among them."""
+    word = load(words, 2)[0]
+    token = word[load(places, 1, False)[0].astype(np.int64)]
+    first = np.concatenate([[0], np.cumsum(load(sizes, 1, False)[0].astype(np.int64))])
+    below = pair(before(token, first, START), token)
+    trigrams = _sorted_once(pair(before(below, first, BEGIN), token))
+    return trigrams, _sorted_once(np.append(below, BEGIN)), np.union1d(word, np.array([START], U))
+
+
+def _sorted_once(keys: np.ndarray) -> np.ndarray:
+    """Different keys, ascending; sorting keys alone takes a part of the time of sorting their places."""
+    keys = np.sort(keys)
+    return keys[np.concatenate([np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1]])]
 
 
 def _requests(tokens: DataFrame, shards: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                block = _Block(row["b2"], row["b3"], row["b4"])
                 asked: dict[int, dict[str, bytes]] = {}
-                for name, keys in (("b3", block.trigrams), ("b2", block.bigrams), ("b1", block.words)):
+                for name, keys in zip(("b3", "b2", "b1"), different(row["b2"], row["b3"], row["b4"]), strict=True):
                     for s, x in cut([keys], shards):
                         asked.setdefault(s, {})[name] = dump(x)
                 cells = [pa.array([x.get(name) for x in asked.values()], pa.binary()) for name in ("b1", "b2", "b3")]
