@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .convert import MONTHS_OF
-from .text import fold_lower, once
+from .text import fold_lower, once, trim
 
 LAW, LEGISLATIVE, PRESIDENTIAL = "law", "legislative decree", "presidential decree"
 #: Names before a number and year, without accents and in lower case; the last v is Latin.
@@ -77,15 +77,15 @@ def _anchored(text: Column, anchor: str, groups: dict[str, int]) -> Column:
 
 def _after_first(text: Column, anchor: str, kinds: tuple[str, ...]) -> Column:
     """The text from the end of the first citation of such kinds on; null without one."""
-    hits = F.filter(_anchored(text, anchor, {}), lambda x: F.coalesce(_names(x["before"])["kind"].isin(*kinds), F.lit(False)))
-    nth = F.try_element_at(hits, F.lit(1))["nth"]
 
-    def rest(i: Column) -> Column:
-        pieces, raws = F.split(text, anchor), F.regexp_extract_all(text, F.lit(anchor), F.lit(0))
-        passed = F.aggregate(F.slice(F.zip_with(pieces, raws, lambda a, b: F.length(a) + F.length(F.coalesce(b, F.lit("")))), F.lit(1), i + 1), F.lit(0), lambda n, x: n + x)
-        return F.when(i.isNotNull(), F.substr(text, passed + 1))
+    def rest(x: Column) -> Column:
+        named = F.transform(F.slice(x["pieces"], F.lit(1), F.size(x["raws"])), lambda before: F.coalesce(_names(before)["kind"].isin(*kinds), F.lit(False)))
+        upto = lambda i: F.aggregate(F.slice(F.zip_with(x["pieces"], x["raws"], lambda a, b: F.length(a) + F.length(F.coalesce(b, F.lit("")))), F.lit(1), i), F.lit(0), lambda n, y: n + y)
+        return once(F.array_position(named, True).cast("int"), lambda i: F.when(i > 0, F.substr(text, upto(i) + 1)))
 
-    return once(nth, rest)
+    # a text is searched once, and split if there is a place to split it at
+    cells = lambda raws: F.struct(raws.alias("raws"), F.split(text, anchor).alias("pieces"))
+    return once(F.regexp_extract_all(text, F.lit(anchor), F.lit(0)), lambda raws: F.when(F.size(raws) > 0, once(cells(raws), rest)))
 
 
 def law_citations(text: Column, kinds: tuple[str, ...] = (LAW,)) -> Column:
@@ -172,7 +172,7 @@ def modifies_law(text: Column) -> Column:
     after = F.struct(_after_first(text, NUMBERED, (LAW, LEGISLATIVE, PRESIDENTIAL)).alias("numbered"), _after_first(text, DATED, (PRESIDENTIAL,)).alias("dated"))
 
     def quoted(rest: Column) -> Column:
-        line = F.exists(F.split(rest, "\n"), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "").rlike(r"(?s)^«.{5,}(»|»\.)$"))
+        line = F.exists(F.split(rest, "\n"), lambda x: x.contains("«") & trim(x).rlike(r"(?s)^«.{5,}(»|»\.)$"))
         return rest.rlike(r"(?s)«[^»]*\n[^»]*»") | line
 
     # what is left after the earlier of the two is longer

@@ -21,6 +21,13 @@ def int_to_greek(n: Column) -> Column:
     return F.when((n >= 1) & (n <= 999), out)
 
 
+def known_numerals(most: int) -> list[str]:
+    """The numerals of 1 to ``most`` that are read as the number they are written for."""
+    written = {n: HUNDREDS[n // 100] + TENS[n // 10 % 10] + UNITS[n % 10] for n in range(1, most + 1)}
+    read = lambda text: 6 * text.count("ΣΤ") + sum(LETTERS.get(c, 0) for c in text.replace("ΣΤ", ""))
+    return [text for n, text in written.items() if read(text) == n]
+
+
 def greek_to_int(label: Column) -> Column:
     """Sum of the values of a numeral's letters; other characters count nothing; null and empty give 0."""
     text = F.regexp_replace(F.upper(strip_accents(F.coalesce(label, F.lit("")))), "[΄'`·. ]", "")

@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Unicode white space of Java and Python alike.
+#: Unicode white space of Java and Python alike, as a pattern and by its characters.
 SPACE = r"(?U)\s"
+SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def is_blank(col: Column) -> Column:
@@ -24,7 +25,7 @@ def once(value: Column, of: Callable[[Column], Column]) -> Column:
 
 def trim(col: Column) -> Column:
     """Without Unicode white space at both ends (Spark's own trim knows the space only)."""
-    return F.regexp_replace(col, r"(?U)^\s+|\s+$", "")
+    return F.btrim(col, F.lit(SPACES))
 
 
 def collapse(col: Column) -> Column:
@@ -100,7 +101,8 @@ def words(col: Column) -> Column:
 
 
 def n_words(col: Column) -> Column:
-    return F.size(words(col))
+    # without blanks at its ends, a text splits into its words alone
+    return once(trim(col), lambda x: F.when(x == "", 0).otherwise(F.size(F.split(x, r"(?U)\s+"))))
 
 
 def quoted_segments(col: Column, least: int = 5) -> Column:
@@ -109,17 +111,20 @@ def quoted_segments(col: Column, least: int = 5) -> Column:
 
 
 def first_nonblank_lines(col: Column, n: int = 2) -> Column:
-    return F.array_join(F.slice(F.filter(F.transform(lines(col), trim), lambda x: x != ""), 1, n), "\n")
+    # lines beyond the last that counts aren't looked at
+    head = F.regexp_extract(col, rf"(?U)^(?:\s*\S[^\n]*){{0,{n}}}", 0)
+    return F.array_join(F.filter(F.transform(F.split(head, "\n"), trim), lambda x: x != ""), "\n")
 
 
-_BOUND = r"(?:\s|[«»“”\"'\-.,;:!?()\[\]{}]|^|$)"
+#: What no whole word has next to it.
+_INSIDE = r"[^\s«»“”\"'\-.,;:!?()\[\]{}]"
 
 
 def has_word(col: Column, folded: str) -> Column:
     """Whether a text has the whole word, given in lower case without accents."""
     # both forms of a final sigma, which engines lower differently
     forms = folded if not folded.endswith("ς") else folded[:-1] + "[σς]"
-    return fold_lower(col).rlike(f"(?U){_BOUND}{forms}{_BOUND}")
+    return fold_lower(col).rlike(f"(?U)(?<!{_INSIDE}){forms}(?!{_INSIDE})")
 
 
 def is_purpose(title: Column, content: Column) -> Column:

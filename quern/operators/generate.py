@@ -12,6 +12,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -106,13 +107,13 @@ def shortened(generate: Generator, text: str, max_tokens: int, endings: str = ".
 def generated(df: DataFrame, prompt_col: str, out: str, factory: Callable[[], Generator] = stub_factory, max_tokens: int = 512) -> DataFrame:
     """Adds the answers to a column of prompts (null stays null); the generator is made once per task."""
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         generate = factory()
         for batch in batches:
-            yield pd.Series([None if p is None else continued(generate, p, max_tokens) if "[SCHEMA" not in p else repair(generate(p, max_tokens)) for p in batch], dtype=object)
+            yield pa.array([None if p is None else continued(generate, p, max_tokens) if "[SCHEMA" not in p else repair(generate(p, max_tokens)) for p in batch.to_pylist()], pa.string())
 
     # Python gets the prompts alone; as nondeterministic, no filter makes an answer anew.
-    return df.withColumn(out, F.pandas_udf(run, StringType()).asNondeterministic()(F.col(prompt_col)))
+    return df.withColumn(out, F.arrow_udf(run, StringType()).asNondeterministic()(F.col(prompt_col)))
 
 
 def noted(df: DataFrame, chunk: str, out: str, note: str, factory: Callable[[], Generator] = stub_factory, max_tokens: int = 512) -> DataFrame:
@@ -127,6 +128,7 @@ def route(title: Column, content: Column, number: Column) -> Column:
         F.when(is_blank(content), "skip")
         .when((number == 1) & is_purpose(title, content), "purpose")
         .when((number == 2) & is_object(title, content), "object")
+        .when(F.length(content) < 2 * VERBATIM_WORDS - 1, "verbatim")  # too short for so many words
         .when(n_words(content) < VERBATIM_WORDS, "verbatim")
         .otherwise("summarise")
     )

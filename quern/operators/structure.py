@@ -8,10 +8,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.functions.text import trim
+from quern.functions.text import once, trim
 from quern.session import stored
 
-HEADER = r"(?imu)^\s*(?:#+\s*)?(?:\*{1,3}\s*)?(?:Άρθρο|ΑΡΘΡΟ|article)\s+(\d+)"
+_HEADER = r"^\s*(?:#+\s*)?(?:\*{1,3}\s*)?(?:Άρθρο|ΑΡΘΡΟ|article)\s+(\d+)"
+HEADER = f"(?imu){_HEADER}"
+#: A header and what stands before the next one.
+HEADED = rf"(?imu){_HEADER}(?s:.*?)(?={_HEADER}|\z)"
 INLINE = r"(?iu)(?:Άρθρο|ΑΡΘΡΟ|article)\s+(\d+)"
 
 
@@ -21,17 +24,14 @@ def article_chunks(content: Column, title: Column) -> Column:
     Text before the first header is dropped; without header the whole text is
     one chunk, numbered by its title. A blank text has no chunks.
     """
-    # split keeps what stands between headers; the headers are found once more, in the same order
-    heads = F.regexp_extract_all(content, F.lit(HEADER), F.lit(0))
-    numbers = F.regexp_extract_all(content, F.lit(HEADER), F.lit(1))
-    bodies = F.split(content, HEADER)
-    offset = F.size(bodies) - F.size(heads)
-    cut = F.transform(
-        F.arrays_zip(heads.alias("h"), numbers.alias("n"), F.slice(bodies, offset + 1, F.size(heads)).alias("b")),
-        lambda x: F.struct(trim(x["h"]).alias("title_line"), trim(x["b"]).alias("content"), x["n"].try_cast("int").alias("article_number")),
-    )
+    def cut(chunk: Column) -> Column:
+        read = lambda head: F.struct(trim(head).alias("title_line"), trim(F.substr(chunk, F.length(head) + 1)).alias("content"), F.regexp_extract(head, r"(\d+)$", 1).try_cast("int").alias("article_number"))
+        return once(F.regexp_extract(chunk, HEADER, 0), read)
+
     whole = F.array(F.struct(trim(title).alias("title_line"), trim(content).alias("content"), F.regexp_extract(title, INLINE, 1).try_cast("int").alias("article_number")))
-    return F.when(F.coalesce(trim(content), F.lit("")) == "", F.array().cast("array<struct<title_line:string,content:string,article_number:int>>")).when(F.size(heads) > 0, cut).otherwise(whole)
+    # a text is searched once: headers are read again at the beginnings of what was found
+    chunks_ = once(F.regexp_extract_all(content, F.lit(HEADED), F.lit(0)), lambda found: F.when(F.size(found) > 0, F.transform(found, cut)).otherwise(whole))
+    return F.when(content.rlike(r"(?U)\S"), chunks_).otherwise(F.array().cast("array<struct<title_line:string,content:string,article_number:int>>"))
 
 
 def chunk_starts(costs: Column, most: int) -> Column:
