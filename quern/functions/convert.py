@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import collapse, once, trim
+from .text import SPACES, collapse, once, trim
 
 #: Greek month names, genitive and nominative, January first.
 MONTHS_OF = ("Ιανουαρίου", "Φεβρουαρίου", "Μαρτίου", "Απριλίου", "Μαΐου", "Ιουνίου", "Ιουλίου", "Αυγούστου", "Σεπτεμβρίου", "Οκτωβρίου", "Νοεμβρίου", "Δεκεμβρίου")
@@ -73,8 +73,14 @@ def normalized_url(url: Column) -> Column:
         query = F.substr(bare, F.length(head) + 1)  # with its mark
         return F.concat(F.lower(host), F.when(path == "/", path).otherwise(F.rtrim(path, F.lit("/"))), F.when(F.length(query) > 1, query).otherwise(""))
 
-    whole = lambda text: F.when(text != "", once(F.regexp_replace(F.substring_index(text, "#", 1), "^[A-Za-z][A-Za-z0-9+.-]*:", ""), joined))
-    return once(trim(url), whole)
+    def bare(text: Column) -> Column:
+        """Without scheme; that of most addresses needs no pattern."""
+        common = lambda s: F.substr(text, F.lit(len(s) + 1))
+        return F.when(text.startswith("http:"), common("http:")).when(text.startswith("https:"), common("https:")).otherwise(F.regexp_replace(text, "^[A-Za-z][A-Za-z0-9+.-]*:", ""))
+
+    whole = lambda text: F.when(text != "", once(once(F.substring_index(text, "#", 1), bare), joined))
+    # most addresses have no blanks at their ends, and need no pattern for these either
+    return once(F.when(F.btrim(url, F.lit(SPACES)) == url, url).otherwise(F.regexp_replace(url, r"(?U)^\s+|\s+$", "")), whole)
 
 
 def url_host(url: Column) -> Column:

@@ -132,27 +132,31 @@ def html_to_markdown(page: Column) -> Column:
 
 #: The first tag of a plain page that may have a comment's id.
 _FIRST_ID = re.compile(r"<[^<>]*comment-\d")
+_ID = re.compile(r"(?:li-)?comment-(\d+)")
 
 
 class _Comments(HTMLParser):
     """Comments as list items with an id like comment-12: author, date and paragraphs."""
 
+    NAMES = frozenset(("fn", "author", "comment-author"))
+    DATES = frozenset(("date", "comment-date", "comment-meta", "metadata"))
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.found: list[dict] = []
         self.at: str | None = None
 
     def handle_starttag(self, tag, attrs):
-        a = dict(attrs)
-        m = re.fullmatch(r"(?:li-)?comment-(\d+)", a.get("id") or "")
+        a = dict(attrs) if attrs else {}
+        m = _ID.fullmatch(a["id"]) if a.get("id") else None
         if m and not any(c["comment_id"] == m[1] for c in self.found):
             self.found.append({"comment_id": m[1], "username": "", "date": "", "content": ""})
-        classes = (a.get("class") or "").split()
         if not self.found:
             return
-        if {"fn", "author", "comment-author"} & set(classes) or tag == "cite":
+        classes = a["class"].split() if a.get("class") else ()
+        if tag == "cite" or not self.NAMES.isdisjoint(classes):
             self.at = "username"
-        elif {"date", "comment-date", "comment-meta", "metadata"} & set(classes) or tag == "time":
+        elif tag == "time" or not self.DATES.isdisjoint(classes):
             self.at = "date"
         elif tag == "p":
             self.at = "content"
